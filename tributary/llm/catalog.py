@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.session import load
+from tributary.session import load, scratch
+
+
+def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.common import vocabulary
+    from tributary.llm.repair import read, write
+
+    path = scratch(spark, "repair")
+    write(load(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return read(spark, path).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +89,15 @@ FROM r LEFT JOIN b USING (host)
 """
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.common import vocabulary
+    from tributary.llm.packing import pack
+
+    return pack(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

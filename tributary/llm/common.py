@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -113,15 +114,36 @@ def groups(sizes: list[int], most: int = GROUP_CHARS) -> Iterator[tuple[int, int
         yield start, len(sizes)
 
 
+class _Index(dict):
+    """Numbers for chunks as they come; new ones wait in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = out = len(self)
+        self.new.append(chunk)
+        return out
+
+
 class ChunkEncoder:
-    """Encodes whole texts by remembered chunks; ``encode_new`` maps unseen chunks to id lists."""
+    """Encodes whole texts by remembered chunks; ``encode_new`` maps unseen chunks to id lists.
+
+    A plain text (single spaces and line feeds only) is cut by str.split. There a key that starts with a
+    line feed is the chunk itself, one that starts with FIRST is the text's first chunk without the mark,
+    and any other stands for a space and the key. Other texts are cut by CHUNK, their keys marked FIRST.
+    """
+
+    FIRST = "\x01"
+    ODD = re.compile(f"[{FIRST}\x1c-\x1f{WHITE.replace(' ', '', 1)}]".replace("\t-\r", "\t\x0b-\r"))
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 800_000):
         self.most = most
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.ids = np.empty(1 << 16, np.uint32)
         self.used = 0
         self.starts = np.zeros(1 << 14, np.int64)
@@ -130,10 +152,19 @@ class ChunkEncoder:
     def encode_new(self, chunks: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
-    def _learn(self, chunks: list[str]) -> None:
-        new = list(dict.fromkeys(chunks))
-        first = len(self.index)
-        found = self.encode_new(new)
+    def _keys(self, text: str) -> list[str]:
+        if not text:
+            return []
+        keys = (self.FIRST + text.replace("\n", " \n")).split(" ")
+        if len(keys) == len(text.split()) and text[0] != "\n" and not self.ODD.search(text):
+            return keys
+        return [self.FIRST + c for c in CHUNK.findall(text)]
+
+    def _learn(self) -> None:
+        new = self.index.new
+        first = len(self.index) - len(new)
+        f = self.FIRST
+        found = self.encode_new([k[1:] if k[:1] == f else k if k[:1] == "\n" else " " + k for k in new])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         need = self.used + int(lengths.sum())
         if need > len(self.ids):
@@ -144,20 +175,19 @@ class ChunkEncoder:
         self.ids[self.used : need] = np.fromiter((x for y in found for x in y), np.uint32, need - self.used)
         self.starts[first : first + len(new)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[first : first + len(new)] = lengths
-        self.index.update(zip(new, range(first, first + len(new))))
         self.used = need
+        self.index.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array and the number of each text's ids."""
         if len(self.index) > self.most:
             self.reset()
-        found = [CHUNK.findall(x) for x in texts]
+        found = [self._keys(x) for x in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        chunks = [c for x in found for c in x]
-        index = self.index
-        if unseen := [c for c in chunks if c not in index]:
-            self._learn(unseen)
-        codes = np.fromiter(map(index.__getitem__, chunks), np.int64, len(chunks))
+        total = int(counts.sum())
+        codes = np.fromiter(map(self.index.__getitem__, chain.from_iterable(found)), np.int64, total)
+        if self.index.new:
+            self._learn()
         lengths = self.lengths[codes]
         out = self.ids[gather(self.starts[codes], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])

@@ -115,6 +115,12 @@ def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.jaccard_join import classes
+
+    return classes(load(spark, sf_dir, "documents"), n=4, threshold=0.85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -121,6 +121,16 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(load(spark, sf_dir, "documents"), n=4, threshold=0.85)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.warc import read, write
+
+    path = scratch(spark, "warc")
+    write(load(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", F.col("html").alias("payload")), path)
+    return read(spark, path).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

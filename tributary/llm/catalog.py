@@ -24,6 +24,14 @@ def op1_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.fingerprint_index import dedup
+
+    return dedup(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256")
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm.exact_dedup import groups_of_copies
 

@@ -138,7 +138,7 @@ class ChunkEncoder:
     FIRST = "\x01"
     ODD = re.compile(f"[{FIRST}\x1c-\x1f{WHITE.replace(' ', '', 1)}]".replace("\t-\r", "\t\x0b-\r"))
 
-    def __init__(self, most: int = 800_000):
+    def __init__(self, most: int = 450_000):
         self.most = most
         self.reset()
 

@@ -39,7 +39,7 @@ class TreeBpe:
     def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF):
         self.ranks, self.leaf = ranks, leaf
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.stable = lru_cache(1 << 18)(self._stable)
+        self.stable = lru_cache(1 << 16)(self._stable)
 
     def merge(self, data: bytes) -> list[int]:
         """Direct encoding of a short run of bytes: join the neighbours of lowest rank until none has one."""
@@ -108,7 +108,7 @@ class TreeEncoder(ChunkEncoder):
         self.known: dict[str, list[int]] = {}
 
     def encode_new(self, chunks: list[str]) -> list[list[int]]:
-        if len(self.known) > 400_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         out, known, encode = [], self.known, self.bpe.encode
         for chunk in chunks:

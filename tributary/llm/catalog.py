@@ -32,6 +32,21 @@ def op2_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.progressive_jpeg import load_media, store
+
+    return load_media(store(load(spark, sf_dir, "documents"))).select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, length(payload) - 31, 32)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.format_string("%dx%d:%08x", "width", "height", F.crc32("rgb")).alias("feature"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm.exact_dedup import groups_of_copies
 

@@ -1,2 +1,338 @@
+"""Queries of reports, gates, extraction and incremental work."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tributary.functions import features as E
+from tributary.functions import scalars as S
+from tributary.operators import cluster as C
+from tributary.operators import fuse as U
+from tributary.operators import headers as H
+from tributary.operators import profile as R
+from tributary.operators import publish as P
+from tributary.operators import quality as G
+from tributary.operators import query as Q
+from tributary.plans.derived import SOURCE_A, SOURCE_B, SPREAD, build, text
+from tributary.plans.entities import UNITED, _united
+from tributary.session import load, scratch
+from tributary.sources import extract as X
+from tributary.streaming import incremental as I
+
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+A, B = text(SOURCE_A), text(SOURCE_B)
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+@query("""SELECT source, n, share FROM (SELECT source, CAST(count(*) AS BIGINT) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share FROM documents GROUP BY source) ORDER BY n DESC, source LIMIT 20""")
+def source_distribution(spark, sf_dir):
+    return R.source_distribution(load(spark, sf_dir, "documents"), "source").withColumn("share", F.col("share").cast("double"))
+
+
+@query(f"""WITH u AS ({UNITED}), g AS (SELECT concat(brand, '|', series, '|', year) AS k, count(DISTINCT source) AS n FROM u GROUP BY 1)
+SELECT CAST(count(*) AS BIGINT) AS visible, CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS multi, CAST(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS single, round(CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) * 100.0 / count(*) AS DOUBLE), 12) AS multi_rate FROM g""")
+def visible_stats(spark, sf_dir):
+    u = _united(spark, sf_dir).withColumn("k", S.bucket_key(F.col("brand"), F.col("series"), F.col("year")))
+    return R.visible_stats(u, "k")
+
+
+@query(f"""WITH u AS ({UNITED}) SELECT brand, series, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT source) AS BIGINT) AS sources, CASE WHEN count(DISTINCT source) > 1 THEN 'multi' ELSE 'single' END AS kind FROM u GROUP BY brand, series""")
+def single_source_groups(spark, sf_dir):
+    return R.single_source_groups(_united(spark, sf_dir), ["brand", "series"])
+
+
+@query(f"""WITH u AS ({UNITED}), b AS (SELECT brand FROM u GROUP BY brand HAVING count(DISTINCT series) >= 2 AND count(*) >= 4 ORDER BY count(DISTINCT series) DESC, count(*) DESC, brand LIMIT 4)
+SELECT brand, row_id, source, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY brand ORDER BY ordinal) AS INT) AS rank FROM u WHERE brand IN (SELECT brand FROM b)) WHERE rank <= 30""")
+def brand_samples(spark, sf_dir):
+    return R.brand_samples(_united(spark, sf_dir)).select("brand", "row_id", "source", "rank")
+
+
+GAPS = "SELECT p_partkey AS row_id, p_brand AS brand, CASE WHEN p_partkey % 4 = 0 THEN concat(p_type, ' EV') WHEN p_partkey % 9 = 0 THEN concat(p_type, ' Max') ELSE p_type END AS series, CASE WHEN p_partkey % 3 = 0 THEN 'A' ELSE 'B' END AS source FROM {part}"
+
+
+@query(f"""WITH g AS ({text(GAPS)}), n AS (SELECT brand, series, count(*) AS n FROM g GROUP BY brand, series HAVING count(*) >= 3)
+SELECT x.brand, x.series AS short, y.series AS long, 'EV' AS suffix, CAST(x.n AS BIGINT) AS n, CAST(y.n AS BIGINT) AS long_n FROM n x JOIN n y ON x.brand = y.brand AND y.series = concat(x.series, ' EV')""")
+def series_alias_gaps(spark, sf_dir):
+    return R.series_alias_gaps(build(spark, sf_dir, GAPS), ("EV", "PHEV"))
+
+
+@query(f"""WITH g AS ({text(GAPS)}) SELECT brand, series, CAST(count(*) AS BIGINT) AS n, CASE WHEN max(source) = 'A' THEN 'B' ELSE 'A' END AS missing FROM g GROUP BY brand, series HAVING count(*) >= 3 AND count(DISTINCT source) = 1 ORDER BY count(*) DESC, brand, series LIMIT 60""")
+def series_source_gaps(spark, sf_dir):
+    return R.source_gaps(build(spark, sf_dir, GAPS), ["brand", "series"], ["A", "B"], least=3)
+
+
+@query("""WITH c AS (SELECT p_name AS series, p_brand AS brand, count(*) AS n FROM part GROUP BY ALL), t AS (SELECT series, arg_max(brand, (n, brand)) AS dominant, max(n) AS dominant_n FROM c GROUP BY series)
+SELECT series, brand, CAST(n AS BIGINT) AS n, dominant, CAST(dominant_n AS BIGINT) AS dominant_n FROM c JOIN t USING (series) WHERE brand <> dominant AND n >= 2 AND n < dominant_n""")
+def brand_alias_gaps(spark, sf_dir):
+    return R.brand_alias_gaps(load(spark, sf_dir, "part").select(F.col("p_name").alias("series"), F.col("p_brand").alias("brand")))
+
+
+@query(f"""WITH b AS ({B}) SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(CASE WHEN size = '-' THEN 1 ELSE 0 END) AS BIGINT) AS no_size, CAST(0 AS BIGINT) AS no_price FROM b""")
+def quality_counts(spark, sf_dir):
+    return R.quality_counts(build(spark, sf_dir, SOURCE_B), ["size", "price"])
+
+
+@query("""WITH m AS (SELECT o_orderpriority, o_custkey, max(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY ALL), h AS (SELECT o_orderpriority, CAST(sum(amount) AS DOUBLE) AS heat FROM m GROUP BY 1)
+SELECT o_orderpriority, round(heat, 2) AS heat, CAST(dense_rank() OVER (ORDER BY heat DESC) AS INT) AS rank FROM h""")
+def heat_rank(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").withColumn("amount", F.col("o_totalprice").cast("decimal(18,2)"))
+    return R.heat(o, "o_orderpriority", "o_custkey", "amount").withColumn("heat", F.round(F.col("heat").cast("double"), 2))
+
+
+REASON = "CASE WHEN p_size < 5 THEN 'too_small' WHEN p_retailprice < 950 THEN 'too_cheap' WHEN p_partkey % 6 = 0 THEN 'no_identity' END"
+
+
+def _gate():
+    return G.gate([("too_small", F.col("p_size") >= 5), ("too_cheap", F.col("p_retailprice") >= 950), ("no_identity", F.col("p_partkey") % 6 != 0)])
+
+
+@query(f"SELECT p_partkey, {REASON} AS reason FROM part")
+def publish_gate(spark, sf_dir):
+    return load(spark, sf_dir, "part").select("p_partkey", _gate().alias("reason"))
+
+
+@query(f"SELECT coalesce({REASON}, 'valid') AS reason, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY 1")
+def invalid_reasons(spark, sf_dir):
+    return R.reasons(load(spark, sf_dir, "part"), _gate())
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN p_size < 3 THEN 1 ELSE 0 END) AS BIGINT) AS failed FROM part")
+def row_gate(spark, sf_dir):
+    return G.require_rows(load(spark, sf_dir, "part"), 50, F.col("p_size") < 3)
+
+
+@query(f"""WITH x AS (SELECT concat(brand, '|', model, '|', year) AS key, * FROM ({A})), y AS (SELECT concat(brand, '|', lower(model), '|', year) AS key, brand, series, year, 'B' AS source FROM ({B}) UNION ALL SELECT key, brand, series, year, source FROM x WHERE row_id % 3 = 0)
+SELECT 'missing_identity' AS kind, substr(sha256(key), 1, 16) AS key_hash, CAST(NULL AS VARCHAR) AS source FROM (SELECT DISTINCT key FROM x) WHERE key NOT IN (SELECT key FROM y)
+UNION ALL SELECT 'source_regression', substr(sha256(key), 1, 16), source FROM (SELECT DISTINCT key, source, brand, series, year FROM x) d WHERE key IN (SELECT key FROM y)
+AND NOT EXISTS (SELECT 1 FROM y WHERE y.key = d.key AND y.source = d.source) AND NOT EXISTS (SELECT 1 FROM y WHERE y.source = d.source AND y.brand = d.brand AND y.series = d.series AND y.year = d.year)""")
+def audit_regression(spark, sf_dir):
+    key = lambda m: F.concat_ws("|", "brand", m, "year")
+    a = build(spark, sf_dir, SOURCE_A).withColumn("key", key(F.col("model")))
+    b = build(spark, sf_dir, SOURCE_B).withColumn("key", key(F.lower("model")))
+    columns = ["key", "source", "brand", "series", "year"]
+    candidate = b.select(*columns).unionByName(a.where("row_id % 3 = 0").select(*columns))
+    return G.audit(a.select(*columns), candidate, ["brand", "series", "year"])
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after, CAST(sum(p_size) AS BIGINT) AS metric_before, CAST(sum(p_size + 1) AS BIGINT) AS metric_after, CAST(0 AS BIGINT) AS changed, true AS ok FROM part""")
+def replay_metrics(spark, sf_dir):
+    p = load(spark, sf_dir, "part")
+    return G.replay(p, p.withColumn("p_size", F.col("p_size") + 1), "p_partkey", "p_size")
+
+
+@query("""WITH e AS (SELECT p_name AS key, p_type AS target, max(p_size) / 50.0 AS confidence FROM part WHERE p_partkey % 20 = 0 GROUP BY ALL), m AS (SELECT *, count(*) OVER (PARTITION BY key) AS copies FROM e),
+r AS (SELECT *, CASE WHEN confidence < 0.9 THEN 'low_confidence' WHEN target NOT IN ('SMALL', 'LARGE', 'PROMO') THEN 'unknown_target' WHEN copies > 1 THEN 'duplicate' END AS reason FROM m),
+p AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY confidence DESC, key) AS place FROM r) SELECT key, target, coalesce(reason, CASE WHEN place > 2 THEN 'over_cap' END) AS reason FROM p""")
+def accept_edits(spark, sf_dir):
+    part = load(spark, sf_dir, "part")
+    edits = part.where("p_partkey % 20 = 0").groupBy(F.col("p_name").alias("key"), F.col("p_type").alias("target")).agg((F.max("p_size") / 50).alias("confidence"))
+    targets = part.where(F.col("p_type").isin("SMALL", "LARGE", "PROMO")).select(F.col("p_type").alias("target"))
+    return G.accept_edits(edits, targets, 2)
+
+
+LOG = "concat(event_type, ' ', CAST(CAST(floor(value) AS BIGINT) AS STRING), ' rows')"
+
+
+@query(f"""SELECT event_id, CASE WHEN floor(value) >= 50 THEN 'progress' WHEN event_type = 'error' THEN 'failed' WHEN event_type IN ('view', 'click') THEN 'read' ELSE 'unknown' END AS kind, CAST(floor(value) AS DOUBLE) AS amount FROM events""")
+def log_classify(spark, sf_dir):
+    line = F.concat("event_type", F.lit(" "), F.floor("value").cast("string"), F.lit(" rows"))
+    kind, amount = G.classify_log(line, [("failed", "error"), ("read", "view|click")], threshold=50)
+    return load(spark, sf_dir, "events").select("event_id", kind.alias("kind"), amount.alias("amount"))
+
+
+@query("""WITH m AS (SELECT event_id, (hour(ts) * 60 + minute(ts) + 480) % 1440 AS minutes FROM events) SELECT event_id, minutes >= 1320 OR minutes <= 120 AS inside FROM m""")
+def window_membership(spark, sf_dir):
+    return load(spark, sf_dir, "events").select("event_id", G.in_window(F.col("ts"), 1320, 120).alias("inside"))
+
+
+@query(r"""SELECT page_id, trim(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) AS title FROM pages""")
+def page_titles(spark, sf_dir):
+    return load(spark, sf_dir, "pages").select("page_id", X.title(F.col("html")).alias("title"))
+
+
+@query(r"""WITH l AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS root, unnest(list_distinct(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1))) AS link FROM pages)
+SELECT page_id, CASE WHEN regexp_matches(link, '^[a-z]+://') THEN link WHEN starts_with(link, '/') THEN concat(root, link) ELSE concat(root, '/', link) END AS link FROM l""")
+def page_links(spark, sf_dir):
+    p = load(spark, sf_dir, "pages").select("page_id", "url", F.explode(X.links(F.col("html"))).alias("link"))
+    return p.select("page_id", X.absolute(F.col("url"), F.col("link")).alias("link"))
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, '$' AS path, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS name FROM events""")
+def json_walk(spark, sf_dir):
+    return X.walk_json(load(spark, sf_dir, "events"), "event_id", "props").withColumn("id", F.col("id").cast("string"))
+
+
+@query("""WITH o AS (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) AS ns, list(l_returnflag ORDER BY l_linenumber, l_returnflag) AS fs FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CAST(unnest(ns) AS VARCHAR) AS title, unnest(fs) AS value FROM o""")
+def positional_zip(spark, sf_dir):
+    sort = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col(c).alias("v")))), lambda x: x["v"].cast("string"))
+    o = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(sort("l_linenumber").alias("t"), sort("l_returnflag").alias("v"))
+    return o.select("l_orderkey", F.inline(X.zip_titles(F.col("t"), F.col("v")))).toDF("l_orderkey", "title", "value")
+
+
+@query("""WITH x AS (SELECT l_orderkey, l_linestatus AS name, CAST(l_linenumber AS VARCHAR) AS value, row_number() OVER (PARTITION BY l_orderkey, l_linestatus ORDER BY l_linenumber) - 1 AS position FROM lineitem)
+SELECT l_orderkey, name, CAST(position AS INT) AS position, value FROM x""")
+def group_positions(spark, sf_dir):
+    items = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_linestatus").alias("name")).agg(F.array_sort(F.collect_list("l_linenumber")).alias("ns"))
+    item = F.struct("name", F.transform("ns", lambda n: F.struct(F.when(n % 2 == 0, n.cast("string")).otherwise("").alias("value"), F.array(F.struct(n.cast("string").alias("value"))).alias("subList"))).alias("paramValues"))
+    docs = items.groupBy("l_orderkey").agg(F.to_json(F.struct(F.array(F.struct(F.collect_list(item).alias("items"))).alias("data"))).alias("payload"))
+    return X.groups_by_position(docs, "l_orderkey", "payload").select("l_orderkey", "name", "position", "value")
+
+
+@query("""SELECT l_orderkey, 'flag' AS label, string_agg(l_returnflag, '|' ORDER BY n, l_returnflag) AS value FROM (SELECT l_orderkey, l_returnflag, min(l_linenumber) AS n FROM lineitem GROUP BY ALL) GROUP BY 1
+UNION ALL SELECT l_orderkey, 'flag line', string_agg(CAST(l_linenumber AS VARCHAR), '|' ORDER BY l_linenumber) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1""")
+def nested_properties(spark, sf_dir):
+    line = F.struct(F.lit("f").alias("key"), F.col("l_returnflag").alias("text"), F.array(F.struct(F.lit("l").alias("key"), F.col("l_linenumber").cast("string").alias("text"))).alias("sub_list"))
+    docs = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", line.alias("p")))), lambda x: x["p"])).alias("payload"))
+    labels = load(spark, sf_dir, "region").where("r_regionkey < 2").select(F.when(F.col("r_regionkey") == 0, "f").otherwise("l").alias("key"), F.when(F.col("r_regionkey") == 0, "flag").otherwise("line").alias("label"))
+    return X.properties(docs, "l_orderkey", "payload", labels)
+
+
+@query("""SELECT c_custkey, n FROM (SELECT o_custkey AS c_custkey, CAST((count(DISTINCT o_orderkey) + 3) // 4 AS BIGINT) AS n FROM orders GROUP BY 1)""")
+def id_batches(spark, sf_dir):
+    ids = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list("o_orderkey")).alias("ids"))
+    return ids.select("c_custkey", F.size(X.batched(F.col("ids"), 4)).cast("long").alias("n"))
+
+
+@query("""SELECT o_custkey, year, o_orderkey FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INT) AS year, o_orderkey, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) AS n FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1997) WHERE n = 1""")
+def first_per_year(spark, sf_dir):
+    o = load(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    return X.first_per_year(o, "o_custkey", "year", "o_orderkey", 1995, 1997).select("o_custkey", "year", "o_orderkey")
+
+
+@query("""SELECT o_orderkey, concat('b', o_custkey) AS brand, o_orderstatus AS series, o_orderpriority AS model, CAST(100000 + o_orderkey % 900000 AS VARCHAR) AS price, CAST(o_orderkey % 90 AS VARCHAR) AS ratio FROM orders""")
+def cells_to_record(spark, sf_dir):
+    k = F.col("o_orderkey")
+    cells = F.array(F.concat(F.lit("b"), F.col("o_custkey").cast("string")), F.col("o_orderstatus"), F.col("o_orderpriority"), (100000 + k % 900000).cast("string"), F.lit("12"), F.concat((k % 90).cast("string"), F.lit("%")))
+    return load(spark, sf_dir, "orders").select("o_orderkey", X.cells_to_record(cells).alias("r")).select("o_orderkey", "r.*")
+
+
+@query("""SELECT c_custkey FROM customer WHERE c_custkey % 4 <> 0""")
+def registry_new(spark, sf_dir):
+    c = load(spark, sf_dir, "customer")
+    return I.unseen(c, c.where("c_custkey % 4 = 0"), "c_custkey").select("c_custkey")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'before' ELSE 'now' END AS seen_at FROM customer""")
+def registry_update(spark, sf_dir):
+    c = load(spark, sf_dir, "customer")
+    return I.registered(c.where("c_custkey % 4 = 0").withColumn("seen_at", F.lit("before")), c.withColumn("seen_at", F.lit("now")), "c_custkey")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN upper(c_mktsegment) WHEN c_custkey % 4 = 0 THEN 'new' ELSE upper(c_mktsegment) END AS value, CASE WHEN c_custkey % 4 = 0 AND c_custkey % 3 <> 0 THEN 'refreshed' ELSE 'kept' END AS state FROM customer""")
+def refresh_keeps_old(spark, sf_dir):
+    c = load(spark, sf_dir, "customer").select("c_custkey", F.upper("c_mktsegment").alias("value"))
+    return X.refreshed(c, c.where("c_custkey % 4 = 0 AND c_custkey % 3 <> 0").withColumn("value", F.lit("new")), "c_custkey", "value")
+
+
+@query("""SELECT profile, event_id, rank FROM (SELECT concat('u', user_id) AS profile, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS INT) AS rank FROM events) WHERE rank <= 50""")
+def saved_queries(spark, sf_dir):
+    e = load(spark, sf_dir, "events").withColumn("who", F.concat(F.lit("u/"), F.col("user_id").cast("string")))
+    return I.saved_queries(e, "who", F.col("ts"), F.col("event_type")).select("profile", "event_id", "rank")
+
+
+@query("""WITH f AS (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1) SELECT e.user_id, CAST(coalesce(n, 0) AS BIGINT) AS attempts, CASE WHEN n > 0 THEN pow(2.0, n - 1) ELSE 0.0 END AS backoff
+FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN f USING (user_id) WHERE coalesce(n, 0) < 5""")
+def retry_frontier(spark, sf_dir):
+    e = load(spark, sf_dir, "events").select("user_id", "event_type")
+    return I.frontier(e.select("user_id"), e.where("event_type = 'error'"), "user_id", 5)
+
+
+WINDOWED = """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"""
+
+
+@query(WINDOWED)
+def event_windows(spark, sf_dir):
+    return I.windowed(load(spark, sf_dir, "events"), "ts", "1 day", "1 hour", ["event_type"], "value").withColumn("total", F.round("total", 4))
+
+
+@query(WINDOWED)
+def stream_incremental(spark, sf_dir):
+    """The same windows after the table went through a stream, twice: the second run finds nothing new."""
+    target, checkpoint = scratch(spark, "stream"), scratch(spark, "stream-state")
+    schema = load(spark, sf_dir, "events").schema
+    staged = scratch(spark, "stream-source")
+    load(spark, sf_dir, "events").repartition(4, "event_id").write.parquet(staged)
+    for _ in range(2):
+        I.run_available(spark, staged, schema, target, checkpoint, lambda df: df)
+    return I.windowed(spark.read.schema(schema).parquet(target), "ts", "1 day", "1 hour", ["event_type"], "value").withColumn("total", F.round("total", 4))
+
+
+@query("""SELECT conv_id, CAST(max(turn) AS BIGINT) AS turn, string_agg(DISTINCT role, '+' ORDER BY role) AS roles FROM conversations GROUP BY conv_id""")
+def merge_progress(spark, sf_dir):
+    c = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    docs = c.select(F.col("conv_id").cast("string").alias("k"), "turn", F.to_json(F.struct("turn", F.array("role").alias("roles"))).alias("d"))
+    merged = U.merge_json(docs, "k", "d", "turn")
+    parsed = F.from_json("d", "struct<turn: bigint, roles: array<string>>")
+    return merged.select(F.col("k").cast("long").alias("conv_id"), parsed.alias("p")).select("conv_id", F.col("p.turn").alias("turn"), F.array_join(F.array_sort("p.roles"), "+").alias("roles"))
+
+
+@query("""SELECT p_name AS value, CAST(count(*) AS BIGINT) AS n FROM part WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 45) AND p_name IN (SELECT p_name FROM part WHERE p_size < 5) GROUP BY 1""")
+def priority_names(spark, sf_dir):
+    p = load(spark, sf_dir, "part")
+    both = P.priority_names(p.where("p_size > 45"), p.where("p_size < 5"), "p_name")
+    return p.join(both, "p_name", "left_semi").groupBy(F.col("p_name").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH b AS (SELECT p_type, min(p_brand) AS known FROM part GROUP BY 1) SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN known ELSE p_brand END AS brand FROM part JOIN b USING (p_type)""")
+def fill_brand(spark, sf_dir):
+    p = load(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_brand").alias("brand"))
+    return P.fill_brand(p.withColumn("brand", F.when(F.col("p_partkey") % 3 == 0, "-").otherwise(F.col("brand"))), p, "p_type").select("p_partkey", "brand")
+
+
+@query(f"""WITH s AS ({text(SPREAD)}) SELECT row_id, list_has_any(regexp_extract_all(sizes, '\\d+'), [CAST(n AS VARCHAR), '20']) AS near,
+CASE WHEN n BETWEEN 20 AND 20 THEN true ELSE abs(n - 20) <= 2 OR abs(n + 7 - 20) <= 2 END AS within FROM s""")
+def tolerance_overlap(spark, sf_dir):
+    s = build(spark, sf_dir, SPREAD)
+    return s.select("row_id", F.arrays_overlap(S.numbers(F.col("sizes")), F.array(F.col("n").cast("double"), F.lit(20.0))).alias("near"), E.overlap_within(S.numbers(F.col("sizes")), F.array(F.lit(20.0)), 2.0).alias("within"))
+
+
+@query("""SELECT p_brand AS component, CAST(count(*) AS BIGINT) AS n, string_agg(DISTINCT CASE WHEN p_partkey % 3 = 0 THEN 'A' ELSE 'B' END, '+' ORDER BY CASE WHEN p_partkey % 3 = 0 THEN 'A' ELSE 'B' END) AS effective FROM part GROUP BY 1""")
+def effective_sources(spark, sf_dir):
+    p = load(spark, sf_dir, "part").select(F.col("p_brand").alias("component"), F.array(F.when(F.col("p_partkey") % 3 == 0, "A").otherwise("B")).alias("sources"))
+    return U.effective_sources(p).groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.first(F.array_join("effective", "+")).alias("effective"))
+
+
+@query("""SELECT p_brand AS component, concat('{"schema":"v1","nodes":[', string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey), '],"edges":[', string_agg(CASE WHEN p_partkey % 2 = 0 THEN concat('{"l":', p_partkey, ',"r":', p_partkey + 1, ',"score":1}') END, ',' ORDER BY p_partkey), ']}') AS evidence
+FROM part GROUP BY 1 HAVING sum(CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END) > 0""")
+def component_evidence(spark, sf_dir):
+    p = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"), F.col("p_brand").alias("component"))
+    edges = p.where("node % 2 = 0").select(F.col("node").alias("l"), (F.col("node") + 1).alias("r"), F.lit(1).alias("score"))
+    return C.evidence(p.select("node", "component"), edges)
+
+
+@query("""SELECT row_id, key, value FROM (SELECT p_partkey AS row_id, 'brand' AS key, p_brand AS value FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part)""")
+def hidden_columns(spark, sf_dir):
+    from tributary.model import to_attrs
+
+    p = load(spark, sf_dir, "part")
+    df = p.select(F.col("p_partkey").alias("row_id"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), F.col("p_type").alias("secret"))
+    hidden = load(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit("secret").alias("key"))
+    return H.without_hidden(to_attrs(df, ["brand", "size", "secret"]), hidden)
+
+
+@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 THEN year(o_orderdate) ELSE 1985 END AS INT) AS year FROM orders""")
+def two_digit_years(spark, sf_dir):
+    x = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.year("o_orderdate").cast("string"), F.lit("款 x"))).otherwise(F.lit("85款"))
+    return load(spark, sf_dir, "orders").select("o_orderkey", S.model_year(x).alias("year"))
+
+
+@query("""SELECT DISTINCT p_type AS suffix_free FROM part""")
+def stripped_series(spark, sf_dir):
+    s = S.stripped_series(F.col("p_brand"), F.concat("p_brand", F.lit(" "), "p_type", F.lit(" EV")), ("PHEV", "EV"))
+    return load(spark, sf_dir, "part").select(s.alias("suffix_free")).distinct()
+
+
+@query("""SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS BIGINT) AS n, CAST(grouping(o_orderstatus) AS INT) AS all_status FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)""")
+def facet_cube(spark, sf_dir):
+    return load(spark, sf_dir, "orders").cube("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.grouping("o_orderstatus").cast("int").alias("all_status"))

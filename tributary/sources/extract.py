@@ -58,9 +58,8 @@ def batched(ids: Column, size: int) -> Column:
 
 
 def zip_titles(titles: Column, values: Column) -> Column:
-    """Titles with values by position as a map; surplus of either side is left out."""
-    pairs = F.arrays_zip(titles.alias("k"), values.alias("v"))
-    return F.map_from_entries(F.filter(pairs, lambda p: p["k"].isNotNull() & p["v"].isNotNull()))
+    """Titles with values by position, as an array of (k, v); surplus of either side is left out."""
+    return F.filter(F.arrays_zip(titles.alias("k"), values.alias("v")), lambda p: p["k"].isNotNull() & p["v"].isNotNull())
 
 
 def transpose(columns: Column) -> Column:

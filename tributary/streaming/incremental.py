@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def unseen(arrivals: DataFrame, registry: DataFrame, key: str) -> DataFrame:
@@ -18,7 +19,7 @@ def registered(registry: DataFrame, arrivals: DataFrame, key: str) -> DataFrame:
     return registry.select(key, "seen_at").unionByName(unseen(arrivals, registry, key).select(key, "seen_at"))
 
 
-def run_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], files: int = 4) -> None:
+def run_available(spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], files: int = 4) -> None:
     """O1, O3: process what has arrived since the last run, a bounded number of files at a time, exactly once into Parquet."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
     query = (

@@ -222,7 +222,7 @@ def kind_of(content: Column) -> Column:
 
 def split_sources(text: Column) -> Column:
     """Ordered distinct entries separated by line ends, semicolons or pipes."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, r"[\r\n;|]+"), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, r"[\r\n;|]+"), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def refreshed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

@@ -129,7 +129,7 @@ def op8_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = vocabulary("byte_bpe_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
-    rows = decode(encode(load(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    rows = decode(encode(load(spark, sf_dir, "documents"), path, pattern), path)
     return rows.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

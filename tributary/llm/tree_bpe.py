@@ -103,12 +103,12 @@ class TreeEncoder(ChunkEncoder):
     """Encodes chunks piece by piece; pieces are the pattern's matches."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
+        super().__init__(350_000)
         self.bpe, self.pieces = TreeBpe(ranks), regex.compile(pattern)
         self.known: dict[str, list[int]] = {}
 
     def encode_new(self, chunks: list[str]) -> list[list[int]]:
-        if len(self.known) > 100_000:
+        if len(self.known) > 40_000:
             self.known.clear()
         out, known, encode = [], self.known, self.bpe.encode
         for chunk in chunks:
@@ -124,20 +124,25 @@ class TreeEncoder(ChunkEncoder):
         return out
 
 
-_made: dict[tuple[str, str], tuple[TreeEncoder, np.ndarray, np.ndarray, np.ndarray]] = {}
+_encoders: dict[tuple[str, str], TreeEncoder] = {}
+_tokens: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
-def _encoder(path: str, pattern: str):
-    """The encoder and its tokens' bytes as one array with starts and lengths, kept from task to task."""
-    if (path, pattern) not in _made:
-        made = TreeEncoder(read_ranks(path), pattern)
-        most = max(made.bpe.tokens, default=-1) + 1
-        sizes = np.zeros(most, np.int64)
-        for i, t in made.bpe.tokens.items():
-            sizes[i] = len(t)
-        joined = b"".join(made.bpe.tokens.get(i, b"") for i in range(most))
-        _made[path, pattern] = made, np.frombuffer(joined, np.uint8), np.cumsum(sizes) - sizes, sizes
-    return _made[path, pattern]
+def _encoder(path: str, pattern: str) -> TreeEncoder:
+    """One encoder for each worker, kept from task to task."""
+    if (path, pattern) not in _encoders:
+        _encoders[path, pattern] = TreeEncoder(read_ranks(path), pattern)
+    return _encoders[path, pattern]
+
+
+def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes as one array, with starts and lengths."""
+    if path not in _tokens:
+        tokens = {rank: token for token, rank in read_ranks(path).items()}
+        ordered = [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
+        sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        _tokens[path] = np.frombuffer(b"".join(ordered), np.uint8), np.cumsum(sizes) - sizes, sizes
+    return _tokens[path]
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -145,7 +150,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(ranks_path, pattern)[0]
+        encoder = _encoder(ranks_path, pattern)
         for frame in text_batches(frames):
             ids, counts = encoder.encode(list(frame["text"]))
             ids = ids.astype("<u4", copy=False)
@@ -157,14 +162,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, ids binary")
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids and the bytes they stand for."""
     ship(encoded.sparkSession)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from tributary.llm.common import gather
 
-        _, data, starts, sizes = _encoder(ranks_path, pattern)
+        data, starts, sizes = _token_bytes(ranks_path)
         for frame in frames:
             out = []
             for ids in frame["ids"]:

@@ -88,6 +88,14 @@ def without_hidden(df: DataFrame, hidden: DataFrame, key: str = "row_id") -> Dat
     return cells(df, key).join(hidden, "key", "left_anti").select(key, "key", "value")
 
 
+def inject(df: DataFrame, rules: dict[str, tuple[str, str]], key: str = "row_id") -> DataFrame:
+    """A positive cell under a rule's header becomes the rule's (name, constant); other cells under it go."""
+    rows = cells(df, key)
+    name = mapped(F.col("key"), {k: n for k, (n, _) in rules.items()})
+    value = F.when(F.col("key").isin(*rules), mapped(F.col("key"), {k: v for k, (_, v) in rules.items()})).otherwise(F.col("value"))
+    return rows.where(~F.col("key").isin(*rules) | is_positive(F.col("value"))).select(key, name.alias("key"), value.alias("value"))
+
+
 def visible_columns(df: DataFrame, configured: list[str], key: str = "row_id") -> DataFrame:
     """Attributes that some row has, without those that are positive in every row alike; configured ones first."""
     rows = cells(df, key)

@@ -65,3 +65,18 @@ def fill_brand(rows: DataFrame, by_id: DataFrame, key: str) -> DataFrame:
 def priority_names(listed: DataFrame, gaps: DataFrame, name: str) -> DataFrame:
     """names that are listed and have a gap."""
     return listed.select(name).intersect(gaps.select(name))
+
+
+def project(rows: DataFrame, aliases: dict[str, str], hidden: DataFrame, least_year: int, rules: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass, as sparse cells under canonical headers without hidden ones; and how many rows each reason dropped.
+
+    rows: row_id, year, attrs and what the rules read. Old or missing years are the first reason.
+    """
+    from tributary.operators.headers import rename_headers
+    from tributary.operators.quality import gate, sparse
+
+    reason = gate([("year", F.col("year") >= least_year), *rules])
+    marked = rows.withColumn("reason", reason)
+    dropped = marked.where("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    kept = marked.where("reason is null").withColumn("attrs", sparse(F.col("attrs")))
+    return rename_headers(kept, aliases).join(hidden.select(F.col("key").alias("name")), "name", "left_anti").select("row_id", "name", "value"), dropped

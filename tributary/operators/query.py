@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import json
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -134,6 +136,33 @@ def sort_columns(value: Column, level: SortLevel) -> list[Column]:
     return [*out, n.asc_nulls_last(), text.asc_nulls_last()]
 
 
+def default_spec(conditions: list[dict]) -> QuerySpec:
+    """The default state that a configuration describes: ranges with their default bounds, features that are on."""
+    ranges, features = [], []
+    for c in conditions:
+        if c["type"] == "range":
+            ranges.append(Range(c["field"], c.get("defaultMin", c.get("min")), c.get("defaultMax", c.get("max")), "first"))
+        elif c.get("defaultEnabled"):
+            features.append(Feature(tuple(c.get("fields", [c.get("field", "")])), tuple(c.get("keywords", ())), bool(c.get("requireKeyword"))))
+    return QuerySpec(ranges=tuple(ranges), features=tuple(features))
+
+
+def snapshot(spec: QuerySpec) -> tuple[str, str]:
+    """A query as JSON, and its signature; a changed signature starts again at the first page."""
+    text = json.dumps(asdict(spec), sort_keys=True, ensure_ascii=False)
+    return text, hashlib.sha256(text.encode()).hexdigest()
+
+
+def restore(text: str) -> QuerySpec:
+    """A query from its JSON."""
+    d = json.loads(text)
+    d["ranges"] = tuple(Range(**r) for r in d["ranges"])
+    d["features"] = tuple(Feature(tuple(f["fields"]), tuple(f["keywords"]), f["require_keyword"]) for f in d["features"])
+    d["columns"] = tuple(tuple(c) for c in d["columns"])
+    d["sort"] = tuple(SortLevel(x["field"], x["descending"], tuple(x["keywords"])) for x in d["sort"])
+    return QuerySpec(**d)
+
+
 def run(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> DataFrame:
     """Filters in the query's order, as one conjunction for the optimizer."""
     a = F.col(attrs)

@@ -245,3 +245,29 @@ def derive_brand(spark, sf_dir):
     name = F.concat("p_brand", F.lit(" "), "p_name")
     long = F.when(F.length("p_brand") > 7, F.regexp_replace(name, "^Brand#1(?=\\d)", "Brand#1 ")).otherwise(F.regexp_replace(name, "#", " "))
     return load(spark, sf_dir, "part").select("p_partkey", F.upper("p_brand").alias("prefix"), S.longest_prefix(long, ["Brand", "Brand#1"]).alias("derived"))
+
+
+CONDITIONS = [
+    {"id": "n", "type": "range", "field": "sizes", "defaultMin": 10, "defaultMax": 30},
+    {"id": "width", "type": "feature", "fields": ["width"], "defaultEnabled": True},
+    {"id": "model", "type": "feature", "fields": ["model"], "keywords": ["ring"], "requireKeyword": True, "defaultEnabled": False},
+]
+
+
+@query(f"WITH s AS ({SPREAD_SQL}) SELECT row_id FROM s WHERE n BETWEEN 10 AND 30 AND width NOT IN ('-', '无')")
+def default_view(spark, sf_dir):
+    df = to_attrs(spread(spark, sf_dir), ["sizes", "width", "model"], drop_missing=False)
+    return Q.run(df, Q.restore(Q.snapshot(Q.default_spec(CONDITIONS))[0])).select("row_id")
+
+
+@query("""SELECT p_partkey AS row_id, 'class' AS key, 'cheap' AS value FROM part WHERE p_type = 'ECONOMY' UNION ALL SELECT p_partkey, 'brand', p_brand FROM part""")
+def alias_injection(spark, sf_dir):
+    df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.when(F.col("p_type") == "ECONOMY", "有").otherwise("无").alias("eco"), F.col("p_brand").alias("brand"))
+    return H.inject(to_attrs(df, ["eco", "brand"], drop_missing=False), {"eco": ("class", "cheap")})
+
+
+@query("""SELECT '42' AS key, 'hide' AS action, CAST(NULL AS VARCHAR) AS target, CAST((SELECT count(*) FROM part) AS BIGINT) AS n
+UNION ALL SELECT 'type - ECONOMY', 'alias', 'type', CAST((SELECT count(*) FROM part) AS BIGINT)""")
+def apply_diagnosis(spark, sf_dir):
+    df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), *[F.col(c).alias(k) for k, c in DIAGNOSED.items()])
+    return H.apply_diagnosis(H.diagnose(to_attrs(df, list(DIAGNOSED)), 20, ["brand"]), ["type"])

@@ -336,3 +336,23 @@ def stripped_series(spark, sf_dir):
 @query("""SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS BIGINT) AS n, CAST(grouping(o_orderstatus) AS INT) AS all_status FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)""")
 def facet_cube(spark, sf_dir):
     return load(spark, sf_dir, "orders").cube("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.grouping("o_orderstatus").cast("int").alias("all_status"))
+
+
+@query("""WITH k AS (SELECT p_partkey AS row_id, p_size, p_brand, p_type FROM part WHERE 2015 + p_partkey % 10 >= 2018 AND p_size > 3)
+SELECT row_id, 'size(mm)' AS name, CAST(p_size AS VARCHAR) AS value FROM k UNION ALL SELECT row_id, 'brand', p_brand FROM k""")
+def publish_projection(spark, sf_dir):
+    from tributary.model import to_attrs
+
+    p = load(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("row_id"), (2015 + F.col("p_partkey") % 10).alias("year"), F.col("p_size").alias("n"), F.col("p_size").alias("size[mm]"),
+        F.col("p_brand").alias("品牌"), F.col("p_type").alias("secret"), F.lit("-").alias("gone"),
+    )
+    rows = to_attrs(p, ["size[mm]", "品牌", "secret", "gone"], drop_missing=False)
+    hidden = load(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit("secret").alias("key"))
+    return P.project(rows, {"品牌": "brand"}, hidden, 2018, [("small", F.col("n") > 3)])[0]
+
+
+@query("""SELECT o_custkey, bool_or(o_orderstatus <> 'P' AND o_orderkey % 3 = 0) AS valid FROM orders GROUP BY 1""")
+def cache_valid(spark, sf_dir):
+    entry = F.struct(F.when(F.col("o_orderstatus") == "P", "-").otherwise(F.col("o_orderstatus")).alias("name"), F.year("o_orderdate").alias("year"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey").cast("string")).otherwise("x").alias("id"))
+    return load(spark, sf_dir, "orders").groupBy("o_custkey").agg(X.valid_cache(F.collect_list(entry)).alias("valid"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -138,7 +138,7 @@ class ChunkEncoder:
     FIRST = "\x01"
     ODD = re.compile(f"[{FIRST}\x1c-\x1f{WHITE.replace(' ', '', 1)}]".replace("\t-\r", "\t\x0b-\r"))
 
-    def __init__(self, most: int = 450_000):
+    def __init__(self, most: int = 1_000_000):
         self.most = most
         self.reset()
 
@@ -149,20 +149,26 @@ class ChunkEncoder:
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
 
+    def _keep(self, n: int) -> None:
+        """Forget all but the first n chunks: what was seen first is what is seen most."""
+        kept = _Index()
+        kept.update(islice(self.index.items(), n))
+        self.index, self.used = kept, int(self.starts[n])
+
     def encode_new(self, chunks: list[str]) -> list[list[int]]:
         raise NotImplementedError
 
     def _keys(self, text: str) -> list[str]:
         if not text:
             return []
-        keys = (self.FIRST + text.replace("\n", " \n")).split(" ")
-        if len(keys) == len(text.split()) and text[0] != "\n" and not self.ODD.search(text):
-            return keys
+        plain = not any(x in text for x in ("  ", "\n\n", " \n", "\n ")) and text[0] not in " \n" and text[-1] not in " \n"
+        if plain and not self.ODD.search(text):
+            return (self.FIRST + text.replace("\n", " \n")).split(" ")
         return [self.FIRST + c for c in CHUNK.findall(text)]
 
     def _learn(self) -> None:
         new = self.index.new
-        first = len(self.index) - len(new)
+        self.learned = first = len(self.index) - len(new)
         f = self.FIRST
         found = self.encode_new([k[1:] if k[:1] == f else k if k[:1] == "\n" else " " + k for k in new])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -181,7 +187,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array and the number of each text's ids."""
         if len(self.index) > self.most:
-            self.reset()
+            self._keep(self.most // 2)
         found = [self._keys(x) for x in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         total = int(counts.sum())
@@ -198,15 +204,29 @@ class ChunkEncoder:
 class LibraryEncoder(ChunkEncoder):
     """Ids by the tokenizers library."""
 
+    MARKS = ".,!?;:"
+
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in self.MARKS}
 
     def encode_new(self, chunks: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        # The pattern always splits between a letter and a final mark: words are encoded once for all marks.
+        bases = [c[:-1] if c[-1] in self.MARKS and len(c) > 1 and c[-2].isalpha() else c for c in chunks]
+        found: dict[str, list[int]] = {}
+        for base in bases:
+            if self.FIRST in base:
+                continue
+            at = self.index.get(base[1:] if base[0] == " " else base if base[0] == "\n" else self.FIRST + base, -1)
+            if 0 <= at < self.learned:
+                found[base] = self.ids[self.starts[at] : self.starts[at] + self.lengths[at]].tolist()
+        new = [b for b in dict.fromkeys(bases) if b not in found]
+        found.update(zip(new, (x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+        return [found[b] if b == c else found[b] + self.marks[c[-1]] for b, c in zip(bases, chunks)]
 
 
 _encoders: dict[str, LibraryEncoder] = {}

@@ -16,6 +16,7 @@ back as null; repeated rows are records of their own; an empty table gives an em
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -142,6 +143,7 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
         .select(F.col("value").cast("string"))
         .write.option("lineSep", END)
         .option("maxRecordsPerFile", RECORDS)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -165,7 +167,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """One row per capture: id, url, record_type, refers_to, payload_bytes, payload_digest, payload (null for revisits)."""
     ship(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
 
     def name_of(value: str | None) -> str | None:
         return value[len("<urn:x-capture:") : -1] if value else None
@@ -175,7 +177,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for frame in frames:
             for content in frame["content"]:
                 rows, size = [], 0
-                for head, block in parse(content):
+                for head, block in parse(gzip.decompress(content)):
                     number = int(head.get("warc-segment-number", 0))
                     origin = name_of(head.get("warc-segment-origin-id")) if number > 1 else name_of(head["warc-record-id"])
                     rows.append(
@@ -194,11 +196,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         split,
         "origin string, segment int, total long, kind string, url string, refers_to string, digest string, length long, block binary",
     )
-    # Segments meet under their origin; records that are whole stay apart from each other by their own number.
-    whole = F.when(F.col("segment") == 0, F.monotonically_increasing_id()).otherwise(-1)
+    # Whole records need no other; segments meet under their origin.
+    kind = F.when(F.col("kind") != "continuation", F.col("kind"))
+    whole = found.where("segment = 0").select(
+        "origin", F.array(F.struct("segment", "block")).alias("parts"), "total", "url", "refers_to", "digest", "length", "kind"
+    )
     joined = (
-        found.withColumn("apart", whole)
-        .groupBy("origin", "apart")
+        found.where("segment > 0")
+        .groupBy("origin")
         .agg(
             F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"),
             F.max("total").alias("total"),
@@ -206,8 +211,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             F.max("refers_to").alias("refers_to"),
             F.max("digest").alias("digest"),
             F.max("length").alias("length"),
-            F.max(F.when(F.col("kind") != "continuation", F.col("kind"))).alias("kind"),
+            F.max(kind).alias("kind"),
         )
+        .unionByName(whole)
     )
 
     def restore(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

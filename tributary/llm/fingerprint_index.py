@@ -169,9 +169,10 @@ class FingerprintIndex:
                     if not len(s.first):
                         continue  # another row of a repeated doc_id
                     chosen = np.isin(s.digests(), np.asarray(digests, np.int64))
-                    counts = np.where(chosen, s.last - s.first + 1, 0)
                     at = np.flatnonzero(np.repeat(chosen, s.last - s.first + 1))
-                    if counts.sum():
+                    if len(at):
+                        found = s.window_hashes()[at]
+                        at = at[np.unique(found, return_index=True)[1]]  # a window that a document repeats counts once
                         out.append(pd.DataFrame({"window": s.window_hashes()[at], "check": s.digest(at, at), "doc_id": doc}))
                         size += len(at)
                     if size > 200_000:

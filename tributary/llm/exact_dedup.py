@@ -86,10 +86,11 @@ def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents of which ``kept`` holds, each once, with all their columns."""
+    sha = F.sha2(text_or_empty(text_column), 256)
     winners = (
-        groups_of_copies(docs, id_column, text_column).where("kept").select(F.col("doc_id").alias(id_column)).distinct()
+        groups_of_copies(docs, id_column, text_column)
+        .where("kept")
+        .select(F.col("doc_id").alias(id_column), F.col("text_sha256").alias("__sha"))
+        .distinct()
     )
-    columns = docs.columns
-    rest = [F.first(F.col(f"`{c}`")).alias(c) for c in columns if c != id_column]
-    once = docs.groupBy(id_column, F.sha2(text_or_empty(text_column), 256).alias("__sha")).agg(*rest)
-    return once.join(winners, id_column, "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    return docs.withColumn("__sha", sha).join(winners, [id_column, "__sha"], "left_semi").dropDuplicates([id_column, "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, islice
 
 import numpy as np
@@ -65,6 +65,29 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_held: dict[str, Callable[[], None]] = {}
+_holder: list[str] = [""]
+
+
+def take_over(name: str, clear: Callable[[], None]) -> None:
+    """Of what operators remember in a worker from task to task, only the last user's is held: others are cleared."""
+    if _holder[0] != name:
+        _holder[0] = name
+        _held[name] = clear
+        for other, forget in _held.items():
+            if other != name:
+                forget()
+
+
+_words = WordHashes()
+
+
+def word_hashes() -> WordHashes:
+    """This worker's word hashes."""
+    take_over("words", _words.clear)
+    return _words
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser over unsigned 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -237,6 +260,7 @@ def library_encoder(path: str) -> LibraryEncoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    take_over("ids", _encoders.clear)
     if path not in _encoders:
         _encoders[path] = LibraryEncoder(path)
     return _encoders[path]

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WordHashes, rolling, split_words, text_batches
+from tributary.llm.common import rolling, split_words, text_batches, word_hashes
 from tributary.session import materialise, scratch, ship
 
 WINDOW = 50
@@ -36,8 +36,6 @@ FANOUT = 3
 #: Stands for a null doc_id inside the index.
 LAST = (1 << 63) - 1
 
-_hashes = WordHashes()
-
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     """Least value of each window of ``width``, by doubling."""
@@ -56,7 +54,7 @@ class Segments:
         self.words = text.split() if isinstance(text, bytes) else split_words(text)
         self.prints = self.first = self.last = np.empty(0, np.int64)
         if len(self.words) >= window:
-            self.hashes = _hashes.of(self.words)
+            self.hashes = word_hashes().of(self.words)
             v = sliding_least(rolling(self.hashes, gram), window - gram + 1)
             cut = np.flatnonzero(v[1:] != v[:-1]) + 1
             self.first = np.concatenate([[0], cut])

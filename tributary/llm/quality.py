@@ -14,7 +14,9 @@ score is 0.5; further columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import split_words, text_batches
+from tributary.llm.common import mix, split_words, text_batches
 from tributary.session import ship
 
 BUCKETS = 1 << 17
@@ -37,33 +39,67 @@ FOLDS = 5
 THRESHOLD = 0.3
 
 
-def features(word: bytes) -> list[int]:
-    """Buckets of the word itself and of its character n-grams."""
-    marked = "<" + word.decode("utf-8", "replace") + ">"
-    grams = [f"={marked}"]
+class Features:
+    """Words by number, with one value for each: what ``learn`` makes of a word's buckets. Remembers about ``most`` words."""
+
+    def __init__(self, most: int = 600_000):
+        self.most = most
+        self.index: dict[bytes, int] = {}
+        self.new: list[bytes] = []
+
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of all texts, and how many each text has. New words are left in ``new``."""
+        found = [split_words(t) for t in texts]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        index, new = self.index, self.new
+
+        def number(word: bytes) -> int:
+            n = index.get(word)
+            if n is None:
+                index[word] = n = len(index)
+                new.append(word)
+            return n
+
+        return np.fromiter(map(number, chain.from_iterable(found)), np.int64, int(counts.sum())), counts
+
+    def forget(self) -> int:
+        """Forget all but the words seen first, which are the frequent ones; their number."""
+        keep = self.most // 2
+        self.index = dict(islice(self.index.items(), keep))
+        return min(keep, len(self.index))
+
+
+def buckets_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words and of their character n-grams (inside < and >), and the word that each belongs to."""
+    marked = [f"<{w.decode('utf-8', 'replace')}>" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    hashes = [np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))]
+    owners = [np.arange(len(words))]
     for n in NGRAMS:
-        grams += [marked[i : i + n] for i in range(len(marked) - n + 1)]
-    return [xxhash.xxh3_64_intdigest(g) & (BUCKETS - 1) for g in grams]
-
-
-class _Buckets(dict):
-    def __missing__(self, word: bytes) -> np.ndarray:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = out = np.array(features(word), np.int32)
-        return out
+        if len(codes) < n:
+            continue
+        h = np.full(len(codes) - n + 1, n, np.uint64)
+        for i in range(n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : len(codes) - n + 1 + i]
+        inside = word[: len(h)] == word[n - 1 :]
+        hashes.append(mix(h[inside]))
+        owners.append(word[: len(h)][inside])
+    return (np.concatenate(hashes) & np.uint64(BUCKETS - 1)).astype(np.int64), np.concatenate(owners)
 
 
 def _examples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """doc_id, label, buckets and their weights in the average (summing to 1)."""
-    known = _Buckets()
     for frame in text_batches(frames):
         rows = []
         for doc, label, text in zip(frame["doc_id"], frame["label"], frame["text"]):
-            words = split_words(text)
-            if words:
-                b, c = np.unique(np.concatenate([known[w] for w in words]), return_counts=True)
-                rows.append((doc, label, b.astype("<i4").tobytes(), (c / c.sum()).astype("<f4").tobytes()))
+            times = Counter(split_words(text))
+            if times:
+                found, owner = buckets_of(list(times))
+                weight = np.bincount(found, np.fromiter(times.values(), np.float64, len(times))[owner], BUCKETS)
+                b = np.flatnonzero(weight)
+                rows.append((doc, label, b.astype("<i4").tobytes(), (weight[b] / weight.sum()).astype("<f4").tobytes()))
             else:
                 rows.append((doc, label, b"", b""))
         yield pd.DataFrame(rows, columns=["doc_id", "label", "buckets", "weights"])
@@ -140,23 +176,6 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, seed: int
     return Model(vectors @ direction, float(bias[1] - bias[0]))
 
 
-class _Shares(dict):
-    """A word's summed share of the logit and its number of features, packed as a complex number."""
-
-    def __init__(self, shares: np.ndarray):
-        super().__init__()
-        self.shares = shares
-
-    def __missing__(self, word: bytes) -> complex:
-        b = features(word)
-        out = complex(float(self.shares[b].sum()), len(b))
-        if len(self) > 400_000:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) of every document."""
     ship(docs.sparkSession)
@@ -164,14 +183,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shares, bias = sent.value
-        known = _Shares(shares)
+        known = Features()
+        sums, sizes = np.empty(0), np.empty(0)  # each known word's summed share and number of features
         for frame in text_batches(frames):
-            sums = np.zeros(len(frame), np.complex128)
-            for i, text in enumerate(frame["text"]):
-                words = split_words(text)
-                sums[i] = np.fromiter(map(known.__getitem__, words), np.complex128, len(words)).sum()
-            logit = bias + sums.real / np.maximum(sums.imag, 1)
+            numbers, counts = known.numbers(list(frame["text"]))
+            if known.new:
+                found, owner = buckets_of(known.new)
+                sums = np.concatenate([sums, np.bincount(owner, shares[found], len(known.new))])
+                sizes = np.concatenate([sizes, np.bincount(owner, minlength=len(known.new))])
+                known.new.clear()
+            doc = np.repeat(np.arange(len(counts)), counts)
+            total = np.bincount(doc, sums[numbers], len(counts))
+            logit = bias + total / np.maximum(np.bincount(doc, sizes[numbers], len(counts)), 1)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": 1 / (1 + np.exp(-np.clip(logit, -500, 500)))})
+            if len(known.index) > known.most:
+                n = known.forget()
+                sums, sizes = sums[:n], sizes[:n]
 
     return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, score double")
 

@@ -22,7 +22,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from tributary.llm.common import ChunkEncoder, text_batches
+from tributary.llm.common import ChunkEncoder, take_over, text_batches
 from tributary.session import ship
 
 #: Bytes of a leaf.
@@ -130,6 +130,7 @@ _tokens: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 def _encoder(path: str, pattern: str) -> TreeEncoder:
     """One encoder for each worker, kept from task to task."""
+    take_over("tree", _encoders.clear)
     if (path, pattern) not in _encoders:
         _encoders[path, pattern] = TreeEncoder(read_ranks(path), pattern)
     return _encoders[path, pattern]

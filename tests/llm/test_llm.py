@@ -96,6 +96,43 @@ def test_repair_random_access():
     assert (shard.lengths == [len(repair.expansions(shard.left, shard.right, shard.waves, shard.sizes, 100)[0][s : s + n]) for s, n in zip(shard.starts[100:], shard.sizes[100:])]).all()
 
 
+def frequent_pairs(symbols, ends, least):
+    """Pairs of neighbours, inside documents, that occur so often without overlapping themselves."""
+    counts = collections.Counter()
+    for a, b in zip([0, *ends[:-1]], ends):
+        i, before = a, None
+        while i + 1 < b:
+            pair = (int(symbols[i]), int(symbols[i + 1]))
+            if pair[0] == pair[1] and before == (pair, i - 1):
+                before = None
+            else:
+                counts[pair] += 1
+                before = (pair, i)
+            i += 1
+    return {p for p, n in counts.items() if n >= least}
+
+
+@pytest.mark.parametrize("bits", [2, 19])
+def test_repair_goes_on_until_no_pair_is_frequent(bits, monkeypatch):
+    """Also where all pairs share a few slots."""
+    monkeypatch.setattr(repair, "SLOT_BITS", bits)
+    monkeypatch.setattr(repair, "SLOTS", 1 << bits)
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 5000, 600)
+    parts = [np.concatenate([rng.integers(0, 5000, 20), passage, np.full(int(n), 7)]) for n in rng.integers(1, 90, 40)]
+    counts = np.array([len(x) for x in parts])
+    ids = np.concatenate(parts)
+    symbols, ends, left, right, waves = repair.compress(ids, np.cumsum(counts), 5000)
+    assert not frequent_pairs(symbols, ends, repair.MIN_COUNT)
+    lengths = repair.expansion_lengths(left, right, waves, 5000)
+    assert lengths.max() >= 500 and len(symbols) < 40 * 40
+    shard = repair.Shard(repair.pack(list(range(40)), counts, ids, 5000))
+    assert all((shard.document(i) == parts[i]).all() for i in range(40))
+    for least in (2, 3):
+        out = repair.compress(ids, np.cumsum(counts), 5000, least)
+        assert not frequent_pairs(out[0], out[1], least)
+
+
 def test_encoder_is_the_library(tokenizer):
     parts = ["a", " ", "  ", "\n", "\n\n", "\t", "don't", "!", "é", "\xa0", "\u3000", "12", "日本", "\x01", "\x1c", ".", ",", "\r\n", "'s", "the", "<|endoftext|>"]
     encoder = K.LibraryEncoder(K.vocabulary("byte_bpe_50k.json"))

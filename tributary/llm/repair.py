@@ -30,61 +30,73 @@ from tributary.llm.common import gather, library_encoder, text_batches
 from tributary.session import ship
 
 #: Ids that a shard holds at least before the next one begins.
-SHARD_IDS = 1 << 18
+SHARD_IDS = 1 << 19
 #: A pair is replaced if it occurs so often; each round replaces at most so many different pairs.
 MIN_COUNT = 10
-ROUNDS = 3
 RULES_A_ROUND = 4096
-SLOT_BITS = 18
+SLOT_BITS = 19
 SLOTS = 1 << SLOT_BITS
 MAGIC = b"RPG1"
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, first: int, rounds: int = ROUNDS, min_count: int = MIN_COUNT):
-    """Replace frequent pairs by nonterminals first, first + 1, ...
+def frequent(a: np.ndarray, last: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that occur min_count times without overlapping themselves: positions, each position's pair as an
+    index, the pairs and their counts. Counts are exact; the hashed count only sets aside slots that can't hold such a pair."""
+    inside = ~last[:-1]
+    equal = np.flatnonzero((a[:-1] == a[1:]) & inside)
+    if len(equal):
+        # In a run of one symbol every other pair counts.
+        start = np.flatnonzero(np.diff(equal, prepend=-2) != 1)
+        nth = np.arange(len(equal)) - np.repeat(start, np.diff(np.append(start, len(equal))))
+        inside[equal[nth % 2 == 1]] = False
+    at = np.flatnonzero(inside)
+    pairs = (a[at].astype(np.uint64) << np.uint64(32)) | a[at + 1]
+    slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    often = (np.bincount(slot, minlength=SLOTS) >= min_count)[slot]
+    at, pairs = at[often], pairs[often]
+    names, which, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+    good = counts >= min_count
+    number = np.cumsum(good) - 1
+    stay = good[which]
+    return at[stay], number[which[stay]], names[good], counts[good]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first: int, min_count: int = MIN_COUNT):
+    """Replace frequent pairs by nonterminals first, first + 1, ... until none is left.
 
     ends: for each document the position after its last id. Returns symbols, each document's end among
     them, the rules' left and right symbols, and the number of rules of each round.
     """
+    min_count = max(2, min_count)
     a = ids.astype(np.uint32)
     last = np.zeros(len(a), bool)
     last[ends[ends > 0] - 1] = True
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     top = first
-    pair_at = np.empty(SLOTS, np.uint64)
-    for _ in range(rounds):
-        if len(a) < 2:
+    while len(a) > 1:
+        every, pair, names, counts = frequent(a, last, min_count)
+        if not len(names):
             break
-        pairs = (a[:-1].astype(np.uint64) << np.uint64(32)) | a[1:]
-        slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-        # A hashed count leaves few candidates; a slot speaks for one pair of those that share it.
-        often = np.bincount(slot, minlength=SLOTS) >= min_count
-        at = np.flatnonzero(often[slot] & ~last[:-1])
-        slot, pairs = slot[at], pairs[at]
-        pair_at[slot] = pairs
-        same = pair_at[slot] == pairs
-        at, slot = at[same], slot[same]
-        counts = np.bincount(slot, minlength=SLOTS)
-        chosen = np.flatnonzero(counts >= min_count)
-        if len(chosen) > RULES_A_ROUND:
-            chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:RULES_A_ROUND]])
-        wanted = np.zeros(SLOTS, bool)
-        wanted[chosen] = True
-        wanted = wanted[slot]
-        at, slot = at[wanted], slot[wanted]
-        # Of overlapping occurrences in a row, every other one from the first is replaced.
-        start = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        inside = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
-        at, slot = at[inside % 2 == 0], slot[inside % 2 == 0]
-        used = np.bincount(slot, minlength=SLOTS) >= max(2, min_count // 2)
-        at, slot = at[used[slot]], slot[used[slot]]
-        if not len(at):
-            break
-        rules = pair_at[used]
+        order = np.argsort(-counts, kind="stable")
+        # Pairs that overlap can leave each other too few places: then the most frequent one goes alone.
+        for most in (RULES_A_ROUND, 1):
+            wanted = np.zeros(len(names), bool)
+            wanted[order[:most]] = True
+            chosen = wanted[pair]
+            at, which = every[chosen], pair[chosen]
+            # Of overlapping occurrences in a row, every other one from the first is replaced.
+            start = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            inside = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
+            at, which = at[inside % 2 == 0], which[inside % 2 == 0]
+            used = np.bincount(which, minlength=len(names)) >= max(2, min_count // 2)
+            if used.any():
+                break
+        at, which = at[used[which]], which[used[which]]
+        rules = names[used]
         left.append(rules >> np.uint64(32))
         right.append(rules & np.uint64(0xFFFFFFFF))
-        a[at] = (np.cumsum(used) - 1 + top)[slot]
+        a[at] = (np.cumsum(used) - 1 + top)[which]
         last[at] = last[at + 1]
         stay = np.ones(len(a), bool)
         stay[at + 1] = False

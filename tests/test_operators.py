@@ -41,6 +41,30 @@ def test_mutual_best(spark):
         assert got == set().union(*[brute_pairs(g, degree_one) for g in graphs])
 
 
+def test_candidates_of_large_buckets_are_whole(spark):
+    """A bucket of 160 x 160 rows: every pair that scores, as a walk over all pairs finds them."""
+    rng = random.Random(8)
+    words = [f"w{chr(97 + i)}" for i in range(26)] + ["small", "large"]
+    level = resolve.Level("series", ("brand", "series"), 0.45, require_year=False)
+
+    def rows(start):
+        return [("b", "s", start + i, 2020 + rng.randint(0, 2), " ".join(rng.sample(words, rng.randint(0, 7))), rng.choice("xy"), rng.choice("pq")) for i in range(160)]
+
+    left, right = rows(0), rows(1000)
+    frame = lambda x: resolve.features_of(spark.createDataFrame(x, "brand string, series string, row_id long, year int, model string, energy string, level string"), {"tier": ["small", "large"]})
+    expected = {}
+    for x in left:
+        for y in right:
+            s, t = set(x[4].split()), set(y[4].split())
+            tier = [{"small", "large"} & z for z in (s, t)]
+            j = len(s & t) / len(s | t) if s | t else 0.0
+            value = 0.0 if j < 0.35 else 0.7 * j + 0.15 * (x[3] == y[3]) + 0.08 * (x[5] == y[5]) + 0.07 * (x[6] == y[6])
+            if value >= 0.45 and not (tier[0] and tier[1] and not tier[0] & tier[1]):
+                expected[x[2], y[2]] = round(value, 9)
+    got = [((r.a_id, r.b_id), round(r.score, 9)) for r in resolve.candidates(frame(left), frame(right), level, ["tier"]).collect()]
+    assert len(got) == len(expected) > 100 and dict(got) == expected
+
+
 def test_greedy_disjoint_is_the_sequential_walk(spark):
     rng = random.Random(7)
     rows = [(a, b, round(rng.random(), 1)) for a, b in itertools.combinations(range(14), 2) if rng.random() < 0.4]

@@ -20,8 +20,6 @@ from tributary.session import materialise
 #: Score weights, added in this order.
 WEIGHTS = {"jaccard": 0.70, "year": 0.15, "energy": 0.08, "level": 0.07}
 LEAST_JACCARD = 0.35
-#: Pairs above which a bucket is left alone (reported as such, never cut).
-MOST_PAIRS = 20_000
 
 
 @dataclass(frozen=True)
@@ -64,13 +62,32 @@ def score(year_a: Column, year_b: Column, tokens_a: Column, tokens_b: Column, sa
     return F.when(F.coalesce(wrong_year, F.lit(False)) | (j < LEAST_JACCARD), 0.0).otherwise(total)
 
 
+def sharing_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of a bucket that can reach LEAST_JACCARD, each once. Such pairs share a token among the rarest of both: a row's
+    first n - ceil(LEAST_JACCARD * n) + 1 of n tokens, rarest first; buckets of any size are so taken whole."""
+    words = lambda df: df.select(*keys, "row_id", F.explode("tokens").alias("token"))
+    uses = words(a).unionByName(words(b)).groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+
+    def led(df: DataFrame, p: str) -> DataFrame:
+        n = F.size("rarest")
+        lead = F.slice("rarest", F.lit(1), n - F.ceil(LEAST_JACCARD * n - 1e-9).cast("int") + 1)["token"]
+        leads = words(df).join(uses, "token").groupBy(*keys, "row_id").agg(F.array_sort(F.collect_set(F.struct("uses", "token"))).alias("rarest"))
+        leads = leads.select(*keys, F.col("row_id").alias(f"{p}_row_id"), lead.alias(f"{p}_lead"))
+        return _side(df, keys, p).join(leads, [*keys, f"{p}_row_id"]).withColumn("token", F.explode(f"{p}_lead"))
+
+    return led(a, "a").join(led(b, "b"), [*keys, "token"]).where(F.col("token") == F.array_intersect("a_lead", "b_lead")[0])
+
+
+def _side(df: DataFrame, keys: list[str], p: str) -> DataFrame:
+    return df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in ("row_id", "year", "tokens", "signature", "energy", "level")])
+
+
 def candidates(a: DataFrame, b: DataFrame, level: Level, dimensions: list[str], scorer: Callable | None = None) -> DataFrame:
-    """scored pairs of a bucket that don't conflict and reach the threshold."""
+    """scored pairs of a bucket that don't conflict and reach the threshold. Pairs without common tokens score 0; only for
+    another scorer, or a threshold that 0 reaches, are all pairs of a bucket formed."""
     keys = list(level.keys)
-    side = lambda df, p: df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in ("row_id", "year", "tokens", "signature", "energy", "level")])
-    sizes = a.groupBy(*keys).agg(F.count(F.lit(1)).alias("na")).join(b.groupBy(*keys).agg(F.count(F.lit(1)).alias("nb")), keys)
-    open_buckets = sizes.where(F.col("na") * F.col("nb") <= MOST_PAIRS).select(*keys)
-    pairs = side(a, "a").join(open_buckets, keys, "left_semi").join(side(b, "b"), keys)
+    every = scorer is not None or level.threshold <= 0
+    pairs = _side(a, keys, "a").join(_side(b, keys, "b"), keys) if every else sharing_pairs(a, b, keys)
     same = {"energy": F.col("a_energy") == F.col("b_energy"), "level": F.col("a_level") == F.col("b_level")}
     value = (scorer or score)(F.col("a_year"), F.col("b_year"), F.col("a_tokens"), F.col("b_tokens"), same, level.require_year)
     return (

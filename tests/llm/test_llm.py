@@ -528,6 +528,25 @@ def test_warc(spark):
     assert warc.read(spark, path).count() == 0
 
 
+def test_warc_null_and_repeated_ids(spark):
+    """Each row is a record of its own, above SEGMENT too; a revisit has the payload of what it refers to."""
+    a, b, c, d = ("<p>" + x * 50_000 for x in "abcd")
+    rows = [(None, "u1", a), (None, "u2", b), (None, "u3", "alone"), (None, "u4", c), (None, "u5", c), (9, "u6", a)]  # one null id has a keeper
+    rows += [(None, "u7", "shared"), (8, "u8", "shared"), (7, "u9", "other"), (None, "u10", "other")]  # two keepers of null ids
+    rows += [(1, "v1", b + "1"), (1, "v2", b + "2"), (2, "v3", d), (2, "v4", d), (1, "v5", d)]  # repeated ids, unequal and equal
+    rows += [((1 << 60) + 1, "w1", "long id"), (None, "w2", "long id")]
+    path = scratch(spark, "warc")
+    warc.write(spark.createDataFrame(rows, "id long, url string, payload string").repartition(3), path)
+    got = {r.url: r for r in warc.read(spark, path).collect()}
+    assert len(got) == len(rows) == warc.read(spark, path).count()
+    refers = {"u1": 9, "u7": 8, "u10": 7, "v5": 2, "w2": (1 << 60) + 1}
+    for i, url, payload in rows:
+        r = got[url]
+        assert (r.id, r.refers_to, r.payload_bytes) == (i, refers.get(url), len(payload)), url
+        assert r.payload_digest == warc.payload_digest(payload.encode())
+        assert r.payload is None if url in refers else bytes(r.payload) == payload.encode()
+
+
 def test_warc_reassembly_checks(spark):
     parts = warc.records("7", "u", b"y" * 100_000, None, segment=30_000)
     assert len(parts) == 4 and b"WARC-Segment-Total-Length" in parts[-1]

@@ -9,6 +9,9 @@ its committer places them in the shared folder; a file holds at most ``RECORDS``
 Reading parses each file by its records' lengths, groups continuation records by origin id, orders them by segment number,
 verifies the total length, decodes the chunked framing and compares the payload with the recorded digest.
 
+A record is named by its id and payload digest; where several rows have both in common, also by the number of the writing task and
+of the row in it. WARC-Refers-To gives the id and digest of the response (where that row is repeated, its records' names begin so).
+
 Cases: null payloads count as empty; an empty payload has a zero-length chunk only; a null id is written as an empty one and read
 back as null; repeated rows are records of their own; an empty table gives an empty result; further columns are ignored.
 """
@@ -22,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,35 +114,45 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     """
     ship(captures.sparkSession)
     rows = captures.select("id", "url", F.coalesce("payload", F.lit("")).alias("payload"))
-    # The digest alone is grouped: the payload only moves once, with its row.
-    sums = rows.select("id", F.sha1(F.encode("payload", "utf-8")).alias("sum"), F.octet_length("payload").alias("bytes"))
+    rows = rows.withColumn("sum", F.sha1(F.encode("payload", "utf-8"))).withColumn("bytes", F.octet_length("payload"))
+    # Digests alone are grouped: the payload only moves once, with its row.
+    same = rows.groupBy("id", "sum", "bytes").agg(F.count(F.lit(1)).alias("n"))
     stands = (
-        sums.where(F.col("bytes") >= min_revisit_bytes)
-        .groupBy("sum")
-        .agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and keeper is not null")
-    )
-    revisits = (
-        sums.where(F.col("bytes") >= min_revisit_bytes)
-        .join(stands, "sum")
-        .where("id is null or id <> keeper")
-        .select(F.col("id").alias("copy"), "keeper")
-        .distinct()
+        same.where(F.col("bytes") >= min_revisit_bytes)
+        .groupBy("sum", "bytes")
+        .agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("ids"))
+        .where("ids > 1 and keeper is not null")
     )
+    other = F.col("id").isNull() | (F.col("id") != F.col("keeper"))
+    marks = (
+        same.join(stands, ["sum", "bytes"], "left")
+        .select(
+            F.col("id").alias("m_id"), F.col("sum").alias("m_sum"), F.col("bytes").alias("m_bytes"),
+            F.when(other, F.col("keeper")).alias("keeper"), (F.col("n") > 1).alias("repeated"),
+        )
+        .where("keeper is not null or repeated")
+    )
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, number = TaskContext.get().partitionId(), 0
         for frame in frames:
             out = []
-            for name, url, payload, keeper in zip(frame["id"], frame["url"], frame["payload"], frame["keeper"]):
-                name = "" if pd.isna(name) else str(int(name))
+            columns = (frame[c] for c in ("id", "url", "payload", "keeper", "repeated"))
+            for name, url, payload, keeper, repeated in zip(*columns):
+                data = payload.encode("utf-8", "surrogatepass")
+                digest = payload_digest(data)
+                name = f"{'' if pd.isna(name) else int(name)}.{digest}"
+                if repeated is not None and not pd.isna(repeated) and repeated:
+                    name, number = f"{name}.{part}-{number}", number + 1
                 # the writer puts END after each value, which ends the last record
-                parts = records(name, url, payload.encode("utf-8", "surrogatepass"), None if pd.isna(keeper) else str(int(keeper)))
+                parts = records(name, url, data, None if pd.isna(keeper) else f"{int(keeper)}.{digest}")
                 out.append(END.encode().join(parts))
             yield pd.DataFrame({"value": out})
 
+    equal = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("sum") == F.col("m_sum")) & (F.col("bytes") == F.col("m_bytes"))
     (
-        rows.join(revisits, F.col("id").eqNullSafe(F.col("copy")), "left")
-        .select("id", "url", "payload", "keeper")
+        rows.join(marks, equal, "left")
+        .select(F.col("id").cast("string").alias("id"), "url", "payload", F.col("keeper").cast("string").alias("keeper"), "repeated")
         .mapInPandas(work, "value binary")
         .select(F.col("value").cast("string"))
         .write.option("lineSep", END)
@@ -172,6 +186,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def name_of(value: str | None) -> str | None:
         return value[len("<urn:x-capture:") : -1] if value else None
 
+    def id_of(name: str | None) -> int | None:
+        return int(name.split(".")[0]) if name and name.split(".")[0] else None
+
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["origin", "segment", "total", "kind", "url", "refers_to", "digest", "length", "block"]
         for frame in frames:
@@ -224,10 +241,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 block = b"".join(bytes(p["block"]) for p in r.parts)
                 if numbers != [0] and (numbers != list(range(1, len(numbers) + 1)) or len(block) != r.total):
                     raise ValueError(f"capture {r.origin}: segments {numbers} hold {len(block)} of {r.total} bytes")
-                name = int(r.origin) if r.origin else None
+                name = id_of(r.origin)
                 digest = (r.digest or "").removeprefix("sha1:")
                 if r.kind == "revisit":
-                    rows.append((name, r.url, r.kind, int(r.refers_to), r.length, digest, None))
+                    rows.append((name, r.url, r.kind, id_of(r.refers_to), r.length, digest, None))
                     continue
                 head, _, body = block.partition(b"\r\n\r\n")
                 payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
@@ -235,7 +252,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     raise ValueError(f"capture {r.origin}: the payload has another digest")
                 rows.append((name, r.url, r.kind, None, len(payload), digest, payload))
             out = pd.DataFrame(rows, columns=["id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
-            yield out.assign(id=out["id"].astype("Int64"), refers_to=out["refers_to"].astype("Int64"))
+            # from the rows, not from columns of floats: ids of more than 53 bits stay exact
+            yield out.assign(id=pd.array([r[0] for r in rows], "Int64"), refers_to=pd.array([r[3] for r in rows], "Int64"))
 
     return joined.mapInPandas(
         restore,

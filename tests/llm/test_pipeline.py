@@ -81,3 +81,31 @@ def test_empty_tables(spark, small, pipeline):
     empty = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for name, stage in pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0, name
+
+
+def test_null_and_repeated_ids(spark, small, pipeline):
+    """Rows without an id, or with an id that another text has too, are decided each by itself."""
+    folder, texts = small
+    words = ["stone", "river", "light", "slowly", "walks", "green", "under", "seven", "houses", "quiet"] + [f"x{i}" for i in range(200)]
+    rng = np.random.default_rng(4)
+    prose = lambda n: " ".join(rng.choice(words, n))
+    alone, twice, junk, clean, shared = prose(90), prose(90), " ".join(rng.choice(["BUY!!", "NOW!!", "CLICK%%"], 50)), prose(90), prose(70)
+    near = lambda t: " ".join("changed" if i == 40 else w for i, w in enumerate(t.split()))
+    rows = [(None, alone), (None, twice), (None, twice), (None, junk), (150, junk), (150, clean), (None, near(clean)), (None, near(texts[3]))]
+    rows += [(160, prose(20) + " " + shared + " " + prose(20)), (170, prose(20) + " " + shared + " " + prose(20)), (170, prose(90))]
+    rows += [(180, near(texts[4])), (180, prose(90))]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(*pipeline.COLUMNS).where("doc_id < 60")
+    more = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    stages = dict(pipeline.STAGES)
+    run = lambda name, df: collections.Counter((r.doc_id, r.text) for r in stages[name](spark, df, folder).collect())
+    docs = docs.unionByName(more)
+    base = collections.Counter({(i, texts[i]): 1 for i in range(60)})
+    planted = collections.Counter(rows)
+    assert run("quality classifier", docs.unionByName(spark.read.parquet(f"{folder}/documents.parquet").select(*docs.columns).where("doc_id between 100 and 139"))) == base + planted - collections.Counter([(None, junk), (150, junk)])
+    assert run("exact dedup", docs) == base + planted - collections.Counter([(None, twice), (None, junk)])
+    gone = [(None, twice), (None, junk), (None, near(clean)), (None, near(texts[3])), (180, near(texts[4]))]
+    assert run("n-gram Jaccard join", docs) == base + planted - collections.Counter(gone)
+    few = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in [rows[0], *rows[8:11]]], docs.schema)
+    cut = run("substring dedup", few)
+    whole = collections.Counter([rows[0], rows[8], rows[10]])
+    assert cut - whole == collections.Counter([(170, " ".join(rows[9][1].split()[:20] + rows[9][1].split()[-20:]))]) and not whole - cut

@@ -32,6 +32,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
+    """Digest of the text, and the id: names a row, null or repeated ids included; only rows equal in both share it."""
+    return F.concat_ws(":", F.sha2(text_or_empty(text_column), 256), F.col(id_column).cast("long").cast("string"))
+
+
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """Just these columns, so that further ones can't clash."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -6,8 +6,8 @@ combine. Only digests that hold a measurable share of all rows are salted; there
 ``HOT_MOST`` of them whatever the input's size, so that they may be broadcast.
 
 Cases: null text counts as empty; empty texts equal each other; a null doc_id loses to any other; where
-every doc_id of a group is null, keep_id is null and no row is kept; rows that repeat the winning doc_id
-are all marked kept (``keep`` returns one of them); an empty table gives an empty result; further columns
+every doc_id of a group is null, keep_id is null and no row is marked kept (``keep`` returns one if asked); rows
+that repeat the winning doc_id are all marked kept (``keep`` returns one of them); an empty table gives an empty result; further columns
 are ignored.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import text_or_empty
+from tributary.llm.common import row_key, text_or_empty
 
 #: At most so many digests are salted: those of at least this fraction of all rows.
 HOT_MOST = 512
@@ -84,13 +84,13 @@ def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
 
 
-def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents of which ``kept`` holds, each once, with all their columns."""
-    sha = F.sha2(text_or_empty(text_column), 256)
+def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", without_id: bool = False) -> DataFrame:
+    """The documents of which ``kept`` holds, (without_id: and one of each text that has no id,) each once, with all their columns."""
     winners = (
         groups_of_copies(docs, id_column, text_column)
-        .where("kept")
-        .select(F.col("doc_id").alias(id_column), F.col("text_sha256").alias("__sha"))
+        .where(F.col("kept") | (F.lit(without_id) & F.col("keep_id").isNull()))
+        .select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias("__key"))
         .distinct()
     )
-    return docs.withColumn("__sha", sha).join(winners, [id_column, "__sha"], "left_semi").dropDuplicates([id_column, "__sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumn("__key", row_key(id_column, text_column))
+    return keyed.join(winners, "__key", "left_semi").dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -176,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, seed: int
     return Model(vectors @ direction, float(bias[1] - bias[0]))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score (0 to 1) of every document."""
+def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry and score (0 to 1) of every document."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.shares, model.bias))  # BUCKETS floats, whatever the corpus
 
@@ -195,18 +195,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             doc = np.repeat(np.arange(len(counts)), counts)
             total = np.bincount(doc, sums[numbers], len(counts))
             logit = bias + total / np.maximum(np.bincount(doc, sizes[numbers], len(counts)), 1)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "score": 1 / (1 + np.exp(-np.clip(logit, -500, 500)))})
+            yield pd.DataFrame({c: frame[c] for c in ("doc_id", *carry)} | {"score": 1 / (1 + np.exp(-np.clip(logit, -500, 500)))})
             if len(known.index) > known.most:
                 n = known.forget()
                 sums, sizes = sums[:n], sizes[:n]
 
-    return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, score double")
+    carried = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    return docs.select("doc_id", "text", *carry).mapInPandas(work, f"doc_id long, {carried}score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_LABELLED) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
-    return score(docs, fit(docs, labels, most)).select(
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry, held_out, score, predicted of every document."""
+    return score(docs, fit(docs, labels, most), carry).select(
         "doc_id",
+        *carry,
         in_fold(F.col("doc_id")).alias("held_out"),
         "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),

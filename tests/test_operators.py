@@ -65,6 +65,13 @@ def test_candidates_of_large_buckets_are_whole(spark):
     assert len(got) == len(expected) > 100 and dict(got) == expected
 
 
+def test_greedy_disjoint_goes_on_until_no_pair_is_left(spark):
+    """A path of falling scores takes one pair a round: 52 rounds."""
+    rows = [(i, i + 1, float(-i)) for i in range(104)]
+    pairs = spark.createDataFrame(rows, "l long, r long, score double").coalesce(1)
+    assert sorted(r.l for r in resolve.greedy_disjoint(pairs).collect()) == list(range(0, 104, 2))
+
+
 def test_greedy_disjoint_is_the_sequential_walk(spark):
     rng = random.Random(7)
     rows = [(a, b, round(rng.random(), 1)) for a, b in itertools.combinations(range(14), 2) if rng.random() < 0.4]

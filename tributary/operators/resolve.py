@@ -215,12 +215,12 @@ def best_with_margin(pairs: DataFrame, least: float, margin: float) -> DataFrame
     )
 
 
-def greedy_disjoint(pairs: DataFrame, rounds: int = 50) -> DataFrame:
+def greedy_disjoint(pairs: DataFrame) -> DataFrame:
     """Pairs in order of score that share no node with one before. Each round takes the pairs that come first for
     both of their nodes, which is what the sequential walk takes; rounds go on until none is left."""
     order = [F.desc("score"), "l", "r"]
     left, taken = pairs, None
-    for _ in range(rounds):
+    while True:
         ends = left.select("l", "r", "score", F.explode(F.array("l", "r")).alias("node"))
         first = ends.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy(*order))).where("n = 1")
         now = materialise(first.groupBy("l", "r", "score").agg(F.count(F.lit(1)).alias("c")).where("c = 2").drop("c"), "greedy")

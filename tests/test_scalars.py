@@ -27,16 +27,21 @@ def test_match_text(spark, text, want):
     assert value(spark, S.match_text(F.col("v")), v=text) == want
 
 
-@pytest.mark.parametrize("text,want", [("标配", "支持"), ("YES", "支持"), ("—", "-"), (None, "-"), ("a b", "ab")])
+@pytest.mark.parametrize("text,want", [("标配", "支持"), ("标 配", "支持"), ("YES", "YES"), ("—", "-"), ("不支持", "-"), ("选配", "选装"), ("否", "否"), (None, "-"), (" a b ", "a b")])
 def test_canonical(spark, text, want):
     assert value(spark, S.canonical_value(F.col("v")), v=text) == want
 
 
-@pytest.mark.parametrize("text,want", [("12.50km", "num:12.5"), ("0.80", "num:0.8"), ("100", "num:100"), ("4500*1800*1500mm", "dims:4500x1800x1500"), ("abc", "abc")])
+@pytest.mark.parametrize("text,want", [("12.50km", "num:12.50"), ("0.80", "num:0.80"), ("10 0", "num:100"), ("4500*1800×1500", "dims:4500x1800x1500"), ("4500*1800*1500mm", "4500*1800*1500mm"), ("abc", "abc"), ("x", "x"), (None, ""), ("7座", "num:7")])
 def test_compare(spark, text, want):
     assert value(spark, S.canonical_compare(F.col("v")), v=text) == want
 
 
+@pytest.mark.parametrize("text,field,want", [("2024.3.1", "上市时间", "date:2024-03-01"), ("2024-3", "上市日期", "date:2024-03"), ("2024.3", "长度", "num:2024.3"), ("8挡手自一体变速箱", "变速箱类型", "shift:8挡手自一体"), ("手动换挡", "换挡形式", "shift:手动"), ("有", "上市时间", "支持")])
+def test_compare_by_field(spark, text, field, want):
+    assert value(spark, S.canonical_compare(F.col("v"), field), v=text) == want
+
+
 @pytest.mark.parametrize("a,b,want", [("2020-05", "2020.05.07", True), ("2020-05-01", "2020-05-07", False), ("2020-05", "2020-06", False), ("x", "2020-05", False)])
 def test_dates_fold(spark, a, b, want):
     assert value(spark, S.dates_fold(F.col("a"), F.col("b")), a=a, b=b) is want
@@ -91,11 +96,32 @@ def test_tolerance(spark):
     assert value(spark, x, a="", b="12") is False
 
 
-@pytest.mark.parametrize("text,want", [("续航[km]", "续航(km)"), ("续航_km_", "续航(km)"), ("续航（km）", "续航(km)"), ("x_v4_value", "x"), ("  title ", "model")])
+@pytest.mark.parametrize("text,want", [("续航[km]", "续航(km)"), ("续航_km_", "续航(km)"), ("续航（km）", "续航(km)"), ("x_v4_value", "x_v4_value"), ("y_v4_a b", "Y"), ("油耗_L_100km_", "油耗(L/100km)"), ("  title ", "model")])
 def test_headers(spark, text, want):
-    assert value(spark, H.header(F.col("v"), {"title": "model"}), v=text) == want
+    assert value(spark, H.header(F.col("v"), {"title": "model", "y_v4": "Y"}), v=text) == want
 
 
 def test_tokens_and_dictionary(spark):
     assert value(spark, E.tokens(F.col("v"), ("the",)), v="The Pro 2.0T 豪华") == ["pro", "2.0", "t", "豪华"]
     assert value(spark, E.dictionary_tokens(F.col("v"), ("long range", "pro")), v="Long range x pro") == ["long range", "pro", "x"]
+
+
+@pytest.mark.parametrize("name,want", [
+    ("2024款 Pro+ 五座四驱版", {"tier": ["pro+"], "seat": ["5"], "lidar": [], "drive": ["awd"]}), ("闪充 旗舰型 128线激光雷达", {"tier": ["flash_flagship"], "seat": [], "lidar": ["128"], "drive": []}),
+    ("Promax 后驱", {"tier": [], "seat": [], "lidar": [], "drive": ["rwd"]}), ("MAX＋ 6 座", {"tier": ["max+"], "seat": ["6"], "lidar": [], "drive": []}),
+])
+def test_variant_signature(spark, name, want):
+    assert value(spark, E.variant_signature(F.col("v")), v=name).asDict() == want
+
+
+def test_evidence_and_tokens(spark):
+    got = value(spark, E.positive_evidence(F.col("v")), v="X 75.0kWh 600km 超长续航版")
+    assert got.asDict() == {"battery": ["75"], "range": ["600"], "range_class": ["extra_long_range"]}
+    got = value(spark, E.model_tokens(F.col("s"), F.col("v"), F.col("e")), s="腾势N9DM", v="2024款 Max 七座 尊享版 1.5T 自动", e="插混")
+    assert sorted(got) == sorted(["tier:max", "seat:7", "腾势n", "9", "尊享版", "1.5", "t", "插混"])
+    assert sorted(value(spark, E.term_tokens(F.col("s"), F.col("v")), s="Song", v="Song 24款 超长续航Pro尊享版 600km")) == sorted(["超长续航", "pro", "尊享"])
+
+
+@pytest.mark.parametrize("field,name,want", [("易车:插电混动|纯电", "", ["插混", "纯电"]), ("EV", "x", ["纯电"]), ("氢", "柴油版", ["柴油", "氢"]), ("", "", [])])
+def test_energies(spark, field, name, want):
+    assert value(spark, E.energies(F.col("f"), F.col("n")), f=field, n=name) == sorted(want)

@@ -5,28 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.functions import features as E
+from tributary.functions import scalars as S
 from tributary.session import materialise
 
 
-def components(edges: DataFrame, nodes: DataFrame, rounds: int = 64) -> DataFrame:
-    """Node and component (its smallest node), by spreading least labels along edges until nothing changes.
+def connected(links: DataFrame) -> DataFrame:
+    """Links a, b (of any one ordered type, either way round) to id, component (the smallest id reachable) of every id in them.
 
-    edges: l, r; nodes: node. A label also takes over its label's label, so that rounds grow with the logarithm of a path.
+    Alternating large-star and small-star steps until nothing changes; each step is written to the shared folder.
     """
-    both = materialise(edges.select(F.col("l").alias("x"), F.col("r").alias("y")).unionByName(edges.select(F.col("r").alias("x"), F.col("l").alias("y"))).distinct(), "edges")
-    label = nodes.select("node", F.col("node").alias("component"))
-    before = None
-    for _ in range(rounds):
-        near = both.join(label, both["y"] == label["node"]).groupBy(F.col("x").alias("node")).agg(F.min("component").alias("near"))
-        step = label.join(near, "node", "left").select("node", F.least("component", F.coalesce("near", "component")).alias("component"))
-        step = materialise(step, "labels")
-        jump = step.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        label = materialise(step.join(jump, "component", "left").select("node", F.coalesce("further", "component").alias("component")), "labels")
-        now = label.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
-        if now == before:
+    edges = materialise(
+        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
+    )
+    state = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = materialise(large, "large-star")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        near = large.join(least, "a")
+        small = near.select("a", F.col("m").alias("b")).unionByName(
+            near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        )
+        edges = materialise(small.distinct(), "small-star")
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == state:
             break
-        before = now
-    return label
+        state = now
+    found = edges.groupBy("a").agg(F.min("b").alias("component"))
+    roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
+    return found.select(F.col("a").alias("id"), "component").unionByName(roots.join(found, roots["id"] == found["a"], "left_anti"))
+
+
+def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Node and component (its smallest node) of every node. edges: l, r; nodes: node, numbers or text."""
+    labels = connected(edges.select(F.col("l").alias("a"), F.col("r").alias("b")))
+    return nodes.join(labels, nodes["node"] == labels["id"], "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def key_links(nodes: DataFrame, keys: list[Column]) -> DataFrame:
+    """Links l, r that join the nodes of each key (row_id of all of them with its least one): one link a node and key, however many share it."""
+    exploded = nodes.select(
+        "row_id", F.explode(F.array_compact(F.array(*[F.when(k.isNotNull(), F.concat_ws("=", F.lit(str(i)), k)) for i, k in enumerate(keys)]))).alias("key")
+    )
+    least = exploded.groupBy("key").agg(F.min("row_id").alias("r"))
+    return exploded.join(least, "key").where("row_id <> r").select(F.col("row_id").alias("l"), "r")
 
 
 def component_id(members: Column, length: int = 24) -> Column:
@@ -35,43 +60,59 @@ def component_id(members: Column, length: int = 24) -> Column:
 
 
 def accepted(labels: DataFrame, nodes: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """Components of several nodes, every node of one source and no source twice, without a conflicting pair.
+    """Every component of several nodes with the first reason against it, null if it is accepted, and then its id.
 
-    nodes: node, source, n_sources, n_rows. conflicts: l, r, reason (pairs of one component).
+    nodes: node, sources (array), n_rows, ids (array), bucket; conflicts: l, r (pairs of one component with a hard conflict). A component needs nodes
+    of one source each, no source twice, one row a node, no conflict, and no id that a node of several sources in its bucket has.
     """
     held = labels.join(nodes, "node")
-    bad = conflicts.join(labels, conflicts["l"] == labels["node"]).select("component").distinct()
-    good = (
-        held.groupBy("component")
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.count_distinct("source").alias("sources"),
-            F.max("n_sources").alias("most_sources"), F.max("n_rows").alias("most_rows"),
-            F.collect_list("node").alias("members"),
-        )
-        .where("n > 1 and sources = n and most_sources = 1 and most_rows = 1")
-        .join(bad, "component", "left_anti")
+    alone = held.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
+    held = held.join(alone, "component", "left_semi")
+    bad = conflicts.join(labels, conflicts["l"] == labels["node"]).select("component", F.lit(True).alias("conflict")).distinct()
+    taken = nodes.where("size(sources) > 1").select("bucket", F.explode("ids").alias("id")).distinct()
+    known = held.select("component", "bucket", F.explode("ids").alias("id")).join(taken, ["bucket", "id"]).select("component", F.lit(True).alias("known")).distinct()
+    grouped = held.groupBy("component").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("sources")).alias("most_sources"), F.count_distinct(F.col("sources")[0]).alias("distinct_sources"),
+        F.max("n_rows").alias("most_rows"), F.collect_list("node").alias("members"),
+    )
+    reason = first_reason(
+        [
+            ("existing_multi", F.col("most_sources") != 1), ("duplicate_source", F.col("distinct_sources") < F.col("n")),
+            ("same_source_fold", F.col("most_rows") != 1), ("hard_conflict", F.col("conflict")), ("existing_multi_id", F.col("known")),
+        ]
     )
-    return good.select("component", F.col("n").cast("long").alias("n"), component_id(F.col("members")).alias("component_id"))
+    told = grouped.join(bad, "component", "left").join(known, "component", "left").withColumn("reason", reason)
+    return told.select("component", F.col("n").cast("long").alias("n"), "reason", F.when(F.col("reason").isNull(), component_id(F.col("members"))).alias("component_id"))
 
 
 def approved(members: DataFrame, nodes: DataFrame, key: list[str]) -> DataFrame:
-    """Allow-listed groups of which every member matches exactly one node, and no node twice. members: group_id and key columns."""
-    hits = members.join(nodes.select(*key, "node"), key, "left")
-    per = hits.groupBy("group_id", *key).agg(F.count("node").alias("found"), F.min("node").alias("node"))
-    shared = per.groupBy("node").agg(F.count(F.lit(1)).alias("claims"))
-    return (
-        per.join(shared, "node", "left")
-        .groupBy("group_id")
-        .agg(F.bool_and((F.col("found") == 1) & (F.coalesce("claims", F.lit(0)) == 1)).alias("ok"), F.array_sort(F.collect_list("node")).alias("nodes"))
-        .where("ok")
-        .select("group_id", "nodes")
-    )
+    """Allow-listed groups with the first reason against them, null if accepted.
+
+    members: group_id, claimed_id and the key columns; nodes: node, sources (sorted array) and the key columns. A group needs two members that match one
+    node each, nodes that no other group claims, sources that are disjoint or of which one side's are a part, and its claimed id must be its members'.
+    """
+    hits = members.join(nodes.select(*key, "node", "sources"), key, "left")
+    per = hits.groupBy("group_id", "claimed_id", *key).agg(F.count("node").alias("found"), F.min("node").alias("node"), F.first("sources").alias("sources"))
+    claims = per.groupBy("node").agg(F.count_distinct("group_id").alias("claims"))
+    grouped = per.join(claims, "node", "left").groupBy("group_id", "claimed_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("found") - 1)).alias("wrong"), F.count_distinct("node").alias("nodes"), F.max("claims").alias("claims"),
+        F.array_sort(F.collect_list("node")).alias("members"), F.min(F.struct("node", "sources"))["sources"].alias("s"), F.max(F.struct("node", "sources"))["sources"].alias("t"),
+    )
+    common, every = F.size(F.array_intersect("s", "t")), F.size(F.array_union("s", "t"))
+    part = (F.size("s") != F.size("t")) & (common == F.least(F.size("s"), F.size("t")))
+    reason = first_reason(
+        [
+            ("not_unique", F.col("wrong") > 0), ("stale", (F.col("n") != 2) | (F.col("nodes") != 2)), ("overlap", F.col("claims") > 1),
+            ("sources", (every < 2) | ((common > 0) & ~part)), ("wrong_id", component_id(F.col("members")) != F.col("claimed_id")),
+        ]
+    )
+    return grouped.select("group_id", reason.alias("reason"), F.when(reason.isNull(), F.col("members")).alias("nodes"))
 
 
-def absorb(edges: DataFrame) -> DataFrame:
+def absorb(edges: DataFrame, conflicts: DataFrame | None = None) -> DataFrame:
     """Each single node joins one multi node: by a stable id that only one multi node shares, else by its unique best score.
 
-    edges: single, multi, score, same_id.
+    edges: single, multi, score, same_id. conflicts: l, r, pairs of singles that can't share a star: then the whole star is given up.
     """
     w = Window.partitionBy("single")
     marked = (
@@ -81,7 +122,12 @@ def absorb(edges: DataFrame) -> DataFrame:
     )
     by_id = (F.col("ids") == 1) & F.col("same_id")
     by_score = (F.col("ids") == 0) & (F.col("score") == F.col("best")) & (F.col("ties") == 1)
-    return marked.where(by_id | by_score).select("single", "multi", "score", F.when(by_id, "stable_id").otherwise("score").alias("because"))
+    stars = marked.where(by_id | by_score).select("single", "multi", "score", F.when(by_id, "stable_id").otherwise("score").alias("because"))
+    if conflicts is None:
+        return stars
+    l, r = (stars.select(F.col("single").alias(s), F.col("multi").alias(f"{s}_multi")) for s in "lr")
+    broken = conflicts.join(l, "l").join(r, "r").where("l_multi = r_multi").select(F.col("l_multi").alias("multi")).distinct()
+    return stars.join(broken, "multi", "left_anti").select(*stars.columns)
 
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -89,6 +135,48 @@ def first_reason(rules: list[tuple[str, Column]]) -> Column:
     return F.coalesce(*[F.when(test, F.lit(name)) for name, test in rules])
 
 
+#: Further signatures that conflict when they are disjoint, and what the conflict is called.
+SIGNATURES = (
+    ("extra_tier", "tier_mismatch"), ("generic_drive", "drive_mismatch"), ("lidar_lines", "lidar_mismatch"), ("lidar_presence", "lidar_mismatch"),
+    ("energy", "energy_mismatch"), ("powertrain", "powertrain_mismatch"), ("motors", "motor_count_mismatch"), ("engines", "engine_count_mismatch"),
+    ("badge", "porsche_drive_badge_mismatch"), ("grade", "grade_mismatch"), ("structure", "body_mismatch"), ("shape", "body_mismatch"), ("level", "level_mismatch"),
+)
+
+
+def conflict_features(df: DataFrame) -> DataFrame:
+    """What ``conflict_reason`` looks at. Records have brand, series, year, model, energy, level, attrs."""
+    c, attrs = F.col, F.col("attrs")
+    return df.select(
+        "*",
+        S.year_of(c("year"), c("model")).alias("c_year"),
+        E.variant_signature(c("model"), attrs).alias("c_variant"),
+        E.component_signature(c("brand"), c("series"), c("model"), c("energy"), c("level"), attrs).alias("c_more"),
+        E.positive_evidence(c("model")).alias("c_named"),
+        E.optional_measures(attrs).alias("c_optional"),
+        F.struct(*[S.number_set(E._fields(attrs, f)).alias(n) for n, f in (("battery", E.BATTERY_FIELDS), ("range", E.RANGE_FIELDS))]).alias("c_fields"),
+        S.vehicle_name(c("brand"), c("series"), c("model")).alias("c_name"),
+    )
+
+
+def conflict_reason(p: str = "l_", q: str = "r_") -> Column:
+    """The first of the ordered rules by which two records can't be one, or null. Columns of both sides bear a prefix."""
+    x, y = (lambda c: F.col(p + c)), (lambda c: F.col(q + c))
+    apart = lambda c, d: (F.size(x(c)[d]) > 0) & (F.size(y(c)[d]) > 0) & ~F.arrays_overlap(x(c)[d], y(c)[d])
+    near = lambda a, b, t: E.near_sets(a, b, t)
+    rules = [("year_mismatch", F.coalesce(x("c_year") != y("c_year"), F.lit(False)))]
+    rules += [(f"{d}_mismatch", apart("c_variant", d)) for d in E.DIMENSIONS]
+    rules += [(name, apart("c_more", d)) for d, name in SIGNATURES]
+    rules += [(f"{d}_mismatch", apart("c_named", d)) for d in ("battery", "range", "range_class")]
+    for d, tolerance in (("battery", 0.15), ("range", 1.0)):
+        a, b = x("c_fields")[d], y("c_fields")[d]
+        offered = near(x("c_optional")[d], b, tolerance) | near(y("c_optional")[d], a, tolerance)
+        differ = (F.size(a) > 0) & (F.size(b) > 0) & ~near(a, b, tolerance) & ~offered
+        if d == "battery":  # one name and one range: a matter of rounding
+            differ = differ & ~(S.same_vehicle(x("c_name"), y("c_name")) & near(x("c_fields")["range"], y("c_fields")["range"], 1.0))
+        rules.append((f"{d}_mismatch", differ))
+    return first_reason(rules)
+
+
 def evidence(labels: DataFrame, edges: DataFrame, schema: str = "v1") -> DataFrame:
     """I4: each component's nodes and edges as JSON."""
     nodes = labels.groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
@@ -98,3 +186,16 @@ def evidence(labels: DataFrame, edges: DataFrame, schema: str = "v1") -> DataFra
         .agg(F.array_sort(F.collect_list(F.struct("l", "r", "score"))).alias("edges"))
     )
     return nodes.join(held, "component").select("component", F.to_json(F.struct(F.lit(schema).alias("schema"), "nodes", "edges")).alias("evidence"))
+
+
+def annotate(nodes: DataFrame, stages: list[tuple[str, DataFrame]]) -> tuple[DataFrame, DataFrame]:
+    """I4: components of several stages (node, component_id), an earlier stage's before a later one's; and how many nodes and components
+    each stage decided, without zeros."""
+    every = None
+    for rank, (name, found) in enumerate(stages):
+        part = found.select("node", F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("stage"), "component_id").alias("s"))
+        every = part if every is None else every.unionByName(part)
+    first = every.groupBy("node").agg(F.min("s").alias("s"))
+    told = nodes.join(first, "node", "left").select(*nodes.columns, F.col("s.stage").alias("stage"), F.col("s.component_id").alias("component_id"))
+    stats = told.where("stage is not null").groupBy("stage").agg(F.count(F.lit(1)).alias("nodes"), F.count_distinct("component_id").alias("components"))
+    return told, stats

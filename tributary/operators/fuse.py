@@ -3,57 +3,70 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import canonical_compare, canonical_value, dates_fold, is_missing, is_positive
+from tributary.functions.scalars import DATE_FIELDS, canonical_compare, canonical_value, date_parts, is_missing, is_positive
 from tributary.operators.headers import distinct_join
+from tributary.session import ship
 
 
 def fuse_values(rows: DataFrame, date_keys: tuple[str, ...] = (), identity_keys: tuple[str, ...] = ()) -> DataFrame:
-    """G1. rows: entity, key, src_ord, source, value. One value per entity and key.
+    """G1. rows: entity, key, src_ord, source, value. One value per entity and key, in one shuffle.
 
-    Identity keys keep the longest value; nothing is "-"; one canonical value stands as it is; dates of one month fold to the
-    longest; one comparison key keeps the longest; anything else lists source:value.
+    Identity keys keep the longest value (the first of equally long ones); nothing is "-"; one canonical value stands as it is; dates
+    of one month fold to the longest where at most one has a day; one comparison key keeps the longest; anything else lists
+    source:value. date_keys: attributes that are compared as dates, besides DATE_FIELDS.
     """
-    date = F.col("key").isin(*date_keys) if date_keys else F.lit(False)
-    there = rows.where(~is_missing(F.col("value")) & (canonical_value(F.col("value")) != "-"))
-    part = there.withColumn("canonical", canonical_value(F.col("value"))).withColumn("compare", canonical_compare(F.col("value"), date))
-    longest = F.max_by("value", F.struct(F.length("value"), -F.col("src_ord")))
-    grouped = part.groupBy("entity", "key").agg(
-        longest.alias("longest"),
-        F.count_distinct("canonical").alias("canonicals"),
+    value = F.coalesce("value", F.lit(""))
+    there = canonical_value(value) != "-"
+    dates = (*DATE_FIELDS, *date_keys)
+    said = rows.select(
+        "entity", "key", "src_ord", "source", "value",
+        F.when(there, canonical_value(value)).alias("canonical"),
+        F.when(there, canonical_compare(value, F.col("key"), dates)).alias("compare"),
+        F.when(there & F.col("key").isin(*dates), date_parts(value)).alias("date"),
+        there.alias("there"),
+    )
+    one = lambda c: F.min(c) == F.max(c)
+    listed = F.array_sort(F.collect_list(F.when(F.col("there"), F.struct("src_ord", "source", "value"))))
+    grouped = said.groupBy("entity", "key").agg(
+        F.max(F.when(F.col("there"), F.struct(F.length("value"), -F.col("src_ord"), "value")))["value"].alias("longest"),
+        one("canonical").alias("same"),
         F.min("canonical").alias("canonical"),
-        F.count_distinct("compare").alias("compares"),
-        F.min(F.struct("src_ord", "value"))["value"].alias("first"),
-        F.max(F.struct("src_ord", "value"))["value"].alias("last"),
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("src_ord", "source", "value"))), lambda x: F.concat(x["source"], F.lit(":"), x["value"])), "|"
-        ).alias("listed"),
+        one("compare").alias("alike"),
+        (one("date.year") & one("date.month") & (F.count("date") == F.count_if("there")) & (F.count("date.day") <= 1)).alias("folds"),
+        F.array_join(F.transform(listed, lambda x: F.concat(x["source"], F.lit(":"), x["value"])), "|").alias("listed"),
     )
     identity = F.col("key").isin(*identity_keys) if identity_keys else F.lit(False)
-    value = (
-        F.when(identity, F.col("longest"))
-        .when(F.col("canonicals") == 1, F.col("canonical"))
-        .when(date & dates_fold(F.col("first"), F.col("last")), F.col("longest"))
-        .when(F.col("compares") == 1, F.col("longest"))
-        .otherwise(F.col("listed"))
-    )
-    keys = rows.select("entity", "key").distinct()
-    return keys.join(grouped.select("entity", "key", value.alias("value")), ["entity", "key"], "left").select(
-        "entity", "key", F.coalesce("value", F.lit("-")).alias("value")
-    )
+    fused = F.when(identity | (~F.col("same") & (F.coalesce("folds", F.lit(False)) | F.col("alike"))), F.col("longest"))
+    fused = fused.when(F.col("same"), F.col("canonical")).otherwise(F.col("listed"))
+    return grouped.select("entity", "key", F.when(F.col("longest").isNull(), "-").otherwise(fused).alias("value"))
 
 
-def add_source(current: Column, current_sources: Column, source: str, incoming: Column) -> Column:
-    """Add a source's value without nesting prefixes; an unlabelled value gets each of its own sources."""
-    nothing, same = is_missing(incoming), canonical_value(current) == canonical_value(incoming)
-    labelled = current.rlike(r"(^|\|)[^|:]+:")
-    old = F.when(labelled, F.split(current, r"\|")).otherwise(F.transform(current_sources, lambda s: F.concat(s, F.lit(":"), current)))
-    new = F.array_append(old, F.concat(F.lit(source + ":"), incoming))
-    return F.when(nothing, current).when(is_missing(current), incoming).when(same, current).otherwise(F.array_join(F.array_distinct(new), "|"))
+def add_source(current: Column, current_sources: Column, source: str, incoming: Column, field: Column | str | None = None) -> Column:
+    """Add a source's value without nesting prefixes; an unlabelled value gets each of its own sources. A value that compares
+    like one of those there adds nothing; dates of one month fold to the longest."""
+    parts = F.transform(F.split(F.coalesce(current, F.lit("")), r"\|"), lambda p: F.trim(p))
+    label = lambda p: F.regexp_extract(p, "^([^:]+):", 1)
+    labelled = F.forall(parts, lambda p: label(p) != "")
+    values = F.transform(parts, lambda p: F.when(label(p) != "", F.substr(p, F.length(label(p)) + 2)).otherwise(p))
+    field = field if isinstance(field, Column) else F.lit(field).cast("string")
+    known = F.exists(values, lambda v: canonical_compare(v, field) == canonical_compare(incoming, field))
+    every = F.array_append(values, incoming)
+    dated = F.transform(every, date_parts)
+    day = F.filter(dated, lambda d: d["day"].isNotNull())
+    folds = field.isin(*DATE_FIELDS) & F.forall(dated, lambda d: d.isNotNull() & (d["year"] == dated[0]["year"]) & (d["month"] == dated[0]["month"])) & (F.size(day) <= 1)
+    longest = F.aggregate(every, F.lit(""), lambda a, v: F.when(F.length(v) > F.length(a), v).otherwise(a))
+    old = F.when(labelled, current).otherwise(F.array_join(F.transform(current_sources, lambda s: F.concat(s, F.lit(":"), current)), "|"))
+    nothing, missing = canonical_value(incoming) == "-", canonical_value(current) == "-"
+    return (
+        F.when(nothing & missing, "-").when(nothing, current).when(missing, incoming).when(known, current)
+        .when(F.coalesce(folds, F.lit(False)), longest).otherwise(F.concat(old, F.lit(f"|{source}:"), incoming))
+    )
 
 
 def merge_verified(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -93,35 +106,73 @@ def effective_sources(rows: DataFrame, component: str = "component") -> DataFram
     return rows.join(own, component, "left")
 
 
-def _merge(left: object, right: object) -> object:
-    if isinstance(left, dict) and isinstance(right, dict):
-        return {k: _merge(left[k], right[k]) if k in left and k in right else left.get(k, right.get(k)) for k in [*left, *[k for k in right if k not in left]]}
-    if isinstance(left, list) and isinstance(right, list):
-        name = lambda x: ("id", str(x["id"])) if isinstance(x, dict) and "id" in x else ("json", json.dumps(x, sort_keys=True))
-        out = {name(x): x for x in left}
-        for x in right:
-            out[name(x)] = _merge(out[name(x)], x) if name(x) in out else x
-        return list(out.values())
-    number = lambda x: isinstance(x, (int, float)) and not isinstance(x, bool)
-    if number(left) and number(right):
-        return max(left, right)
-    return right if right not in (None, "", [], {}) else left
+def _leaves(value: object, path: tuple[str, ...] = ()) -> Iterator[tuple[str, str, str]]:
+    """(path, kind, JSON) of everything a document says: an object's keys and a list's members (named by id, else by content) are steps."""
+    if isinstance(value, dict):
+        yield json.dumps(path), "object", ""
+        for k, v in value.items():
+            yield from _leaves(v, (*path, f".{k}"))
+    elif isinstance(value, list):
+        yield json.dumps(path), "list", ""
+        for v in value:
+            name = f"#{v['id']}" if isinstance(v, dict) and "id" in v else f"={json.dumps(v, sort_keys=True, ensure_ascii=False)}"
+            yield from _leaves(v, (*path, name))
+    else:
+        kind = "number" if isinstance(value, (int, float)) and not isinstance(value, bool) else "empty" if value in (None, "") else "text"
+        yield json.dumps(path), kind, json.dumps(value, ensure_ascii=False)
+
+
+def _grown(leaves: list[tuple[tuple[str, ...], str, str]]) -> object:
+    """The document of which these are the leaves, in the order given."""
+    root: dict = {}
+    for path, kind, text in leaves:
+        node = root
+        for step in path:
+            node = node.setdefault(step, {})
+        node[""] = (kind, text)
+
+    def build(node: dict) -> object:
+        kind, text = node.get("", ("object", ""))
+        if kind == "object":
+            return {k[1:]: build(v) for k, v in node.items() if k}
+        if kind == "list":
+            return [build(v) for k, v in node.items() if k]
+        return json.loads(text)
+
+    return build(root)
 
 
 def merge_json(rows: DataFrame, key: str, document: str, order: str) -> DataFrame:
-    """Documents of a key merged in order: objects by key, lists by id or content, the larger number, the later text.
+    """Documents of a key merged in order: objects by key, lists by id or content, the larger number, the later text that
+    isn't empty. Where kinds differ, the later one stands.
 
-    One key's documents meet in one group: a key stands for one progress file, of which there are few.
+    Documents are taken apart into paths, and each path merges by itself in Spark, with partial aggregates; one task only holds the
+    merged leaves of a key, never all of its documents.
     """
-    def merge(k: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("o", kind="stable")
-        out = json.loads(frame["d"].iloc[0])
-        for text in frame["d"].iloc[1:]:
-            out = _merge(out, json.loads(text))
-        return pd.DataFrame({"k": [k[0]], "d": [json.dumps(out, sort_keys=True, ensure_ascii=False)]})
-
-    picked = rows.select(F.col(key).alias("k"), F.col(document).alias("d"), F.col(order).alias("o"))
-    return picked.groupBy("k").applyInPandas(merge, "k string, d string").select(F.col("k").alias(key), F.col("d").alias(document))
+    ship(rows.sparkSession)
+
+    def apart(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = [(k, o, i, *leaf) for k, o, d in zip(frame["k"], frame["o"], frame["d"]) if d for i, leaf in enumerate(_leaves(json.loads(d)))]
+            yield pd.DataFrame(out, columns=["k", "o", "i", "path", "kind", "text"])
+
+    def together(k: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["o", "i"], kind="stable")
+        leaves = [(tuple(json.loads(p)), kind, text) for p, kind, text in zip(frame["path"], frame["kind"], frame["text"])]
+        return pd.DataFrame({"k": [k[0]], "d": [json.dumps(_grown(leaves), sort_keys=True, ensure_ascii=False)]})
+
+    picked = rows.select(F.col(key).cast("string").alias("k"), F.col(order).cast("long").alias("o"), F.col(document).alias("d"))
+    leaves = picked.mapInPandas(apart, "k string, o long, i long, path string, kind string, text string")
+    last, filled, number = F.struct("o", "i", "kind", "text"), F.col("kind") != "empty", F.col("kind") == "number"
+    merged = leaves.groupBy("k", "path").agg(
+        F.min(F.struct("o", "i")).alias("first"), F.max(F.when(filled, last)).alias("value"), F.max(last).alias("any"),
+        F.max(F.when(number, F.struct(F.col("text").cast("double").alias("n"), "text"))).alias("most"),
+    )
+    value = F.coalesce("value", "any")
+    text = F.when(value["kind"] == "number", F.col("most.text")).otherwise(value["text"])
+    parts = merged.select("k", "path", F.col("first.o").alias("o"), F.col("first.i").alias("i"), value["kind"].alias("kind"), text.alias("text"))
+    grown = parts.groupBy("k").applyInPandas(together, "k string, d string")
+    return grown.select(F.col("k").cast(rows.schema[key].dataType).alias(key), F.col("d").alias(document))
 
 
 def longest_value(rows: DataFrame, by: list[str]) -> DataFrame:

@@ -5,37 +5,109 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.functions import features as E
+from tributary.functions import scalars as S
 from tributary.functions.scalars import is_missing
+from tributary.operators import resolve as R
 
 
-def preserve(baseline: DataFrame, candidate: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """K3: full join by key with an action: add, keep, enrich (missing fields filled), orphan (in the baseline only)."""
-    b = baseline.select(key, *[F.col(f).alias(f"b_{f}") for f in fields], F.lit(True).alias("in_b"))
-    c = candidate.select(key, *[F.col(f).alias(f"c_{f}") for f in fields], F.lit(True).alias("in_c"))
-    joined = b.join(c, key, "full")
-    fills = [is_missing(F.col(f"b_{f}")) & ~is_missing(F.col(f"c_{f}")) for f in fields]
-    any_fill = fills[0]
-    for x in fills[1:]:
-        any_fill = any_fill | x
-    action = F.when(F.col("in_b").isNull(), "add").when(F.col("in_c").isNull(), "orphan").when(any_fill, "enrich").otherwise("keep")
-    return joined.select(key, action.alias("action"), *[F.when(F.col("in_b").isNull() | fill, F.col(f"c_{f}")).otherwise(F.col(f"b_{f}")).alias(f) for f, fill in zip(fields, fills)])
-
-
-def proven_retired(baseline: DataFrame, candidate: DataFrame, bucket: list[str], evidence: str) -> DataFrame:
-    """K4: baseline rows whose source is retired with proof: the bucket's only candidate row of that source has other evidence."""
-    only = candidate.groupBy(*bucket, "source").agg(F.count(F.lit(1)).alias("n"), F.min(evidence).alias("seen")).where("n = 1")
-    return baseline.join(only, [*bucket, "source"]).where(~is_missing(F.col(evidence)) & ~is_missing(F.col("seen")) & (F.col(evidence) != F.col("seen"))).select(
-        "key", "source", F.col(evidence).alias("baseline_evidence"), F.col("seen").alias("candidate_evidence")
-    )
-
-
-def alias_matches(baseline: DataFrame, candidate: DataFrame, bucket: list[str], value: Column, least: float = 0.85) -> DataFrame:
-    """F16: baseline rows that the candidate lacks, matched inside a bucket by mutual unique best score."""
-    from tributary.operators.resolve import mutual_best
+def preserve(baseline: DataFrame, candidate: DataFrame, fields: list[str], reliable: str = "B") -> DataFrame:
+    """K3: the baseline, enriched and extended by a candidate, with an action for every row.
 
-    absent = baseline.join(candidate.select("key").distinct(), "key", "left_anti")
-    pairs = absent.alias("b").join(candidate.where("n_sources > 1").alias("c"), bucket).withColumn("score", value).where(F.col("score") >= least)
-    return mutual_best(pairs.select(F.col("b.row_id").alias("a_id"), F.col("c.row_id").alias("b_id"), "score"))[0]
+    Both sides have key, sources (sorted array), bucket, features (``resolve.features_of``) and the fields. By turns:
+    add (the key is new); de_enrich (the candidate has fewer sources and their retirement is proven: its row replaces the baseline's); enrich (missing
+    fields filled, new sources added); alias (a row whose key the candidate lacks gets the fields of the row of several sources that is
+    its mutual unique best match); retire (an absent row loses the reliable source by proof); keep. Keys must be unique on both sides.
+    """
+    c = candidate.select(F.col("key"), F.col("sources").alias("c_sources"), *[F.col(f).alias(f"c_{f}") for f in fields])
+    aliases = alias_matches(baseline, candidate).select(F.col("a_key").alias("key"), F.col("b_key").alias("alias_key"))
+    other = candidate.select(F.col("key").alias("alias_key"), F.col("sources").alias("a_sources"), *[F.col(f).alias(f"a_{f}") for f in fields])
+    joined = (
+        baseline.select("key", "sources", *fields, F.lit(True).alias("in_b")).join(c.withColumn("in_c", F.lit(True)), "key", "full")
+        .join(proven_retired(baseline, candidate).withColumn("proven", F.lit(True)), "key", "left")
+        .join(aliases.join(other, "alias_key"), "key", "left")
+        .join(absent_retired(baseline, candidate, reliable).withColumn("retired", F.lit(True)), "key", "left")
+    )
+    gains = lambda p: F.exists(
+        F.array(*[is_missing(F.col(f)) & ~is_missing(F.col(f"{p}_{f}")) for f in fields]), lambda x: x
+    ) | (F.size(F.array_except(f"{p}_sources", "sources")) > 0)
+    action = (
+        F.when(F.col("in_b").isNull(), "add").when(F.col("proven"), "de_enrich").when(F.col("in_c") & gains("c"), "enrich")
+        .when(F.col("in_c").isNull() & F.col("alias_key").isNotNull() & gains("a"), "alias").when(F.col("in_c").isNull() & F.col("retired"), "retire").otherwise("keep")
+    )
+    told = joined.withColumn("action", action)
+    is_ = lambda *names: F.col("action").isin(*names)
+    union = lambda p: F.array_sort(F.array_union("sources", f"{p}_sources"))
+    sources = F.when(is_("add", "de_enrich"), F.col("c_sources")).when(is_("enrich"), union("c")).when(is_("alias"), union("a")).when(
+        is_("retire"), F.array_remove("sources", reliable)
+    ).otherwise(F.col("sources"))
+
+    def value(f: str) -> Column:
+        fill = F.when(is_("enrich"), F.col(f"c_{f}")).when(is_("alias"), F.col(f"a_{f}"))
+        return F.when(is_("add", "de_enrich"), F.col(f"c_{f}")).when(is_missing(F.col(f)) & ~is_missing(fill), fill).otherwise(F.col(f))
+
+    return told.select("key", "action", sources.alias("sources"), *[value(f).alias(f) for f in fields])
+
+
+def action_counts(rows: DataFrame) -> DataFrame:
+    """K3: how many rows each action changed."""
+    return rows.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+def battery_contradiction(name: Column, attrs: Column) -> Column:
+    """K4: whether a battery field lacks all sizes that the name has."""
+    named = F.transform(F.regexp_extract_all(F.lower(name), F.lit(E.BATTERY_NAME), 1), S.number_text)
+    fields = F.transform(E._fields(attrs, E.BATTERY_FIELDS), lambda v: S.number_set(F.array(v)))
+    return (F.size(named) > 0) & F.exists(fields, lambda v: (F.size(v) > 0) & ~F.arrays_overlap(v, named))
+
+
+def proven_retired(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
+    """K4: keys of which the candidate dropped sources with proof: the baseline row contradicts itself about its battery, or of
+    every dropped source there is one row in the candidate's bucket, and its tier conflicts with the candidate's row."""
+    c = candidate.select("key", "bucket", F.col("sources").alias("c_sources"), F.col("signature").alias("c_signature"))
+    both = baseline.select("key", "sources", "battery_contradiction").join(c, "key")
+    fewer = both.where((F.size("c_sources") > 0) & (F.size(F.array_except("c_sources", "sources")) == 0) & (F.size("c_sources") < F.size("sources")))
+    dropped = fewer.select("*", F.explode(F.array_except("sources", "c_sources")).alias("source"))
+    only = candidate.select("bucket", F.explode("sources").alias("source"), F.col("signature").alias("o_signature")).groupBy("bucket", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.first("o_signature").alias("o_signature")
+    )
+    conflict = E.conflict(F.col("c_signature"), F.col("o_signature"), list(E.DIMENSIONS)) == "tier_mismatch"
+    proof = F.coalesce((F.col("n") == 1) & conflict, F.lit(False))
+    told = dropped.join(only, ["bucket", "source"], "left").groupBy("key").agg(F.bool_and(proof).alias("proof"), F.first("battery_contradiction").alias("own"))
+    return told.where("proof or own").select("key")
+
+
+def absent_retired(baseline: DataFrame, candidate: DataFrame, reliable: str) -> DataFrame:
+    """K4: keys that the candidate lacks, of just two sources with an id, that lose the reliable one: the row contradicts itself, or that source's only
+    row in its bucket is of the basic tier and conflicts with it."""
+    absent = baseline.join(candidate.select("key"), "key", "left_anti").where((F.size("sources") == 2) & F.array_contains("sources", reliable) & F.col("has_id"))
+    only = candidate.where(F.array_contains("sources", reliable)).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.first("signature").alias("o_signature"))
+    basic = (F.col("n") == 1) & (F.col("o_signature.tier") == F.array(F.lit("basic")))
+    conflict = E.conflict(F.col("signature"), F.col("o_signature"), list(E.DIMENSIONS)) == "tier_mismatch"
+    joined = absent.join(only, "bucket", "left")
+    return joined.where(F.col("battery_contradiction") | F.coalesce(basic & conflict, F.lit(False))).select("key")
+
+
+def alias_matches(baseline: DataFrame, candidate: DataFrame, least: float = 0.85) -> DataFrame:
+    """F16: a_key, b_key, score: baseline rows of one source that the candidate lacks, matched in their bucket to candidate rows of
+    several sources, each the other's only best. Scores are those of resolution."""
+    columns = ("key", *R.SCORED[1:], "bucket", "sources")
+    absent = baseline.join(candidate.select("key"), "key", "left_anti").where("size(sources) = 1 and bucket is not null")
+    a, b = (R.side(df, ["bucket"], p, columns) for df, p in ((absent, "a"), (candidate.where("size(sources) > 1"), "b")))
+    free = E.conflict(F.col("a_signature"), F.col("b_signature"), list(E.DIMENSIONS)).isNull()
+    pairs = a.join(b, "bucket").where(free & F.array_contains("b_sources", F.col("a_sources")[0])).withColumn("score", R.score()).where(F.col("score") >= least)
+    wa, wb = Window.partitionBy("a_key"), Window.partitionBy("b_key")
+    best = lambda w: (F.col("score") == F.max("score").over(w)) & (F.count_if(F.col("score") == F.col("top")).over(w) == 1)
+    pairs = pairs.withColumn("top", F.max("score").over(wa)).withColumn("best_a", best(wa))
+    pairs = pairs.withColumn("top", F.max("score").over(wb)).withColumn("best_b", best(wb))
+    return pairs.where("best_a and best_b").select("a_key", "b_key", "score")
+
+
+def single_source(rows: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """K7: rows of exactly that source, and one row of counts: kept, and dropped because other sources share them."""
+    mine = F.array_contains("sources", source)
+    alone = mine & (F.size("sources") == 1)
+    return rows.where(alone), rows.agg(F.count_if(alone).alias("kept"), F.count_if(mine & ~alone).alias("cross_source"), F.count_if(~mine).alias("other"))
 
 
 def contained(rows: DataFrame, references: DataFrame, by: list[str]) -> DataFrame:

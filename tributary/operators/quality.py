@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions import scalars as S
 from tributary.functions.scalars import NUMBER, is_missing
 
 
@@ -19,12 +20,30 @@ def split(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     return marked.where("reason is null").drop("reason"), marked.where("reason is not null")
 
 
-def boundary_valid(source: Column, tests: dict[str, Column]) -> Column:
-    """The test of the row's own source; other sources fail."""
-    out = F.lit(False)
-    for name, test in tests.items():
-        out = F.when(source == name, test).otherwise(out)
-    return F.coalesce(out, F.lit(False))
+def boundary_valid(rows: DataFrame, as_of: Column, prices: dict[str, str]) -> DataFrame:
+    """Rows with their price set to the valid one (D12), and ``valid``: rows of a source need a price and a listing date up to as_of, and their
+    own source's identity; rows without a source need brand, model and year.
+
+    rows: source, brand, series, model, year, car_id, status, price, listed, and the columns of prices (source name to price column).
+    """
+    text = lambda c: F.when(S.is_missing(F.col(c), S.IDENTITY_MISSING), "").otherwise(S.trimmed(F.col(c).cast("string")))
+    has = lambda c: text(c) != ""
+    priced = S.with_price(rows, "source", "price", prices)
+    year = text("year").rlike(r"^(?:19|20)\d{2}$")
+    digits = text("car_id").rlike(r"^\d+$")
+    named = has("brand") & has("model") & S.has_han(text("brand")) & digits & year
+    slug = S.is_slug(text("series"))
+    own = {
+        "易车": named & has("series") & ~slug & (text("status") == "approved"),
+        "汽车之家": named & has("series") & ~slug,
+    }
+    some_year = year | text("model").rlike(r"(?:19|20)\d{2}")
+    valid = F.when(~has("source"), has("brand") & has("model") & some_year)
+    for name, test in own.items():
+        valid = valid.when(F.contains("source", F.lit(name)), test)
+    valid = valid.otherwise(has("brand") & has("series") & has("model") & some_year & ~slug)
+    listed = has("listed") & S.listed_by(F.col("listed"), as_of)
+    return priced.withColumn("valid", F.coalesce(valid & (~has("source") | (F.col("priced") & listed)), F.lit(False))).drop("priced")
 
 
 def require_rows(rows: DataFrame, least: int, failed: Column | None = None, most_failed: float = 0.1) -> DataFrame:
@@ -56,28 +75,30 @@ def audit(baseline: DataFrame, candidate: DataFrame, bucket: list[str]) -> DataF
     return lost.unionByName(gone)
 
 
-def replay(before: DataFrame, after: DataFrame, key: str, metric: str) -> DataFrame:
-    """Whether row counts agree, how many rows changed, and whether the metric's sum got better."""
+def replay(before: DataFrame, after: DataFrame, key: str, metric: str, contradicts: Column | None = None) -> DataFrame:
+    """Whether row counts agree, how many rows changed, how many contradict themselves afterwards, and whether the metric's sum got better."""
     a = before.agg(F.count(F.lit(1)).alias("rows_before"), F.sum(metric).alias("metric_before"))
-    b = after.agg(F.count(F.lit(1)).alias("rows_after"), F.sum(metric).alias("metric_after"))
+    bad = F.count_if(contradicts) if contradicts is not None else F.lit(0)
+    b = after.agg(F.count(F.lit(1)).alias("rows_after"), F.sum(metric).alias("metric_after"), bad.cast("long").alias("contradictions"))
     changed = before.select(key).exceptAll(after.select(key)).agg(F.count(F.lit(1)).alias("changed"))
     one = a.join(F.broadcast(b), F.lit(True)).join(F.broadcast(changed), F.lit(True))  # single rows
-    return one.withColumn("ok", (F.col("rows_before") == F.col("rows_after")) & (F.col("changed") == 0) & (F.col("metric_after") > F.col("metric_before")))
+    same = (F.col("rows_before") == F.col("rows_after")) & (F.col("changed") == 0) & (F.col("contradictions") == 0)
+    return one.withColumn("ok", same & (F.col("metric_after") > F.col("metric_before")))
 
 
 def accept_edits(edits: DataFrame, targets: DataFrame, most: int) -> DataFrame:
-    """Proposed aliases with the reason why one is refused: low confidence, unknown target, duplicate, or over the cap."""
-    from pyspark.sql import Window
+    """Proposed aliases with the reason why one is refused: low confidence, unknown target, duplicate, or over the cap.
 
+    Only the ``most`` best of the good edits (a configuration file's cap) are ranked, none of the refused ones.
+    """
     known = targets.select(F.col("target"), F.lit(True).alias("known")).distinct()
-    n = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    marked = edits.join(known, "target", "left").withColumn("copies", n)
+    copies = edits.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    marked = edits.join(known, "target", "left").join(copies, "key")
     reason = gate([("low_confidence", F.col("confidence") >= 0.9), ("unknown_target", F.col("known")), ("duplicate", F.col("copies") == 1)])
     marked = marked.withColumn("reason", reason)
-    place = F.row_number().over(Window.partitionBy("reason").orderBy(F.desc("confidence"), "key"))
-    return marked.withColumn("place", place).select(
-        "key", "target", F.coalesce("reason", F.when(F.col("place") > most, "over_cap")).alias("reason")
-    )
+    first = marked.where("reason is null").orderBy(F.desc("confidence"), "key").limit(most).select("key", F.lit(True).alias("taken"))
+    over = F.when(F.col("reason").isNull() & F.col("taken").isNull(), "over_cap")
+    return marked.join(first, "key", "left").select("key", "target", F.coalesce("reason", over).alias("reason"))
 
 
 def classify_log(text: Column, families: list[tuple[str, str]], progress: str = NUMBER + " rows", threshold: int = 1) -> tuple[Column, Column]:

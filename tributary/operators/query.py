@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import first_number, is_missing, is_positive, natural_key, numbers, without_source
+from tributary.functions.scalars import first_number, is_missing, is_positive, mapped, natural_key, numbers
+from tributary.session import materialise
 
 
 @dataclass(frozen=True)
@@ -137,16 +138,29 @@ def sort_columns(value: Column, level: SortLevel) -> list[Column]:
 
 
 def default_spec(conditions: list[dict]) -> QuerySpec:
-    """The default state that a configuration describes: ranges with their default bounds, features that are on."""
-    ranges, features = [], []
-    for c in conditions:
-        if c["type"] == "range":
-            ranges.append(Range(c["field"], c.get("defaultMin", c.get("min")), c.get("defaultMax", c.get("max")), "first"))
-        elif c.get("defaultEnabled"):
-            features.append(Feature(tuple(c.get("fields", [c.get("field", "")])), tuple(c.get("keywords", ())), bool(c.get("requireKeyword"))))
+    """The default state that a configuration describes: ranges with their default bounds, and all that are no ranges as
+    features unless they are off."""
+    number = lambda x: float(x) if x not in (None, "") else None
+    ranges = [
+        Range(c["field"], number(c.get("defaultMin", c.get("min"))), number(c.get("defaultMax", c.get("max"))), "first")
+        for c in conditions
+        if c["type"] == "range"
+    ]
+    features = [_feature(c) for c in conditions if c["type"] != "range" and c.get("defaultEnabled", True)]
     return QuerySpec(ranges=tuple(ranges), features=tuple(features))
 
 
+def batch_spec(conditions: list[dict]) -> QuerySpec:
+    """What the batch filter makes of a configuration: ranges by their own bounds only, features, and nothing that is meant for pages."""
+    ranges = [Range(c["field"], c.get("min"), c.get("max")) for c in conditions if c["type"] == "range" and ("min" in c or "max" in c)]
+    features = [c for c in conditions if c["type"] == "feature"]
+    return QuerySpec(ranges=tuple(ranges), features=tuple(_feature(c) for c in features))
+
+
+def _feature(c: dict) -> Feature:
+    return Feature(tuple(c.get("fields", [c.get("field", "")])), tuple(c.get("keywords", ())), bool(c.get("requireKeyword")))
+
+
 def snapshot(spec: QuerySpec) -> tuple[str, str]:
     """A query as JSON, and its signature; a changed signature starts again at the first page."""
     text = json.dumps(asdict(spec), sort_keys=True, ensure_ascii=False)
@@ -163,7 +177,7 @@ def restore(text: str) -> QuerySpec:
     return QuerySpec(**d)
 
 
-def run(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> DataFrame:
+def run(df: DataFrame, spec: QuerySpec, attrs: str = "attrs", mode: str = "interactive") -> DataFrame:
     """Filters in the query's order, as one conjunction for the optimizer."""
     a = F.col(attrs)
     value = lambda f: F.col(f) if f in df.columns else F.element_at(a, F.lit(f))
@@ -171,7 +185,7 @@ def run(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> DataFrame:
     if spec.search:
         tests.append(matches_text(a, spec.search))
     tests += [in_range(value(r.field), r.low, r.high, r.mode) for r in spec.ranges]
-    tests += [has_feature(a, f, "interactive") for f in spec.features]
+    tests += [has_feature(a, f, mode) for f in spec.features]
     tests += [column_filter(value(c), o, w) for c, o, w in spec.columns]
     return df.where(reduce(lambda x, y: x & y, tests)) if tests else df
 
@@ -183,6 +197,14 @@ def ordered(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> list[Column
     return [*first, *[c for level in spec.sort for c in sort_columns(value(level.field), level)], F.col("ordinal").asc()]
 
 
+def first_groups(df: DataFrame, spec: QuerySpec, shown: tuple[int, str] = (24, ""), step: int = 24) -> tuple[DataFrame, tuple[int, str]]:
+    """The first groups of a view and its state (how many, signature). The state of the same query shows ``step`` more; a changed
+    query begins again with ``step``."""
+    _, signature = snapshot(spec)
+    many = shown[0] + step if shown[1] == signature else step
+    return df.orderBy(*ordered(df, spec)).limit(many), (many, signature)
+
+
 def page(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> DataFrame:
     """One page of the sorted result, with each row's place. Only a page's rows come together (top-k)."""
     start = (max(1, spec.page) - 1) * spec.page_size
@@ -205,24 +227,40 @@ def group_rows(df: DataFrame, keys: list[str], price: str | None = None, descend
     )
 
 
+# What energies are called on display.
+LABELS = {"插电混合": "插电式混合动力", "纯电": "纯电动"}
+
+
+def label_of(x: Column, names: dict[str, str] = LABELS) -> Column:
+    """A value on display: without a source in front, under its usual name."""
+    return mapped(F.trim(F.regexp_replace(x, "^[^:：]+[:：]", "")), names)
+
+
 def summary(df: DataFrame, keys: list[str], value: str, sentinel: float = 999) -> DataFrame:
-    """Per group one value as it is, numbers as a range without the sentinel, others distinct and joined."""
-    parts = df.select(*keys, "ordinal", F.posexplode(F.split(value, r"[|/]")).alias("pos", "part"))
-    parts = parts.withColumn("part", F.trim(without_source(F.col("part")))).where(~is_missing(F.col("part")))
-    n = first_number(F.col("part"))
-    firsts = parts.groupBy(*keys, "part").agg(F.min(F.struct("ordinal", "pos")).alias("at"), F.min(n).alias("number"))
-    grouped = firsts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("c"),
-        F.bool_and(F.col("number").isNotNull()).alias("numeric"),
-        F.min(F.when(F.col("number") != sentinel, F.col("number"))).alias("low"),
-        F.max(F.when(F.col("number") != sentinel, F.col("number"))).alias("high"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"]), "/").alias("joined"),
-    )
-    plain = lambda c: F.regexp_replace(c.cast("decimal(18,2)").cast("string"), r"\.?0+$", "")
-    spread = F.when(F.col("low") == F.col("high"), plain(F.col("low"))).otherwise(F.concat_ws("-", plain(F.col("low")), plain(F.col("high"))))
-    return grouped.select(
-        *keys, F.when((F.col("c") > 1) & F.col("numeric") & F.col("low").isNotNull(), spread).otherwise(F.col("joined")).alias("summary")
+    """Per group one value as it is; several values that all begin with a number as a range of all their parts' numbers, without the
+    sentinel and with the first unit that any part has; others distinct and joined. Groups of which nothing is left are left out.
+    """
+    v = F.trim(F.col(value))
+    distinct = df.where(~is_missing(v)).groupBy(*keys, v.alias("v")).agg(F.min("ordinal").alias("at"))
+    parts = distinct.select(*keys, "v", "at", F.posexplode(F.split("v", r"[|/]")).alias("pos", "part"))
+    bare = F.regexp_replace("part", "^[^:：]*[:：]", "")
+    n = F.regexp_extract(bare, r"(-?[\d.]+)", 1).try_cast("double")
+    parts = parts.withColumn("n", F.when(n != sentinel, n)).withColumn("unit", F.regexp_replace(bare, r"^-?[\d.]+", "")).withColumn("label", label_of(F.col("part")))
+    here = F.struct("at", "v", "pos")
+    grouped = parts.groupBy(*keys).agg(
+        (F.min("v") == F.max("v")).alias("single"), F.min("v").alias("only"), F.bool_and(F.col("v").rlike(r"^-?[\d.]+")).alias("numeric"),
+        F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min(F.when(F.col("n").isNotNull() & (F.col("unit") != ""), F.struct(here.alias("here"), "unit")))["unit"].alias("unit"),
+        F.array_sort(F.collect_list(F.when(F.col("label") != "", F.struct(here.alias("here"), "label")))).alias("labels"),
+    )
+    plain = lambda c: F.regexp_replace(c.cast("decimal(24,6)").cast("string"), r"\.?0+$", "")
+    span = F.when(F.col("low") == F.col("high"), plain(F.col("low"))).otherwise(F.concat_ws("-", plain(F.col("low")), plain(F.col("high"))))
+    text = (
+        F.when(F.col("single"), label_of(F.col("only")))
+        .when(F.col("numeric"), F.when(F.col("low").isNotNull(), F.concat(span, F.coalesce("unit", F.lit("")))))
+        .otherwise(F.array_join(F.array_distinct(F.transform("labels", lambda x: x["label"])), "/"))
     )
+    return grouped.select(*keys, text.alias("summary")).where("summary is not null")
 
 
 def facet(df: DataFrame, value: str) -> DataFrame:
@@ -242,10 +280,37 @@ def counters(df: DataFrame, visible: Column, sources: Column, names: list[str])
 
 
 def round_robin(df: DataFrame, group: str, order: list[Column], ranked: DataFrame | None = None) -> DataFrame:
-    """Turn number inside the group, and the group's rank (null for unranked groups, which come after)."""
-    turn = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    out = df.withColumn("turn", turn)
-    return out.join(F.broadcast(ranked), group, "left") if ranked is not None else out
+    """Turn number inside the group, and the group's rank (null for unranked groups, which come after).
+
+    Rows are dealt by ranges of group and order, so that a group of any size lies in several tasks; a row's turn is its place in its range,
+    after the rows that the group has in earlier ranges. ranked: group, rank.
+    """
+    found = ranged(df, [F.col(group), *order])
+    held = found.groupBy("part", group).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range of the group
+    ahead = held.select("part", F.col(group).alias("g"), "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
+    joined = found.join(ahead, (found["part"] == ahead["part"]) & found[group].eqNullSafe(F.col("g"))).withColumn(
+        "turn", (F.col("at") - F.col("first") + F.col("ahead") + 1).cast("int")
+    )
+    out = joined.select(*df.columns, "turn")
+    return out.join(ranked, group, "left") if ranked is not None else out
+
+
+def ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Every row with ``part``, the range of the order that it lies in, and ``at``, which grows along the order; written once."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    return materialise(ordered, "ranged").withColumn("part", F.shiftright("at", 33))
+
+
+def placed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """L1: every row with its place in the whole order, from 1. Rows are dealt by ranges of the order and counted per range."""
+    found = ranged(df, order)
+    counts = found.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row per range
+    ahead = counts.select("part", F.coalesce(before, F.lit(0)).alias("ahead"))
+    inside = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = found.join(F.broadcast(ahead), "part")  # a row per writing task
+    return joined.withColumn("place", F.col("ahead") + inside + 1).select(*df.columns, "place")
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], most: int) -> DataFrame:
@@ -264,11 +329,10 @@ def priority_sort(parsed: str) -> list[Column]:
 
 def keep_first(df: DataFrame, key: Column, order: str = "ordinal") -> DataFrame:
     """K1, K5: the first row of each key; rows without a key all stay."""
-    keyed = df.withColumn("__key", key)
-    first = F.row_number().over(Window.partitionBy("__key").orderBy(order))
-    return (
-        keyed.where("__key is not null").withColumn("__n", first).where("__n = 1").drop("__n", "__key").unionByName(keyed.where("__key is null").drop("__key"))
-    )
+    # the row goes along as one struct, so that no column of it can clash
+    keyed = df.select(key.alias("key"), F.col(order).alias("order"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    first = keyed.where("key is not null").groupBy("key").agg(F.min_by("row", "order").alias("row"))
+    return first.select("row.*").unionByName(keyed.where("key is null").select("row.*"))
 
 
 def missing_from(baseline: DataFrame, candidate: DataFrame, key: list[str]) -> DataFrame:

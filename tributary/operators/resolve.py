@@ -1,8 +1,8 @@
 """Entity resolution: blocking, scoring, strict one-to-one pairing, levels and the ledger of dispositions.
 
-Records have row_id, source, brand, series, year, model, and features prepared by ``features_of``. A bucket is a
+Records have row_id, ordinal, brand, series, year, model, energy, level and attrs; ``features_of`` adds what is compared. A bucket is a
 key; pairs only form inside one. Pairing is set-based: a pair is accepted when its score is the best of both
-sides; a best score that ties blocks its row and all rows tied with it.
+sides; a row whose best score ties is ambiguous, which blocks it and every row that it has a candidate pair with.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import features as E
-from tributary.functions.scalars import match_text
+from tributary.functions import scalars as S
 from tributary.session import materialise
 
 #: Score weights, added in this order.
-WEIGHTS = {"jaccard": 0.70, "year": 0.15, "energy": 0.08, "level": 0.07}
+WEIGHTS = {"jaccard": 0.70, "year": 0.15, "energy": 0.08, "level": 0.07, "battery": 0.04, "range": 0.04, "range_class": 0.04}
 LEAST_JACCARD = 0.35
+SCORED = ("row_id", "years", "tokens", "signature", "evidence", "energy_text", "level_text")
+#: L1: the order inside a key.
+ORDER = ("brand_text", "series_text", "years", "name_text", "energy_text", "level_text", "ordinal")
 
 
 @dataclass(frozen=True)
@@ -29,16 +32,36 @@ class Level:
     name: str
     keys: tuple[str, ...]
     threshold: float
-    require_year: bool = True
     degree_one: bool = False
 
 
-def features_of(df: DataFrame, rules: dict[str, list[str]], stop: tuple[str, ...] = ()) -> DataFrame:
-    """Adds tokens and signature sets of the model name."""
-    return df.withColumn("tokens", E.tokens(F.col("model"), stop)).withColumn("signature", E.signature(F.col("model"), rules))
+LEVELS = (Level("series_year", ("series_year_key",), 0.58), Level("series", ("series_key",), 0.72))
+
+
+def features_of(df: DataFrame, prefixes: list[str] | None = None, corrections: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
+    """Comparison texts, keys, tokens, signature and evidence of every record. attrs: all further attributes as a map."""
+    c = F.col
+    same = {"prefixes": prefixes, "corrections": corrections}
+    return df.select(
+        "*",
+        *[S.match_text(c(x)).alias(f"{y}_text") for x, y in (("brand", "brand"), ("series", "series"), ("model", "name"), ("energy", "energy"), ("level", "level"))],
+        F.coalesce(S.year_of(c("year"), c("model")), F.lit(0)).alias("years"),
+        F.replace(F.coalesce("model", F.lit("")), F.lit(" "), F.lit("")).alias("exact_name"),
+        S.aggressive_text(c("model")).alias("normal_name"),
+        S.series_key(c("brand"), c("series"), **same).alias("series_key"),
+        S.series_year_key(c("brand"), c("series"), c("year"), c("model"), **same).alias("series_year_key"),
+        E.model_tokens(c("series"), c("model"), c("energy")).alias("tokens"),
+        E.variant_signature(c("model"), c("attrs")).alias("signature"),
+        E.positive_evidence(c("model"), c("attrs")).alias("evidence"),
+    )
+
 
+def sort_key(order: tuple[str, ...] = ORDER) -> list[Column]:
+    """L1: brand, series, year, name, energy and level in comparison form, then the place in the source."""
+    return [F.col(x).asc() for x in order]
 
-def zipped(a: DataFrame, b: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+
+def zipped(a: DataFrame, b: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """the n-th row of a key on one side with the n-th on the other."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     left = a.select(*keys, F.col("row_id").alias("a_id"), F.col("signature").alias("sa"), rank.alias("n"))
@@ -46,20 +69,27 @@ def zipped(a: DataFrame, b: DataFrame, keys: list[str], order: list[str]) -> Dat
     return left.join(right, [*keys, "n"])
 
 
-def exact_pairs(a: DataFrame, b: DataFrame, keys: list[str], dimensions: list[str], order: list[str]) -> DataFrame:
-    """zipped pairs without a conflict; ranks are not dealt anew after a conflict."""
-    z = zipped(a, b, keys, order)
-    return z.withColumn("conflict", E.conflict(F.col("sa"), F.col("sb"), dimensions)).where("conflict is null").select("a_id", "b_id")
-
-
-def score(year_a: Column, year_b: Column, tokens_a: Column, tokens_b: Column, same: dict[str, Column], require_year: bool) -> Column:
-    """0 for another year, or too few common tokens; else weights in their order."""
-    j = E.jaccard(tokens_a, tokens_b)
-    total = WEIGHTS["jaccard"] * j + F.when(year_a == year_b, WEIGHTS["year"]).otherwise(0.0)
-    for name, test in same.items():
+def exact_pairs(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+    """rows of one brand, series, year and name zipped in order, without those that conflict; ranks are not dealt anew
+    after a conflict. Rows without a name don't pair."""
+    keys = ["brand_text", "series_text", "years", name]
+    z = zipped(a.where(F.col(name) != ""), b.where(F.col(name) != ""), keys, sort_key())
+    return z.where(E.conflict(F.col("sa"), F.col("sb"), list(E.DIMENSIONS)).isNull()).select("a_id", "b_id")
+
+
+def score(p: str = "a", q: str = "b") -> Column:
+    """0 for another year, or too few common tokens; else weights in their order. Columns of both sides bear a prefix."""
+    x = lambda c: F.col(f"{p}_{c}")
+    y = lambda c: F.col(f"{q}_{c}")
+    j = E.jaccard(x("tokens"), y("tokens"))
+    known = (x("years") > 0) & (y("years") > 0)
+    tests = {"year": known & (x("years") == y("years"))}
+    tests |= {k: (x(f"{k}_text") != "") & (x(f"{k}_text") == y(f"{k}_text")) for k in ("energy", "level")}
+    tests |= {k: F.arrays_overlap(x("evidence")[k], y("evidence")[k]) for k in ("battery", "range", "range_class")}
+    total = j * WEIGHTS["jaccard"]
+    for name, test in tests.items():
         total = total + F.when(test, WEIGHTS[name]).otherwise(0.0)
-    wrong_year = (year_a != year_b) if require_year else F.lit(False)
-    return F.when(F.coalesce(wrong_year, F.lit(False)) | (j < LEAST_JACCARD), 0.0).otherwise(total)
+    return F.when((known & (x("years") != y("years"))) | (j < LEAST_JACCARD), 0.0).otherwise(total)
 
 
 def sharing_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,87 +103,153 @@ def sharing_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
         lead = F.slice("rarest", F.lit(1), n - F.ceil(LEAST_JACCARD * n - 1e-9).cast("int") + 1)["token"]
         leads = words(df).join(uses, "token").groupBy(*keys, "row_id").agg(F.array_sort(F.collect_set(F.struct("uses", "token"))).alias("rarest"))
         leads = leads.select(*keys, F.col("row_id").alias(f"{p}_row_id"), lead.alias(f"{p}_lead"))
-        return _side(df, keys, p).join(leads, [*keys, f"{p}_row_id"]).withColumn("token", F.explode(f"{p}_lead"))
+        return side(df, keys, p).join(leads, [*keys, f"{p}_row_id"]).withColumn("token", F.explode(f"{p}_lead"))
 
     return led(a, "a").join(led(b, "b"), [*keys, "token"]).where(F.col("token") == F.array_intersect("a_lead", "b_lead")[0])
 
 
-def _side(df: DataFrame, keys: list[str], p: str) -> DataFrame:
-    return df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in ("row_id", "year", "tokens", "signature", "energy", "level")])
+def side(df: DataFrame, keys: list[str], p: str, columns: tuple[str, ...] = SCORED) -> DataFrame:
+    return df.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in columns])
 
 
-def candidates(a: DataFrame, b: DataFrame, level: Level, dimensions: list[str], scorer: Callable | None = None) -> DataFrame:
+def candidates(a: DataFrame, b: DataFrame, level: Level, scorer: Callable[[], Column] | None = None, columns: tuple[str, ...] = SCORED) -> DataFrame:
     """scored pairs of a bucket that don't conflict and reach the threshold. Pairs without common tokens score 0; only for
-    another scorer, or a threshold that 0 reaches, are all pairs of a bucket formed."""
+    another scorer (which sees the given columns of both sides), or a threshold that 0 reaches, are all pairs of a bucket formed."""
     keys = list(level.keys)
-    every = scorer is not None or level.threshold <= 0
-    pairs = _side(a, keys, "a").join(_side(b, keys, "b"), keys) if every else sharing_pairs(a, b, keys)
-    same = {"energy": F.col("a_energy") == F.col("b_energy"), "level": F.col("a_level") == F.col("b_level")}
-    value = (scorer or score)(F.col("a_year"), F.col("b_year"), F.col("a_tokens"), F.col("b_tokens"), same, level.require_year)
+    a, b = (df.where(" and ".join(f"{k} is not null" for k in keys)) for df in (a, b))
+    if scorer is not None or level.threshold <= 0:
+        pairs = side(a, keys, "a", columns).join(side(b, keys, "b", columns), keys)
+    else:
+        pairs = sharing_pairs(a, b, keys)
+    if scorer is None:
+        pairs = pairs.where(E.conflict(F.col("a_signature"), F.col("b_signature"), list(E.DIMENSIONS)).isNull())
     return (
-        pairs.withColumn("score", value)
-        .where(E.conflict(F.col("a_signature"), F.col("b_signature"), dimensions).isNull())
+        pairs.withColumn("score", (scorer or score)())
         .where(F.col("score") >= level.threshold)
         .select(F.col("a_row_id").alias("a_id"), F.col("b_row_id").alias("b_id"), "score")
     )
 
 
-def mutual_best(pairs: DataFrame, degree_one: bool = False) -> tuple[DataFrame, DataFrame]:
-    """accepted pairs, and rows blocked by ambiguity (side, row_id). pairs: a_id, b_id, score."""
+def mutual_best(pairs: DataFrame, degree_one: bool = False) -> DataFrame:
+    """the pairs (a_id, b_id, score) with ``accepted``, and whether ambiguity blocks their ends (``blocked_a``, ``blocked_b``).
+
+    A row is ambiguous if its best score ties or, with degree_one, if it has several candidates; ambiguity blocks the rows at both ends
+    of all of its pairs. Three shuffles: by a, by b, by a again.
+    """
     a, b = Window.partitionBy("a_id"), Window.partitionBy("b_id")
-    marked = (
-        pairs.withColumn("top_a", F.max("score").over(a))
-        .withColumn("top_b", F.max("score").over(b))
-        .withColumn("ties_a", F.count_if(F.col("score") == F.col("top_a")).over(a))
-        .withColumn("ties_b", F.count_if(F.col("score") == F.col("top_b")).over(b))
-    )
-    bad = ((F.col("score") == F.col("top_a")) & (F.col("ties_a") > 1)) | ((F.col("score") == F.col("top_b")) & (F.col("ties_b") > 1))
+    marked = pairs.withColumn("top_a", F.max("score").over(a)).withColumn("n_a", F.count(F.lit(1)).over(a))
+    marked = marked.withColumn("ties_a", F.count_if(F.col("score") == F.col("top_a")).over(a))
+    marked = marked.withColumn("top_b", F.max("score").over(b)).withColumn("n_b", F.count(F.lit(1)).over(b))
+    marked = marked.withColumn("ties_b", F.count_if(F.col("score") == F.col("top_b")).over(b))
+    bad = (F.col("ties_a") > 1) | (F.col("ties_b") > 1)
     if degree_one:
-        marked = marked.withColumn("degree_a", F.count("score").over(a)).withColumn("degree_b", F.count("score").over(b))
-        bad = bad | (F.col("degree_a") > 1) | (F.col("degree_b") > 1)
-    marked = marked.withColumn("bad", bad)
-    marked = marked.withColumn("blocked_a", F.max("bad").over(a)).withColumn("blocked_b", F.max("bad").over(b))
-    accepted = marked.where((F.col("score") == F.col("top_a")) & (F.col("score") == F.col("top_b")) & ~F.col("blocked_a") & ~F.col("blocked_b"))
-    blocked = marked.where("blocked_a").select(F.lit("a").alias("side"), F.col("a_id").alias("row_id")).unionByName(
-        marked.where("blocked_b").select(F.lit("b").alias("side"), F.col("b_id").alias("row_id"))
-    )
-    return accepted.select("a_id", "b_id", "score"), blocked.distinct()
+        bad = bad | (F.col("n_a") > 1) | (F.col("n_b") > 1)
+    marked = marked.withColumn("bad", bad).withColumn("blocked_b", F.max("bad").over(b)).withColumn("blocked_a", F.max("bad").over(a))
+    best = (F.col("score") == F.col("top_a")) & (F.col("score") == F.col("top_b"))
+    accepted = best & ~F.col("blocked_a") & ~F.col("blocked_b")
+    return marked.select("a_id", "b_id", "score", accepted.alias("accepted"), "blocked_a", "blocked_b")
+
+
+def blocked_rows(marked: DataFrame) -> DataFrame:
+    """side and row_id of the rows that ambiguity blocks."""
+    ends = [F.struct(F.lit(s).alias("side"), F.col(f"{s}_id").alias("row_id"), F.col(f"blocked_{s}").alias("blocked")) for s in "ab"]
+    return marked.select(F.explode(F.array(*ends)).alias("e")).where("e.blocked").select("e.side", "e.row_id").distinct()
 
 
 def unused(df: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     return df.join(pairs.select(F.col(column).alias("row_id")), "row_id", "left_anti")
 
 
-def resolve(a: DataFrame, b: DataFrame, dimensions: list[str], words: tuple[str, ...] = (), order: tuple[str, ...] = ("year", "ordinal")) -> DataFrame:
-    """All levels one after another. Returns a_id, b_id, level, score. Each level's result is written once."""
-    base = ["brand", "series", "year"]
-    exact = materialise(
-        exact_pairs(a.withColumn("name_key", F.replace("model", F.lit(" "), F.lit(""))), b.withColumn("name_key", F.replace("model", F.lit(" "), F.lit(""))), [*base, "name_key"], dimensions, list(order)), "level1"
+def resolve(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All levels one after another, over records with features. Returns the pairs (a_id, b_id, level, score) and the rows
+    that ambiguity blocks (side, row_id). Features and each level's pairs are written once."""
+    used = ("row_id", "ordinal", "brand_text", "series_text", "name_text", "exact_name", "normal_name", "series_key", "series_year_key", *SCORED[1:])
+    a, b = materialise(a.select(*used), "side-a"), materialise(b.select(*used), "side-b")
+    blank = {"score": F.lit(1.0), "accepted": F.lit(True), "blocked_a": F.lit(False), "blocked_b": F.lit(False)}
+    found = None
+    for name, key in (("exact", "exact_name"), ("normalized", "normal_name")):
+        now = materialise(exact_pairs(a, b, key).select("a_id", "b_id", *[v.alias(k) for k, v in blank.items()], F.lit(name).alias("level")), name)
+        a, b = unused(a, now, "a_id"), unused(b, now, "b_id")
+        found = now if found is None else found.unionByName(now)
+    for level in LEVELS:
+        now = materialise(mutual_best(candidates(a, b, level), level.degree_one).withColumn("level", F.lit(level.name)), level.name)
+        gone = lambda s: now.where(f"accepted or blocked_{s}")  # noqa: B023, E731
+        a, b = unused(a, gone("a"), "a_id"), unused(b, gone("b"), "b_id")
+        found = found.unionByName(now)
+    return found.where("accepted").select("a_id", "b_id", "level", "score"), blocked_rows(found)
+
+
+#: What forbids a pair with the third source, in the order in which it is looked for.
+HARD = ("year_missing", "year_ambiguous", "year_mismatch", "energy_missing", "energy_ambiguous", "energy_mismatch", "level_mismatch")
+THIRD = ("row_id", "third_years", "energies", "third_tokens", "level_text")
+
+
+def third_features(df: DataFrame) -> DataFrame:
+    """Years, energies and tokens as the third source is compared by."""
+    c = F.col
+    return df.select(
+        "*",
+        E.model_years(c("year"), c("model")).alias("third_years"),
+        E.energies(c("energy"), c("model")).alias("energies"),
+        E.term_tokens(c("series"), c("model")).alias("third_tokens"),
     )
-    out = exact.select("a_id", "b_id", F.lit("exact").alias("level"), F.lit(1.0).alias("score"))
-    a1, b1 = unused(a, exact, "a_id"), unused(b, exact, "b_id")
-    from tributary.functions.scalars import aggressive_text
 
-    key = aggressive_text(F.col("model"), words) if words else match_text(F.col("model"))
-    normal = materialise(
-        exact_pairs(a1.withColumn("name_key", key), b1.withColumn("name_key", key), [*base, "name_key"], dimensions, list(order)), "level2"
-    )
-    out = out.unionByName(normal.select("a_id", "b_id", F.lit("normalized").alias("level"), F.lit(1.0).alias("score")))
-    a2, b2 = unused(a1, normal, "a_id"), unused(b1, normal, "b_id")
-    year = Level("series_year", ("brand", "series", "year"), 0.58)
-    found, blocked = mutual_best(materialise(candidates(a2, b2, year, dimensions), "pairs3"))
-    found = materialise(found, "level3")
-    out = out.unionByName(found.withColumn("level", F.lit(year.name)).select("a_id", "b_id", "level", "score"))
-    a3 = unused(a2, found, "a_id").join(blocked.where("side = 'a'"), "row_id", "left_anti")
-    b3 = unused(b2, found, "b_id").join(blocked.where("side = 'b'"), "row_id", "left_anti")
-    series = Level("series", ("brand", "series"), 0.72, require_year=False)
-    last, _ = mutual_best(materialise(candidates(a3, b3, series, dimensions), "pairs4"))
-    return out.unionByName(last.withColumn("level", F.lit(series.name)).select("a_id", "b_id", "level", "score"))
-
-
-def hard_blocks(pairs: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
-    """Pairs without a hard reason of which neither side has a hard one, and all hard edges. One incompatible edge blocks both ends."""
-    marked = pairs.withColumn("reason", reason)
+
+def hard_reason(p: str = "a", q: str = "b", require_year: bool = True) -> Column:
+    """the first hard reason against a pair, or null."""
+    x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
+    none = lambda c: (F.size(x(c)) == 0) | (F.size(y(c)) == 0)
+    many = lambda c: (F.size(x(c)) > 1) | (F.size(y(c)) > 1)
+    other = lambda c: (F.size(x(c)) > 0) & (F.size(y(c)) > 0) & (x(c) != y(c))
+    tests = {
+        "year_missing": none("third_years") if require_year else F.lit(False), "year_ambiguous": many("third_years"), "year_mismatch": other("third_years"),
+        "energy_missing": none("energies"), "energy_ambiguous": many("energies"), "energy_mismatch": other("energies"),
+        "level_mismatch": (x("level_text") != "") & (y("level_text") != "") & (x("level_text") != y("level_text")),
+    }
+    return F.coalesce(*[F.when(tests[r], F.lit(r)) for r in HARD])
+
+
+def third_score(p: str = "a", q: str = "b", base: bool = False) -> Column:
+    """0 where there is a hard reason (base: only where the years differ), else 0.70 x Jaccard of the term tokens and, from
+    0.35 on, 0.15 for the year and 0.07 for the level."""
+    x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
+    j = E.jaccard(x("third_tokens"), y("third_tokens"))
+    level = (x("level_text") != "") & (x("level_text") == y("level_text"))
+    both = (F.size(x("third_years")) > 0) & (F.size(y("third_years")) > 0)
+    total = j * WEIGHTS["jaccard"] + F.when(both & (x("third_years") == y("third_years")), WEIGHTS["year"]).otherwise(0.0)
+    total = total + F.when(level, WEIGHTS["level"]).otherwise(0.0)
+    wrong = (both & (x("third_years") != y("third_years"))) | ~both if base else hard_reason(p, q).isNotNull()
+    return F.when(wrong, 0.0).when(j < LEAST_JACCARD, j * WEIGHTS["jaccard"]).otherwise(total)
+
+
+def third_pairs(merged: DataFrame, third: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The third source's rows into merged ones, each at most once. Both have all features.
+
+    First rows of one brand, series, year and (plain or normalised) name: an edge with a hard reason blocks both of its ends, then only pairs
+    of which neither end has another count. What is then left is scored inside series and year, where both need exactly one candidate.
+    Returns the pairs (a_id, b_id, level, score), and all hard edges (a_id, b_id, reason).
+    """
+    used = ("brand_text", "series_text", "years", "series_year_key", *THIRD)
+    names = F.array_distinct(F.array("exact_name", "normal_name"))
+    a, b = (materialise(df.select(*used, names.alias("names")), "third") for df in (merged, third))
+    keys = ["brand_text", "series_text", "years", "name"]
+    named = lambda df: df.withColumn("name", F.explode("names"))
+    pairs = side(named(a), keys, "a", THIRD).join(side(named(b), keys, "b", THIRD), keys)
+    pairs = pairs.select(F.col("a_row_id").alias("a_id"), F.col("b_row_id").alias("b_id"), hard_reason().alias("reason")).distinct()
+    pairs = materialise(pairs, "third-exact")
+    clear, hard = split_hard(pairs)
+    exact = materialise(unique_claims(clear).select("a_id", "b_id"), "third-unique")
+    gone = lambda c: clear.select(c).unionByName(hard.select(c))
+    one_year = F.size("third_years") == 1
+    left, right = unused(a, gone("a_id"), "a_id").where(one_year), unused(b, gone("b_id"), "b_id").where(one_year)
+    level = Level("third_series_year", ("series_year_key",), 0.58, degree_one=True)
+    scored = mutual_best(candidates(left, right, level, third_score, THIRD), True).where("accepted")
+    out = exact.select("a_id", "b_id", F.lit("third_exact").alias("level"), F.lit(1.0).alias("score"))
+    return out.unionByName(scored.select("a_id", "b_id", F.lit(level.name).alias("level"), "score")), hard
+
+
+def split_hard(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """F8: pairs (with a reason or null) of which neither end has a hard edge, and the hard edges."""
     hard = marked.where("reason is not null")
     clear = (
         marked.where("reason is null")
@@ -163,6 +259,19 @@ def hard_blocks(pairs: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]
     return clear, hard
 
 
+def dispatched_score(p: str = "a", q: str = "b", third: str = "易车") -> Column:
+    """the score of two components' rows by their sources: 0 where they share one; the third source's score where just one
+    side is that source alone (by its tokens only where energies are ambiguous in spelling but one and the same in kind); else F5's."""
+    x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
+    only = lambda c: (F.size(c) == 1) & (c[0] == third)
+    apart = only(x("sources")) != only(y("sources"))
+    same_kind = (F.size(x("kinds")) == 1) & (F.size(y("kinds")) == 1) & (x("kinds") == y("kinds"))
+    unclear = (hard_reason(p, q) == "energy_ambiguous") & same_kind
+    return F.when(F.arrays_overlap(x("sources"), y("sources")), 0.0).when(apart & F.coalesce(unclear, F.lit(False)), third_score(p, q, True)).when(
+        apart, third_score(p, q)
+    ).otherwise(F.when(E.conflict(x("signature"), y("signature"), list(E.DIMENSIONS)).isNull(), score(p, q)).otherwise(0.0))
+
+
 def unique_claims(pairs: DataFrame) -> DataFrame:
     """F8: pairs of which both rows have no other candidate."""
     na, nb = F.count(F.lit(1)).over(Window.partitionBy("a_id")), F.count(F.lit(1)).over(Window.partitionBy("b_id"))
@@ -172,13 +281,17 @@ def unique_claims(pairs: DataFrame) -> DataFrame:
 def ledger(rows: DataFrame, pairs: DataFrame, blocked: DataFrame, column: str) -> DataFrame:
     """One disposition per row: accepted (with its level), rejected as ambiguous, or unmatched."""
     took = pairs.select(F.col(column).alias("row_id"), F.col("level").alias("at"))
-    side = "a" if column == "a_id" else "b"
-    ambiguous = blocked.where(F.col("side") == side).select("row_id", F.lit(True).alias("ambiguous"))
+    ambiguous = blocked.where(F.col("side") == column[0]).select("row_id", F.lit(True).alias("ambiguous"))
+    codes = {"exact": "exact_name_match", "normalized": "normalized_name_match", "series_year": "series_feature_match", "series": "series_noyear_feature_match"}
+    code = F.lit("third_supplement_match")
+    for level, reason in codes.items():
+        code = F.when(F.col("at") == level, reason).otherwise(code)
+    met, both = F.col("at").isNotNull(), F.col("ambiguous")
     return rows.select("row_id").join(took, "row_id", "left").join(ambiguous, "row_id", "left").select(
         "row_id",
-        F.when(F.col("at").isNotNull(), "accepted").when(F.col("ambiguous"), "rejected").otherwise("unmatched").alias("decision"),
-        F.when(F.col("at").isNotNull(), "matched").when(F.col("ambiguous"), "ambiguous").otherwise("no_candidate").alias("reason"),
-        F.coalesce("at", F.lit("-")).alias("level"),
+        F.when(met, "accepted").when(both, "rejected").otherwise("unmatched").alias("decision"),
+        F.when(met, code).when(both, "ambiguous_match_blocked").otherwise("no_cross_source_candidate").alias("reason"),
+        F.when(met, F.col("at")).when(both, "series_year").otherwise("-").alias("level"),
     )
 
 

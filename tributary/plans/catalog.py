@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.plans import entities, interactive, reports
+from tributary.plans import entities, files, interactive, reports, texts
 
-MODULES = (interactive, entities, reports)
+MODULES = (interactive, entities, reports, texts, files)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

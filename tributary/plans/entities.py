@@ -16,8 +16,7 @@ from tributary.session import load, materialise
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-RULES = {"tier": ["small", "large"], "heat": ["hot", "cold"], "colour": ["red", "blue", "green"]}
-DIMENSIONS = list(RULES)
+DIMENSIONS = list(E.DIMENSIONS)
 A, B, C_SQL = text(SOURCE_A), text(SOURCE_B), text(SOURCE_C)
 
 
@@ -31,130 +30,186 @@ def query(sql: str | None = None):
     return register
 
 
-def side(spark, sf_dir, sql):
-    return R.features_of(build(spark, sf_dir, sql), RULES)
-
-
-def _words(column: str) -> str:
-    return f"list_distinct(regexp_extract_all(lower({column}), '([a-z]+|\\d+(?:\\.\\d+)?)'))"
-
+def records(spark, sf_dir, sql):
+    """A source's records; where B has no year in its field, its name may have one."""
+    df = build(spark, sf_dir, sql)
+    attrs = F.create_map(F.lit("座位数(个)"), F.col("seats"), F.lit("电池能量(kWh)"), F.col("battery"))
+    lost = (F.col("source") == "B") & (F.col("row_id") % 12 == 0)
+    return df.withColumn("attrs", attrs).withColumn("year", F.when(~lost, F.col("year")))
 
-def _set(column: str, words: list[str]) -> str:
-    return "list_filter([" + ", ".join(f"'{w}'" for w in words) + f"], lambda w: contains(lower({column}), w))"
 
-
-FEATURES = ", ".join(f"{_set('model', w)} AS {d}" for d, w in RULES.items()) + f", {_words('model')} AS tokens"
+def side(spark, sf_dir, sql):
+    return R.features_of(records(spark, sf_dir, sql))
+
+
+# What the rules make of the names, by the numbers that they were built from.
+def _by_ending(values: dict[int, str], none: str = "[]") -> str:
+    return "CASE ending " + " ".join(f"WHEN {n} THEN {v}" for n, v in values.items()) + f" ELSE {none} END"
+
+
+SEATED = "CASE WHEN trim(replace(seats, '座', '')) IN ('5', '7') THEN [trim(replace(seats, '座', ''))] ELSE [] END"
+SIGNED = {
+    "tier": _by_ending({0: "['pro']", 5: "['flagship']"}),
+    "seat": f"list_distinct(list_concat({_by_ending({1: chr(91) + chr(39) + '5' + chr(39) + chr(93)})}, {SEATED}))",
+    "lidar": _by_ending({7: "['128']"}),
+    "drive": _by_ending({2: "['awd']"}),
+}
+KINDS = _by_ending({0: "['tier:pro']", 1: "['seat:5']", 2: "['drive:awd']", 5: "['tier:flagship']", 7: "['lidar:128']"})
+TOKENS = f"list_distinct(list_concat(string_split(word, ' '), [lower(series)], [energy], {KINDS}, CASE WHEN extra <> '' THEN [extra] ELSE [] END))"
+NORMAL = "concat(replace(word, ' ', ''), " + _by_ending({0: "'pro'", 1: "'五座'", 2: "'四驱'", 3: "'75kwh'", 4: "'长续航'", 7: "'128线激光雷达'"}, "''") + ", extra)"
+NAME_TEXT = "concat(replace(word, ' ', ''), " + _by_ending({0: "'pro'", 1: "'五座'", 2: "'四驱'", 3: "'75kwh'", 4: "'长续航'", 5: "'旗舰版'", 7: "'128线激光雷达'"}, "''") + ", extra)"
+BATTERY = f"list_distinct(list_concat({_by_ending({3: chr(91) + chr(39) + '75' + chr(39) + chr(93)})}, CASE WHEN battery <> '-' THEN ['75'] ELSE [] END))"
+FEATURES = (
+    ", ".join(f"{v} AS {d}" for d, v in SIGNED.items())
+    + f", {TOKENS} AS tokens, replace(model, ' ', '') AS exact_name, {NORMAL} AS normal_name, {NAME_TEXT} AS name_text, {BATTERY} AS batteries, ending = 4 AS long_range"
+)
+# B's year is lost where row_id is a multiple of 12, and found again in the names that begin with it.
+B_YEARS = "SELECT * REPLACE (CASE WHEN row_id % 12 = 0 AND row_id % 5 <> 0 THEN 0 ELSE year END AS year)"
 CONFLICT = " OR ".join(f"(len(x.{d}) > 0 AND len(y.{d}) > 0 AND NOT list_has_any(x.{d}, y.{d}))" for d in DIMENSIONS)
 JACCARD = "(CAST(len(list_intersect(x.tokens, y.tokens)) AS DOUBLE) / len(list_distinct(list_concat(x.tokens, y.tokens))))"
 
 
-def _score(year: bool) -> str:
-    wrong = "x.year <> y.year OR " if year else ""
-    return (
-        f"CASE WHEN {wrong}{JACCARD} < 0.35 THEN 0.0 ELSE CAST(0.7 AS DOUBLE) * {JACCARD} + CASE WHEN x.year = y.year THEN CAST(0.15 AS DOUBLE) ELSE 0 END"
-        " + CASE WHEN x.energy = y.energy THEN CAST(0.08 AS DOUBLE) ELSE 0 END + CASE WHEN x.level = y.level THEN CAST(0.07 AS DOUBLE) ELSE 0 END END"
-    )
+def _plus(test: str, weight: str) -> str:
+    return f" + CASE WHEN {test} THEN CAST({weight} AS DOUBLE) ELSE 0 END"
+
+
+SCORE = (
+    f"CASE WHEN (x.year > 0 AND y.year > 0 AND x.year <> y.year) OR {JACCARD} < 0.35 THEN 0.0 ELSE {JACCARD} * CAST(0.7 AS DOUBLE)"
+    + _plus("x.year > 0 AND x.year = y.year", "0.15") + _plus("x.energy = y.energy", "0.08") + _plus("x.level = y.level", "0.07")
+    + _plus("list_has_any(x.batteries, y.batteries)", "0.04") + _plus("x.long_range AND y.long_range", "0.04") + " END"
+)
 
 
 def _zip_level(n: int, key: str) -> str:
     """CTEs of an exact level over sides a{n-1}, b{n-1}."""
-    rank = f"row_number() OVER (PARTITION BY brand, series, year, {key} ORDER BY year, ordinal)"
+    rank = f"row_number() OVER (PARTITION BY brand, series, year, {key} ORDER BY name_text, energy, level, ordinal)"
     return f"""
 za{n} AS (SELECT *, {key} AS k, {rank} AS rn FROM a{n - 1}), zb{n} AS (SELECT *, {key} AS k, {rank} AS rn FROM b{n - 1}),
 m{n} AS (SELECT x.row_id AS a_id, y.row_id AS b_id FROM za{n} x JOIN zb{n} y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year AND x.k = y.k AND x.rn = y.rn WHERE NOT ({CONFLICT})),
 a{n} AS (SELECT * FROM a{n - 1} WHERE row_id NOT IN (SELECT a_id FROM m{n})), b{n} AS (SELECT * FROM b{n - 1} WHERE row_id NOT IN (SELECT b_id FROM m{n}))"""
 
 
-def _pair_level(n: int, year: bool, threshold: float) -> str:
-    on = "x.brand = y.brand AND x.series = y.series" + (" AND x.year = y.year" if year else "")
+def _mutual(n: int, degree_one: bool = False) -> str:
+    """CTEs of mutual best pairs over s{n}(a_id, b_id, score), for sides a{n-1}, b{n-1}."""
+    more = " OR na > 1 OR nb > 1" if degree_one else ""
     return f"""
-s{n} AS (SELECT x.row_id AS a_id, y.row_id AS b_id, {_score(year)} AS score FROM a{n - 1} x JOIN b{n - 1} y ON {on} WHERE NOT ({CONFLICT})),
-p{n} AS (SELECT *, max(score) OVER (PARTITION BY a_id) AS ta, max(score) OVER (PARTITION BY b_id) AS tb FROM s{n} WHERE score >= {threshold}),
+p{n} AS (SELECT *, max(score) OVER (PARTITION BY a_id) AS ta, max(score) OVER (PARTITION BY b_id) AS tb, count(*) OVER (PARTITION BY a_id) AS na, count(*) OVER (PARTITION BY b_id) AS nb FROM s{n}),
 q{n} AS (SELECT *, sum(CASE WHEN score = ta THEN 1 ELSE 0 END) OVER (PARTITION BY a_id) AS ka, sum(CASE WHEN score = tb THEN 1 ELSE 0 END) OVER (PARTITION BY b_id) AS kb FROM p{n}),
-r{n} AS (SELECT *, (score = ta AND ka > 1) OR (score = tb AND kb > 1) AS bad FROM q{n}),
+r{n} AS (SELECT *, ka > 1 OR kb > 1{more} AS bad FROM q{n}),
 xa{n} AS (SELECT DISTINCT a_id FROM r{n} WHERE bad), xb{n} AS (SELECT DISTINCT b_id FROM r{n} WHERE bad),
-m{n} AS (SELECT a_id, b_id, score FROM r{n} WHERE score = ta AND score = tb AND a_id NOT IN (SELECT a_id FROM xa{n}) AND b_id NOT IN (SELECT b_id FROM xb{n})),
+m{n} AS (SELECT a_id, b_id, score FROM r{n} WHERE score = ta AND score = tb AND a_id NOT IN (SELECT a_id FROM xa{n}) AND b_id NOT IN (SELECT b_id FROM xb{n}))"""
+
+
+def _pair_level(n: int, year: bool, threshold: float) -> str:
+    on = "x.brand = y.brand AND x.series = y.series" + (" AND x.year = y.year" if year else "")
+    return f"""
+s{n} AS (SELECT * FROM (SELECT x.row_id AS a_id, y.row_id AS b_id, {SCORE} AS score FROM a{n - 1} x JOIN b{n - 1} y ON {on} WHERE NOT ({CONFLICT})) WHERE score >= {threshold}),
+{_mutual(n)},
 a{n} AS (SELECT * FROM a{n - 1} WHERE row_id NOT IN (SELECT a_id FROM m{n}) AND row_id NOT IN (SELECT a_id FROM xa{n})),
 b{n} AS (SELECT * FROM b{n - 1} WHERE row_id NOT IN (SELECT b_id FROM m{n}) AND row_id NOT IN (SELECT b_id FROM xb{n}))"""
 
 
-LEVELS = f"""WITH a0 AS (SELECT *, {FEATURES} FROM ({A})), b0 AS (SELECT *, {FEATURES} FROM ({B})),
-{_zip_level(1, "replace(model, ' ', '')")}, {_zip_level(2, "replace(lower(model), ' ', '')")}, {_pair_level(3, True, 0.58)}, {_pair_level(4, False, 0.72)},
+LEVELS = f"""WITH a0 AS (SELECT *, {FEATURES} FROM ({A})), b0 AS ({B_YEARS}, {FEATURES} FROM ({B})),
+{_zip_level(1, "exact_name")}, {_zip_level(2, "normal_name")}, {_pair_level(3, True, 0.58)}, {_pair_level(4, False, 0.72)},
 resolved AS (SELECT a_id, b_id, 'exact' AS level, CAST(1 AS DOUBLE) AS score FROM m1 UNION ALL SELECT a_id, b_id, 'normalized', 1 FROM m2
-UNION ALL SELECT a_id, b_id, 'series_year', score FROM m3 UNION ALL SELECT a_id, b_id, 'series', score FROM m4)"""
+UNION ALL SELECT a_id, b_id, 'series_year', score FROM m3 UNION ALL SELECT a_id, b_id, 'series', score FROM m4),
+xa AS (SELECT a_id FROM xa3 UNION SELECT a_id FROM xa4), xb AS (SELECT b_id FROM xb3 UNION SELECT b_id FROM xb4)"""
 
 
 @query(LEVELS + " SELECT a_id, b_id FROM m1")
 def resolve_exact(spark, sf_dir):
-    a, b = (side(spark, sf_dir, s).withColumn("k", F.replace("model", F.lit(" "), F.lit(""))) for s in (SOURCE_A, SOURCE_B))
-    return R.exact_pairs(a, b, ["brand", "series", "year", "k"], DIMENSIONS, ["year", "ordinal"])
+    return R.exact_pairs(side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B), "exact_name")
 
 
 @query(LEVELS + " SELECT a_id, b_id, level, round(score, 9) AS score FROM resolved")
 def resolve_all(spark, sf_dir):
-    return R.resolve(side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B), DIMENSIONS).withColumn("score", F.round("score", 9))
+    return R.resolve(side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B))[0].withColumn("score", F.round("score", 9))
 
 
-@query(LEVELS + """ SELECT a.row_id, CASE WHEN r.level IS NOT NULL THEN 'accepted' WHEN x.a_id IS NOT NULL THEN 'rejected' ELSE 'unmatched' END AS decision,
-CASE WHEN r.level IS NOT NULL THEN 'matched' WHEN x.a_id IS NOT NULL THEN 'ambiguous' ELSE 'no_candidate' END AS reason, coalesce(r.level, '-') AS level
-FROM a0 a LEFT JOIN resolved r ON r.a_id = a.row_id LEFT JOIN (SELECT a_id FROM xa3) x ON x.a_id = a.row_id""")
+@query(LEVELS + """, l AS (SELECT a.row_id, r.level AS lvl, x.a_id IS NOT NULL AS amb FROM a0 a LEFT JOIN resolved r ON r.a_id = a.row_id LEFT JOIN xa x ON x.a_id = a.row_id)
+SELECT row_id, CASE WHEN lvl IS NOT NULL THEN 'accepted' WHEN amb THEN 'rejected' ELSE 'unmatched' END AS decision,
+CASE lvl WHEN 'exact' THEN 'exact_name_match' WHEN 'normalized' THEN 'normalized_name_match' WHEN 'series_year' THEN 'series_feature_match' WHEN 'series' THEN 'series_noyear_feature_match'
+  ELSE CASE WHEN amb THEN 'ambiguous_match_blocked' ELSE 'no_cross_source_candidate' END END AS reason, coalesce(lvl, CASE WHEN amb THEN 'series_year' ELSE '-' END) AS level FROM l""")
 def ledger(spark, sf_dir):
     a, b = side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B)
-    pairs = materialise(R.resolve(a, b, DIMENSIONS), "pairs")
-    rest = pairs.where("level in ('exact', 'normalized')")
-    level = R.Level("series_year", ("brand", "series", "year"), 0.58)
-    _, blocked = R.mutual_best(R.candidates(R.unused(a, rest, "a_id"), R.unused(b, rest, "b_id"), level, DIMENSIONS))
+    pairs, blocked = R.resolve(a, b)
     return R.ledger(a, pairs, blocked, "a_id")
 
 
 @query(LEVELS + """, la AS (SELECT count(*) AS n FROM a0), lb AS (SELECT count(*) AS n FROM b0), m AS (SELECT count(*) AS n FROM resolved)
 SELECT CAST(m.n AS BIGINT) AS matched, CAST(la.n - m.n AS BIGINT) AS a_only, CAST(lb.n - m.n AS BIGINT) AS b_only,
-CAST(greatest((SELECT count(*) FROM xa3), (SELECT count(*) FROM xb3)) AS BIGINT) AS ambiguous,
-CAST(greatest(0, least(la.n - m.n, lb.n - m.n) - greatest((SELECT count(*) FROM xa3), (SELECT count(*) FROM xb3))) AS BIGINT) AS low_confidence FROM la, lb, m""")
+CAST(greatest((SELECT count(*) FROM xa), (SELECT count(*) FROM xb)) AS BIGINT) AS ambiguous,
+CAST(greatest(0, least(la.n - m.n, lb.n - m.n) - greatest((SELECT count(*) FROM xa), (SELECT count(*) FROM xb))) AS BIGINT) AS low_confidence FROM la, lb, m""")
 def merge_stats(spark, sf_dir):
     a, b = side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B)
-    pairs = materialise(R.resolve(a, b, DIMENSIONS), "pairs")
-    rest = pairs.where("level in ('exact', 'normalized')")
-    level = R.Level("series_year", ("brand", "series", "year"), 0.58)
-    _, blocked = R.mutual_best(R.candidates(R.unused(a, rest, "a_id"), R.unused(b, rest, "b_id"), level, DIMENSIONS))
-    blocked = materialise(blocked, "blocked")
+    pairs, blocked = R.resolve(a, b)
     return R.merge_stats(R.ledger(a, pairs, blocked, "a_id"), R.ledger(b, pairs, blocked, "b_id"))
 
 
-THIRD = f"""WITH x AS ({A}), y AS ({C_SQL}), p AS (SELECT x.row_id AS a_id, y.row_id AS b_id, CASE WHEN x.energy <> y.energy THEN 'energy_mismatch' WHEN x.level <> y.level THEN 'level_mismatch' END AS reason
-FROM x JOIN y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year AND x.model = y.model)"""
+@query(LEVELS + " SELECT row_id, row_number() OVER (ORDER BY lower(brand), lower(series), year, name_text, energy, level, ordinal) AS place FROM b0")
+def model_order(spark, sf_dir):
+    """L1: every record's place; ranges of the first key are counted, so that no task sorts all rows."""
+    return Q.placed(side(spark, sf_dir, SOURCE_B), R.sort_key()).select("row_id", "place")
+
+
+# The third source: energies and terms by the numbers that C was built from.
+ENERGY_C = "CASE WHEN row_id % 17 = 0 THEN ['汽油', '纯电'] WHEN row_id % 19 = 0 THEN [] WHEN row_id % 29 = 0 THEN ['柴油'] WHEN CAST(size AS INT) % 2 = 0 THEN ['汽油'] ELSE ['纯电'] END"
+TERMS = _by_ending({0: "['pro']", 1: "['五座']", 2: "['四驱']", 3: "['75', 'kwh']", 4: "['长续航']", 5: "['旗舰']", 7: "['128', '线激光雷达']"})
+THIRD_TOKENS = f"list_distinct(list_concat(list_filter(string_split(word, ' '), lambda w: w <> lower(series)), {TERMS}, CASE WHEN extra <> '' THEN [extra] ELSE [] END)) AS tokens"
+THIRD_SCORE = f"CASE WHEN {JACCARD} < 0.35 THEN {JACCARD} * CAST(0.7 AS DOUBLE) ELSE {JACCARD} * CAST(0.7 AS DOUBLE) + CAST(0.15 AS DOUBLE) + CAST(0.07 AS DOUBLE) END"
+HARD_CASE = "CASE WHEN len(y.energies) = 0 THEN 'energy_missing' WHEN len(y.energies) > 1 THEN 'energy_ambiguous' WHEN x.energies <> y.energies THEN 'energy_mismatch' WHEN x.level <> y.level THEN 'level_mismatch' END"
+THIRD_SQL = f"""WITH x0 AS (SELECT *, [energy] AS energies, {THIRD_TOKENS}, {NORMAL} AS normal_name FROM ({A})), y0 AS (SELECT *, {ENERGY_C} AS energies, {THIRD_TOKENS}, {NORMAL} AS normal_name FROM ({C_SQL})),
+e AS (SELECT x.row_id AS a_id, y.row_id AS b_id, {HARD_CASE} AS reason FROM x0 x JOIN y0 y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year AND list_has_any([replace(x.model, ' ', ''), x.normal_name], [replace(y.model, ' ', ''), y.normal_name])),
+c AS (SELECT * FROM e WHERE reason IS NULL AND a_id NOT IN (SELECT a_id FROM e WHERE reason IS NOT NULL) AND b_id NOT IN (SELECT b_id FROM e WHERE reason IS NOT NULL)),
+u AS (SELECT *, count(*) OVER (PARTITION BY a_id) AS na, count(*) OVER (PARTITION BY b_id) AS nb FROM c),
+ga AS (SELECT a_id FROM c UNION SELECT a_id FROM e WHERE reason IS NOT NULL), gb AS (SELECT b_id FROM c UNION SELECT b_id FROM e WHERE reason IS NOT NULL),
+s9 AS (SELECT * FROM (SELECT x.row_id AS a_id, y.row_id AS b_id, CASE WHEN ({HARD_CASE}) IS NOT NULL THEN 0.0 ELSE {THIRD_SCORE} END AS score FROM x0 x JOIN y0 y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year
+  WHERE x.row_id NOT IN (SELECT a_id FROM ga) AND y.row_id NOT IN (SELECT b_id FROM gb)) WHERE score >= 0.58), {_mutual(9, True)}"""
 
 
 def _third(spark, sf_dir):
-    cols = lambda df, p: df.select("brand", "series", "year", "model", *[F.col(c).alias(f"{p}_{c}") for c in ("row_id", "energy", "level")])
-    a, c = build(spark, sf_dir, SOURCE_A), build(spark, sf_dir, SOURCE_C)
-    pairs = cols(a, "a").join(cols(c, "b"), ["brand", "series", "year", "model"])
-    reason = C.first_reason([("energy_mismatch", F.col("a_energy") != F.col("b_energy")), ("level_mismatch", F.col("a_level") != F.col("b_level"))])
-    return R.hard_blocks(pairs.withColumnRenamed("a_row_id", "a_id").withColumnRenamed("b_row_id", "b_id"), reason)
+    prepared = lambda s: R.third_features(side(spark, sf_dir, s))
+    return R.third_pairs(prepared(SOURCE_A), prepared(SOURCE_C))
 
 
-@query(THIRD + """, c AS (SELECT * FROM p WHERE reason IS NULL AND a_id NOT IN (SELECT a_id FROM p WHERE reason IS NOT NULL) AND b_id NOT IN (SELECT b_id FROM p WHERE reason IS NOT NULL)),
-u AS (SELECT *, count(*) OVER (PARTITION BY a_id) AS na, count(*) OVER (PARTITION BY b_id) AS nb FROM c) SELECT a_id, b_id FROM u WHERE na = 1 AND nb = 1""")
+@query(THIRD_SQL + " SELECT a_id, b_id, 'third_exact' AS level, CAST(1 AS DOUBLE) AS score FROM u WHERE na = 1 AND nb = 1 UNION ALL SELECT a_id, b_id, 'third_series_year', round(score, 9) FROM m9")
 def third_source(spark, sf_dir):
-    return R.unique_claims(_third(spark, sf_dir)[0]).select("a_id", "b_id")
+    return _third(spark, sf_dir)[0].withColumn("score", F.round("score", 9))
 
 
-@query(THIRD + " SELECT a_id, b_id, reason FROM p WHERE reason IS NOT NULL")
+@query(THIRD_SQL + " SELECT a_id, b_id, reason FROM e WHERE reason IS NOT NULL")
 def third_source_hard_block(spark, sf_dir):
     return _third(spark, sf_dir)[1].select("a_id", "b_id", "reason")
 
 
-@query(f"""SELECT p_partkey AS row_id, {", ".join(f"array_to_string({_set('p_name', w)}, '+') AS {d}" for d, w in RULES.items())} FROM part""")
+@query(f"""SELECT row_id, {", ".join(f"array_to_string(list_sort({v}), '+') AS {d}" for d, v in SIGNED.items())} FROM ({A})""")
 def variant_signature(spark, sf_dir):
-    s = E.signature(F.col("p_name"), RULES)
-    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), *[F.array_join(s[d], "+").alias(d) for d in RULES])
+    s = side(spark, sf_dir, SOURCE_A)
+    return s.select("row_id", *[F.array_join(F.array_sort(F.col("signature")[d]), "+").alias(d) for d in DIMENSIONS])
+
+
+@query(f"""SELECT row_id, array_to_string(list_sort({BATTERY}), '+') AS battery, CASE WHEN ending = 4 THEN 'long_range' ELSE '' END AS range_class, array_to_string(list_sort({TOKENS}), ' ') AS tokens FROM ({B})""")
+def model_evidence(spark, sf_dir):
+    """E2, E3."""
+    s = side(spark, sf_dir, SOURCE_B)
+    joined = lambda c, by: F.array_join(F.array_sort(c), by)
+    return s.select(
+        "row_id", joined(F.col("evidence.battery"), "+").alias("battery"), joined(F.col("evidence.range_class"), "+").alias("range_class"), joined(F.col("tokens"), " ").alias("tokens")
+    )
 
 
-@query(f"""WITH x AS (SELECT *, {_words('model')} AS tokens FROM ({A})), y AS (SELECT *, {_words('model')} AS tokens FROM ({B}))
+@query(f"""WITH t AS (SELECT *, {THIRD_TOKENS} FROM ({C_SQL})) SELECT row_id, array_to_string(list_sort(tokens), ' ') AS tokens, array_to_string(list_sort({ENERGY_C}), '+') AS energies FROM t""")
+def third_tokens(spark, sf_dir):
+    """E4, E5."""
+    t = R.third_features(records(spark, sf_dir, SOURCE_C))
+    return t.select("row_id", F.array_join(F.array_sort("third_tokens"), " ").alias("tokens"), F.array_join("energies", "+").alias("energies"))
+
+
+@query(f"""WITH x AS (SELECT *, {TOKENS} AS tokens FROM ({A})), y AS (SELECT *, {TOKENS} AS tokens FROM ({B}))
 SELECT x.row_id, round({JACCARD}, 9) AS jaccard FROM x JOIN y USING (row_id)""")
 def token_jaccard(spark, sf_dir):
-    a = build(spark, sf_dir, SOURCE_A).select("row_id", E.tokens(F.col("model")).alias("ta"))
-    b = build(spark, sf_dir, SOURCE_B).select("row_id", E.tokens(F.col("model")).alias("tb"))
+    a = side(spark, sf_dir, SOURCE_A).select("row_id", F.col("tokens").alias("ta"))
+    b = side(spark, sf_dir, SOURCE_B).select("row_id", F.col("tokens").alias("tb"))
     return a.join(b, "row_id").select("row_id", F.round(E.jaccard(F.col("ta"), F.col("tb")), 9).alias("jaccard"))
 
 
@@ -179,7 +234,7 @@ def fuse_values(spark, sf_dir):
     return U.fuse_values(_cells(spark, sf_dir), identity_keys=("model",))
 
 
-@query(f"""WITH x AS ({A}), y AS ({C_SQL}) SELECT x.row_id, CASE WHEN x.energy = y.energy THEN x.energy ELSE concat('A:', x.energy, '|C:', y.energy) END AS value FROM x JOIN y USING (row_id)""")
+@query(f"""WITH x AS ({A}), y AS ({C_SQL}) SELECT x.row_id, CASE WHEN y.energy = '' THEN x.energy ELSE concat('A:', x.energy, '|C:', y.energy) END AS value FROM x JOIN y USING (row_id)""")
 def fuse_incremental(spark, sf_dir):
     a = build(spark, sf_dir, SOURCE_A).select("row_id", "energy")
     c = build(spark, sf_dir, SOURCE_C).select("row_id", F.col("energy").alias("incoming"))
@@ -194,7 +249,7 @@ def provenance_clean(spark, sf_dir):
     return U.contradictions(df).select("row_id", "clean", "removed")
 
 
-UNITED = f"SELECT * FROM ({A}) UNION ALL SELECT row_id, ordinal + 1000000, source, brand, series, year, model, energy, level, size, price FROM ({B})"
+UNITED = f"SELECT * FROM ({A}) UNION ALL BY NAME SELECT * REPLACE (ordinal + 1000000 AS ordinal) FROM ({B})"
 
 
 def _united(spark, sf_dir):
@@ -254,17 +309,118 @@ def stable_union(spark, sf_dir):
     return Q.stable_union(build(spark, sf_dir, SOURCE_A), build(spark, sf_dir, SOURCE_B), ["row_id"]).select("row_id", "source")
 
 
-@query(f"""WITH x AS ({B}), y AS ({A}) SELECT coalesce(x.row_id, y.row_id) AS row_id, CASE WHEN x.row_id IS NULL THEN 'add' WHEN y.row_id IS NULL THEN 'orphan' WHEN x.size = '-' AND y.size <> '-' THEN 'enrich' ELSE 'keep' END AS action,
-CASE WHEN x.row_id IS NULL OR (x.size = '-' AND y.size <> '-') THEN y.size ELSE x.size END AS size, coalesce(x.price, y.price) AS price FROM x FULL JOIN y ON x.row_id = y.row_id""")
+SIDES = f"WITH a0 AS (SELECT *, {FEATURES} FROM ({A})), b0 AS ({B_YEARS}, {FEATURES} FROM ({B}))"
+BASELINE = SIDES + f""",
+base AS (SELECT *, concat(CASE WHEN row_id % 6 = 0 OR row_id % 9 = 0 OR row_id % 7 = 0 THEN 'x' ELSE 'k' END, row_id) AS key, CASE WHEN row_id % 3 = 0 THEN ['A'] ELSE ['A', 'B'] END AS sources,
+  ending = 3 AND row_id % 3 <> 2 AS contra, concat(lower(brand), '|', lower(series), '|', year) AS bucket, row_id % 4 <> 0 AS has_id FROM a0),
+cand AS (SELECT *, concat('k', row_id) AS key, CASE row_id % 3 WHEN 0 THEN ['A', 'B'] WHEN 1 THEN ['A'] ELSE ['B'] END AS sources, CASE WHEN year > 0 THEN concat(lower(brand), '|', lower(series), '|', year) END AS bucket FROM b0),
+one AS (SELECT bucket, s, count(*) AS n, any_value(tier) AS tier FROM (SELECT bucket, tier, unnest(sources) AS s FROM cand) GROUP BY bucket, s),
+fewer AS (SELECT b.key, b.contra, c.tier, c.bucket, list_filter(b.sources, lambda z: NOT list_contains(c.sources, z))[1] AS s FROM base b JOIN cand c USING (key) WHERE len(c.sources) < len(b.sources)),
+proven AS (SELECT f.key FROM fewer f LEFT JOIN one o ON o.bucket = f.bucket AND o.s = f.s WHERE f.contra OR (o.n = 1 AND len(f.tier) > 0 AND len(o.tier) > 0 AND NOT list_has_any(f.tier, o.tier))),
+sx AS (SELECT * FROM (SELECT x.key AS ak, y.key AS bk, {SCORE} AS score FROM base x JOIN cand y ON x.bucket = y.bucket WHERE len(x.sources) = 1 AND len(y.sources) > 1 AND x.key NOT IN (SELECT key FROM cand) AND NOT ({CONFLICT})) WHERE score >= 0.85),
+tx AS (SELECT *, max(score) OVER (PARTITION BY ak) AS ta, max(score) OVER (PARTITION BY bk) AS tb FROM sx),
+ux AS (SELECT *, sum(CASE WHEN score = ta THEN 1 ELSE 0 END) OVER (PARTITION BY ak) AS na, sum(CASE WHEN score = tb THEN 1 ELSE 0 END) OVER (PARTITION BY bk) AS nb FROM tx),
+alias AS (SELECT ak AS key, bk, score FROM ux WHERE score = ta AND score = tb AND na = 1 AND nb = 1),
+retired AS (SELECT key FROM base WHERE key NOT IN (SELECT key FROM cand) AND len(sources) = 2 AND has_id AND contra),
+j AS (SELECT coalesce(b.key, c.key) AS key, b.sources AS bs, c.sources AS cs, y.sources AS ys, b.size AS bsize, c.size AS csize, y.size AS ysize, b.price AS bprice, c.price AS cprice,
+  CASE WHEN b.key IS NULL THEN 'add' WHEN b.key IN (SELECT key FROM proven) THEN 'de_enrich' WHEN c.key IS NOT NULL AND len(list_filter(c.sources, lambda z: NOT list_contains(b.sources, z))) > 0 THEN 'enrich'
+    WHEN c.key IS NULL AND y.key IS NOT NULL THEN 'alias' WHEN b.key IN (SELECT key FROM retired) THEN 'retire' ELSE 'keep' END AS action
+  FROM base b FULL JOIN cand c ON b.key = c.key LEFT JOIN alias l ON l.key = b.key LEFT JOIN cand y ON y.key = l.bk)"""
+
+
+def _publishing(spark, sf_dir):
+    """A as the baseline, B as the candidate."""
+    k = F.col("row_id")
+    bucket = F.when(F.col("years") > 0, F.concat_ws("|", "brand_text", "series_text", "years"))
+    battery = F.when(k % 3 != 2, "60").otherwise(F.col("battery"))
+    base = side(spark, sf_dir, SOURCE_A).select(
+        "*", F.concat(F.when((k % 6 == 0) | (k % 9 == 0) | (k % 7 == 0), "x").otherwise("k"), k.cast("string")).alias("key"),
+        F.when(k % 3 == 0, F.array(F.lit("A"))).otherwise(F.array(F.lit("A"), F.lit("B"))).alias("sources"), bucket.alias("bucket"),
+        P.battery_contradiction(F.col("model"), F.create_map(F.lit("电池能量(kWh)"), battery)).alias("battery_contradiction"), (k % 4 != 0).alias("has_id"),
+    )
+    candidate = side(spark, sf_dir, SOURCE_B).select(
+        "*", F.concat(F.lit("k"), k.cast("string")).alias("key"), bucket.alias("bucket"),
+        F.when(k % 3 == 0, F.array(F.lit("A"), F.lit("B"))).when(k % 3 == 1, F.array(F.lit("A"))).otherwise(F.array(F.lit("B"))).alias("sources"),
+    )
+    return materialise(base, "baseline"), materialise(candidate, "candidate")
+
+
+@query(BASELINE + """ SELECT key, action, array_to_string(list_sort(CASE action WHEN 'add' THEN cs WHEN 'de_enrich' THEN cs WHEN 'enrich' THEN list_distinct(list_concat(bs, cs)) WHEN 'alias' THEN list_distinct(list_concat(bs, ys)) WHEN 'retire' THEN ['A'] ELSE bs END), '+') AS sources,
+CASE WHEN action IN ('add', 'de_enrich') THEN csize ELSE bsize END AS size, CASE WHEN action IN ('add', 'de_enrich') THEN cprice ELSE bprice END AS price FROM j""")
 def preserve_baseline(spark, sf_dir):
-    return P.preserve(build(spark, sf_dir, SOURCE_B), build(spark, sf_dir, SOURCE_A), "row_id", ["size", "price"])
+    return P.preserve(*_publishing(spark, sf_dir), ["size", "price"]).withColumn("sources", F.array_join("sources", "+"))
 
 
-@query(f"""WITH x AS ({A}), o AS (SELECT brand, series, year, source, min(size) AS seen FROM x WHERE row_id % 2 = 0 GROUP BY ALL HAVING count(*) = 1)
-SELECT CAST(x.row_id AS VARCHAR) AS key, x.source, x.size AS baseline_evidence, o.seen AS candidate_evidence FROM x JOIN o USING (brand, series, year, source) WHERE x.size <> o.seen""")
+@query(BASELINE + " SELECT action, CAST(count(*) AS BIGINT) AS n FROM j GROUP BY action")
+def preserve_counts(spark, sf_dir):
+    return P.action_counts(P.preserve(*_publishing(spark, sf_dir), ["size", "price"]))
+
+
+@query(BASELINE + " SELECT key, 'proven' AS because FROM proven UNION ALL SELECT key, 'absent' FROM retired")
 def source_retirement(spark, sf_dir):
-    a = build(spark, sf_dir, SOURCE_A).withColumn("key", F.col("row_id").cast("string"))
-    return P.proven_retired(a, a.where("row_id % 2 = 0"), ["brand", "series", "year"], "size")
+    base, candidate = _publishing(spark, sf_dir)
+    proven = P.proven_retired(base, candidate).withColumn("because", F.lit("proven"))
+    return proven.unionByName(P.absent_retired(base, candidate, "B").withColumn("because", F.lit("absent")))
+
+
+@query(BASELINE + " SELECT key AS a_key, bk AS b_key, round(score, 9) AS score FROM alias")
+def alias_matches(spark, sf_dir):
+    """F16."""
+    return P.alias_matches(*_publishing(spark, sf_dir)).withColumn("score", F.round("score", 9))
+
+
+@query(SIDES + " SELECT row_id FROM a0 WHERE row_id % 3 = 0")
+def single_source_subset(spark, sf_dir):
+    """K7."""
+    base, _ = _publishing(spark, sf_dir)
+    return P.single_source(base, "A")[0].select("row_id")
+
+
+@query(SIDES + " SELECT CAST(sum(CASE WHEN row_id % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN row_id % 3 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS cross_source, CAST(0 AS BIGINT) AS other FROM a0")
+def single_source_counts(spark, sf_dir):
+    """K7."""
+    return P.single_source(_publishing(spark, sf_dir)[0], "A")[1]
+
+
+# Records with bodies and motors, for the rules of conflict.
+BODIES = {"A": "CASE WHEN row_id % 2 = 0 THEN 'SUV' ELSE '三厢轿车' END", "B": "CASE WHEN row_id % 3 = 0 THEN 'suv' ELSE '-' END"}
+MOTORS = {"A": "CASE WHEN row_id % 5 = 1 THEN '双电机' ELSE '-' END", "B": "CASE WHEN row_id % 4 = 2 THEN '驱动电机数 1' ELSE '-' END"}
+
+
+@query(SIDES + f""", x AS (SELECT *, {MOTORS['A']} AS motor, {BODIES['A']} AS body FROM a0), y AS (SELECT *, {MOTORS['B']} AS motor, {BODIES['B']} AS body FROM b0)
+SELECT x.row_id AS a_id, y.row_id AS b_id, CASE {" ".join(f"WHEN len(x.{d}) > 0 AND len(y.{d}) > 0 AND NOT list_has_any(x.{d}, y.{d}) THEN '{d}_mismatch'" for d in DIMENSIONS)}
+WHEN x.energy <> y.energy THEN 'energy_mismatch' WHEN x.motor <> '-' AND y.motor <> '-' THEN 'motor_count_mismatch' WHEN y.body = 'suv' AND x.body <> 'SUV' THEN 'body_mismatch' END AS reason
+FROM x JOIN y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year""")
+def conflict_reasons(spark, sf_dir):
+    """I5, E6-E9."""
+    def told(sql: str, name: str, p: str):
+        df = side(spark, sf_dir, sql)
+        more = F.map_concat("attrs", F.create_map(F.lit("车身结构"), F.expr(BODIES[name]), F.lit("电机描述"), F.expr(MOTORS[name])))
+        df = C.conflict_features(df.withColumn("attrs", more))
+        kept = ["row_id", *[c for c in df.columns if c.startswith("c_")]]
+        return df.where("years > 0").select("brand_text", "series_text", "years", *[F.col(c).alias(p + c) for c in kept])
+
+    pairs = told(SOURCE_A, "A", "l_").join(told(SOURCE_B, "B", "r_"), ["brand_text", "series_text", "years"])
+    return pairs.select(F.col("l_row_id").alias("a_id"), F.col("r_row_id").alias("b_id"), C.conflict_reason().alias("reason"))
+
+
+DISPATCH = f"""CASE WHEN y.row_id % 2 = 0 THEN 0.0 WHEN ({HARD_CASE}) = 'energy_ambiguous' AND x.energy = '纯电' AND {JACCARD} >= 0.35 THEN {JACCARD} * CAST(0.7 AS DOUBLE) + CAST(0.15 AS DOUBLE) + CASE WHEN x.level = y.level THEN CAST(0.07 AS DOUBLE) ELSE 0 END
+WHEN ({HARD_CASE}) = 'energy_ambiguous' AND x.energy = '纯电' THEN {JACCARD} * CAST(0.7 AS DOUBLE) WHEN ({HARD_CASE}) IS NOT NULL THEN 0.0 ELSE {THIRD_SCORE} END"""
+
+
+@query(THIRD_SQL + f" SELECT x.row_id AS a_id, y.row_id AS b_id, round({DISPATCH}, 9) AS score FROM x0 x JOIN y0 y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year")
+def dispatched_scores(spark, sf_dir):
+    """F18."""
+    def told(sql: str, sources, p: str):
+        df = R.third_features(side(spark, sf_dir, sql))
+        kinds = E.component_signature(*[F.col(c) for c in ("brand", "series", "model", "energy", "level", "attrs")])["energy"]
+        df = df.withColumn("sources", sources).withColumn("kinds", kinds)
+        columns = (*R.SCORED, *R.THIRD[1:4], "sources", "kinds")
+        return R.side(df, ["brand_text", "series_text", "years"], p, columns)
+
+    other = F.when(F.col("row_id") % 2 == 0, F.array(F.lit("A"))).otherwise(F.array(F.lit("易车")))
+    pairs = told(SOURCE_A, F.array(F.lit("A")), "a").join(told(SOURCE_C, other, "b"), ["brand_text", "series_text", "years"])
+    return pairs.select(F.col("a_row_id").alias("a_id"), F.col("b_row_id").alias("b_id"), F.round(R.dispatched_score(), 9).alias("score"))
 
 
 @query("""WITH n AS (SELECT p_partkey AS row_id, concat(p_brand, p_type, p_size) AS k1, concat(p_name, p_brand) AS k2 FROM part)
@@ -280,7 +436,66 @@ def components(spark, sf_dir):
     n = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.concat("p_brand", "p_type", "p_size").alias("k"))
     chained = n.where("row_id % 50 = 0").select(F.col("row_id").alias("l"), (F.col("row_id") + 1).alias("r"))
     known = chained.join(n, chained["r"] == n["row_id"], "left_semi")
-    return C.components(R.blocking_pairs(n, [F.col("k")]).unionByName(known), n.select(F.col("row_id").alias("node")))
+    return C.components(C.key_links(n, [F.col("k")]).unionByName(known), n.select(F.col("row_id").alias("node")))
+
+
+# Nodes of three sources; some links join rows of one source, some pairs conflict, some ids stand in nodes of several sources.
+NODES = """SELECT concat(s, ':', lpad(CAST(row_id AS STRING), 9, '0')) AS node, s, row_id, CASE WHEN s = 'M' THEN concat(brand, '|', CAST(row_id % 60 AS STRING)) ELSE concat(brand, '|', CAST(row_id % 60 AS STRING)) END AS bucket
+FROM (SELECT p_partkey AS row_id, p_brand AS brand FROM {part}) p CROSS JOIN (SELECT 'A' AS s UNION ALL SELECT 'B' UNION ALL SELECT 'C' UNION ALL SELECT 'M') t WHERE s <> 'M' OR row_id % 60 = 0"""
+NODE_LINKS = """SELECT concat('A:', lpad(CAST(p_partkey AS STRING), 9, '0')) AS l, concat('B:', lpad(CAST(p_partkey AS STRING), 9, '0')) AS r FROM {part} WHERE p_partkey % 4 = 0
+UNION ALL SELECT concat('C:', lpad(CAST(p_partkey AS STRING), 9, '0')), concat('A:', lpad(CAST(p_partkey AS STRING), 9, '0')) FROM {part} WHERE p_partkey % 3 = 0
+UNION ALL SELECT concat('B:', lpad(CAST(p_partkey AS STRING), 9, '0')), concat('B:', lpad(CAST(p_partkey - 4 AS STRING), 9, '0')) FROM {part} WHERE p_partkey % 48 = 4"""
+GROWN = f"""WITH RECURSIVE n AS ({text(NODES)}), k AS ({text(NODE_LINKS)}), e AS (SELECT l AS a, r AS b FROM k UNION SELECT r, l FROM k),
+c(id, component) AS (SELECT node, node FROM n WHERE s <> 'M' UNION SELECT e.a, c.component FROM c JOIN e ON e.b = c.id AND c.component < e.a), f AS (SELECT id AS node, min(component) AS component FROM c GROUP BY id),
+g AS (SELECT component, count(*) AS n, count(DISTINCT s) AS ss, max(CASE WHEN s = 'A' AND row_id % 20 = 0 THEN 1 ELSE 0 END) AS bad, max(CASE WHEN row_id % 60 = 0 THEN 1 ELSE 0 END) AS known, string_agg(node, '","' ORDER BY node) AS members FROM f JOIN n USING (node) GROUP BY component HAVING count(*) > 1)"""
+
+
+def _graph(spark, sf_dir):
+    nodes = build(spark, sf_dir, NODES).select(
+        "node", F.when(F.col("s") == "M", F.array(F.lit("A"), F.lit("B"))).otherwise(F.array("s")).alias("sources"), F.lit(1).alias("n_rows"),
+        F.array(F.col("row_id").cast("string")).alias("ids"), "bucket", "s", "row_id",
+    )
+    labels = C.components(build(spark, sf_dir, NODE_LINKS), nodes.where("s <> 'M'").select("node"))
+    return nodes, materialise(labels, "labels")
+
+
+@query(GROWN + """ SELECT component, CAST(n AS BIGINT) AS n, CASE WHEN ss < n THEN 'duplicate_source' WHEN bad = 1 THEN 'hard_conflict' WHEN known = 1 THEN 'existing_multi_id' END AS reason,
+CASE WHEN ss = n AND bad = 0 AND known = 0 THEN substr(sha256(concat('["', members, '"]')), 1, 24) END AS component_id FROM g""")
+def accepted_components(spark, sf_dir):
+    """I1."""
+    nodes, labels = _graph(spark, sf_dir)
+    conflicts = nodes.where("s = 'A' and row_id % 20 = 0").select(F.col("node").alias("l"), F.regexp_replace("node", "^A", "B").alias("r"), F.lit("x").alias("reason"))
+    return C.accepted(labels, nodes, conflicts)
+
+
+@query("""WITH p AS (SELECT p_partkey AS g, p_name FROM part WHERE p_partkey % 8 = 0), c AS (SELECT p_name, p_brand, count(*) AS n FROM part WHERE p_partkey % 8 = 0 GROUP BY ALL)
+SELECT CAST(p_partkey AS BIGINT) AS group_id, CASE WHEN p_partkey % 5 = 0 THEN 'not_unique' WHEN p_partkey % 3 = 0 THEN 'sources' WHEN p_partkey % 7 = 0 THEN 'wrong_id' END AS reason,
+CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 3 <> 0 AND p_partkey % 7 <> 0 THEN concat('A:', p_partkey, '+B:', p_partkey) END AS nodes FROM part WHERE p_partkey % 8 = 0""")
+def approved_components(spark, sf_dir):
+    """Pairs of an allow-list; some name a member that isn't there, some join one source to itself, some bear another id."""
+    k = F.col("p_partkey")
+    part = load(spark, sf_dir, "part").where(k % 8 == 0)
+    node = lambda s: F.concat(F.lit(f"{s}:"), k.cast("string"))
+    source = lambda s: F.array(F.when(k % 3 == 0, "A").otherwise(s))
+    nodes = part.select(node("A").alias("node"), source("A").alias("sources"), node("A").alias("name")).unionByName(
+        part.select(node("B").alias("node"), source("B").alias("sources"), node("B").alias("name"))
+    )
+    claimed = F.when(k % 7 == 0, "stale").otherwise(C.component_id(F.array(node("A"), node("B"))))
+    second = F.when(k % 5 == 0, F.concat(F.lit("no "), node("B"))).otherwise(node("B"))
+    members = part.select(k.alias("group_id"), claimed.alias("claimed_id"), F.explode(F.array(node("A"), second)).alias("name"))
+    return C.approved(members, nodes, ["name"]).withColumn("nodes", F.array_join("nodes", "+"))
+
+
+@query(GROWN + """, v AS (SELECT f.node, substr(sha256(concat('["', members, '"]')), 1, 24) AS cid FROM f JOIN g USING (component) WHERE ss = n AND bad = 0 AND known = 0),
+t AS (SELECT n.node, CASE WHEN v.node IS NOT NULL THEN 'v1' WHEN row_id % 8 = 0 AND s = 'B' THEN 'v3' END AS stage, coalesce(v.cid, CASE WHEN row_id % 8 = 0 AND s = 'B' THEN concat('p', row_id) END) AS component_id FROM n LEFT JOIN v USING (node))
+SELECT stage, CAST(count(*) AS BIGINT) AS nodes, CAST(count(DISTINCT component_id) AS BIGINT) AS components FROM t WHERE stage IS NOT NULL GROUP BY stage""")
+def component_stages(spark, sf_dir):
+    """I4: components of the first stage stand before those of a later one."""
+    nodes, labels = _graph(spark, sf_dir)
+    conflicts = nodes.where("s = 'A' and row_id % 20 = 0").select(F.col("node").alias("l"), F.regexp_replace("node", "^A", "B").alias("r"))
+    found = C.accepted(labels, nodes, conflicts).where("reason is null").join(labels, "component").select("node", "component_id")
+    later = nodes.where("row_id % 8 = 0 and s = 'B'").select("node", F.concat(F.lit("p"), F.col("row_id").cast("string")).alias("component_id"))
+    return C.annotate(nodes.select("node"), [("v1", found), ("v3", later)])[1]
 
 
 EDGES = f"""SELECT x.row_id AS single, y.row_id AS multi, round(abs(CAST(x.size AS DOUBLE) - CAST(y.size AS DOUBLE)), 6) AS gap, x.row_id = y.row_id AS same_id FROM ({A}) x JOIN ({C_SQL}) y ON x.brand = y.brand AND x.series = y.series AND x.year = y.year"""
@@ -288,13 +503,17 @@ EDGES = f"""SELECT x.row_id AS single, y.row_id AS multi, round(abs(CAST(x.size
 
 @query(f"""WITH e AS (SELECT single, multi, 1 / (1 + gap) AS score, same_id FROM ({EDGES})), m AS (SELECT *, sum(CASE WHEN same_id THEN 1 ELSE 0 END) OVER w AS ids, max(score) OVER w AS best FROM e WINDOW w AS (PARTITION BY single)),
 t AS (SELECT *, sum(CASE WHEN best - score <= 1e-12 THEN 1 ELSE 0 END) OVER (PARTITION BY single) AS ties FROM m)
-SELECT single, multi, round(score, 9) AS score, CASE WHEN ids = 1 THEN 'stable_id' ELSE 'score' END AS because FROM t WHERE (ids = 1 AND same_id) OR (ids = 0 AND score = best AND ties = 1)""")
+, r AS (SELECT single, multi, round(score, 9) AS score, CASE WHEN ids = 1 THEN 'stable_id' ELSE 'score' END AS because FROM t WHERE (ids = 1 AND same_id) OR (ids = 0 AND score = best AND ties = 1))
+SELECT * FROM r WHERE multi NOT IN (SELECT x.multi FROM r x JOIN r y ON x.multi = y.multi AND x.single < y.single WHERE x.single % 2 <> y.single % 2)""")
 def absorption(spark, sf_dir):
     x, y = build(spark, sf_dir, SOURCE_A), build(spark, sf_dir, SOURCE_C)
     pairs = x.alias("x").join(y.alias("y"), ["brand", "series", "year"])
     gap = F.abs(F.col("x.size").cast("double") - F.col("y.size").cast("double"))
     edges = pairs.select(F.col("x.row_id").alias("single"), F.col("y.row_id").alias("multi"), (1 / (1 + gap)).alias("score"), (F.col("x.row_id") == F.col("y.row_id")).alias("same_id"))
-    return C.absorb(edges).withColumn("score", F.round("score", 9))
+    edges = materialise(edges, "edges")
+    l, r = (edges.select("multi", F.col("single").alias(s)) for s in "lr")
+    conflicts = l.join(r, "multi").where("l < r and l % 2 <> r % 2").select("l", "r").distinct()
+    return C.absorb(edges, conflicts).withColumn("score", F.round("score", 9))
 
 
 @query(f"""WITH e AS (SELECT single AS l, multi AS r, round(1 / (1 + gap), 9) AS score FROM ({EDGES}) WHERE NOT same_id), k AS (SELECT *, lead(score) OVER w AS next, row_number() OVER w AS n FROM e WINDOW w AS (PARTITION BY l ORDER BY score DESC, r))
@@ -310,7 +529,10 @@ def _candidate_edges(spark, sf_dir):
     return pairs.select(F.col("x.row_id").alias("l"), F.col("y.row_id").alias("r"), F.round(1 / (1 + gap), 9).alias("score"))
 
 
-@query()
+@query(f"""WITH RECURSIVE e AS (SELECT single AS l, multi AS r, round(1 / (1 + gap), 9) AS score FROM ({EDGES}) WHERE NOT same_id), k AS (SELECT *, lead(score) OVER w AS next, row_number() OVER w AS n FROM e WINDOW w AS (PARTITION BY l ORDER BY score DESC, r)),
+p AS (SELECT l, r, score, row_number() OVER (ORDER BY score DESC, l, r) AS k FROM k WHERE n = 1 AND score >= 0.2 AND (next IS NULL OR score - next >= 0.08)),
+g(k, used, took) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]), false UNION ALL SELECT p.k, CASE WHEN list_contains(used, p.l) OR list_contains(used, p.r) THEN used ELSE list_concat(used, [p.l, p.r]) END, NOT (list_contains(used, p.l) OR list_contains(used, p.r)) FROM g JOIN p ON p.k = g.k + 1)
+SELECT l, r, score FROM p JOIN g USING (k) WHERE took""")
 def greedy_disjoint(spark, sf_dir):
     edges = materialise(R.best_with_margin(_candidate_edges(spark, sf_dir), 0.2, 0.08), "edges")
     return R.greedy_disjoint(edges.where("l <> r"))

@@ -102,10 +102,23 @@ def series_groups_price_rep(spark, sf_dir):
     return Q.group_rows(df, ["p_brand"], "price")
 
 
-@query(f"""WITH s AS ({SPREAD_SQL}), p AS (SELECT brand, CAST(unnest(string_split(sizes, '|')) AS DOUBLE) AS v FROM s)
-SELECT brand, CASE WHEN min(v) = max(v) THEN CAST(CAST(min(v) AS INT) AS VARCHAR) ELSE concat(CAST(CAST(min(v) AS INT) AS VARCHAR), '-', CAST(CAST(max(v) AS INT) AS VARCHAR)) END AS summary FROM p GROUP BY brand""")
+@query(f"""WITH s AS ({SPREAD_SQL}), v AS (SELECT DISTINCT brand, n FROM s WHERE row_id % 5 <> 0), x AS (SELECT DISTINCT brand FROM s WHERE row_id % 5 = 0),
+r AS (SELECT brand, count(*) AS c, min(n) AS lo, max(n) + 7 AS hi FROM v GROUP BY brand)
+SELECT brand, CASE WHEN c = 1 AND brand NOT IN (SELECT brand FROM x) THEN concat(lo, '万|A:', lo + 7, '.5万') ELSE concat(lo, '-', hi, '.5万') END AS summary FROM r
+UNION ALL SELECT brand, '999' FROM x WHERE brand NOT IN (SELECT brand FROM v)""")
 def group_summary(spark, sf_dir):
-    return Q.summary(spread(spark, sf_dir), ["brand"], "sizes")
+    """Ranges of all parts with their unit; 999 stands for nothing, unless it is all there is."""
+    x = F.when(F.col("row_id") % 5 == 0, "999").otherwise(F.concat("n", F.lit("万|A:"), F.col("n") + 7, F.lit(".5万")))
+    return Q.summary(spread(spark, sf_dir).withColumn("x", x), ["brand"], "x")
+
+
+@query(f"""WITH s AS ({SPREAD_SQL}) SELECT row_id, CASE row_id % 3 WHEN 0 THEN '纯电动/汽油' WHEN 1 THEN '插电式混合动力' ELSE '-5' END AS summary FROM s WHERE row_id % 3 < 2""")
+def label_summary(spark, sf_dir):
+    """Values that are no numbers, under their usual names."""
+    k = F.col("row_id") % 3
+    x = F.when(k == 0, F.array(F.lit("A:纯电/汽油"), F.lit("纯电动"))).when(k == 1, F.array(F.lit(" A:插电混合 "))).otherwise(F.array(F.lit("-")))
+    rows = spread(spark, sf_dir).select("row_id", F.posexplode(x).alias("ordinal", "x"))
+    return Q.summary(rows, ["row_id"], "x")
 
 
 @query("SELECT p_brand AS value, CAST(count(*) AS BIGINT) AS n FROM part GROUP BY p_brand")
@@ -144,7 +157,7 @@ VARIANT = "CASE WHEN o_orderkey % 3 = 0 THEN lower(o_orderpriority) WHEN o_order
 
 
 @query(f"""WITH v AS (SELECT {VARIANT} AS value FROM orders), c AS (SELECT value, count(*) AS n FROM v GROUP BY value)
-SELECT 'priority' AS key, lower(replace(value, ' ', '')) AS canonical, CAST(count(*) AS BIGINT) AS spellings, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 2 HAVING count(*) > 1""")
+SELECT 'priority' AS key, lower(trim(value)) AS canonical, CAST(count(*) AS BIGINT) AS spellings, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY 2 HAVING count(*) > 1""")
 def enum_variants(spark, sf_dir):
     df = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), F.expr(VARIANT).alias("priority"))
     return H.value_variants(to_attrs(df, ["priority"]))
@@ -157,11 +170,19 @@ def header_alias(spark, sf_dir):
     return H.rename_headers(to_attrs(df, ["宽度_mm_", "title"], drop_missing=False), {"宽度(mm)": "width(mm)", "title": "model"})
 
 
-@query("""WITH u AS (SELECT p_partkey AS row_id, CASE p_partkey % 4 WHEN 0 THEN 'w[mm]' WHEN 1 THEN 'w_mm_' WHEN 2 THEN 'w（mm）' ELSE 'w_v4_value' END AS h FROM part)
-SELECT row_id, CASE WHEN h = 'w_v4_value' THEN 'w' ELSE 'w(mm)' END AS name FROM u""")
+HEADERS = "CASE p_partkey % 10 WHEN 0 THEN ' w[mm]' WHEN 1 THEN 'w_mm_' WHEN 2 THEN 'w（mm）' WHEN 3 THEN 'x_v4_a b' WHEN 4 THEN '油耗_L_100km_' WHEN 5 THEN '加速[s]' WHEN 6 THEN 'a—b' WHEN 7 THEN '转矩[N·m]' WHEN 8 THEN 'w_mm' ELSE 'v_kWh_100km_' END"
+
+
+@query("""SELECT p_partkey AS row_id, CASE p_partkey % 10 WHEN 3 THEN 'X' WHEN 4 THEN '油耗(L/100km)' WHEN 5 THEN '零到百(s)' WHEN 6 THEN 'a-b' WHEN 7 THEN '转矩(N·m)' WHEN 8 THEN 'w_mm' WHEN 9 THEN 'v(kWh/100km)' ELSE 'w(mm)' END AS name FROM part""")
 def unit_header(spark, sf_dir):
-    h = F.expr("CASE p_partkey % 4 WHEN 0 THEN 'w[mm]' WHEN 1 THEN 'w_mm_' WHEN 2 THEN 'w（mm）' ELSE 'w_v4_value' END")
-    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), H.header(h, {}).alias("name"))
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), H.header(F.expr(HEADERS), {"加速(s)": "零到百(s)", "x_v4": "X"}).alias("name"))
+
+
+@query("""SELECT p_partkey AS row_id, CASE p_partkey % 10 WHEN 3 THEN 'X' WHEN 4 THEN '油耗(L/100km)' WHEN 5 THEN '零到百(s)' WHEN 6 THEN 'a-b' WHEN 7 THEN 'torque' WHEN 8 THEN 'W' WHEN 9 THEN 'v(kWh/100km)' ELSE 'w(mm)' END AS name FROM part""")
+def audited_header(spark, sf_dir):
+    """Only headers that needed care, or are audited, use the alias table."""
+    name = H.audited_header(F.expr(HEADERS), {"加速(s)": "零到百(s)", "x_v4": "X", "w_mm": "W"}, ("w_mm",), {"转矩[N·m]": "torque"})
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), name.alias("name"))
 
 
 @query("""SELECT p_partkey AS row_id, 'type' AS name, p_type AS value FROM part WHERE p_type IN ('ECONOMY', 'PROMO')
@@ -195,35 +216,87 @@ def fold_duplicate_columns(spark, sf_dir):
     return H.foldable_columns(to_attrs(df, ["size", "size(mm)", "brand", "brand(name)"]))
 
 
-DIAGNOSED = {"brand": "p_brand", "type - ECONOMY": "p_type", "w[mm]": "p_size", "42": "p_name", "x_v4_value": "p_name", "pack_1": "p_name"}
+DIAGNOSED = {
+    "brand": "p_brand", "type - ECONOMY": "p_type", "laser_radar_v4_有": "p_name", "battery_brand_v4": "p_name", "seat_v2": "p_name", "seat_v2_Nappa Leather": "p_name",
+    "座椅(真皮)": "p_name", "宽度(mm)": "p_size", "专属套装(甲)": "p_name", "易车状态": "p_type", "运动套件": "p_type", "NOMI Mate 3.0_1": "p_name", "NOMI Mate 3.0_2": "p_type",
+    "包_1": "p_name", "包_2": "p_type", "灯_3": "p_name", "X_v4": "p_name", "DRIVE Orin": "p_brand", "a_灯_b": "p_name",
+}
+DIAGNOSES = """(VALUES ('type - ECONOMY', 'attribute_value_header', 0.99, 'type', 'ECONOMY'), ('laser_radar_v4_有', 'attribute_value_header', 0.99, '激光雷达', '有'),
+('battery_brand_v4', 'noncanonical_attribute_header', 0.9, '电池品牌', NULL), ('seat_v2_Nappa Leather', 'v2v3_value_header', 0.8, 'seat_v2', 'Nappa Leather'), ('seat_v2', 'value_only_header', 0.95, NULL, NULL),
+('座椅(真皮)', 'attribute_value_header', 0.95, '座椅', '真皮'), ('专属套装(甲)', 'value_only_header', 0.9, NULL, NULL), ('易车状态', 'value_only_header', 0.98, NULL, NULL), ('运动套件', 'value_only_header', 0.92, NULL, NULL),
+('NOMI Mate 3.0_1 / NOMI Mate 3.0_2', 'package_value_header', 0.9, '选装包列表', '_1=描述, _2=状态'), ('包_1 / 包_2', 'package_pair_header', 0.96, '选装包列表', '_1=描述, _2=状态'), ('灯_3', 'numeric_suffix_header', 0.72, '灯', '3'),
+('X_v4', 'unmapped_v4_header', 0.55, NULL, NULL), ('DRIVE Orin', 'bare_value_header', 0.45, NULL, NULL), ('a_灯_b', 'attribute_value_header', 0.85, 'a/灯/b', NULL)) AS k(column_name, kind, confidence, attribute, value)"""
 
 
-@query("""WITH k(key, kind, confidence) AS (VALUES ('brand', 'known', 1.0), ('type - ECONOMY', 'attribute_value', 0.9), ('w[mm]', 'unit', 0.85), ('42', 'value_only', 0.9), ('x_v4_value', 'coded_value', 0.95), ('pack_1', 'numbered', 0.7))
-SELECT key, kind, CAST(confidence AS DOUBLE) AS confidence, CAST((SELECT count(*) FROM part) AS BIGINT) AS n, CAST(1 AS INT) AS rank FROM k""")
-def diagnose_columns(spark, sf_dir):
+def _diagnosed(spark, sf_dir):
     df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), *[F.col(c).alias(k) for k, c in DIAGNOSED.items()])
-    return H.diagnose(to_attrs(df, list(DIAGNOSED)), 20, ["brand"]).select("key", "kind", F.col("confidence").cast("double").alias("confidence"), "n", "rank")
+    return to_attrs(df, list(DIAGNOSED))
+
+
+@query(f"""SELECT column_name, kind, CAST(confidence AS DOUBLE) AS confidence, attribute, value, CAST((SELECT count(*) FROM part) AS BIGINT) AS occurrences FROM {DIAGNOSES}""")
+def diagnose_columns(spark, sf_dir):
+    """Every kind of header that holds a value; the quota of a kind is 15 here."""
+    found = H.diagnose(_diagnosed(spark, sf_dir), 120)
+    return found.select(F.col("column").alias("column_name"), "kind", F.col("confidence").cast("double").alias("confidence"), "attribute", "value", "occurrences")
+
+
+@query("""SELECT key, CAST((SELECT count(*) FROM part) AS BIGINT) AS n FROM (VALUES ('brand')) AS k(key)""")
+def target_attributes(spark, sf_dir):
+    return H.target_attributes(_diagnosed(spark, sf_dir))
+
+
+@query(f"""WITH s AS ({SPREAD_SQL}) SELECT 'sizes' AS key, CAST(count(*) AS BIGINT) AS n FROM s""")
+def pipe_columns(spark, sf_dir):
+    """C14."""
+    return H.pipe_columns(to_attrs(spread(spark, sf_dir), ["sizes", "width", "brand"]))
 
 
-@query("""SELECT key, CAST(positive AS BIGINT) AS positive, place FROM (
-SELECT 'brand' AS key, (SELECT count(*) FROM part) AS positive, CAST(1 AS BIGINT) AS place UNION ALL SELECT 'width', (SELECT count(*) FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 4 <> 0), CAST(2 AS BIGINT))""")
+@query("""SELECT p_partkey, p_partkey % 3 = 0 AS twice FROM part""")
+def year_twice(spark, sf_dir):
+    """C14: some names have their own year, some another, some none."""
+    k, year = F.col("p_partkey"), (2015 + F.col("p_partkey") % 10).cast("string")
+    name = F.when(k % 3 == 0, F.concat("p_name", F.lit(" "), year, F.lit("款"))).when(k % 3 == 1, F.concat(F.lit("1999款 "), "p_name")).otherwise(F.col("p_name"))
+    return load(spark, sf_dir, "part").select("p_partkey", H.year_twice(name, year).alias("twice"))
+
+
+@query("""SELECT key, CAST(CASE key WHEN 'width' THEN (SELECT count(*) FROM part WHERE p_partkey % 9 <> 0 AND p_partkey % 4 <> 0) ELSE (SELECT count(*) FROM part) END AS BIGINT) AS positive, CAST(place AS BIGINT) AS place
+FROM (VALUES ('brand', 1), ('width', 2), ('same', 2), ('选装包列表', 2)) AS k(key, place)""")
 def visible_columns(spark, sf_dir):
-    df = spread(spark, sf_dir).withColumn("same", F.lit("x")).select("row_id", "width", "same", "brand")
-    return H.visible_columns(to_attrs(df, ["width", "same", "brand"], drop_missing=False), ["brand"])
+    df = spread(spark, sf_dir).select(
+        "row_id", "width", F.lit("x").alias("same"), "brand", F.lit("x").alias("gone"), F.col("model").alias("dull"), F.col("brand").alias("包_1"), F.col("model").alias("包_2"),
+        F.lit('{"甲": "1"}').alias("选装包列表"), F.lit("x").alias("甲_1"),
+    )
+    columns = [c for c in df.columns if c != "row_id"]
+    return H.visible_columns(to_attrs(df, columns, drop_missing=False), ["brand"], ("gone", "brand"), ("dull", "width"))
+
 
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) END AS length, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size + 1 AS VARCHAR) WHEN p_partkey % 3 = 2 THEN '7' END AS width, CASE WHEN p_partkey % 3 = 0 THEN '5.5' END AS height FROM part""")
+def dimension_columns(spark, sf_dir):
+    """C11: three attributes of one, where they lack."""
+    k, n = F.col("p_partkey") % 3, F.col("p_size")
+    size = F.concat_ws("*", n.cast("string"), (n + 1).cast("string"), F.lit("5.5mm"))
+    attrs = F.when(k == 0, F.create_map(F.lit("长*宽*高 (mm)"), size)).when(k == 1, F.create_map(F.lit("尺寸"), size)).otherwise(F.create_map(F.lit("车身尺寸"), F.lit("1*2"), F.lit("宽度(mm)"), F.lit("7")))
+    df = load(spark, sf_dir, "part").select("p_partkey", H.with_dimensions(attrs).alias("a"))
+    return df.select("p_partkey", *[F.col("a")[c].alias(x) for c, x in (("长度(mm)", "length"), ("宽度(mm)", "width"), ("高度(mm)", "height"))])
 
-CANON = "CASE p_partkey % 6 WHEN 0 THEN '标配' WHEN 1 THEN ' 有 ' WHEN 2 THEN '无' WHEN 3 THEN '--' WHEN 4 THEN p_name ELSE '' END"
 
+CANON = "CASE p_partkey % 9 WHEN 0 THEN '标 配' WHEN 1 THEN ' 有 ' WHEN 2 THEN '无' WHEN 3 THEN '--' WHEN 4 THEN concat(' ', p_name, ' ') WHEN 5 THEN '选配' WHEN 6 THEN '不支持' WHEN 7 THEN '否' ELSE '' END"
 
-@query(f"""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN '支持' WHEN 1 THEN '支持' WHEN 4 THEN replace(p_name, ' ', '') ELSE '-' END AS canonical FROM part""")
+
+@query("""SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN '支持' WHEN 1 THEN '支持' WHEN 4 THEN p_name WHEN 5 THEN '选装' WHEN 7 THEN '否' ELSE '-' END AS canonical FROM part""")
 def canonical_value(spark, sf_dir):
     return load(spark, sf_dir, "part").select("p_partkey", S.canonical_value(F.expr(CANON)).alias("canonical"))
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN concat('num:', CAST(p_size AS VARCHAR)) WHEN 1 THEN 'date:2020.05.01' WHEN 2 THEN concat('dims:', CAST(p_size AS VARCHAR), 'x2x3') ELSE replace(p_name, ' ', '') END AS compare FROM part""")
+COMPARED = """CASE p_partkey % 12 WHEN 0 THEN concat(CAST(p_size AS STRING), '.80 mm') WHEN 1 THEN '2020-5-1' WHEN 2 THEN concat(CAST(p_size AS STRING), '*2×3') WHEN 3 THEN p_name WHEN 4 THEN '2020.05' WHEN 5 THEN ' 电子 换挡'
+WHEN 6 THEN '7挡双离合变速箱' WHEN 7 THEN concat(CAST(p_size AS STRING), '万元') WHEN 8 THEN concat(CAST(p_size AS STRING), ' L x') WHEN 9 THEN '' WHEN 10 THEN concat('x', CAST(p_size AS STRING), '公里') ELSE '标配' END"""
+FIELD = "CASE WHEN p_partkey % 12 IN (1, 4) THEN '上市时间' WHEN p_partkey % 12 IN (5, 6) THEN '换挡形式' ELSE '其他' END"
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 12 WHEN 0 THEN concat('num:', p_size, '.80') WHEN 1 THEN 'date:2020-05-01' WHEN 2 THEN concat('dims:', p_size, 'x2x3') WHEN 3 THEN p_name WHEN 4 THEN 'date:2020-05' WHEN 5 THEN 'shift:电子'
+WHEN 6 THEN 'shift:7挡双离合' WHEN 7 THEN concat('num:', p_size) WHEN 8 THEN concat(p_size, ' L x') WHEN 9 THEN '' WHEN 10 THEN concat('x', p_size, '公里') ELSE '支持' END AS compare FROM part""")
 def canonical_compare(spark, sf_dir):
-    x = F.expr("CASE p_partkey % 4 WHEN 0 THEN concat(CAST(p_size AS STRING), '.00mm') WHEN 1 THEN '2020-05-01' WHEN 2 THEN concat(CAST(p_size AS STRING), '*2*3') ELSE p_name END")
-    return load(spark, sf_dir, "part").select("p_partkey", S.canonical_compare(x, F.col("p_partkey") % 4 == 1).alias("compare"))
+    return load(spark, sf_dir, "part").select("p_partkey", S.canonical_compare(F.expr(COMPARED), F.expr(FIELD)).alias("compare"))
 
 
 @query("""SELECT o_orderkey, (o_orderkey % 3 <> 2) AND month(o_orderdate) = month(o_orderdate + INTERVAL 5 DAY) AND year(o_orderdate) = year(o_orderdate + INTERVAL 5 DAY) AS folds FROM orders""")
@@ -260,14 +333,35 @@ def default_view(spark, sf_dir):
     return Q.run(df, Q.restore(Q.snapshot(Q.default_spec(CONDITIONS))[0])).select("row_id")
 
 
+@query(f"WITH s AS ({SPREAD_SQL}) SELECT row_id FROM s WHERE n + 7 >= 20 AND width NOT IN ('-', '无')")
+def batch_view(spark, sf_dir):
+    """The batch filter takes any number and bounds that are no defaults, and nothing that is meant for pages."""
+    conditions = [
+        {"type": "range", "field": "sizes", "min": 20, "defaultMax": 25}, {"type": "range", "field": "width", "defaultMin": "900"},
+        {"type": "feature", "fields": ["width"], "defaultEnabled": False}, {"type": "pagesFeature", "fields": ["nothing"]},
+    ]
+    df = to_attrs(spread(spark, sf_dir), ["sizes", "width", "model"], drop_missing=False)
+    return Q.run(df, Q.batch_spec(conditions), mode="batch").select("row_id")
+
+
+@query("""SELECT p_partkey FROM part ORDER BY p_size DESC, p_partkey LIMIT 48""")
+def more_groups(spark, sf_dir):
+    """The same view asked for again shows 24 more; another one begins again."""
+    df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), "p_partkey", "p_size", F.create_map().cast("map<string,string>").alias("attrs"))
+    spec = Q.QuerySpec(sort=(Q.SortLevel("p_size", True),))
+    _, other = Q.first_groups(df, Q.QuerySpec())
+    _, state = Q.first_groups(df, spec, other)
+    return Q.first_groups(df, spec, state)[0].select("p_partkey")
+
+
 @query("""SELECT p_partkey AS row_id, 'class' AS key, 'cheap' AS value FROM part WHERE p_type = 'ECONOMY' UNION ALL SELECT p_partkey, 'brand', p_brand FROM part""")
 def alias_injection(spark, sf_dir):
     df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), F.when(F.col("p_type") == "ECONOMY", "有").otherwise("无").alias("eco"), F.col("p_brand").alias("brand"))
     return H.inject(to_attrs(df, ["eco", "brand"], drop_missing=False), {"eco": ("class", "cheap")})
 
 
-@query("""SELECT '42' AS key, 'hide' AS action, CAST(NULL AS VARCHAR) AS target, CAST((SELECT count(*) FROM part) AS BIGINT) AS n
-UNION ALL SELECT 'type - ECONOMY', 'alias', 'type', CAST((SELECT count(*) FROM part) AS BIGINT)""")
+@query(f"""SELECT column_name, 'hide' AS action, CAST(NULL AS VARCHAR) AS target, CAST((SELECT count(*) FROM part) AS BIGINT) AS occurrences FROM {DIAGNOSES} WHERE kind = 'value_only_header'
+UNION ALL SELECT column_name, 'alias', attribute, CAST((SELECT count(*) FROM part) AS BIGINT) FROM {DIAGNOSES} WHERE kind = 'attribute_value_header' AND confidence >= 0.9 AND attribute IN ('type', '座椅')""")
 def apply_diagnosis(spark, sf_dir):
-    df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), *[F.col(c).alias(k) for k, c in DIAGNOSED.items()])
-    return H.apply_diagnosis(H.diagnose(to_attrs(df, list(DIAGNOSED)), 20, ["brand"]), ["type"])
+    targets = load(spark, sf_dir, "region").where("r_regionkey < 2").select(F.when(F.col("r_regionkey") == 0, "type").otherwise("座椅").alias("key"))
+    return H.apply_diagnosis(H.suspects(_diagnosed(spark, sf_dir)), targets).withColumnRenamed("column", "column_name")

@@ -77,16 +77,83 @@ def brand_alias_gaps(spark, sf_dir):
     return R.brand_alias_gaps(load(spark, sf_dir, "part").select(F.col("p_name").alias("series"), F.col("p_brand").alias("brand")))
 
 
-@query(f"""WITH b AS ({B}) SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(CASE WHEN size = '-' THEN 1 ELSE 0 END) AS BIGINT) AS no_size, CAST(0 AS BIGINT) AS no_price FROM b""")
+@query(f"""WITH b AS ({B}) SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(CASE WHEN size = '-' THEN 1 ELSE 0 END) AS BIGINT) AS no_size, CAST(sum(CASE WHEN battery = '-' THEN 1 ELSE 0 END) AS BIGINT) AS no_battery FROM b""")
 def quality_counts(spark, sf_dir):
-    return R.quality_counts(build(spark, sf_dir, SOURCE_B), ["size", "price"])
+    return R.quality_counts(build(spark, sf_dir, SOURCE_B), ["size", "battery"])
+
+
+@query("""SELECT CAST(sum(CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_brand, CAST(sum(CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_model_name,
+CAST(sum(CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_series, CAST(sum(CASE WHEN p_size > 40 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_year, CAST(sum(CASE WHEN p_type <> 'SMALL' THEN 1 ELSE 0 END) AS BIGINT) AS unapproved_status FROM part""")
+def identity_counts(spark, sf_dir):
+    """H9."""
+    k = F.col("p_partkey")
+    return R.identity_counts(
+        load(spark, sf_dir, "part").select(
+            F.when(k % 4 == 0, "-").when(k % 2 == 0, F.col("p_brand")).otherwise("品牌").alias("brand"), F.when(k % 5 == 0, " ").otherwise(F.col("p_name")).alias("model"),
+            F.when(k % 3 == 0, F.col("p_type")).otherwise(F.concat("p_type", F.lit("系"))).alias("series"), F.when(F.col("p_size") > 40, "24款").otherwise("2024").alias("year"),
+            F.when(F.col("p_type") == "SMALL", " approved").alias("status"),
+        )
+    )
 
 
-@query("""WITH m AS (SELECT o_orderpriority, o_custkey, max(CAST(o_totalprice AS DECIMAL(18,2))) AS amount FROM orders GROUP BY ALL), h AS (SELECT o_orderpriority, CAST(sum(amount) AS DOUBLE) AS heat FROM m GROUP BY 1)
-SELECT o_orderpriority, round(heat, 2) AS heat, CAST(dense_rank() OVER (ORDER BY heat DESC) AS INT) AS rank FROM h""")
+@query("""WITH h AS (SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS heat FROM orders WHERE o_orderkey % 3 <> 0 AND o_totalprice > 0 GROUP BY 1)
+SELECT o_orderpriority, round(heat, 2) AS heat, CAST(row_number() OVER (ORDER BY heat DESC, o_orderpriority) AS BIGINT) AS rank FROM h""")
 def heat_rank(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").withColumn("amount", F.col("o_totalprice").cast("decimal(18,2)"))
-    return R.heat(o, "o_orderpriority", "o_custkey", "amount").withColumn("heat", F.round(F.col("heat").cast("double"), 2))
+    """Amounts of nothing or less don't count; items of several lists count as often."""
+    amount = F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
+    return R.heat(load(spark, sf_dir, "orders").withColumn("amount", amount), "o_orderpriority", "amount").withColumn("heat", F.round(F.col("heat").cast("double"), 2))
+
+
+@query("""SELECT o_custkey, CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM orders WHERE o_orderkey % 3 <> 0 AND o_totalprice > 0 GROUP BY o_custkey""")
+def best_sales(spark, sf_dir):
+    """H10."""
+    amount = F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_totalprice")).cast("decimal(18,2)")
+    return R.best_sales(load(spark, sf_dir, "orders").withColumn("amount", amount), "o_custkey", "amount").withColumn("amount", F.col("amount").cast("double"))
+
+
+SOURCED = "SELECT p_brand, p_type, p_partkey, CASE WHEN p_brand < 'Brand#2' AND p_type < 'P' THEN 1 WHEN p_partkey % 4 = 0 THEN 2 ELSE 1 END AS k, CASE WHEN p_brand < 'Brand#2' AND p_type < 'P' THEN 'A' WHEN p_partkey % 4 = 0 THEN 'A+B' ELSE 'B' END AS s FROM part"
+SOURCED_GROUPS = f"WITH r AS ({SOURCED}), g AS (SELECT p_brand, p_type, count(*) AS n, sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) AS alone, CASE WHEN max(s) = 'A' OR min(s) = 'B' THEN 1 ELSE 2 END AS ns, max(s) AS source FROM r GROUP BY ALL)"
+
+
+def _sourced(spark, sf_dir):
+    one = (F.col("p_brand") < "Brand#2") & (F.col("p_type") < "P")
+    return load(spark, sf_dir, "part").withColumn("sources", F.when(one, F.array(F.lit("A"))).when(F.col("p_partkey") % 4 == 0, F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("B"))))
+
+
+@query(SOURCED_GROUPS + """ SELECT CAST(sum(CASE WHEN ns = 1 THEN n ELSE 0 END) AS BIGINT) AS single_series_rows, CAST(sum(CASE WHEN ns = 2 THEN alone ELSE 0 END) AS BIGINT) AS multi_series_single_rows, CAST(count(*) AS BIGINT) AS total_series,
+CAST(sum(CASE WHEN ns = 1 THEN 1 ELSE 0 END) AS BIGINT) AS single_source_series, CAST(sum(CASE WHEN ns = 2 THEN 1 ELSE 0 END) AS BIGINT) AS multi_source_series FROM g""")
+def single_source_totals(spark, sf_dir):
+    """H3."""
+    return R.single_source_totals(_sourced(spark, sf_dir), ["p_brand", "p_type"])
+
+
+@query(SOURCED_GROUPS + " SELECT p_brand, p_type, source, CAST(n AS BIGINT) AS n FROM g WHERE ns = 1 ORDER BY n DESC, p_brand, p_type LIMIT 30")
+def single_source_top(spark, sf_dir):
+    """H3."""
+    return R.single_source_top(_sourced(spark, sf_dir), ["p_brand", "p_type"])
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN concat(lower(p_brand), '|', p_name, '|2024') END AS car, concat(p_name, '|8gb') AS phone,
+CASE p_partkey % 3 WHEN 0 THEN concat('identity:', repeat('ab', 12)) WHEN 1 THEN NULL ELSE concat(lower(p_brand), '|', p_name) END AS laptop FROM part""")
+def kind_identities(spark, sf_dir):
+    """H4."""
+    k = F.col("p_partkey")
+    spaced = F.concat(F.lit(" "), F.regexp_replace("p_name", " ", "  "))
+    car = R.kind_identity("cars", {"brand": F.col("p_brand"), "model": spaced, "year": F.when(k % 5 != 0, "2024")})
+    phone = R.kind_identity("phones", {"model": F.col("p_name"), "memory": F.lit("８GB"), "storage": F.lit(" ")})
+    key = F.when(k % 3 == 0, F.repeat(F.lit("AB"), 12)).when(k % 3 == 1, "none")
+    laptop = R.kind_identity("laptops", {"brand": F.col("p_brand"), "model": F.col("p_name"), "identity_key": key})
+    return load(spark, sf_dir, "part").select("p_partkey", car.alias("car"), phone.alias("phone"), laptop.alias("laptop"))
+
+
+@query("""WITH n AS (SELECT count(*) AS n, sum(CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END) AS a, sum(CASE WHEN p_partkey % 4 = 1 THEN 1 ELSE 0 END) AS b FROM part)
+SELECT 'x' AS key, 'attribute' AS kind, CAST(n AS BIGINT) AS n FROM n UNION ALL SELECT 'y', 'attribute', CAST(n AS BIGINT) FROM n UNION ALL SELECT 'x', 'conflict', CAST(a + b AS BIGINT) FROM n UNION ALL SELECT 'x', 'synonym', CAST(2 * a + b AS BIGINT) FROM n""")
+def attribute_evidence(spark, sf_dir):
+    """H5."""
+    k = F.col("p_partkey") % 4
+    value = F.when(k == 0, "A:标配|B: 无 ").when(k == 1, "A:有").otherwise(F.col("p_name"))
+    rows = load(spark, sf_dir, "part").select(F.explode(F.array(F.struct(F.lit("x").alias("key"), value.alias("value")), F.struct(F.lit("y").alias("key"), F.col("p_type").alias("value")), F.struct(F.lit("z").alias("key"), F.lit("-").alias("value")))).alias("c")).select("c.*")
+    return R.attribute_evidence(rows, ("A", "B"))
 
 
 REASON = "CASE WHEN p_size < 5 THEN 'too_small' WHEN p_retailprice < 950 THEN 'too_cheap' WHEN p_partkey % 6 = 0 THEN 'no_identity' END"
@@ -124,10 +191,10 @@ def audit_regression(spark, sf_dir):
     return G.audit(a.select(*columns), candidate, ["brand", "series", "year"])
 
 
-@query("""SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after, CAST(sum(p_size) AS BIGINT) AS metric_before, CAST(sum(p_size + 1) AS BIGINT) AS metric_after, CAST(0 AS BIGINT) AS changed, true AS ok FROM part""")
+@query("""SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after, CAST(sum(p_size) AS BIGINT) AS metric_before, CAST(sum(p_size + 1) AS BIGINT) AS metric_after, CAST(sum(CASE WHEN p_size >= 50 THEN 1 ELSE 0 END) AS BIGINT) AS contradictions, CAST(0 AS BIGINT) AS changed, sum(CASE WHEN p_size >= 50 THEN 1 ELSE 0 END) = 0 AS ok FROM part""")
 def replay_metrics(spark, sf_dir):
     p = load(spark, sf_dir, "part")
-    return G.replay(p, p.withColumn("p_size", F.col("p_size") + 1), "p_partkey", "p_size")
+    return G.replay(p, p.withColumn("p_size", F.col("p_size") + 1), "p_partkey", "p_size", F.col("p_size") > 50)
 
 
 @query("""WITH e AS (SELECT p_name AS key, p_type AS target, max(p_size) / 50.0 AS confidence FROM part WHERE p_partkey % 20 = 0 GROUP BY ALL), m AS (SELECT *, count(*) OVER (PARTITION BY key) AS copies FROM e),
@@ -167,9 +234,34 @@ def page_links(spark, sf_dir):
     return p.select("page_id", X.absolute(F.col("url"), F.col("link")).alias("link"))
 
 
-@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, '$' AS path, CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS name FROM events""")
+def _nested(spark, sf_dir):
+    """A customer with its orders, as JSON: objects in lists in objects; one in five has none."""
+    order = F.struct(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderstatus").alias("name"), F.col("o_orderpriority").alias("level"))
+    orders = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", order.alias("o")))), lambda x: x["o"])
+    held = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(orders.alias("orders"))
+    both = held.select("o_custkey", F.struct(F.col("o_custkey").alias("no"), F.struct("orders", F.slice("orders", 1, 1).alias("again")).alias("data")).alias("d"))
+    return X.walk_json(both.select("o_custkey", F.when(F.col("o_custkey") % 5 == 0, "{}").otherwise(F.to_json("d")).alias("payload")), "o_custkey", "payload")
+
+
+NESTED = """WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, concat('o', o_orderkey) AS id, o_orderstatus AS name, o_orderpriority AS level, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_custkey % 5 <> 0)"""
+
+
+@query(NESTED + """ SELECT o_custkey, concat('$.data.orders[', i, ']') AS path, id, name FROM o UNION ALL SELECT o_custkey, '$.data.again[0]', id, name FROM o WHERE i = 0
+UNION ALL SELECT DISTINCT o_custkey, '$', NULL, NULL FROM o UNION ALL SELECT DISTINCT o_custkey, '$.data', NULL, NULL FROM o UNION ALL SELECT DISTINCT CAST(o_custkey AS VARCHAR), '$', NULL, NULL FROM orders WHERE o_custkey % 5 = 0""")
 def json_walk(spark, sf_dir):
-    return X.walk_json(load(spark, sf_dir, "events"), "event_id", "props").withColumn("id", F.col("id").cast("string"))
+    return _nested(spark, sf_dir).select("o_custkey", "path", "id", "name")
+
+
+@query(NESTED + " SELECT o_custkey, id, name, CAST(CASE WHEN i = 0 THEN 2 ELSE 1 END AS BIGINT) AS seen, level FROM o")
+def json_entities(spark, sf_dir):
+    """A10: objects with id and name, by id."""
+    return X.entities(_nested(spark, sf_dir), "o_custkey").select("o_custkey", "id", "name", "seen", F.col("fields")["level"].alias("level"))
+
+
+@query(NESTED + " SELECT o_custkey, string_agg(id, '+' ORDER BY i) AS ids, false AS empty FROM o GROUP BY 1 UNION ALL SELECT DISTINCT CAST(o_custkey AS VARCHAR), '', true FROM orders WHERE o_custkey % 5 = 0")
+def json_ids(spark, sf_dir):
+    """A5."""
+    return X.ids_in(_nested(spark, sf_dir), "o_custkey").select("o_custkey", F.array_join("ids", "+").alias("ids"), "empty")
 
 
 @query("""WITH o AS (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) AS ns, list(l_returnflag ORDER BY l_linenumber, l_returnflag) AS fs FROM lineitem GROUP BY 1)
@@ -189,6 +281,20 @@ def group_positions(spark, sf_dir):
     return X.groups_by_position(docs, "l_orderkey", "payload").select("l_orderkey", "name", "position", "value")
 
 
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber AS n, l_partkey AS p, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS position FROM lineitem)
+SELECT l_orderkey, CAST(position AS INT) AS position, concat('m', p) AS model, CASE WHEN p % 3 = 0 THEN 'unapproved' WHEN p % 3 = 1 THEN 'approved' ELSE 'unknown' END AS status, CAST(n AS VARCHAR) AS line, concat('x', p) AS part FROM x""")
+def position_records(spark, sf_dir):
+    """Groups of values by position to records; the last known status counts, names come from JSON inside JSON."""
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    base = lambda x: F.to_json(F.struct(F.concat(F.lit("m"), x["l_partkey"].cast("string")).alias("carName"), F.when(x["l_partkey"] % 3 == 0, "停产 预售").when(x["l_partkey"] % 3 == 1, "0").alias("status")))
+    first = F.transform("l", lambda x: F.struct(x["l_linenumber"].cast("string").alias("value"), base(x).alias("baseInfo"), F.lit("").alias("saleStatusName")))
+    second = F.transform("l", lambda x: F.struct(F.concat(F.lit("x"), x["l_partkey"].cast("string")).alias("value"), F.lit(None).cast("string").alias("baseInfo"), F.when(x["l_partkey"] % 3 == 1, "已上市").alias("saleStatusName")))
+    items = F.array(F.struct(F.lit("line").alias("name"), first.alias("paramValues")), F.struct(F.lit("part").alias("name"), second.alias("paramValues")))
+    docs = lines.select("l_orderkey", F.to_json(F.struct(F.array(F.struct(items.alias("items"))).alias("data"))).alias("payload"))
+    found = X.positions_to_records(X.groups_by_position(docs, "l_orderkey", "payload"), "l_orderkey")
+    return found.select("l_orderkey", "position", "model", "status", F.col("attrs")["line"].alias("line"), F.col("attrs")["part"].alias("part"))
+
+
 @query("""SELECT l_orderkey, 'flag' AS label, string_agg(l_returnflag, '|' ORDER BY n, l_returnflag) AS value FROM (SELECT l_orderkey, l_returnflag, min(l_linenumber) AS n FROM lineitem GROUP BY ALL) GROUP BY 1
 UNION ALL SELECT l_orderkey, 'flag line', string_agg(CAST(l_linenumber AS VARCHAR), '|' ORDER BY l_linenumber) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1""")
 def nested_properties(spark, sf_dir):
@@ -248,6 +354,22 @@ def retry_frontier(spark, sf_dir):
     return I.frontier(e.select("user_id"), e.where("event_type = 'error'"), "user_id", 5)
 
 
+@query("""WITH f AS (SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1) SELECT e.user_id, CAST(coalesce(n, 0) AS BIGINT) AS attempts, CASE WHEN n > 0 THEN pow(2.0, n - 1) ELSE 0.0 END AS backoff,
+CASE WHEN e.user_id % 4 = 0 THEN 'seen' WHEN coalesce(n, 0) >= 5 THEN 'exhausted' WHEN n > 0 THEN 'retry' ELSE 'waiting' END AS reason FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN f USING (user_id)""")
+def frontier_states(spark, sf_dir):
+    """O2."""
+    e = load(spark, sf_dir, "events").select("user_id", "event_type")
+    return I.frontier_states(e.select("user_id"), e.where("event_type = 'error'"), e.where("user_id % 4 = 0"), "user_id", 5)
+
+
+@query("""SELECT CAST(count(*) AS BIGINT) AS items, CAST(sum(CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS done, CAST(least(20, sum(CASE WHEN c_custkey % 4 <> 0 THEN 1 ELSE 0 END)) AS BIGINT) AS next,
+CASE WHEN sum(CASE WHEN c_custkey % 4 <> 0 THEN 1 ELSE 0 END) > 20 THEN 10 ELSE 0 END AS exit, true AS consistent FROM customer""")
+def chunk_state(spark, sf_dir):
+    """O1, O3."""
+    c = load(spark, sf_dir, "customer")
+    return I.chunk_state(c.where("c_custkey % 4 = 0"), c, "c_custkey", 20)
+
+
 WINDOWED = """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"""
 
 

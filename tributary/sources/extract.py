@@ -23,11 +23,31 @@ def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def newest(files: DataFrame, least_bytes: int = 1024, since: str | None = None) -> DataFrame:
-    """A1, A3: the newest file (path, modificationTime, length) that is large and new enough."""
+    """A1, A3: files (path, modificationTime, length) that are large and new enough, the newest first."""
     ok = files.where(F.col("length") >= least_bytes)
     if since:
         ok = ok.where(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
-    return ok.orderBy(F.desc("modificationTime"), "path").limit(1)
+    return ok.orderBy(F.desc("modificationTime"), F.desc("path"))
+
+
+def write_artifact(rows: DataFrame, path: str) -> None:
+    """A3: rows as JSON lines."""
+    rows.write.json(path)
+
+
+def newest_valid(spark: SparkSession, root: str, schema: str, least_rows: int = 50, least_bytes: int = 1024, since: str | None = None, extension: str = "json") -> DataFrame:
+    """A1, A3: the rows of the newest artifact (a folder under root) that is large and new enough and has rows enough.
+
+    Artifacts are looked at one after another, the newest first: only their names, sizes and row counts reach the driver. Raises where none is valid.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}").load(root).drop("content")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    artifacts = files.groupBy(folder.alias("path")).agg(F.max("modificationTime").alias("modificationTime"), F.sum("length").alias("length"))
+    for found in newest(artifacts, least_bytes, since).toLocalIterator():
+        rows = spark.read.schema(schema).json(found["path"])
+        if rows.limit(least_rows).count() >= least_rows:
+            return rows
+    raise ValueError(f"no valid artifact under {root}")
 
 
 def properties(rows: DataFrame, key: str, payload: str, labels: DataFrame) -> DataFrame:
@@ -36,15 +56,15 @@ def properties(rows: DataFrame, key: str, payload: str, labels: DataFrame) -> Da
     Values of one label are joined by | in their order. labels: key, label.
     """
     schema = "array<struct<key: string, text: string, sub_list: array<struct<key: string, text: string>>>>"
-    flat = rows.select(key, F.posexplode(F.from_json(payload, schema)).alias("pos", "p"))
-    own = flat.select(key, "pos", F.lit(0).alias("sub"), F.col("p.key").alias("key"), F.lit(None).cast("string").alias("parent"), F.col("p.text").alias("value"))
-    subs = flat.select(key, "pos", F.col("p.key").alias("parent"), F.posexplode("p.sub_list").alias("sub", "s")).select(
-        key, "pos", (F.col("sub") + 1).alias("sub"), F.col("s.key").alias("key"), "parent", F.col("s.text").alias("value")
-    )
-    both = own.unionByName(subs).where(~is_missing(F.col("value")))
-    named = both.join(F.broadcast(labels), "key", "left").join(
-        F.broadcast(labels.select(F.col("key").alias("parent"), F.col("label").alias("parent_label"))), "parent", "left"
+    # parsed once: an entry and its sub-entries are one list
+    entry = lambda p: F.array_prepend(
+        F.transform(F.coalesce(p["sub_list"], F.array()), lambda s, i: F.struct((i + 1).alias("sub"), s["key"].alias("key"), p["key"].alias("parent"), s["text"].alias("value"))),
+        F.struct(F.lit(0).alias("sub"), p["key"].alias("key"), F.lit(None).cast("string").alias("parent"), p["text"].alias("value")),
     )
+    flat = rows.select(key, F.posexplode(F.transform(F.from_json(payload, schema), entry)).alias("pos", "entries"))
+    both = flat.select(key, "pos", F.inline("entries")).where(~is_missing(F.col("value")))
+    # a label table is a key's own list of names; it joins like any other side, broadcast only where it is small
+    named = both.join(labels, "key", "left").join(labels.select(F.col("key").alias("parent"), F.col("label").alias("parent_label")), "parent", "left")
     label = F.concat_ws(" ", "parent_label", F.coalesce("label", "key"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "sub", "value"))), lambda x: x["value"])
     return named.groupBy(key, label.alias("label")).agg(F.array_join(F.array_distinct(ordered), "|").alias("value"))
@@ -78,25 +98,61 @@ def restore_spans(text: Column, css: Column) -> Column:
     )
 
 
+# What a sale status says, and its codes.
+UNAPPROVED = ("未上市", "即将上市", "即将", "预售", "预测", "概念", "未定名")
+APPROVED = ("在售", "已上市")
+STATUS_CODES = {
+    **dict.fromkeys(("1", "2", "3", "sale", "onsale", "on_sale", "sell", "selling", "listed"), "approved"),
+    **dict.fromkeys(("0", "-1", "8", "presale", "pre_sale", "coming"), "unapproved"),
+}
+
+
 def groups_by_position(rows: DataFrame, key: str, payload: str) -> DataFrame:
-    """data[{items[{name, paramValues[{value, subList[{value}]}]}]}] to (row, position, name, value); the first sub-value stands in."""
-    value = "struct<value: string, subList: array<struct<value: string>>>"
+    """data[{items[{name, paramValues[{value, id, status, baseInfo, subList[{value}]}]}]}] to (row, position, name, value, status, order); the
+    first sub-value stands in for no value. baseInfo is JSON inside JSON; its status and the value's own are read together."""
+    value = "struct<value: string, id: string, status: string, saleStatusName: string, baseInfo: string, subList: array<struct<value: string>>>"
     schema = f"struct<data: array<struct<items: array<struct<name: string, paramValues: array<{value}>>>>>>"
-    items = rows.select(key, F.explode(F.expr(f"from_json({payload}, '{schema}').data")).alias("g")).select(key, F.explode("g.items").alias("i"))
-    cells = items.select(key, F.col("i.name").alias("name"), F.posexplode("i.paramValues").alias("position", "v"))
+    items = rows.select(key, F.posexplode(F.expr(f"from_json({payload}, '{schema}').data")).alias("g", "group")).select(key, "g", F.posexplode("group.items").alias("i", "item"))
+    cells = items.select(key, "g", "i", F.col("item.name").alias("name"), F.posexplode("item.paramValues").alias("position", "v"))
     first = F.get(F.col("v.subList"), F.lit(0))["value"]
-    return cells.select(key, "position", "name", F.coalesce(F.nullif("v.value", F.lit("")), first).alias("value"))
+    base = F.from_json("v.baseInfo", "struct<carName: string, carId: string, status: string, saleStatusName: string>")
+    said = F.array_compact(F.array(base["saleStatusName"], base["status"], F.col("v.saleStatusName"), F.col("v.status")))
+    text, codes = F.array_join(said, " "), F.transform(said, lambda x: F.lower(F.trim(x)))
+    coded = lambda wanted: F.arrays_overlap(codes, F.array(*[F.lit(c) for c, s in STATUS_CODES.items() if s == wanted]))
+    status = (
+        F.when(text.rlike("|".join(UNAPPROVED)), "unapproved").when(text.rlike("|".join(APPROVED)), "approved")
+        .when(coded("approved"), "approved").when(coded("unapproved"), "unapproved").otherwise("unknown")
+    )
+    return cells.select(
+        key, "position", "name", F.coalesce(F.nullif(F.nullif("v.value", F.lit("")), F.lit("-")), first).alias("value"), status.alias("status"),
+        base["carName"].alias("model"), F.coalesce(base["carId"], F.col("v.id")).alias("model_id"), F.struct("g", "i").alias("order"),
+    )
+
+
+def positions_to_records(cells: DataFrame, key: str) -> DataFrame:
+    """One record per position: its name and id (the last that are given), its status (the last that is known), and all values by name."""
+    known = F.col("status") != "unknown"
+    return cells.groupBy(key, "position").agg(
+        F.max_by("model", F.when(F.col("model").isNotNull(), F.col("order"))).alias("model"),
+        F.max_by("model_id", F.when(F.col("model_id").isNotNull(), F.col("order"))).alias("model_id"),
+        F.coalesce(F.max_by("status", F.when(known, F.col("order"))), F.lit("unknown")).alias("status"),
+        F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("name", "value")))).alias("attrs"),
+    )
 
 
 def walk_json(rows: DataFrame, key: str, payload: str) -> DataFrame:
-    """A10: every object inside a JSON text, depth first: row, path, id, name."""
+    """A5, A10: every object inside a JSON text, depth first: row, number, path, id, name, and its plain values by name."""
     import json
 
     ship(rows.sparkSession)
 
-    def objects(x: object, path: str) -> Iterator[tuple[str, object, object]]:
+    def text_of(v: object) -> str | None:
+        return None if v is None else v if isinstance(v, str) else json.dumps(v)
+
+    def objects(x: object, path: str) -> Iterator[tuple[str, str | None, str | None, dict]]:
         if isinstance(x, dict):
-            yield path, x.get("id"), x.get("name")
+            plain = {k: text_of(v) for k, v in x.items() if not isinstance(v, (dict, list)) and v is not None}
+            yield path, plain.get("id"), plain.get("name"), plain
             for k, v in x.items():
                 yield from objects(v, f"{path}.{k}")
         elif isinstance(x, list):
@@ -111,12 +167,30 @@ def walk_json(rows: DataFrame, key: str, payload: str) -> DataFrame:
                     value = json.loads(text) if text else None
                 except ValueError:
                     continue
-                text_of = lambda v: None if v is None else str(v)
-                out += [(k, p, text_of(i), text_of(n)) for p, i, n in objects(value, "$")]
-            yield pd.DataFrame(out, columns=["k", "path", "id", "name"])
+                out += [(k, n, *o) for n, o in enumerate(objects(value, "$"))]
+            yield pd.DataFrame(out, columns=["k", "number", "path", "id", "name", "fields"])
 
     picked = rows.select(F.col(key).cast("string").alias("k"), F.col(payload).alias("p"))
-    return picked.mapInPandas(work, "k string, path string, id string, name string").withColumnRenamed("k", key)
+    return picked.mapInPandas(work, "k string, number int, path string, id string, name string, fields map<string,string>").withColumnRenamed("k", key)
+
+
+def entities(objects: DataFrame, key: str) -> DataFrame:
+    """A10: objects with an id and a name by id: the first name, and each field's first value, in the order of the walk."""
+    held = objects.where("id <> '' and name <> ''")
+    fields = held.select(key, "id", "number", F.explode("fields").alias("field", "value")).where(~is_missing(F.col("value")))
+    first = fields.groupBy(key, "id", "field").agg(F.min_by("value", "number").alias("value"))
+    maps = first.groupBy(key, "id").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("fields"))
+    names = held.groupBy(key, "id").agg(F.min_by("name", "number").alias("name"), F.count(F.lit(1)).alias("seen"))
+    return names.join(maps, [key, "id"])
+
+
+def ids_in(objects: DataFrame, key: str) -> DataFrame:
+    """A5: the distinct ids of all objects of a payload, in the order of the walk; a payload without any is marked empty."""
+    found = objects.groupBy(key, "id").agg(F.min("number").alias("number")).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("number", "id")))).alias("s")
+    )
+    ids = F.transform("s", lambda x: x["id"])
+    return found.select(key, ids.alias("ids"), (F.size("s") == 0).alias("empty"))
 
 
 class _Tables(HTMLParser):
@@ -189,7 +263,8 @@ def before_marker(text: Column, markers: list[str]) -> Column:
 def first_per_year(rows: DataFrame, series: str, year: str, position: str, least: int, most: int) -> DataFrame:
     """The first entry of each series and year inside the years."""
     w = Window.partitionBy(series, year).orderBy(position)
-    return rows.where(F.col(year).between(least, most)).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    picked = rows.where(F.col(year).between(least, most)).select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), F.row_number().over(w).alias("n"))
+    return picked.where("n = 1").select("row.*")
 
 
 def cells_to_record(cells: Column) -> Column:
@@ -220,9 +295,21 @@ def kind_of(content: Column) -> Column:
     return F.when(F.startswith(head, F.lit("%PDF")), "pdf").when(F.lower(head).rlike(r"<(!doctype|html|table)"), "html").otherwise("text")
 
 
+def text_rows(text: Column, start: str = r"\d+[.、]") -> Column:
+    """A document's text cut before every mark that begins a row; rows without content are left out."""
+    return F.filter(F.transform(F.split(text, rf"(?={start})"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")
+
+
 def split_sources(text: Column) -> Column:
-    """Ordered distinct entries separated by line ends, semicolons or pipes."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, r"[\r\n;|]+"), lambda x: F.trim(x)), lambda x: x != ""))
+    """Ordered distinct entries of a JSON array, or separated by line ends, semicolons or pipes."""
+    listed = F.from_json(text, "array<string>")
+    parts = F.when(F.startswith(F.trim(text), F.lit("[")), listed).otherwise(F.split(text, r"[\r\n;|]+"))
+    return F.array_distinct(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def first_field(*fields: Column) -> Column:
+    """The first field that holds something."""
+    return F.coalesce(*[F.when(~is_missing(f), F.trim(f)) for f in fields])
 
 
 def refreshed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

@@ -22,25 +22,30 @@ def write_wide(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def write_assets(frames: dict[str, DataFrame], root: str) -> None:
-    """Several datasets of one run under a new version; the pointer to it is replaced last, in one rename.
+    """Several datasets of one run under a new version, which one rename makes current.
 
-    Readers follow ``root/current``; a run that fails leaves the previous version current.
+    A version is named by its place in time; readers follow the last one under ``root/versions``. A run that fails before its rename leaves the
+    version before it current, and there is always one.
     """
     spark = next(iter(frames.values())).sparkSession
-    version = uuid.uuid4().hex
-    for name, frame in frames.items():
-        frame.write.parquet(f"{root}/{version}/{name}")
-    staged = f"{root}/current-{version}"
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.text(staged)
     jvm = spark.sparkContext._jvm
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path(f"{root}/current")):
-        fs.rename(path(f"{root}/current"), path(f"{root}/previous-{version}"))
-    fs.rename(path(staged), path(f"{root}/current"))
+    staged = f"{root}/staged-{uuid.uuid4().hex}"
+    for name, frame in frames.items():
+        frame.write.parquet(f"{staged}/{name}")
+    fs.mkdirs(path(f"{root}/versions"))
+    number = max((int(x.split("-")[0]) for x in _versions(fs, path(f"{root}/versions"))), default=0) + 1
+    if not fs.rename(path(staged), path(f"{root}/versions/{number:012d}-{uuid.uuid4().hex[:8]}")):
+        raise OSError(f"{staged} could not be made current")
+
+
+def _versions(fs, folder) -> list[str]:
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder))
 
 
 def read_asset(spark, root: str, name: str) -> DataFrame:
     """The current version of a dataset."""
-    version = spark.read.text(f"{root}/current").first()[0]
-    return spark.read.parquet(f"{root}/{version}/{name}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.parquet(f"{root}/versions/{_versions(fs, folder)[-1]}/{name}")

@@ -41,11 +41,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path inside the folder that driver and executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (local tests)
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, on a local master (tests),
     a temporary folder is made and set as the checkpoint folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

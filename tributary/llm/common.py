@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain, islice
@@ -70,18 +72,40 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: Keys that may be broadcast: those of at least this fraction of all rows, so at most as many.
+HOT_MOST = 512
+
+
+def join_by_key(left: DataFrame, right: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Inner join of left with right, which has one row per key and in ``count`` the number of left's rows with it.
+
+    The at most HOT_MOST keys that hold 1 / HOT_MOST of all counted rows are broadcast, so that their rows stay where they
+    are; only other keys' rows are shuffled. Both sides are read twice: written tables are best.
+    """
+    total = right.agg(F.sum(count).alias("total")).first()["total"] or 0
+    is_hot = F.col(count) * HOT_MOST >= total
+    hot = F.broadcast(right.where(is_hot).drop(count))
+    cold = left.join(hot.select(*keys), keys, "left_anti").join(right.where(~is_hot).drop(count), keys)
+    return left.join(hot, keys).unionByName(cold)
+
+
 _held: dict[str, Callable[[], None]] = {}
 _holder: list[str] = [""]
 
 
 def take_over(name: str, clear: Callable[[], None]) -> None:
-    """Of what operators remember in a worker from task to task, only the last user's is held: others are cleared."""
+    """Of what operators remember in a worker from task to task, only the last user's is held: others are cleared, and their
+    memory is given back to the system."""
     if _holder[0] != name:
         _holder[0] = name
         _held[name] = clear
         for other, forget in _held.items():
             if other != name:
                 forget()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+        if trim:
+            trim(0)
 
 
 _words = WordHashes()
@@ -156,7 +180,7 @@ class _Index(dict):
 
 
 class ChunkEncoder:
-    """Encodes whole texts by remembered chunks; ``encode_new`` maps unseen chunks to id lists.
+    """Encodes whole texts by remembered chunks, at most about ``most`` of them; ``encode_new`` encodes unseen ones.
 
     A plain text (single spaces and line feeds only) is cut by str.split. There a key that starts with a
     line feed is the chunk itself, one that starts with FIRST is the text's first chunk without the mark,
@@ -166,11 +190,8 @@ class ChunkEncoder:
     FIRST = "\x01"
     ODD = re.compile(f"[{FIRST}\x1c-\x1f{WHITE.replace(' ', '', 1)}]".replace("\t-\r", "\t\x0b-\r"))
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int):
         self.most = most
-        self.reset()
-
-    def reset(self) -> None:
         self.index = _Index()
         self.ids = np.empty(1 << 16, np.uint32)
         self.used = 0
@@ -183,30 +204,37 @@ class ChunkEncoder:
         kept.update(islice(self.index.items(), n))
         self.index, self.used = kept, int(self.starts[n])
 
-    def encode_new(self, chunks: list[str]) -> list[list[int]]:
+    def encode_new(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the keys' chunks in one array, and the number of each chunk's ids."""
         raise NotImplementedError
 
+    def chunk(self, key: str) -> str:
+        """The text that a key stands for."""
+        return key[1:] if key[:1] == self.FIRST else key if key[:1] == "\n" else " " + key
+
+    def _parts(self, text: str) -> list[str]:
+        """Parts of an odd text that are encoded apart."""
+        return [text]
+
     def _keys(self, text: str) -> list[str]:
         if not text:
             return []
         plain = not any(x in text for x in ("  ", "\n\n", " \n", "\n ")) and text[0] not in " \n" and text[-1] not in " \n"
         if plain and not self.ODD.search(text):
             return (self.FIRST + text.replace("\n", " \n")).split(" ")
-        return [self.FIRST + c for c in CHUNK.findall(text)]
+        return [self.FIRST + c for part in self._parts(text) for c in CHUNK.findall(part)]
 
     def _learn(self) -> None:
         new = self.index.new
-        self.learned = first = len(self.index) - len(new)
-        f = self.FIRST
-        found = self.encode_new([k[1:] if k[:1] == f else k if k[:1] == "\n" else " " + k for k in new])
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        need = self.used + int(lengths.sum())
+        first = len(self.index) - len(new)
+        ids, lengths = self.encode_new(new)
+        need = self.used + len(ids)
         if need > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.empty(need, np.uint32)])
+            self.ids = np.concatenate([self.ids[: self.used], np.empty(need // 2 + len(ids), np.uint32)])
         if first + len(new) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros(first + len(new), np.int64)])
-            self.lengths = np.concatenate([self.lengths, np.zeros(first + len(new), np.int64)])
-        self.ids[self.used : need] = np.fromiter((x for y in found for x in y), np.uint32, need - self.used)
+            self.starts = np.concatenate([self.starts, np.zeros(first // 2 + len(new), np.int64)])
+            self.lengths = np.concatenate([self.lengths, np.zeros(first // 2 + len(new), np.int64)])
+        self.ids[self.used : need] = ids
         self.starts[first : first + len(new)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[first : first + len(new)] = lengths
         self.used = need
@@ -215,7 +243,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array and the number of each text's ids."""
         if len(self.index) > self.most:
-            self._keep(self.most // 2)
+            self._keep(self.most * 3 // 4)
         found = [self._keys(x) for x in texts]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         total = int(counts.sum())
@@ -230,31 +258,53 @@ class ChunkEncoder:
 
 
 class LibraryEncoder(ChunkEncoder):
-    """Ids by the tokenizers library."""
+    """Ids by the tokenizers library, as its default settings give them for a whole text: the text of a special token is that token."""
 
-    MARKS = ".,!?;:"
+    #: Chunks that the library gets in one string.
+    RUN = 500
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, most: int = 700_000):
+        super().__init__(most)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in self.MARKS}
-
-    def encode_new(self, chunks: list[str]) -> list[list[int]]:
-        # The pattern always splits between a letter and a final mark: words are encoded once for all marks.
-        bases = [c[:-1] if c[-1] in self.MARKS and len(c) > 1 and c[-2].isalpha() else c for c in chunks]
-        found: dict[str, list[int]] = {}
-        for base in bases:
-            if self.FIRST in base:
-                continue
-            at = self.index.get(base[1:] if base[0] == " " else base if base[0] == "\n" else self.FIRST + base, -1)
-            if 0 <= at < self.learned:
-                found[base] = self.ids[self.starts[at] : self.starts[at] + self.lengths[at]].tolist()
-        new = [b for b in dict.fromkeys(bases) if b not in found]
-        found.update(zip(new, (x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return [found[b] if b == c else found[b] + self.marks[c[-1]] for b, c in zip(bases, chunks)]
+        special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        #: Bytes of each token: a byte-level vocabulary spells every byte as one character.
+        self.sizes = np.zeros(max(*names.values(), *special) + 1 if special else max(names.values()) + 1, np.int64)
+        self.sizes[list(names.values())] = [len(x) for x in names]
+        for i, content in special.items():
+            self.sizes[i] = len(content.encode())
+        self.special = re.compile("|".join(f"({re.escape(x)})" for x in special.values())) if special else None
+
+    def _parts(self, text: str) -> list[str]:
+        # The library cuts at special tokens first, so that white space before one ends its part.
+        return [x for x in self.special.split(text) if x] if self.special else [text]
+
+    def encode_new(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Chunks of plain texts start where the pattern always splits: the library encodes them in long strings, and
+        # the bytes of the tokens tell where each chunk ends. Others are encoded one by one.
+        plain = np.fromiter((k[:1] != self.FIRST for k in keys), bool, len(keys))
+        chunks = [self.chunk(k) for k in keys]
+        joined = [c for c, p in zip(chunks, plain) if p]
+        runs = ["".join(joined[a : a + self.RUN]) for a in range(0, len(joined), self.RUN)]
+        alone = [c for c, p in zip(chunks, plain) if not p]
+        encode = self.tokenizer.encode_batch_fast
+        ids = [np.array(x.ids, np.uint32) for x in encode(runs, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        ends = np.cumsum(np.fromiter((len(c.encode()) for c in joined), np.int64, len(joined)))
+        edge = np.searchsorted(np.cumsum(self.sizes[ids]), ends, "left") + 1
+        lengths = np.empty(len(keys), np.int64)
+        lengths[plain] = np.diff(edge, prepend=0)
+        if not alone:
+            return ids, lengths
+        apart = [x.ids for x in encode(alone, add_special_tokens=False)]
+        lengths[~plain] = [len(x) for x in apart]
+        out = np.empty(int(lengths.sum()), np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        out[gather(starts[plain], lengths[plain])] = ids
+        out[gather(starts[~plain], lengths[~plain])] = np.fromiter(chain.from_iterable(apart), np.uint32)
+        return out, lengths
 
 
 _encoders: dict[str, LibraryEncoder] = {}

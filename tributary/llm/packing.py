@@ -4,7 +4,7 @@ Every document is encoded once. Its full windows become sequences of their own;
 piece shorter than the window. The histogram of those pieces' lengths (at most WINDOW - 1 counts, however
 large the corpus) is all that the driver sees: it enumerates combinations of two and three lengths that fill
 a window, solves for how often to use each so that the histogram is met (non-negative least squares), rounds
-down, and leaves the rest as residuals. Residual pieces are packed greedily: laid end to end, longest first,
+to whole numbers that the histogram can serve, and leaves the rest as residuals. Residual pieces are packed greedily: laid end to end, longest first,
 and cut where a window is full, so that only the very last sequence may need padding.
 
 A piece's place follows by arithmetic from its rank among the pieces of its length; ranks come from
@@ -28,56 +28,77 @@ from tributary.llm.common import library_encoder, text_batches
 from tributary.session import scratch, ship
 
 WINDOW = 1024
-#: Three-piece combinations are enumerated over so many of the most frequent lengths.
-TRIPLE_LENGTHS = 96
-SWEEPS = 300
+#: Each round of the solver adds so many of the combinations that promise most, and then sweeps over those it has.
+ADDED = 128
+ROUNDS, SWEEPS = 60, 12
 
 
-def combinations(histogram: np.ndarray, window: int = WINDOW, triple_lengths: int = TRIPLE_LENGTHS) -> list[tuple[int, ...]]:
-    """Shallow combinations of lengths that fill a window; only of lengths that occur."""
+def combinations(histogram: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """All combinations of two and three lengths that occur and fill a window, longest first; 0 in the third place of pairs."""
     there = np.flatnonzero(histogram)
-    has = set(there.tolist())
-    out = [(window - a, a) for a in there.tolist() if 0 < a <= window - a and window - a in has]
-    top = there[np.argsort(-histogram[there], kind="stable")][:triple_lengths].tolist()
-    some = sorted(top)
-    for i, a in enumerate(some):
-        for b in some[i:]:
-            c = window - a - b
-            if c >= b and c in has:
-                out.append((c, b, a))
-    return out
-
-
-def least_squares(columns: list[tuple[int, ...]], histogram: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
-    """Non-negative repeat counts x that minimise the squared error of the histogram, by coordinate descent."""
+    has = np.zeros(window + 1, bool)
+    has[there] = True
+    has[0] = True  # nothing as a third piece
+    a, b = np.meshgrid(there, there, indexing="ij")
+    a, b = a.ravel(), b.ravel()
+    c = window - a - b
+    good = (a >= b) & (b >= c) & (c >= 0)
+    good[good] = has[c[good]]
+    return np.stack([a[good], b[good], c[good]], 1)
+
+
+def least_squares(columns: np.ndarray, histogram: np.ndarray) -> np.ndarray:
+    """Non-negative repeat counts x of all columns that minimise the squared error of the histogram.
+
+    Coordinate descent over a growing set: each round adds the columns along which the error falls most, found
+    over all of them at once, and ends when along none it falls.
+    """
     x = np.zeros(len(columns))
-    rest = histogram.astype(float).copy()
-    plans = [np.unique(c, return_counts=True) for c in columns]
-    norms = [float((n * n).sum()) for _, n in plans]
-    for _ in range(sweeps):
-        moved = 0.0
-        for i, (lengths, n) in enumerate(plans):
-            step = max(-x[i], float((rest[lengths] * n).sum()) / norms[i])
-            if step:
-                x[i] += step
-                rest[lengths] -= step * n
-                moved = max(moved, abs(step))
-        if moved < 0.05:
+    rest = histogram.astype(float)
+    rest[0] = 0
+    active: dict[int, list[tuple[int, int]]] = {}
+    for _ in range(ROUNDS):
+        gain = rest[columns].sum(1)  # length 0 never has any
+        gain[list(active)] = 0
+        best = np.argsort(-gain, kind="stable")[:ADDED]
+        best = best[gain[best] > 0.5]
+        if not len(best) and active:
             break
+        for i in best.tolist():
+            lengths, n = np.unique(columns[i][columns[i] > 0], return_counts=True)
+            active[i] = list(zip(lengths.tolist(), n.tolist()))
+        left, value = rest.tolist(), {i: float(x[i]) for i in active}
+        for _ in range(SWEEPS):
+            moved = 0.0
+            for i, terms in active.items():
+                step = sum(left[length] * n for length, n in terms) / sum(n * n for _, n in terms)
+                step = max(step, -value[i])
+                if step:
+                    value[i] += step
+                    for length, n in terms:
+                        left[length] -= step * n
+                    moved = max(moved, abs(step))
+            if moved < 0.05:
+                break
+        rest = np.array(left)
+        for i, v in value.items():
+            x[i] = v
     return x
 
 
 def plan(histogram: np.ndarray, window: int = WINDOW) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
     """Combinations with how often to use each, and how many pieces of each length they take."""
     columns = combinations(histogram, window)
-    x = least_squares(columns, histogram) if columns else np.zeros(0)
+    x = least_squares(columns, histogram)
     left = histogram.astype(np.int64).copy()
     chosen = []
     for i in np.argsort(-x, kind="stable"):  # rounded, never more than there are
-        lengths, n = np.unique(columns[i], return_counts=True)
+        if x[i] < 0.5:
+            break
+        lengths, n = np.unique(columns[i][columns[i] > 0], return_counts=True)
         times = int(min(round(x[i]), (left[lengths] // n).min()))
         if times > 0:
-            chosen.append((columns[i], times))
+            chosen.append((tuple(columns[i][columns[i] > 0].tolist()), times))
             left[lengths] -= times * n
     return chosen, histogram - left
 

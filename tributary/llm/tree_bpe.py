@@ -5,7 +5,9 @@ encodings only needs their border: a window of tokens around it is decoded and e
 by one token a side (then doubling) until the token before the window and the first one in it, and the last one in it and
 the token after it, are stable neighbours. Two tokens are stable neighbours when encoding their bytes
 gives the two tokens back. A sequence in which all neighbours are stable is the encoding of its bytes, so
-that everything outside the window is then proven final. Decoding concatenates up the same tree.
+that everything outside the window is then proven final. Between matches of the pattern nothing ever merges: there the join of two
+encodings is their concatenation, by which the tree goes on from pieces to chunks and whole texts. Decoding concatenates the
+tokens' bytes up a tree as well, two neighbours at a time.
 
 Cases: null and empty texts have no tokens; very long texts and pieces are cut and joined like any other;
 bytes that a vocabulary lacks raise KeyError; repeated rows give equal results; further columns are ignored.
@@ -14,7 +16,7 @@ bytes that a vocabulary lacks raise KeyError; repeated rows give equal results;
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,11 +24,13 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from tributary.llm.common import ChunkEncoder, take_over, text_batches
+from tributary.llm.common import ChunkEncoder, groups, take_over, text_batches
 from tributary.session import ship
 
 #: Bytes of a leaf.
 LEAF = 24
+#: Tokens of a leaf in decoding.
+DECODE_LEAF = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,6 +39,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+def up_the_tree(token: Callable[[int], bytes], ids: list[int]) -> bytes:
+    """The bytes of ids: those of DECODE_LEAF neighbours at the leaves, then of two neighbours at a time up to the root."""
+    parts = [b"".join(map(token, ids[a : a + DECODE_LEAF])) for a in range(0, len(ids), DECODE_LEAF)]
+    while len(parts) > 1:
+        last = parts[-1:] if len(parts) % 2 else []
+        parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + last
+    return parts[0] if parts else b""
+
+
 class TreeBpe:
     def __init__(self, ranks: dict[bytes, int], leaf: int = LEAF):
         self.ranks, self.leaf = ranks, leaf
@@ -64,10 +77,7 @@ class TreeBpe:
 
     def decode(self, ids: list[int]) -> bytes:
         """Concatenates up the tree."""
-        if len(ids) <= 64:
-            return b"".join([self.tokens[i] for i in ids])
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+        return up_the_tree(self.tokens.__getitem__, ids)
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of both."""
@@ -102,30 +112,31 @@ class TreeBpe:
 class TreeEncoder(ChunkEncoder):
     """Encodes chunks piece by piece; pieces are the pattern's matches."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__(350_000)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 300_000):
+        super().__init__(most)
         self.bpe, self.pieces = TreeBpe(ranks), regex.compile(pattern)
         self.known: dict[str, list[int]] = {}
 
-    def encode_new(self, chunks: list[str]) -> list[list[int]]:
+    def encode_new(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > 40_000:
             self.known.clear()
-        out, known, encode = [], self.known, self.bpe.encode
-        for chunk in chunks:
-            ids: list[int] = []
-            for piece in self.pieces.findall(chunk):
+        ids: list[int] = []
+        lengths, known, encode = np.empty(len(keys), np.int64), self.known, self.bpe.encode
+        for i, key in enumerate(keys):
+            before = len(ids)
+            for piece in self.pieces.findall(self.chunk(key)):
                 got = known.get(piece)
                 if got is None:
                     got = encode(piece.encode("utf-8", "surrogatepass"))
                     if len(piece) <= 64:
                         known[piece] = got
                 ids += got
-            out.append(ids)
-        return out
+            lengths[i] = len(ids) - before
+        return np.array(ids, np.uint32), lengths
 
 
 _encoders: dict[tuple[str, str], TreeEncoder] = {}
-_tokens: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+_tokens: dict[str, list[bytes]] = {}
 
 
 def _encoder(path: str, pattern: str) -> TreeEncoder:
@@ -136,13 +147,11 @@ def _encoder(path: str, pattern: str) -> TreeEncoder:
     return _encoders[path, pattern]
 
 
-def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens' bytes as one array, with starts and lengths."""
+def _token_bytes(path: str) -> list[bytes]:
+    """All tokens' bytes by rank."""
     if path not in _tokens:
         tokens = {rank: token for token, rank in read_ranks(path).items()}
-        ordered = [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
-        sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
-        _tokens[path] = np.frombuffer(b"".join(ordered), np.uint8), np.cumsum(sizes) - sizes, sizes
+        _tokens[path] = [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
     return _tokens[path]
 
 
@@ -168,15 +177,10 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     ship(encoded.sparkSession)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from tributary.llm.common import gather
-
-        data, starts, sizes = _token_bytes(ranks_path)
+        token = _token_bytes(ranks_path).__getitem__
         for frame in frames:
-            out = []
-            for ids in frame["ids"]:
-                codes = np.frombuffer(ids, "<u4")
-                # neighbours concatenate all the way up: all tokens' bytes in order
-                out.append(data[gather(starts[codes], sizes[codes])].tobytes())
-            yield frame.assign(data=out)
+            for a, b in groups([len(x) for x in frame["ids"]]):
+                part = frame.iloc[a:b]
+                yield part.assign(data=[up_the_tree(token, np.frombuffer(x, "<u4").tolist()) for x in part["ids"]])
 
     return encoded.select("doc_id", "ids").mapInPandas(work, "doc_id long, ids binary, data binary")

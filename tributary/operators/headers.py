@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import DIAGNOSIS_MISSING, NUMBER, canonical_value, is_missing, is_positive, mapped, mapped_or_null, trimmed
+from tributary.functions.scalars import (
+    DIAGNOSIS_MISSING,
+    NUMBER,
+    brand_of,
+    canonical_value,
+    is_missing,
+    is_positive,
+    mapped,
+    mapped_or_null,
+    trimmed,
+    valid_price,
+    year_of,
+)
 from tributary.model import cells
+from tributary.session import materialise
 
 
 # Units that a header may end with, and how some of them are written between underscores.
@@ -29,10 +43,9 @@ def unit_header(x: Column, units: tuple[str, ...] = UNITS, coded: dict[str, str]
     x = F.translate(trimmed(x), "（）—–", "()--")
     x = F.regexp_replace(x, rf"\[({any_unit})\]$", "($1)")
     spelt = coded | {u: u for u in units if "/" not in u}
-    out = x
-    for code in reversed(_longest_first(spelt)):
-        out = F.when(F.endswith(x, F.lit(f"_{code}_")), F.concat(F.regexp_replace(x, f"_{re.escape(code)}_$", ""), F.lit(f"({spelt[code]})"))).otherwise(out)
-    return out
+    pattern = "_(" + "|".join(re.escape(code) for code in _longest_first(spelt)) + ")_$"
+    unit = mapped_or_null(F.nullif(F.regexp_extract(x, pattern, 1), F.lit("")), spelt)
+    return F.coalesce(F.concat(F.regexp_replace(x, pattern, ""), F.lit("("), unit, F.lit(")")), x)
 
 
 def coded_header(x: Column, coded: dict[str, str]) -> Column:
@@ -77,6 +90,35 @@ def rename_headers(df: DataFrame, aliases: dict[str, str], key: str = "row_id")
     return _regroup(cells(df, key).withColumn("name", header(F.col("key"), aliases)), key).where("value <> ''")
 
 
+@dataclass(frozen=True)
+class SourceRules:
+    """What one source's rows need: the attribute that holds its price, brand names to find in series, aliases of its headers."""
+
+    source: str
+    price: str | None = None
+    prefixes: tuple[str, ...] = ()
+    aliases: dict[str, str] = field(default_factory=dict)
+
+
+def normalise_source(rows: DataFrame, rules: SourceRules, key: str = "row_id") -> DataFrame:
+    """A source's rows with their year from the name where they have none, their price from its own attribute where it isn't valid, their brand
+    from the series where it is empty, and attributes under canonical headers (collisions merged).
+
+    rows: row_id, brand, series, year, model, price, attrs.
+    """
+    c = F.col
+    own = F.element_at("attrs", F.lit(rules.price)) if rules.price else F.lit(None).cast("string")
+    brand = F.when(is_missing(c("brand")), brand_of(c("series"), list(rules.prefixes))).otherwise(c("brand")) if rules.prefixes else c("brand")
+    fixed = rows.select(
+        key, F.lit(rules.source).alias("source"), brand.alias("brand"), "series", "model",
+        F.when(is_missing(c("year")), year_of(c("model")).cast("string")).otherwise(c("year").cast("string")).alias("year"),
+        F.coalesce(valid_price(c("price"), own), F.lit("-")).alias("price"),
+    )
+    named = rename_headers(rows.select(key, "attrs"), rules.aliases, key)
+    attrs = named.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("attrs"))
+    return fixed.join(attrs, key, "left").withColumn("attrs", F.coalesce("attrs", F.create_map().cast("map<string,string>")))
+
+
 def fold_one_hot(df: DataFrame, key: str = "row_id") -> DataFrame:
     """C4: a positive cell under "attribute - value" is that value of the attribute."""
     parts = F.split("key", " - ", 2)
@@ -282,7 +324,8 @@ def suspects(df: DataFrame, known: dict[str, str] | None = None, key: str = "row
     ]
     pick = lambda tests: F.coalesce(*[F.when(t, F.struct(F.lit(kind).alias("kind"), c.alias("confidence"), a.alias("attribute"), v.alias("value"))) for t, kind, c, a, v in tests])
     found = F.coalesce(pick(rules), F.when(F.col("pair_rows").isNull(), pick(late)))
-    told = marked.withColumn("found", found).where("found is not null").select(k.alias("column"), "found.kind", "occurrences", "found.confidence", "found.attribute", "found.value")
+    # a row per header: written, so that the rules run once, whatever is asked of them
+    told = materialise(marked.withColumn("found", found), "headers").where("found is not null").select(k.alias("column"), "found.kind", "occurrences", "found.confidence", "found.attribute", "found.value")
     worded = F.col("base").rlike(r"(?U)\s|(?<=[a-z])(?=[A-Z])")
     packages = pairs.select(
         F.concat("base", F.lit("_1 / "), "base", F.lit("_2")).alias("column"),
@@ -292,7 +335,7 @@ def suspects(df: DataFrame, known: dict[str, str] | None = None, key: str = "row
         text(PACKAGE).alias("attribute"),
         text(PACKAGE_VALUE).alias("value"),
     )
-    return told.unionByName(packages)
+    return materialise(told.unionByName(packages), "suspects")
 
 
 def diagnose(df: DataFrame, limit: int = 120, known: dict[str, str] | None = None, key: str = "row_id") -> DataFrame:

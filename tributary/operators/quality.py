@@ -75,6 +75,19 @@ def audit(baseline: DataFrame, candidate: DataFrame, bucket: list[str]) -> DataF
     return lost.unionByName(gone)
 
 
+def annotation_changes(candidate: DataFrame, recomputed: DataFrame, column: str = "component_id") -> DataFrame:
+    """Keys (hashed) of which the stored annotation isn't what a recomputation gives, with both. Both have key and the column."""
+    again = recomputed.select("key", F.col(column).alias("recomputed"))
+    both = candidate.select("key", F.col(column).alias("stored")).join(again, "key", "full")
+    return both.where(~F.col("stored").eqNullSafe(F.col("recomputed"))).select(F.substring(F.sha2("key", 256), 1, 16).alias("key_hash"), "stored", "recomputed")
+
+
+def fingerprint(rows: DataFrame, key: str = "key") -> DataFrame:
+    """One row that tells a set of keys by their number and the sum of their hashes, in whatever order they come."""
+    digits = F.conv(F.substring(F.sha2(F.col(key), 256), 1, 12), 16, 10).cast("decimal(20,0)")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(digits), F.lit(0)).cast("string").alias("fingerprint"))
+
+
 def replay(before: DataFrame, after: DataFrame, key: str, metric: str, contradicts: Column | None = None) -> DataFrame:
     """Whether row counts agree, how many rows changed, how many contradict themselves afterwards, and whether the metric's sum got better."""
     a = before.agg(F.count(F.lit(1)).alias("rows_before"), F.sum(metric).alias("metric_before"))

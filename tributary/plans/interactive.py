@@ -185,6 +185,20 @@ def audited_header(spark, sf_dir):
     return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), name.alias("name"))
 
 
+@query("""SELECT p_partkey AS row_id, 'X' AS source, CASE WHEN p_partkey % 3 = 0 THEN '比亚迪' ELSE p_brand END AS brand, CASE WHEN p_partkey % 2 = 0 THEN '2021' ELSE '2024' END AS year, CASE p_partkey % 4 WHEN 0 THEN '9万' WHEN 1 THEN concat(p_size, '万') ELSE '-' END AS price,
+CASE WHEN p_partkey % 5 = 0 THEN p_name WHEN p_name = p_type THEN p_name ELSE concat(p_name, '|', p_type) END AS width FROM part""")
+def source_rules(spark, sf_dir):
+    """One source's own rules for years, prices, brands and headers."""
+    k = F.col("p_partkey")
+    attrs = F.create_map(F.lit("宽[mm]"), F.col("p_name"), F.lit("宽_mm_"), F.when(k % 5 == 0, "-").otherwise(F.col("p_type")), F.lit("厂商指导价_元_"), F.when(k % 4 == 0, "9万").otherwise("暂无"))
+    rows = load(spark, sf_dir, "part").select(
+        k.alias("row_id"), F.when(k % 3 == 0, "-").otherwise(F.col("p_brand")).alias("brand"), F.when(k % 3 == 0, F.concat(F.lit("新比亚迪"), "p_type")).otherwise(F.col("p_type")).alias("series"),
+        F.when(k % 2 == 0, "").otherwise("2024").alias("year"), F.concat("p_name", F.lit(" 2021款")).alias("model"), F.when(k % 4 == 1, F.concat("p_size", F.lit("万"))).otherwise("暂无报价").alias("price"), attrs.alias("attrs"),
+    )
+    out = H.normalise_source(rows, H.SourceRules("X", "厂商指导价_元_", ("比亚迪",), {"宽(mm)": "width"}))
+    return out.select("row_id", "source", "brand", "year", "price", F.col("attrs")["width"].alias("width"))
+
+
 @query("""SELECT p_partkey AS row_id, 'type' AS name, p_type AS value FROM part WHERE p_type IN ('ECONOMY', 'PROMO')
 UNION ALL SELECT p_partkey, 'brand', p_brand FROM part""")
 def onehot_fold(spark, sf_dir):

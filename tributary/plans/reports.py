@@ -191,6 +191,21 @@ def audit_regression(spark, sf_dir):
     return G.audit(a.select(*columns), candidate, ["brand", "series", "year"])
 
 
+@query("""SELECT CAST(count(*) AS BIGINT) AS n, CAST(CAST(sum(CAST(concat('0x', substr(sha256(p_name || '|' || p_partkey), 1, 12)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS fingerprint FROM part""")
+def audit_fingerprint(spark, sf_dir):
+    """N4."""
+    return G.fingerprint(load(spark, sf_dir, "part").select(F.concat_ws("|", "p_name", "p_partkey").alias("key")))
+
+
+@query("""SELECT substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 16) AS key_hash, CASE WHEN p_partkey % 5 = 0 THEN 'x' END AS stored, CASE WHEN p_partkey % 5 = 0 THEN p_brand WHEN p_partkey % 7 = 0 THEN 'y' END AS recomputed FROM part WHERE p_partkey % 5 = 0 OR p_partkey % 7 = 0""")
+def audit_annotations(spark, sf_dir):
+    """Stored annotations that a recomputation doesn't give."""
+    k = F.col("p_partkey")
+    p = load(spark, sf_dir, "part").select(k.cast("string").alias("key"), F.when(k % 5 == 0, "x").when(k % 3 == 0, "z").alias("stored"), F.when(k % 5 == 0, F.col("p_brand")).when(k % 3 == 0, "z").when(k % 7 == 0, "y").alias("new"), k)
+    p = p.where((k % 5 == 0) | (k % 7 == 0) | (k % 11 == 0)).withColumn("stored", F.when((k % 5 != 0) & (k % 7 == 0), None).otherwise(F.col("stored"))).withColumn("new", F.when((k % 5 != 0) & (k % 7 == 0), "y").otherwise(F.col("new")))
+    return G.annotation_changes(p.select("key", F.col("stored").alias("component_id")), p.select("key", F.col("new").alias("component_id")))
+
+
 @query("""SELECT CAST(count(*) AS BIGINT) AS rows_before, CAST(count(*) AS BIGINT) AS rows_after, CAST(sum(p_size) AS BIGINT) AS metric_before, CAST(sum(p_size + 1) AS BIGINT) AS metric_after, CAST(sum(CASE WHEN p_size >= 50 THEN 1 ELSE 0 END) AS BIGINT) AS contradictions, CAST(0 AS BIGINT) AS changed, sum(CASE WHEN p_size >= 50 THEN 1 ELSE 0 END) = 0 AS ok FROM part""")
 def replay_metrics(spark, sf_dir):
     p = load(spark, sf_dir, "part")

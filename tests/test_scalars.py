@@ -118,7 +118,7 @@ def test_evidence_and_tokens(spark):
     got = value(spark, E.positive_evidence(F.col("v")), v="X 75.0kWh 600km 超长续航版")
     assert got.asDict() == {"battery": ["75"], "range": ["600"], "range_class": ["extra_long_range"]}
     got = value(spark, E.model_tokens(F.col("s"), F.col("v"), F.col("e")), s="腾势N9DM", v="2024款 Max 七座 尊享版 1.5T 自动", e="插混")
-    assert sorted(got) == sorted(["tier:max", "seat:7", "腾势n", "9", "尊享版", "1.5", "t", "插混"])
+    assert sorted(got) == sorted(["tier:max", "seat:7", "腾势", "n", "9", "尊享版", "1.5", "t", "插混"])
     assert sorted(value(spark, E.term_tokens(F.col("s"), F.col("v")), s="Song", v="Song 24款 超长续航Pro尊享版 600km")) == sorted(["超长续航", "pro", "尊享"])
 
 

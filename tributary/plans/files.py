@@ -24,10 +24,10 @@ def query(sql: str | None = None):
 
 @query("SELECT CAST(o_custkey AS VARCHAR) AS id, o_orderstatus AS name FROM orders")
 def json_rows(spark, sf_dir):
-    """A1, A2: an array of objects, or an object with items or data, a customer a file."""
+    """A1, A2: an array of objects, or an object with items or data, a file each."""
     path = scratch(spark, "json")
-    docs = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("name"))).alias("r"))
-    k = F.col("o_custkey") % 3
+    docs = load(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 48).alias("file")).agg(F.collect_list(F.struct(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderstatus").alias("name"))).alias("r"))
+    k = F.col("file") % 3
     text = F.when(k == 0, F.to_json("r")).when(k == 1, F.to_json(F.struct(F.col("r").alias("items")))).otherwise(F.to_json(F.struct(F.col("r").alias("data"))))
     docs.select(text.alias("value")).repartition(16).write.option("maxRecordsPerFile", 1).text(path)
     return X.read_json_rows(spark, path, "id string, name string")

@@ -16,25 +16,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import row_key, text_or_empty
+from tributary.llm.common import text_or_empty
 
 #: At most so many digests are salted: those of at least this fraction of all rows.
 HOT_MOST = 512
 SALTS = 64
 
 
-def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    text = text_or_empty(text_column)
-    return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.sha2(text, 256).alias("text_sha256"),
-    ).withColumn("digest", F.unhex("text_sha256"))
-
-
-def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, hot."""
-    rows = _keyed(docs, id_column, text_column)
+def _salted(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, ...) with digest, is_hot and salt."""
+    rows = rows.withColumn("text_sha256", F.sha2("text", 256)).withColumn("digest", F.unhex("text_sha256"))
     counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     # Digests of at least total / HOT_MOST rows: no more than HOT_MOST can exist, so their broadcast is bounded.
@@ -47,35 +38,27 @@ def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
         .withColumn("is_hot", F.coalesce("is_hot", F.lit(False)))
     )
     salt = F.when(F.col("is_hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0))
-    # Local combining and the salted stage: the grouping key holds the whole text.
-    salted = (
-        marked.withColumn("salt", salt)
-        .groupBy("digest", "salt", "text", "is_hot")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    )
-    classes = ["digest", "is_hot", "length", "keep_id", "group_size"]
-    cold_classes = salted.where("not is_hot").withColumn("length", F.octet_length("text")).select(*classes)
-    hot_classes = (
-        salted.where("is_hot")
-        .groupBy("digest", "text", "is_hot")
+    return marked.withColumn("salt", salt.cast("int"))
+
+
+def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    salted_rows = _salted(docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text")))
+    # Every stage groups and joins by the whole text. Local combining and the salted stage:
+    place = ["digest", "salt", "text"]
+    best = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
+    winners = (
+        salted_rows.where("is_hot")
+        .groupBy(*place)
+        .agg(*best)
+        .groupBy("digest", "text")
         .agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        .withColumn("length", F.octet_length("text"))
-        .select(*classes)
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # back to the salts: at most HOT_MOST digests
     )
-    # Two texts of one digest and length can't be told apart by the join below: fail rather than mix them.
-    def checked(df: DataFrame) -> DataFrame:
-        one = df.groupBy("digest", "length").agg(
-            F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count(F.lit(1)).alias("texts")
-        )
-        return one.withColumn(
-            "group_size",
-            F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts share one digest"))).otherwise(F.col("group_size")),
-        ).drop("texts")
-
-    light = marked.withColumn("length", F.octet_length("text")).drop("text")
-    cold = light.where("not is_hot").join(checked(cold_classes), ["digest", "length"])
-    warm = light.where("is_hot").join(F.broadcast(checked(hot_classes)), ["digest", "length"])
-    return cold.unionByName(warm).select(
+    classes = salted_rows.where("not is_hot").groupBy(*place).agg(*best)  # lies where the join below wants it
+    cold = salted_rows.where("not is_hot").join(classes, place)
+    warm = salted_rows.where("is_hot").join(winners, place)
+    return cold.unionByName(warm.select(*cold.columns)).select(
         "doc_id",
         "keep_id",
         "group_size",
@@ -85,12 +68,22 @@ def groups_of_copies(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def keep(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", without_id: bool = False) -> DataFrame:
-    """The documents of which ``kept`` holds, (without_id: and one of each text that has no id,) each once, with all their columns."""
-    winners = (
-        groups_of_copies(docs, id_column, text_column)
-        .where(F.col("kept") | (F.lit(without_id) & F.col("keep_id").isNull()))
-        .select(F.concat_ws(":", "text_sha256", F.col("doc_id").cast("string")).alias("__key"))
-        .distinct()
+    """One document of each text, with all its columns: the one with the largest id (without_id: where none has an id, one of those).
+
+    The winning rows themselves combine, locally, by salt and over the salts, with one shuffle of the texts. Of rows that also share the
+    id, a hash of their other columns decides.
+    """
+    others = [c for c in docs.columns if c != text_column]
+    rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{text_column}`").isNull().alias("blank"))
+    order = F.struct(F.col(f"`{id_column}`").cast("long").alias("id"), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in others]).alias("tie"))
+    rows = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_column}`").alias("text"), rest.alias("rest"), order.alias("order")
     )
-    keyed = docs.withColumn("__key", row_key(id_column, text_column))
-    return keyed.join(winners, "__key", "left_semi").dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    best = [F.max_by("rest", "order").alias("rest"), F.max("order").alias("order")]
+    salted = _salted(rows).groupBy("digest", "salt", "text", "is_hot").agg(*best)
+    warm = salted.where("is_hot").groupBy("digest", "text").agg(*best)
+    kept = salted.where("not is_hot").select("text", "rest", "order").unionByName(warm.select("text", "rest", "order"))
+    if not without_id:
+        kept = kept.where("order.id is not null")
+    text = F.when(~F.col("rest.blank"), F.col("text"))
+    return kept.select(*[(text if c == text_column else F.col(f"rest.c{others.index(c)}")).alias(c) for c in docs.columns])

@@ -11,6 +11,7 @@ from itertools import chain, islice
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +94,14 @@ _held: dict[str, Callable[[], None]] = {}
 _holder: list[str] = [""]
 
 
+def give_back() -> None:
+    """Give freed memory back to the system, which glibc else keeps."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def take_over(name: str, clear: Callable[[], None]) -> None:
     """Of what operators remember in a worker from task to task, only the last user's is held: others are cleared, and their
     memory is given back to the system."""
@@ -102,10 +111,7 @@ def take_over(name: str, clear: Callable[[], None]) -> None:
         for other, forget in _held.items():
             if other != name:
                 forget()
-        gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
-        if trim:
-            trim(0)
+        give_back()
 
 
 _words = WordHashes()
@@ -263,7 +269,7 @@ class LibraryEncoder(ChunkEncoder):
     #: Chunks that the library gets in one string.
     RUN = 500
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 500_000):
         super().__init__(most)
         from tokenizers import Tokenizer
 
@@ -321,6 +327,20 @@ def library_encoder(path: str) -> LibraryEncoder:
     return _encoders[path]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id (never null) and the compressed text, to move less."""
+    from tributary.session import ship
+
+    ship(docs.sparkSession)
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for frame in text_batches(frames):
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "packed": [press(utf8(x)) for x in frame["text"]]})
+
+    return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, packed binary")
+
+
 def text_batches(frames: Iterator[pd.DataFrame], column: str = "text") -> Iterator[pd.DataFrame]:
     """The rows again, in frames of about GROUP_CHARS characters, null texts as empty ones."""
     for frame in frames:

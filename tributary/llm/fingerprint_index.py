@@ -2,8 +2,9 @@
 
 Every window of ``window`` words has a fingerprint: the least hash of the ``gram``-word runs inside it. Windows next to
 each other that share it form a segment, so that a passage leaves about one fingerprint for twenty words, and equal
-passages leave equal segments but for those at their ends. A run of the index is a sorted, immutable table
-(fingerprint, segment digest, first document). A new batch is merge-joined with all runs; a match is verified by the digest of the
+passages leave equal segments but for those at their ends. A run of the index is an immutable table
+(fingerprint, segment digest, first document), bucketed and sorted by its key. A new batch is merge-joined with each run, which stays
+where it is; a match is verified by the digest of the
 segment's own words. What the batch adds becomes a run itself, and ``FANOUT`` runs of a level are compacted into one of the next.
 
 Where a fingerprint has segments of different words (ends of passages, edits), their windows are compared one by
@@ -19,15 +20,16 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import rolling, split_words, text_batches, word_hashes
+from tributary.llm.common import join_by_key, packed, rolling, split_words, text_batches, word_hashes
 from tributary.session import materialise, scratch, ship
 
 WINDOW = 50
@@ -106,8 +108,12 @@ class FingerprintIndex:
         return batch.select("doc_id", "text").mapInPandas(work, "print long, digest long, doc_id long")
 
     def _write_run(self, rows: DataFrame, level: int) -> None:
-        ordered = rows.select("print", "digest", "owner").sortWithinPartitions("print", "digest")
-        self.runs.append((level, materialise(ordered, f"run-{level}")))
+        """A run is a table bucketed and sorted by its key, so that later joins move the new batch only."""
+        name, n = f"run_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        ordered = rows.select("print", "digest", "owner").repartition(n, "print", "digest")
+        writer = ordered.write.bucketBy(n, "print", "digest").sortBy("print", "digest")
+        writer.option("path", scratch(self.spark, f"run-{level}")).saveAsTable(name)
+        self.runs.append((level, self.spark.table(name)))
 
     def add(self, batch: DataFrame) -> None:
         """Look a batch (doc_id, text) up in all runs, note its hits, and add it as a run.
@@ -116,14 +122,13 @@ class FingerprintIndex:
         """
         found = materialise(self._occurrences(batch), "occurrences")
         own = found.groupBy("print", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"))
-        known = None
-        for _, run in self.runs:
-            run = run.select("print", "digest", F.col("owner").alias("before"))
-            known = run if known is None else known.unionByName(run)
-        if known is None:
-            merged = own.withColumn("before", F.lit(None).cast("long"))
-        else:
-            merged = own.join(known.hint("merge"), ["print", "digest"], "left")
+        merged, before = own, [F.lit(None).cast("long")]
+        for i, (_, run) in enumerate(self.runs):
+            run = run.select("print", "digest", F.col("owner").alias(f"before{i}"))
+            merged = merged.join(run.hint("merge"), ["print", "digest"], "left")
+            before.append(F.col(f"before{i}"))
+        # a segment is in one run only: the batch that added it was joined with all before
+        merged = merged.select("print", "digest", "owner", "latest", F.coalesce(*before).alias("before"))
         merged = materialise(merged, "merged")
         # hits: the segment's words already stand in an earlier document
         first = merged.withColumn("owner", F.coalesce("before", "owner")).where("owner < latest")
@@ -142,8 +147,7 @@ class FingerprintIndex:
                 if x == level:
                     merged = run if merged is None else merged.unionByName(run)
             self.runs = [r for r in self.runs if r[0] != level]
-            # a segment is in one run only: the batch that added it was joined with all before
-            self._write_run(merged.repartition("print"), level + 1)
+            self._write_run(merged, level + 1)
             level += 1
 
     def window_hits(self, corpus: DataFrame) -> DataFrame:
@@ -180,20 +184,10 @@ class FingerprintIndex:
                     yield pd.concat(out)
 
         windows = corpus.join(wanted, "doc_id").mapInPandas(work, "window long, check long, doc_id long")
-        least = F.min("doc_id").over(Window.partitionBy("window", "check"))
-        return windows.withColumn("least", least).where("doc_id > least").select("doc_id", "window")
-
-
-def packed(docs: DataFrame) -> DataFrame:
-    """doc_id and the compressed text, to move less."""
-    ship(docs.sparkSession)
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=3).compress
-        for frame in text_batches(frames):
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "packed": [press(x.encode("utf-8", "surrogatepass")) for x in frame["text"]]})
-
-    return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, packed binary")
+        windows = materialise(windows, "windows")
+        first = windows.groupBy("window", "check").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+        first = materialise(first.where("n > 1"), "first-windows")
+        return join_by_key(windows, first, ["window", "check"], "n").where("doc_id > least").select("doc_id", "window")
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, batches: int = 3, gram: int = GRAM) -> DataFrame:

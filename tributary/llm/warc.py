@@ -4,7 +4,8 @@ A capture is stored as an HTTP message whose body is framed in chunks. Blocks lo
 the first record carries WARC-Segment-Number 1, continuation records name its id in WARC-Segment-Origin-ID,
 and the last one gives WARC-Segment-Total-Length. Captures whose payload digest another one stands for become revisit
 records. Files are written by Spark's text writer with the blank lines between records as its separator, so that
-its committer places them in the shared folder; a file holds at most ``RECORDS`` captures' records.
+its committer places them in the shared folder. Records go to it in rows of about ``ROW_BYTES`` and files end after ``ROWS`` rows, so that
+a file's size is bounded however long captures are.
 
 Reading parses each file by its records' lengths, groups continuation records by origin id, orders them by segment number,
 verifies the total length, decodes the chunked framing and compares the payload with the recorded digest.
@@ -35,8 +36,9 @@ from tributary.session import ship
 SEGMENT = 32 * 1024
 #: Bytes of a chunk of the transfer framing.
 CHUNK_BYTES = 8 * 1024
-#: Captures in a file.
-RECORDS = 4000
+#: A row of the text writer holds records of about so many bytes, a file so many rows.
+ROW_BYTES = 1 << 20
+ROWS = 64
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -136,7 +138,9 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number = TaskContext.get().partitionId(), 0
         for frame in frames:
-            out = []
+            out: list[str] = []
+            held: list[bytes] = []
+            size = 0
             columns = (frame[c] for c in ("id", "url", "payload", "keeper", "repeated"))
             for name, url, payload, keeper, repeated in zip(*columns):
                 data = payload.encode("utf-8", "surrogatepass")
@@ -145,9 +149,16 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
                 if repeated is not None and not pd.isna(repeated) and repeated:
                     name, number = f"{name}.{part}-{number}", number + 1
                 # the writer puts END after each value, which ends the last record
-                parts = records(name, url, data, None if pd.isna(keeper) else f"{int(keeper)}.{digest}")
-                out.append(END.encode().join(parts))
-            yield pd.DataFrame({"value": out})
+                for record in records(name, url, data, None if pd.isna(keeper) else f"{int(keeper)}.{digest}"):
+                    held.append(record)
+                    size += len(record)
+                    if size >= ROW_BYTES:
+                        out.append(END.encode().join(held))
+                        held, size = [], 0
+                if len(out) >= 4:
+                    yield pd.DataFrame({"value": out})
+                    out = []
+            yield pd.DataFrame({"value": [*out, END.encode().join(held)] if held else out})
 
     equal = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("sum") == F.col("m_sum")) & (F.col("bytes") == F.col("m_bytes"))
     (
@@ -156,7 +167,7 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
         .mapInPandas(work, "value binary")
         .select(F.col("value").cast("string"))
         .write.option("lineSep", END)
-        .option("maxRecordsPerFile", RECORDS)
+        .option("maxRecordsPerFile", ROWS)
         .option("compression", "gzip")
         .text(path)
     )

@@ -7,8 +7,9 @@ passes when the lower bound (mean - Z standard deviations) of its host's posteri
 Everything is counted over all pages; hosts without labels inherit their domain's or suffix's bound.
 
 Cases: a url that is null or has no ``://`` has an empty host and path and is judged as a host of its own;
-pages without a label only inherit; repeated label rows each count; empty tables give an empty result;
-further columns are ignored.
+pages without a label only inherit; repeated label rows each count; a null page_id has no label; repeated pages are judged
+each; the registered domain is the host's last two labels (no list of public suffixes is assumed, so that all of ``co.uk``
+shares one prior); empty tables give an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import join_by_key
+from tributary.session import materialise
+
 #: (rule, verdict); a rule is host/path and covers the host's subdomains and longer paths.
 RULES = (
     ("org/", "allow"),
@@ -53,17 +57,18 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per host: labelled pages, good ones, posterior mean and lower bound.
+    """Per host: pages, labelled ones, good ones, posterior mean and lower bound.
 
     pages: page_id, host. labels: page_id, good (0 or 1).
     """
     hosts = (
         pages.join(labels, "page_id", "left")
         .groupBy("host")
-        .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"))
+        .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("k"), F.count(F.lit(1)).alias("pages"))
         .withColumn("suffix", F.substring_index("host", ".", -1))
         .withColumn("domain", F.substring_index("host", ".", -2))
     )
+    hosts = materialise(hosts, "hosts")  # counted once; all levels read these rows
 
     def with_strength(level: DataFrame, mean: str) -> DataFrame:
         """Adds the prior's strength (a + b) by moments: how far rates spread beyond the binomial, over entries with two labels or more."""
@@ -91,7 +96,7 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     n = F.col("n") + F.col("strength")
     mean = a / n
     return last.select(
-        "host", "n", "k", mean.alias("mean"), (mean - Z * F.sqrt(mean * (1 - mean) / (n + 1))).alias("bound")
+        "host", "pages", "n", "k", mean.alias("mean"), (mean - Z * F.sqrt(mean * (1 - mean) / (n + 1))).alias("bound")
     )
 
 
@@ -99,13 +104,13 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, threshold: float = T
     """pages: page_id, url; labels: page_id, good. Returns page_id, host, path, rule, verdict, bound."""
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    bounds = reputation(rows.select("page_id", "host"), labels.select("page_id", "good")).select("host", "bound")
+    bounds = reputation(rows.select("page_id", "host"), labels.select("page_id", "good")).select("host", "bound", "pages")
     verdict = F.lit(None).cast("string")
     for rule, what in rules:
         verdict = F.when(F.col("rule") == rule, F.lit(what)).otherwise(verdict)
     method = F.when(F.col("bound") >= threshold, "allow").otherwise("block")
     return (
-        rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-        .join(bounds, "host", "left")
+        join_by_key(rows, materialise(bounds, "bounds"), ["host"], "pages")
+        .withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
         .select("page_id", "host", "path", "rule", F.coalesce(verdict, method).alias("verdict"), "bound")
     )

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import mix, split_words, text_batches
+from tributary.llm.common import give_back, mix, split_words, text_batches
 from tributary.session import ship
 
 BUCKETS = 1 << 17
@@ -42,7 +42,7 @@ THRESHOLD = 0.3
 class Features:
     """Words by number, with one value for each: what ``learn`` makes of a word's buckets. Remembers about ``most`` words."""
 
-    def __init__(self, most: int = 600_000):
+    def __init__(self, most: int = 300_000):
         self.most = most
         self.index: dict[bytes, int] = {}
         self.new: list[bytes] = []
@@ -177,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, seed: int
 
 
 def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns to carry and score (0 to 1) of every document."""
+    """doc_id, the columns to carry and score (0 to 1) of every document. Carried columns pass as text, so that no number changes;
+    a carried text is empty where it is null."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.shares, model.bias))  # BUCKETS floats, whatever the corpus
 
@@ -199,9 +200,14 @@ def score(docs: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFra
             if len(known.index) > known.most:
                 n = known.forget()
                 sums, sizes = sums[:n], sizes[:n]
-
-    carried = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return docs.select("doc_id", "text", *carry).mapInPandas(work, f"doc_id long, {carried}score double")
+        del known, sums, sizes
+        give_back()
+
+    others = [c for c in ("doc_id", *carry) if c != "text"]
+    sent_on = docs.select(*[F.col(c).cast("string") for c in others], "text")
+    carried = "".join(f"{c} string, " for c in ("doc_id", *carry))
+    scored = sent_on.mapInPandas(work, f"{carried}score double")
+    return scored.select(*[F.col(c).cast(docs.schema[c].dataType) for c in ("doc_id", *carry)], "score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = MOST_LABELLED, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -35,7 +35,9 @@ def op2_fingerprint_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm.progressive_jpeg import load_media, store
 
-    return load_media(store(load(spark, sf_dir, "documents"))).select(
+    path = scratch(spark, "jpeg")
+    store(load(spark, sf_dir, "documents")).write.option("compression", "zstd").parquet(path)
+    return load_media(spark.read.parquet(path)).select(
         "doc_id",
         "n_bytes",
         F.octet_length("payload").cast("long").alias("payload_bytes"),

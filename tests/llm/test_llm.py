@@ -56,7 +56,10 @@ def empty(docs):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    return K.library_encoder(K.vocabulary("byte_bpe_50k.json")).tokenizer
+    """The library as it comes."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(K.vocabulary("byte_bpe_50k.json"))
 
 
 def rows_of(docs):
@@ -135,8 +138,8 @@ def test_repair_goes_on_until_no_pair_is_frequent(bits, monkeypatch):
 
 def test_encoder_is_the_library(tokenizer):
     parts = ["a", " ", "  ", "\n", "\n\n", "\t", "don't", "!", "é", "\xa0", "\u3000", "12", "日本", "\x01", "\x1c", ".", ",", "\r\n", "'s", "the", "<|endoftext|>"]
-    encoder = K.LibraryEncoder(K.vocabulary("byte_bpe_50k.json"))
-    encoder.most = 200  # forgets again and again
+    encoder = K.LibraryEncoder(K.vocabulary("byte_bpe_50k.json"), 200)  # forgets again and again
+    assert encoder.encode(["hello <|endoftext|> world"])[0].tolist() == [31373, 220, 50256, 995]
     rng = random.Random(4)
     for _ in range(60):
         texts = ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 30))) for _ in range(15)]
@@ -347,7 +350,49 @@ def test_quality(spark, empty):
     assert {r.score for r in quality.classify(df, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_scores_are_those_of_averaged_vectors(spark, docs):
+    """The summed shares against an average over every word's and every n-gram's own vector."""
+    rng = np.random.default_rng(4)
+    vectors, output, bias = rng.normal(0, 1, (quality.BUCKETS, quality.DIMENSIONS)), rng.normal(0, 1, (2, quality.DIMENSIONS)), np.array([0.2, -0.1])
+    model = quality.Model((vectors @ (output[1] - output[0])).astype(np.float32), float(bias[1] - bias[0]))
+    got = collections.Counter((r.doc_id, round(r.score, 4)) for r in quality.score(docs, model).collect())
+    want = collections.Counter()
+    for d, t in rows_of(docs):
+        words = K.split_words(t)
+        mean = vectors[quality.buckets_of(words)[0]].mean(0) if words else np.zeros(quality.DIMENSIONS)
+        p = np.exp(output @ mean + bias)
+        want[d, round(float(p[1] / p.sum()), 4)] += 1
+    assert got == want
+
+
+def test_quality_of_one_class_and_long_ids(spark):
+    """Labels of one class teach nothing: 0.5 everywhere; ids of more than 53 bits stay as they are beside null ones."""
+    long = (1 << 60) + 1
+    df = spark.createDataFrame([(long, "good text"), (None, "other"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, label int")
+    got = quality.classify(df, labels, carry=("text",)).collect()
+    assert {(r.doc_id, r.text) for r in got} == {(long, "good text"), (None, "other"), (2, "")} and {r.score for r in got} == {0.5}
+
+
+def test_quality_finds_held_out_labels(spark):
+    """Held-out rows of the given tables: the area under the curve."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    scored = quality.classify(spark.read.parquet(f"{folder}/documents.parquet"), labels).where("held_out")
+    rows = [(r.score, r.label) for r in scored.join(labels.where("label is not null"), "doc_id").collect()]
+    good, bad = [s for s, y in rows if y == 1], [s for s, y in rows if y == 0]
+    assert good and bad
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.8
+
+
 # 6
+def test_null_and_repeated_pages(spark):
+    pages = spark.createDataFrame([(None, "x://a.net"), (None, "x://a.net"), (7, "x://a.net"), (7, "x://b.co.uk/p")], "page_id long, url string")
+    labels = spark.createDataFrame([(7, 1)] * 60 + [(None, 0)], "page_id long, good int")
+    got = url_reputation.judge(pages, labels).collect()
+    assert len(got) == 4 and sorted(r.host for r in got) == ["a.net", "a.net", "a.net", "b.co.uk"] and {r.verdict for r in got} == {"allow"}
+
+
 def test_url_rules(spark):
     rows = [(1, "HTTP://Sub.Example.ORG/es/x?q"), (2, "https://example.org/en/12#f"), (3, "x://a.com/fr/"), (4, "x://a.com/de/1"), (5, None), (6, "no scheme"), (7, "x://notexample.org/es/"), (8, "x://q.net"), (8, "x://q.net")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
@@ -432,7 +477,7 @@ def brute_classes(rows, n, percent):
         return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
 
     sets = [grams(t) for _, t in rows]
-    parent = list(range(len(rows)))
+    parent, links = list(range(len(rows))), [0] * len(rows)
 
     def root(i):
         while parent[i] != i:
@@ -444,10 +489,12 @@ def brute_classes(rows, n, percent):
             both = len(sets[i] & sets[j])
             if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (d, _) in enumerate(rows):
         least[root(i)] = min(least.get(root(i), 1 << 62), 1 << 62 if d is None else d)
-    return collections.Counter((d, len(sets[i]), None if least[root(i)] == 1 << 62 else least[root(i)]) for i, (d, _) in enumerate(rows))
+    return collections.Counter((d, len(sets[i]), None if least[root(i)] == 1 << 62 else least[root(i)], links[i]) for i, (d, _) in enumerate(rows))
 
 
 def family(rng, size, n):
@@ -461,7 +508,7 @@ def family(rng, size, n):
     return out
 
 
-@pytest.mark.parametrize("tile", [4, 1024])
+@pytest.mark.parametrize("tile", [150, 400_000])
 def test_jaccard_join(spark, docs, tile, monkeypatch):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
     rng = random.Random(tile)
@@ -470,7 +517,20 @@ def test_jaccard_join(spark, docs, tile, monkeypatch):
         rows += [(1000 * (f + 1) + i, t) for i, t in enumerate(family(rng, 12, rng.choice([6, 9, 30, 66, 130])))]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("block", F.lit("clash"))
     got = jaccard_join.classes(df, 4, 0.85).collect()
-    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_classes(rows, 4, 85)
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == brute_classes(rows, 4, 85)
+
+
+def test_sets_with_one_name(spark, monkeypatch):
+    """Sets of which the first half of the digest is the same stay apart."""
+    real = jaccard_join.digests
+    monkeypatch.setattr(jaccard_join, "digests", lambda grams: (real(grams)[0] % 3, real(grams)[1]))
+    rng = random.Random(5)
+    rows = [(i, t) for f in range(3) for i, t in enumerate(family(rng, 5, 60), 100 * f)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = jaccard_join.sizes_and_nodes(df, 4).collect()
+    assert len({r.node for r in marked}) <= 3 < len({r.check for r in marked})
+    got = jaccard_join.classes(df, 4, 0.85).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == brute_classes(rows, 4, 85)
 
 
 def test_jaccard_empty_table(empty):
@@ -490,6 +550,18 @@ def test_linked_sets_share_a_key():
                     assert len(np.intersect1d(jaccard_join.keys(a, threshold), jaccard_join.keys(b, threshold)))
 
 
+def test_join_by_key_is_a_join(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice([1] * 2000 + list(range(2, 900))), i) for i in range(5000)]
+    left = spark.createDataFrame(rows, "k long, v long")
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("m")).where("k % 3 <> 0")
+    got = {(r.k, r.v, r.m) for r in K.join_by_key(left, right, ["k"], "n").collect()}
+    top = {}
+    for k, v in rows:
+        top[k] = max(v, top.get(k, 0))
+    assert got == {(k, v, top[k]) for k, v in rows if k % 3}
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1040)]
@@ -528,6 +600,19 @@ def test_warc(spark):
     assert warc.read(spark, path).count() == 0
 
 
+def test_warc_files_are_bounded(spark, monkeypatch):
+    """Records of any number and length go to files of a bounded size, and come back."""
+    monkeypatch.setattr(warc, "ROW_BYTES", 40_000)
+    monkeypatch.setattr(warc, "ROWS", 3)
+    rows = [(i, "u", f"{i} " + "é" * (i * 997 % 30_000)) for i in range(60)]
+    path = scratch(spark, "warc")
+    warc.write(spark.createDataFrame(rows, "id long, url string, payload string").coalesce(1), path)
+    got = {r.id: bytes(r.payload).decode() for r in warc.read(spark, path).collect()}
+    assert got == {i: p for i, _, p in rows}
+    sizes = [r.length for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("length").collect()]
+    assert len(sizes) > 5
+
+
 def test_warc_null_and_repeated_ids(spark):
     """Each row is a record of its own, above SEGMENT too; a revisit has the payload of what it refers to."""
     a, b, c, d = ("<p>" + x * 50_000 for x in "abcd")

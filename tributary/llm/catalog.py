@@ -162,6 +162,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(load(spark, sf_dir, "embeddings"))
 
 
+def op12_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm.context_mixing import model_scores
+
+    return model_scores(load(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm.filter_audit import audit
 

@@ -40,6 +40,14 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> Column:
     return F.concat_ws(":", F.sha2(text_or_empty(text_column), 256), F.col(id_column).cast("long").cast("string"))
 
 
+def map_rows(df: DataFrame, work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, id_column: str = "doc_id") -> DataFrame:
+    """mapInPandas in which ids pass as text, in and out: pandas would turn a column of longs with nulls into floats, and ids beyond
+    2^53 into others. ``schema`` names the id as a long."""
+    sent = df.withColumn(id_column, F.col(id_column).cast("long").cast("string"))
+    out = sent.mapInPandas(work, schema.replace(f"{id_column} long", f"{id_column} string"))
+    return out.withColumn(id_column, F.col(id_column).cast("long"))
+
+
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """Just these columns, so that further ones can't clash."""
     return df.select(*[F.col(f"`{c}`") for c in columns])

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import library_encoder, text_batches
+from tributary.llm.common import library_encoder, map_rows, text_batches
 from tributary.session import scratch, ship
 
 WINDOW = 1024
@@ -139,8 +139,8 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, window: int) -> D
             number += len(n)
             full += int(fulls.sum())
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        work, "row long, shard int, doc_id long, n long, rest int, rank long, full long, wide boolean, ids binary"
+    return map_rows(
+        docs.select("doc_id", "text"), work, "row long, shard int, doc_id long, n long, rest int, rank long, full long, wide boolean, ids binary"
     )
 
 
@@ -231,14 +231,10 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 0, window: int = WI
                 array = np.frombuffer(ids, "<u4" if wide else "<u2").astype("<u4", copy=False)
                 for a, k, s, o in zip(starts, lengths, sequences, offsets):
                     rows.append((doc, a, k, n, s, o, array[a : a + k].tobytes()))
-            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-            yield out.assign(doc_id=pd.array(out["doc_id"], dtype="Int64"))
-
-    return (
-        stored.select("row", "doc_id", "n", "wide", "ids")
-        .join(places, "row")
-        .drop("row")
-        .mapInPandas(
-            cut, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-        )
+            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    return map_rows(
+        stored.select("row", "doc_id", "n", "wide", "ids").join(places, "row").drop("row"),
+        cut,
+        "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary",
     )

@@ -25,9 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tributary.llm.common import gather, groups, utf8
+from tributary.llm.common import gather, groups, map_rows, utf8
 from tributary.session import ship
 
 #: Payloads are filled with bytes 255 to a positive multiple of UNIT.
@@ -655,13 +654,13 @@ def store(docs: DataFrame) -> DataFrame:
             for a, b in groups([len(x) for x in texts], BATCH_CHARS):
                 yield pd.DataFrame(
                     {
-                        "doc_id": frame["doc_id"].iloc[a:b].astype("Int64"),
+                        "doc_id": frame["doc_id"].iloc[a:b],
                         "n_bytes": [len(utf8(x)) for x in texts[a:b]],
                         "media": encode([padded(x) for x in texts[a:b]]),
                     }
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(work, "doc_id long, n_bytes long, media binary")
+    return map_rows(docs.select("doc_id", "text"), work, "doc_id long, n_bytes long, media binary")
 
 
 def load_media(stored: DataFrame) -> DataFrame:
@@ -679,8 +678,8 @@ def load_media(stored: DataFrame) -> DataFrame:
                 out["height"] = [i.height for i in images]
                 out["width"] = [i.width for i in images]
                 out["rgb"] = [to_rgb(i, p).tobytes() for i, p in zip(images, found)]
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                yield out
 
-    return stored.select("doc_id", "n_bytes", "media").mapInPandas(
-        work, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary"
+    return map_rows(
+        stored.select("doc_id", "n_bytes", "media"), work, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary"
     )

@@ -220,10 +220,12 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, firs
         if names:
             yield flush()
 
+    # Ids pass as text: pandas would turn longs beside nulls into floats.
     (
         docs.select(F.col("doc_id").cast("long"), F.col("text"))
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
+        .select(F.col("doc_id").cast("string"), "text")
         .mapInPandas(work, "part int, shard int, inside long, n_ids long, payload binary")
         .write.parquet(path)
     )

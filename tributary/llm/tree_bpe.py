@@ -24,7 +24,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from tributary.llm.common import ChunkEncoder, groups, take_over, text_batches
+from tributary.llm.common import ChunkEncoder, groups, map_rows, take_over, text_batches
 from tributary.session import ship
 
 #: Bytes of a leaf.
@@ -169,7 +169,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 {"doc_id": frame["doc_id"], "ids": [ids[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]}
             )
 
-    return docs.select("doc_id", "text").mapInPandas(work, "doc_id long, ids binary")
+    return map_rows(docs.select("doc_id", "text"), work, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -183,4 +183,4 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 part = frame.iloc[a:b]
                 yield part.assign(data=[up_the_tree(token, np.frombuffer(x, "<u4").tolist()) for x in part["ids"]])
 
-    return encoded.select("doc_id", "ids").mapInPandas(work, "doc_id long, ids binary, data binary")
+    return map_rows(encoded.select("doc_id", "ids"), work, "doc_id long, ids binary, data binary")

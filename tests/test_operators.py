@@ -62,7 +62,7 @@ def test_candidates_of_large_buckets_are_whole(spark):
             held = [set(z[5].split()) & tiers for z in (x, y)]
             j = len(s & t) / len(s | t)
             years = x[4] and y[4]
-            value = 0.0 if j < 0.35 or (years and x[4] != y[4]) else j * 0.7 + (0.15 if years else 0) + 0.08 * (x[6] == y[6]) + 0.07 * (x[7] == y[7])
+            value = 0.0 if years and x[4] != y[4] else j * 0.7 if j < 0.35 else j * 0.7 + (0.15 if years else 0) + 0.08 * (x[6] == y[6]) + 0.07 * (x[7] == y[7])
             if value >= 0.45 and not (held[0] and held[1] and not held[0] & held[1]):
                 expected[x[2], y[2]] = round(value, 9)
     got = [((r.a_id, r.b_id), round(r.score, 9)) for r in resolve.candidates(frame(left), frame(right), level).collect()]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import features as E
 from tributary.functions import scalars as S
+from tributary.operators import resolve as R
 from tributary.session import materialise
 
 
@@ -177,6 +178,94 @@ def conflict_reason(p: str = "l_", q: str = "r_") -> Column:
     return first_reason(rules)
 
 
+def group_conflicts(members: DataFrame, group: str) -> DataFrame:
+    """The groups in which some two members conflict, with a reason. members: the group and the columns of ``conflict_features``.
+
+    Years and sets are judged by aggregates: a group keeps the different sets of each dimension (as many as its values' vocabulary
+    allows, whatever the number of members), and two of them that are disjoint are a conflict. Measures have exceptions that look at both records;
+    only members that differ in them meet, once for all members alike, and only in groups that nothing else has refused.
+    """
+    dimensions = [("c_variant", d, f"{d}_mismatch") for d in E.DIMENSIONS] + [("c_more", d, name) for d, name in SIGNATURES]
+    dimensions += [("c_named", d, f"{d}_mismatch") for d in ("battery", "range", "range_class")]
+    sets = [F.collect_set(F.when(F.size(F.col(c)[d]) > 0, F.array_sort(F.col(c)[d]))).alias(f"s{i}") for i, (c, d, _) in enumerate(dimensions)]
+    told = members.groupBy(group).agg(F.count_distinct("c_year").alias("years"), *sets)
+    apart = lambda s: F.exists(s, lambda a: F.exists(s, lambda b: ~F.arrays_overlap(a, b)))
+    rules = [("year_mismatch", F.col("years") > 1)] + [(name, apart(F.col(f"s{i}"))) for i, (_, _, name) in enumerate(dimensions)]
+    told = materialise(told.select(group, first_reason(rules).alias("reason")), "group-conflicts")
+    measured = ["c_fields", "c_optional", "c_name", "c_year", "c_variant", "c_more", "c_named"]
+    left = members.join(told.where("reason is null"), group, "left_semi").where("size(c_fields.battery) > 0 or size(c_fields.range) > 0")
+    alike = F.xxhash64("c_fields", "c_optional", "c_name")
+    left = left.withColumn("alike", alike).groupBy(group, "alike").agg(*[F.first(c).alias(c) for c in measured])
+    x, y = (left.select(group, *[F.col(c).alias(p + c) for c in ("alike", *measured)]) for p in ("l_", "r_"))
+    met = x.join(y, group).where("l_alike < r_alike").withColumn("reason", conflict_reason()).where("reason is not null")
+    return told.where("reason is not null").unionByName(met.groupBy(group).agg(F.min("reason").alias("reason")))
+
+
+#: What a node needs besides the columns of ``resolve.features_of`` and ``conflict_features``.
+NODE = ("row_id", "sources", "n_rows", "ids")
+
+
+def scored_links(nodes: DataFrame, others: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Pairs of nodes and others of one bucket that reach the threshold: both sides' scored columns, sources and ids, and the score."""
+    pairs = R.sharing_pairs(nodes, others, [key], threshold, (*R.SCORED, "sources", "ids", "brand_text"))
+    pairs = pairs.where(E.conflict(F.col("a_signature"), F.col("b_signature"), list(E.DIMENSIONS)).isNull())
+    return pairs.withColumn("score", R.score()).where(F.col("score") >= threshold)
+
+
+def visible_components(nodes: DataFrame, key: str = "series_year_key", threshold: float = 0.58) -> tuple[DataFrame, DataFrame]:
+    """I1 from end to end: scored links of a bucket's nodes without a common source, their components, and the first reason against each.
+    Returns the components (component, n, reason, component_id) and the nodes' labels (node, component).
+
+    Conflicts are looked for by groups (``group_conflicts``), no pair of a component is formed for them but of different measures.
+    """
+    links = scored_links(nodes, nodes, key, threshold).where((F.col("a_row_id") < F.col("b_row_id")) & ~F.arrays_overlap("a_sources", "b_sources"))
+    found = connected(links.select(F.col("a_row_id").alias("a"), F.col("b_row_id").alias("b")))
+    labels = materialise(found.select(F.col("id").alias("node"), "component"), "visible-labels")
+    held = nodes.join(labels, nodes["row_id"] == labels["node"])
+    bad = group_conflicts(held, "component").select(F.col("component").alias("l"), F.col("component").alias("r"))
+    flat = nodes.select(F.col("row_id").alias("node"), "sources", "n_rows", "ids", F.col(key).alias("bucket"))
+    return accepted(labels, flat, bad), labels
+
+
+def absorptions(nodes: DataFrame, key: str = "series_year_key", threshold: float = 0.58, allowed: Column | None = None) -> DataFrame:
+    """I3 from end to end: single, multi, score, because, reason of every single node that has a candidate; a null reason means that it is absorbed.
+
+    A candidate is a node of several sources, the single's among them, of its brand, without a conflict between both; it reaches the score in
+    the same bucket, or shares an id and the year. One candidate by id wins, else the one best score; several are ``ambiguous``. Where some
+    two members of a star conflict the whole star is refused (``hard_conflict``). Every single comes once, which is checked.
+    """
+    one = nodes.where((F.size("sources") == 1) & (F.col("n_rows") == 1) & (allowed if allowed is not None else F.lit(True)))
+    many = nodes.where(F.size("sources") > 1)
+    by_score = scored_links(one, many, key, threshold).select("a_row_id", "b_row_id")
+    said = lambda df, p: df.select(F.col("row_id").alias(f"{p}_row_id"), "brand_text", "years", F.explode("ids").alias("id"))
+    by_id = said(one, "a").join(said(many, "b"), ["id", "brand_text", "years"]).select("a_row_id", "b_row_id")
+    pairs = by_score.unionByName(by_id).distinct()
+    kept = [c for c in nodes.columns if c.startswith("c_")]
+    columns = (*R.SCORED, "sources", "ids", "brand_text", *kept)
+    pairs = pairs.join(R.side(one, [], "a", columns), "a_row_id").join(R.side(many, [], "b", columns), "b_row_id")
+    inside = F.size(F.array_except("a_sources", "b_sources")) == 0
+    clear = conflict_reason("a_", "b_").isNull() & (F.col("a_brand_text") == F.col("b_brand_text")) & inside
+    same_id = F.arrays_overlap("a_ids", "b_ids") & (F.col("a_years") == F.col("b_years"))
+    same = E.conflict(F.col("a_signature"), F.col("b_signature"), list(E.DIMENSIONS)).isNull()
+    edges = pairs.where(clear).select(
+        F.col("a_row_id").alias("single"), F.col("b_row_id").alias("multi"), F.when(same, R.score()).otherwise(0.0).alias("score"), same_id.alias("same_id")
+    )
+    edges = materialise(edges.where((F.col("score") >= threshold) | F.col("same_id")), "absorption-edges")
+    stars = materialise(absorb(edges), "stars")
+    centres = stars.select(F.col("multi").alias("star"), F.col("multi").alias("row_id")).distinct()
+    members = centres.unionByName(stars.select(F.col("multi").alias("star"), F.col("single").alias("row_id")))
+    bad = group_conflicts(members.join(nodes.select("row_id", *kept), "row_id"), "star").select(F.col("star").alias("multi"), F.lit("hard_conflict").alias("reason"))
+    decided = stars.join(bad, "multi", "left")
+    rest = edges.select("single").distinct().join(stars, "single", "left_anti")
+    none = {"multi": nodes.schema["row_id"].dataType, "score": "double", "because": "string"}
+    every = decided.select("single", "multi", "score", "because", "reason").unionByName(
+        rest.select("single", *[F.lit(None).cast(t).alias(c) for c, t in none.items()], F.lit("ambiguous").alias("reason"))
+    )
+    times = F.count(F.lit(1)).over(Window.partitionBy("single"))
+    checked = F.when(times == 1, F.col("single")).otherwise(F.raise_error(F.lit("a node was assigned to several components")))
+    return every.withColumn("single", checked.cast(nodes.schema["row_id"].dataType))
+
+
 def evidence(labels: DataFrame, edges: DataFrame, schema: str = "v1") -> DataFrame:
     """I4: each component's nodes and edges as JSON."""
     nodes = labels.groupBy("component").agg(F.array_sort(F.collect_list("node")).alias("nodes"))

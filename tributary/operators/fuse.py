@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +15,10 @@ from tributary.operators.headers import distinct_join
 from tributary.session import ship
 
 
+#: The sources whose names stand before values.
+KNOWN_SOURCES = ("汽车之家", "懂车帝", "易车")
+
+
 def fuse_values(rows: DataFrame, date_keys: tuple[str, ...] = (), identity_keys: tuple[str, ...] = ()) -> DataFrame:
     """G1. rows: entity, key, src_ord, source, value. One value per entity and key, in one shuffle.
 
@@ -47,11 +52,18 @@ def fuse_values(rows: DataFrame, date_keys: tuple[str, ...] = (), identity_keys:
     return grouped.select("entity", "key", F.when(F.col("longest").isNull(), "-").otherwise(fused).alias("value"))
 
 
-def add_source(current: Column, current_sources: Column, source: str, incoming: Column, field: Column | str | None = None) -> Column:
+def source_label(part: Column, known: tuple[str, ...]) -> Column:
+    """The known source that a part begins with, before a colon; empty for others, whatever colons they hold."""
+    return F.regexp_extract(part, f"^({'|'.join(re.escape(s) for s in known)}):", 1)
+
+
+def add_source(
+    current: Column, current_sources: Column, source: str, incoming: Column, field: Column | str | None = None, known_sources: tuple[str, ...] = KNOWN_SOURCES
+) -> Column:
     """Add a source's value without nesting prefixes; an unlabelled value gets each of its own sources. A value that compares
-    like one of those there adds nothing; dates of one month fold to the longest."""
+    like one of those there adds nothing; dates of one month fold to the longest. Only known sources are labels."""
     parts = F.transform(F.split(F.coalesce(current, F.lit("")), r"\|"), lambda p: F.trim(p))
-    label = lambda p: F.regexp_extract(p, "^([^:]+):", 1)
+    label = lambda p: source_label(p, (*known_sources, source))
     labelled = F.forall(parts, lambda p: label(p) != "")
     values = F.transform(parts, lambda p: F.when(label(p) != "", F.substr(p, F.length(label(p)) + 2)).otherwise(p))
     field = field if isinstance(field, Column) else F.lit(field).cast("string")
@@ -88,15 +100,24 @@ def enrich(baseline: DataFrame, candidate: DataFrame, key: list[str], fields: li
     return joined.select(*[c for c in baseline.columns if c not in fields], *[F.coalesce(fill[f], F.col(f)).alias(f) for f in fields], changed.alias("changed"))
 
 
-def contradictions(rows: DataFrame, value: str = "value", sources: str = "sources") -> DataFrame:
-    """Segments source:value of which the source is none of the row's, and the value without them (null if nothing remains)."""
-    parts = F.split(value, r"\|")
-    label = lambda p: F.regexp_extract(p, "^([^:]+):", 1)
-    qualified = F.col(value).rlike(r"^[^|:]+:")
-    bad = F.filter(parts, lambda p: (label(p) != "") & ~F.array_contains(F.col(sources), label(p)))
-    good = F.array_except(parts, bad)
-    return rows.withColumn("removed", F.when(qualified, F.size(bad)).otherwise(0)).withColumn(
-        "clean", F.when(~qualified, F.col(value)).when(F.size(good) > 0, F.array_join(good, "|"))
+def segments(value: Column, known_sources: tuple[str, ...] = KNOWN_SOURCES) -> Column:
+    """The parts of a value that begin with a known source and a colon, at its start or after a bar, and what stands before
+    them; a part without a known source stays with the one before it."""
+    names = "|".join(re.escape(s) for s in known_sources)
+    parts = F.split(value, rf"\|(?=(?:{names}):)")
+    tidy = F.transform(parts, lambda p, i: F.when(source_label(p, known_sources) == "", F.regexp_replace(p, r"\|+$", "")).otherwise(F.regexp_replace(p, r"\|$", "")))
+    return F.filter(tidy, lambda p: p != "")
+
+
+def contradictions(rows: DataFrame, value: str = "value", sources: str = "sources", known_sources: tuple[str, ...] = KNOWN_SOURCES) -> DataFrame:
+    """How many segments source:value name a source that is none of the row's (``removed``), and the value without them
+    (``clean``; null if nothing remains). Only known sources are labels: a value with other colons stays as it is."""
+    parts = segments(F.col(value), known_sources)
+    label = lambda p: source_label(p, known_sources)
+    wrong = lambda p: (label(p) != "") & ~F.array_contains(F.col(sources), label(p))
+    bad, good = F.filter(parts, wrong), F.filter(parts, lambda p: ~wrong(p))
+    return rows.withColumn("removed", F.coalesce(F.size(bad), F.lit(0))).withColumn(
+        "clean", F.when(F.col("removed") == 0, F.col(value)).when(F.size(good) > 0, F.array_join(good, "|"))
     )
 
 

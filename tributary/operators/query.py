@@ -71,21 +71,16 @@ def in_range(value: Column, low: float | None = None, high: float | None = None,
     return F.coalesce(out, F.lit(False))
 
 
-def has_feature(attrs: Column, feature: Feature, mode: str = "batch") -> Column:
-    """Declared fields first, then names that contain (or are inside) a field, then keywords in values."""
-    entries = F.map_entries(attrs)
-    def named(e: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.contains(e["key"], F.lit(f)) | F.contains(F.lit(f), e["key"]) for f in feature.fields])
+def has_feature(attrs: Column, feature: Feature) -> Column:
+    """An attribute with a positive value of which the name contains (or is inside) a field, or the value contains a keyword;
+    where a keyword is required, only the keyword counts, in whatever attribute it stands."""
+    def hit(e: Column) -> Column:
+        tests = [F.contains(e["value"], F.lit(k)) for k in feature.keywords]
+        if not feature.require_keyword:
+            tests += [F.contains(e["key"], F.lit(f)) | F.contains(F.lit(f), e["key"]) for f in feature.fields]
+        return is_positive(e["value"]) & reduce(lambda a, b: a | b, tests, F.lit(False))
 
-    def keyword(e: Column) -> Column:
-        hits = [F.contains(e["value"], F.lit(k)) for k in feature.keywords]
-        return reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
-
-    if feature.require_keyword:
-        if mode == "batch":
-            return F.coalesce(F.exists(entries, keyword), F.lit(False))
-        return F.coalesce(F.exists(entries, lambda e: named(e) & keyword(e)), F.lit(False))
-    return F.coalesce(F.exists(entries, lambda e: named(e) & (e["key"] != "") & is_positive(e["value"])), F.lit(False))
+    return F.coalesce(F.exists(F.map_entries(attrs), hit), F.lit(False))
 
 
 def matches_text(attrs: Column, text: str) -> Column:
@@ -185,7 +180,7 @@ def run(df: DataFrame, spec: QuerySpec, attrs: str = "attrs", mode: str = "inter
     if spec.search:
         tests.append(matches_text(a, spec.search))
     tests += [in_range(value(r.field), r.low, r.high, r.mode) for r in spec.ranges]
-    tests += [has_feature(a, f, mode) for f in spec.features]
+    tests += [has_feature(a, f) for f in spec.features]
     tests += [column_filter(value(c), o, w) for c, o, w in spec.columns]
     return df.where(reduce(lambda x, y: x & y, tests)) if tests else df
 

@@ -78,7 +78,8 @@ def exact_pairs(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
 
 
 def score(p: str = "a", q: str = "b") -> Column:
-    """0 for another year, or too few common tokens; else weights in their order. Columns of both sides bear a prefix."""
+    """0 for another year; the tokens' share alone where they have too few in common; else weights in their order. Columns of
+    both sides bear a prefix."""
     x = lambda c: F.col(f"{p}_{c}")
     y = lambda c: F.col(f"{q}_{c}")
     j = E.jaccard(x("tokens"), y("tokens"))
@@ -89,23 +90,37 @@ def score(p: str = "a", q: str = "b") -> Column:
     total = j * WEIGHTS["jaccard"]
     for name, test in tests.items():
         total = total + F.when(test, WEIGHTS[name]).otherwise(0.0)
-    return F.when((known & (x("years") != y("years"))) | (j < LEAST_JACCARD), 0.0).otherwise(total)
+    return F.when(known & (x("years") != y("years")), 0.0).when(j < LEAST_JACCARD, j * WEIGHTS["jaccard"]).otherwise(total)
 
 
-def sharing_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of a bucket that can reach LEAST_JACCARD, each once. Such pairs share a token among the rarest of both: a row's
-    first n - ceil(LEAST_JACCARD * n) + 1 of n tokens, rarest first; buckets of any size are so taken whole."""
-    words = lambda df: df.select(*keys, "row_id", F.explode("tokens").alias("token"))
-    uses = words(a).unionByName(words(b)).groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+def least_jaccard(threshold: float, same_year: bool = True) -> float:
+    """The least share of common tokens with which a pair can reach the threshold."""
+    more = sum(w for name, w in WEIGHTS.items() if name != "jaccard" and (same_year or name != "year"))
+    return min(threshold / WEIGHTS["jaccard"], max(LEAST_JACCARD, (threshold - more) / WEIGHTS["jaccard"]))
+
+
+def sharing_pairs(a: DataFrame, b: DataFrame, keys: list[str], threshold: float, columns: tuple[str, ...] = SCORED) -> DataFrame:
+    """Pairs of a bucket that can reach the threshold, each once, with the columns of both sides. With t the least share of common
+    tokens that it takes, such pairs share a token among the rarest of both: a row's first n - ceil(t * n) + 1 of n tokens, rarest in
+    the bucket first; buckets of any size are so taken whole. Only ids, sizes, years and these tokens meet; pairs of other years, or of
+    sizes that leave too small a share, fall before their features are fetched."""
+    least, apart = least_jaccard(threshold), least_jaccard(threshold, False)
+    words = lambda df: df.select(*keys, "row_id", "years", F.explode("tokens").alias("token"))
+    uses = words(a).unionByName(words(b)).groupBy(*keys, "token").agg(F.count(F.lit(1)).alias("uses"))
 
     def led(df: DataFrame, p: str) -> DataFrame:
         n = F.size("rarest")
-        lead = F.slice("rarest", F.lit(1), n - F.ceil(LEAST_JACCARD * n - 1e-9).cast("int") + 1)["token"]
-        leads = words(df).join(uses, "token").groupBy(*keys, "row_id").agg(F.array_sort(F.collect_set(F.struct("uses", "token"))).alias("rarest"))
-        leads = leads.select(*keys, F.col("row_id").alias(f"{p}_row_id"), lead.alias(f"{p}_lead"))
-        return side(df, keys, p).join(leads, [*keys, f"{p}_row_id"]).withColumn("token", F.explode(f"{p}_lead"))
+        lead = F.slice("rarest", F.lit(1), n - F.ceil(least * n - 1e-9).cast("int") + 1)["token"]
+        leads = words(df).join(uses, [*keys, "token"]).groupBy(*keys, "row_id", "years").agg(F.array_sort(F.collect_set(F.struct("uses", "token"))).alias("rarest"))
+        leads = leads.select(*keys, F.col("row_id").alias(f"{p}_row_id"), F.col("years").alias(f"{p}_y"), n.alias(f"{p}_n"), lead.alias(f"{p}_lead"))
+        return leads.withColumn("token", F.explode(f"{p}_lead"))
 
-    return led(a, "a").join(led(b, "b"), [*keys, "token"]).where(F.col("token") == F.array_intersect("a_lead", "b_lead")[0])
+    met = led(a, "a").join(led(b, "b"), [*keys, "token"])
+    one_year, unknown = F.col("a_y") == F.col("b_y"), F.least("a_y", "b_y") <= 0
+    share = F.least("a_n", "b_n") / F.greatest("a_n", "b_n") + 1e-9
+    fits = (one_year & ~unknown & (share >= least)) | (unknown & (share >= apart))
+    met = met.where(fits & (F.col("token") == F.array_intersect("a_lead", "b_lead")[0])).select("a_row_id", "b_row_id")
+    return met.join(side(a, keys, "a", columns), "a_row_id").join(side(b, [], "b", columns), "b_row_id")
 
 
 def side(df: DataFrame, keys: list[str], p: str, columns: tuple[str, ...] = SCORED) -> DataFrame:
@@ -120,7 +135,7 @@ def candidates(a: DataFrame, b: DataFrame, level: Level, scorer: Callable[[], Co
     if scorer is not None or level.threshold <= 0:
         pairs = side(a, keys, "a", columns).join(side(b, keys, "b", columns), keys)
     else:
-        pairs = sharing_pairs(a, b, keys)
+        pairs = sharing_pairs(a, b, keys, level.threshold)
     if scorer is None:
         pairs = pairs.where(E.conflict(F.col("a_signature"), F.col("b_signature"), list(E.DIMENSIONS)).isNull())
     return (

@@ -74,7 +74,7 @@ def _plus(test: str, weight: str) -> str:
 
 
 SCORE = (
-    f"CASE WHEN (x.year > 0 AND y.year > 0 AND x.year <> y.year) OR {JACCARD} < 0.35 THEN 0.0 ELSE {JACCARD} * CAST(0.7 AS DOUBLE)"
+    f"CASE WHEN x.year > 0 AND y.year > 0 AND x.year <> y.year THEN 0.0 WHEN {JACCARD} < 0.35 THEN {JACCARD} * CAST(0.7 AS DOUBLE) ELSE {JACCARD} * CAST(0.7 AS DOUBLE)"
     + _plus("x.year > 0 AND x.year = y.year", "0.15") + _plus("x.energy = y.energy", "0.08") + _plus("x.level = y.level", "0.07")
     + _plus("list_has_any(x.batteries, y.batteries)", "0.04") + _plus("x.long_range AND y.long_range", "0.04") + " END"
 )
@@ -126,6 +126,16 @@ def resolve_all(spark, sf_dir):
     return R.resolve(side(spark, sf_dir, SOURCE_A), side(spark, sf_dir, SOURCE_B))[0].withColumn("score", F.round("score", 9))
 
 
+@query(f"""WITH a0 AS (SELECT *, {FEATURES} FROM ({A})), b0 AS ({B_YEARS}, {FEATURES} FROM ({B})), s AS (SELECT x.row_id AS a_id, y.row_id AS b_id, {SCORE} AS score
+  FROM a0 x JOIN b0 y ON x.brand = y.brand AND x.year = y.year AND x.year > 0 WHERE NOT ({CONFLICT})) SELECT a_id, b_id, round(score, 9) AS score FROM s WHERE score >= 0.15""")
+def low_scores(spark, sf_dir):
+    """F5 below the least share of common tokens, where it counts alone."""
+    bucket = F.concat_ws("|", "brand_text", "years")
+    a, b = (side(spark, sf_dir, s).where("years > 0").withColumn("bucket", bucket) for s in (SOURCE_A, SOURCE_B))
+    pairs = R.candidates(a, b, R.Level("brand", ("bucket",), 0.15))
+    return pairs.withColumn("score", F.round("score", 9))
+
+
 @query(LEVELS + """, l AS (SELECT a.row_id, r.level AS lvl, x.a_id IS NOT NULL AS amb FROM a0 a LEFT JOIN resolved r ON r.a_id = a.row_id LEFT JOIN xa x ON x.a_id = a.row_id)
 SELECT row_id, CASE WHEN lvl IS NOT NULL THEN 'accepted' WHEN amb THEN 'rejected' ELSE 'unmatched' END AS decision,
 CASE lvl WHEN 'exact' THEN 'exact_name_match' WHEN 'normalized' THEN 'normalized_name_match' WHEN 'series_year' THEN 'series_feature_match' WHEN 'series' THEN 'series_noyear_feature_match'
@@ -234,19 +244,31 @@ def fuse_values(spark, sf_dir):
     return U.fuse_values(_cells(spark, sf_dir), identity_keys=("model",))
 
 
-@query(f"""WITH x AS ({A}), y AS ({C_SQL}) SELECT x.row_id, CASE WHEN y.energy = '' THEN x.energy ELSE concat('A:', x.energy, '|C:', y.energy) END AS value FROM x JOIN y USING (row_id)""")
+@query(f"""WITH x AS ({A}), y AS ({C_SQL}), z AS (SELECT x.row_id, y.energy AS incoming, CASE x.row_id % 4 WHEN 0 THEN '12:30' WHEN 1 THEN concat('A:', x.energy) ELSE x.energy END AS energy FROM x JOIN y USING (row_id))
+SELECT row_id, CASE WHEN incoming = '' THEN energy WHEN row_id % 4 = 1 THEN concat(energy, '|C:', incoming) ELSE concat('A:', energy, '|C:', incoming) END AS value FROM z""")
 def fuse_incremental(spark, sf_dir):
-    a = build(spark, sf_dir, SOURCE_A).select("row_id", "energy")
+    """A labelled value is not labelled again; a colon alone is no label."""
+    k = F.col("row_id") % 4
+    energy = F.when(k == 0, "12:30").when(k == 1, F.concat(F.lit("A:"), "energy")).otherwise(F.col("energy"))
+    a = build(spark, sf_dir, SOURCE_A).select("row_id", energy.alias("energy"))
     c = build(spark, sf_dir, SOURCE_C).select("row_id", F.col("energy").alias("incoming"))
-    return a.join(c, "row_id").select("row_id", U.add_source(F.col("energy"), F.array(F.lit("A")), "C", F.col("incoming")).alias("value"))
+    value = U.add_source(F.col("energy"), F.array(F.lit("A")), "C", F.col("incoming"), known_sources=("A", "B", "C"))
+    return a.join(c, "row_id").select("row_id", value.alias("value"))
 
 
-@query("""SELECT p_partkey AS row_id, CASE WHEN p_partkey % 3 = 0 THEN concat('A:', p_name) WHEN p_partkey % 3 = 1 THEN NULL ELSE p_name END AS clean, CAST(CASE WHEN p_partkey % 3 = 2 THEN 0 ELSE 1 END AS INT) AS removed FROM part""")
+@query("""SELECT p_partkey AS row_id, CASE p_partkey % 7 WHEN 0 THEN concat('A:', p_name) WHEN 1 THEN NULL WHEN 2 THEN p_name WHEN 3 THEN concat('尺寸:', p_name) WHEN 4 THEN concat('比例:16|A:', p_name)
+  WHEN 5 THEN concat('A:', p_name, '|', p_type) ELSE concat('A:', p_name, '|A:', p_name) END AS clean,
+CAST(CASE p_partkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 5 THEN 1 WHEN 6 THEN 2 ELSE 0 END AS INT) AS removed FROM part""")
 def provenance_clean(spark, sf_dir):
-    k = F.col("p_partkey") % 3
-    value = F.when(k == 0, F.concat(F.lit("A:"), "p_name", F.lit("|B:"), "p_type")).when(k == 1, F.concat(F.lit("B:"), "p_name")).otherwise(F.col("p_name"))
+    """Only known sources are labels; what stands before the first one, or after a bar without one, stays."""
+    n, t, p = "p_name", "p_type", lambda s: F.lit(s)
+    cases = {
+        0: (p("A:"), n, p("|B:"), t), 1: (p("B:"), n), 2: (n,), 3: (p("尺寸:"), n), 4: (p("比例:16|A:"), n),
+        5: (p("A:"), n, p("|"), t, p("|C:"), t, p("|9")), 6: (p("A:"), n, p("|B:"), t, p("|A:"), n, p("|C:x|")),
+    }
+    value = F.coalesce(*[F.when(F.col("p_partkey") % 7 == k, F.concat(*v)) for k, v in cases.items()])
     df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), value.alias("value"), F.array(F.lit("A")).alias("sources"))
-    return U.contradictions(df).select("row_id", "clean", "removed")
+    return U.contradictions(df, known_sources=("A", "B", "C")).select("row_id", "clean", "removed")
 
 
 UNITED = f"SELECT * FROM ({A}) UNION ALL BY NAME SELECT * REPLACE (ordinal + 1000000 AS ordinal) FROM ({B})"
@@ -459,6 +481,61 @@ def _graph(spark, sf_dir):
     return nodes, materialise(labels, "labels")
 
 
+# Nodes of three sources and of several, from records: D says what A says, M stands for rows that are merged already. Some series are one for many rows.
+SERIES = "CASE WHEN row_id % 3 = 0 THEN series ELSE 'alpha' END"
+NODE_BODY = {"A": BODIES["A"], "B": BODIES["B"], "D": "CASE WHEN row_id % 8 = 2 THEN '三厢轿车' ELSE '-' END", "M": "'-'", "N": "'-'"}
+
+GRAPH = "WITH RECURSIVE " + ", ".join(
+    f"""n{s} AS (SELECT concat('{s}:', lpad(CAST(row_id AS VARCHAR), 9, '0')) AS node, {told} AS sources, CASE WHEN row_id % 11 = 0 THEN 2 ELSE 1 END AS n_rows, [CAST(row_id AS VARCHAR)] AS ids, {NODE_BODY[s]} AS body,
+  row_id, brand, series, year, energy, level, tier, seat, lidar, drive, tokens, batteries, long_range FROM (SELECT *, {FEATURES} FROM (SELECT * REPLACE ({SERIES} AS series) FROM ({src}))) WHERE {where})"""
+    for s, src, where, told in (("A", A, "true", "['A']"), ("B", B, "row_id % 12 <> 0", "['B']"), ("D", A, "row_id % 2 = 0", "['D']"), ("M", A, "row_id % 5 = 1", "['A', 'D']"), ("N", A, "row_id % 35 = 1", "['A', 'D']"))
+) + f""", n AS (SELECT * FROM nA UNION ALL SELECT * FROM nB UNION ALL SELECT * FROM nD UNION ALL SELECT * FROM nM UNION ALL SELECT * FROM nN)"""
+SAME_BUCKET = "x.brand = y.brand AND x.series = y.series AND x.year = y.year"
+SHAPE = "CASE WHEN lower({0}.body) = 'suv' THEN 'suv' WHEN {0}.body = '三厢轿车' THEN 'sedan' ELSE '' END"
+APART = f"({CONFLICT} OR x.energy <> y.energy OR ({SHAPE.format('x')} <> '' AND {SHAPE.format('y')} <> '' AND {SHAPE.format('x')} <> {SHAPE.format('y')}))"
+VISIBLE = GRAPH + f""", e AS (SELECT x.node AS a, y.node AS b FROM n x JOIN n y ON {SAME_BUCKET} AND x.node <> y.node AND NOT list_has_any(x.sources, y.sources) WHERE NOT ({CONFLICT}) AND {SCORE} >= 0.58),
+c(id, component) AS (SELECT node, node FROM n UNION SELECT e.a, c.component FROM c JOIN e ON e.b = c.id AND c.component < e.a), f AS (SELECT id AS node, min(component) AS component FROM c GROUP BY id),
+h AS (SELECT component, n.* FROM f JOIN n USING (node)), bad AS (SELECT DISTINCT x.component FROM h x JOIN h y ON x.component = y.component AND x.node < y.node WHERE {APART}),
+known AS (SELECT DISTINCT x.component FROM h x JOIN n y ON {SAME_BUCKET} AND len(y.sources) > 1 AND x.ids = y.ids),
+g AS (SELECT component, count(*) AS n, max(len(sources)) AS most, count(DISTINCT sources[1]) AS ss, max(n_rows) AS folds, string_agg(node, '","' ORDER BY node) AS members FROM h GROUP BY component HAVING count(*) > 1),
+t AS (SELECT *, CASE WHEN most > 1 THEN 'existing_multi' WHEN ss < n THEN 'duplicate_source' WHEN folds <> 1 THEN 'same_source_fold' WHEN component IN (SELECT component FROM bad) THEN 'hard_conflict'
+  WHEN component IN (SELECT component FROM known) THEN 'existing_multi_id' END AS reason FROM g)"""
+
+
+def _nodes(spark, sf_dir):
+    """The graph's nodes with everything that scores and conflicts look at."""
+    every = None
+    for name, sql, where, told in (("A", SOURCE_A, "true", ["A"]), ("B", SOURCE_B, "row_id % 12 <> 0", ["B"]), ("D", SOURCE_A, "row_id % 2 = 0", ["D"]), ("M", SOURCE_A, "row_id % 5 = 1", ["A", "D"]), ("N", SOURCE_A, "row_id % 35 = 1", ["A", "D"])):
+        df = records(spark, sf_dir, sql).where(where).withColumn("series", F.expr(SERIES))
+        df = df.withColumn("attrs", F.map_concat("attrs", F.create_map(F.lit("车身结构"), F.expr(NODE_BODY[name]))))
+        df = C.conflict_features(R.features_of(df)).withColumns({
+            "ids": F.array(F.col("row_id").cast("string")), "n_rows": F.when(F.col("row_id") % 11 == 0, 2).otherwise(1),
+            "sources": F.array(*[F.lit(s) for s in told]), "row_id": F.concat(F.lit(f"{name}:"), F.lpad(F.col("row_id").cast("string"), 9, "0")),
+        })
+        every = df if every is None else every.unionByName(df)
+    return materialise(every, "nodes")
+
+
+@query(VISIBLE + """ SELECT component, CAST(n AS BIGINT) AS n, reason, CASE WHEN reason IS NULL THEN substr(sha256(concat('["', members, '"]')), 1, 24) END AS component_id FROM t""")
+def visible_components(spark, sf_dir):
+    """I1 from end to end: links by F5, conflicts by I5."""
+    return C.visible_components(_nodes(spark, sf_dir))[0]
+
+
+@query(GRAPH + f""", p AS (SELECT x.node AS single, y.node AS multi, CASE WHEN {CONFLICT} THEN 0.0 ELSE {SCORE} END AS score, x.ids = y.ids AND x.year = y.year AS same_id, {SAME_BUCKET} AS close
+  FROM n x JOIN n y ON x.brand = y.brand AND len(x.sources) = 1 AND x.n_rows = 1 AND len(y.sources) > 1 AND list_has_all(y.sources, x.sources) WHERE x.year = y.year AND NOT {APART}),
+e AS (SELECT * FROM p WHERE same_id OR (close AND score >= 0.58)),
+m AS (SELECT *, sum(CASE WHEN same_id THEN 1 ELSE 0 END) OVER w AS ids, max(score) OVER w AS best FROM e WINDOW w AS (PARTITION BY single)), k AS (SELECT *, sum(CASE WHEN best - score <= 1e-12 THEN 1 ELSE 0 END) OVER (PARTITION BY single) AS ties FROM m),
+s AS (SELECT single, multi, score, CASE WHEN ids = 1 THEN 'stable_id' ELSE 'score' END AS because FROM k WHERE (ids = 1 AND same_id) OR (ids = 0 AND score = best AND ties = 1)),
+u AS (SELECT DISTINCT multi AS star, multi AS node FROM s UNION SELECT multi, single FROM s), v AS (SELECT star, n.* FROM u JOIN n USING (node)),
+bad AS (SELECT DISTINCT x.star FROM v x JOIN v y ON x.star = y.star AND x.node < y.node WHERE {APART})
+SELECT single, multi, round(score, 9) AS score, because, CASE WHEN multi IN (SELECT star FROM bad) THEN 'hard_conflict' END AS reason FROM s
+UNION ALL SELECT DISTINCT single, NULL, NULL, NULL, 'ambiguous' FROM e WHERE single NOT IN (SELECT single FROM s)""")
+def absorptions(spark, sf_dir):
+    """I3 from end to end."""
+    return C.absorptions(_nodes(spark, sf_dir)).withColumn("score", F.round("score", 9))
+
+
 @query(GROWN + """ SELECT component, CAST(n AS BIGINT) AS n, CASE WHEN ss < n THEN 'duplicate_source' WHEN bad = 1 THEN 'hard_conflict' WHEN known = 1 THEN 'existing_multi_id' END AS reason,
 CASE WHEN ss = n AND bad = 0 AND known = 0 THEN substr(sha256(concat('["', members, '"]')), 1, 24) END AS component_id FROM g""")
 def accepted_components(spark, sf_dir):

@@ -44,18 +44,27 @@ def range_filter_first(spark, sf_dir):
     return spread(spark, sf_dir).where(Q.in_range(F.col("width"), 10, 20, "first")).select("row_id", "width")
 
 
-@query(f"WITH s AS ({SPREAD_SQL}) SELECT row_id FROM s WHERE width NOT IN ('-', '无')")
+# Attributes by the row's number: what a name alone, a keyword alone, both or neither make of a row, with and without a positive value.
+FITTED = [
+    {"x": "激光雷达"}, {"雷达": "-", "y": "前激光"}, {"雷达": "有"}, {"前雷达": "无", "备注": "无"}, {"雷": "支持"}, {"其他": "无激光"}, {"雷达": "激光"}, {"雷达": "0", "z": "0.0"}, {"x": "-"},
+]
+
+
+def _fitted(spark, sf_dir):
+    attrs = F.coalesce(*[F.when(F.col("p_partkey") % len(FITTED) == i, F.create_map(*[F.lit(t) for kv in a.items() for t in kv])) for i, a in enumerate(FITTED)])
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), attrs.alias("attrs"))
+
+
+@query("SELECT p_partkey AS row_id FROM part WHERE p_partkey % 9 IN (0, 1, 2, 4, 5, 6)")
 def feature_filter(spark, sf_dir):
-    df = to_attrs(spread(spark, sf_dir), ["width", "model"], drop_missing=False)
-    return df.where(Q.has_feature(F.col("attrs"), Q.Feature(("width",)))).select("row_id")
+    """A positive value under a name like the field's, or with the keyword under any name."""
+    return _fitted(spark, sf_dir).where(Q.has_feature(F.col("attrs"), Q.Feature(("雷达",), ("激光",)))).select("row_id")
 
 
-@query(f"WITH s AS ({SPREAD_SQL}) SELECT row_id FROM s WHERE contains(width, '1') OR contains(model, 'ring')")
+@query("SELECT p_partkey AS row_id FROM part WHERE p_partkey % 9 IN (0, 1, 5, 6)")
 def feature_filter_keyword(spark, sf_dir):
-    df = to_attrs(spread(spark, sf_dir), ["width", "model"], drop_missing=False)
-    want = F.col("attrs")
-    hit = Q.has_feature(want, Q.Feature(("width",), ("1",), True), "interactive") | Q.has_feature(want, Q.Feature(("model",), ("ring",), True), "interactive")
-    return df.where(hit).select("row_id")
+    """A required keyword counts alone, under any name."""
+    return Q.run(_fitted(spark, sf_dir), Q.QuerySpec(features=(Q.Feature(("雷达",), ("激光",), True),))).select("row_id")
 
 
 @query("SELECT p_partkey AS row_id FROM part WHERE contains(lower(p_name), 'ring') OR contains(lower(p_brand), 'ring') OR contains(lower(p_type), 'ring')")

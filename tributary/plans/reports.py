@@ -249,6 +249,41 @@ def page_links(spark, sf_dir):
     return p.select("page_id", X.absolute(F.col("url"), F.col("link")).alias("link"))
 
 
+# References and what they are on the page http://h{n}.org/a/b{n}/c.html?x=1#f, by RFC 3986.
+REFERENCES = {
+    "x": "/a/b{n}/x", "../x": "/a/x", "../../../x": "/x", "/r/../s/./t": "/s/t", "?q=2": "/a/b{n}/c.html?q=2", "#top": "/a/b{n}/c.html?x=1#top", "./": "/a/b{n}/", "..": "/a/",
+    "/": "/", "g;x=1/../y": "/a/b{n}/y", "x/.": "/a/b{n}/x/", "d//e?z=/../w#/..": "/a/b{n}/d/e?z=/../w#/..",
+}
+OTHER_REFERENCES = {"//o.com/y": "http://o.com/y", "mailto:a@b": "mailto:a@b", "https://z/q/../r": "https://z/q/../r"}
+QUOTES = ('"', "'", "")
+
+
+def _resolved(n: str) -> str:
+    told = [f"concat('http://h', {n}, '.org{path.replace('{n}', chr(39) + ', ' + n + ', ' + chr(39))}')" for path in REFERENCES.values()]
+    return ", ".join([*told, *[f"'{u}'" for u in OTHER_REFERENCES.values()]])
+
+
+@query(f"SELECT DISTINCT page_id, unnest([{_resolved('page_id % 9')}]) AS link FROM pages")
+def resolved_links(spark, sf_dir):
+    """Links in any quotes, resolved against the page that holds them."""
+    refs = [*REFERENCES, *OTHER_REFERENCES]
+    anchors = "".join(f"<p><a class=k href={q}{r}{q} id=z>t</a><A  data-x='1'\n href = {q}{r}{q}>u</A>" for r, q in ((r, QUOTES[i % 3]) for i, r in enumerate(refs)))
+    n = (F.col("page_id") % 9).cast("string")
+    base = F.concat(F.lit("http://h"), n, F.lit(".org/a/b"), n, F.lit("/c.html?x=1#f"))
+    p = load(spark, sf_dir, "pages").select("page_id", base.alias("base"), F.explode(X.links(F.concat(F.lit(anchors), F.lit("<a name=x>no</a>")))).alias("link"))
+    return p.select("page_id", X.absolute(F.col("base"), F.col("link")).alias("link"))
+
+
+@query("""SELECT page_id, CASE page_id % 6 WHEN 0 THEN true WHEN 1 THEN true ELSE false END AS listed, CASE WHEN page_id % 6 IN (0, 1, 3) THEN CAST(page_id AS VARCHAR) ELSE '' END AS id FROM pages""")
+def listed_pages(spark, sf_dir):
+    """The wanted kind of page, and the number in its path."""
+    k, i = F.col("page_id") % 6, F.col("page_id").cast("string")
+    cases = ["https://cars.org/model-", "/Model-", "https://cars.org/news", "https://other.org/model-", "https://cars.org/a/model-", "https://cars.org/9model"]
+    url = F.concat(F.element_at(F.array(*map(F.lit, cases)), k.cast("int") + 1), F.when(k.isin(0, 1, 3, 4), i).otherwise(""), F.when(k == 0, "/peizhi/").otherwise("?q=7"))
+    p = load(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+    return p.select("page_id", X.listed_page(F.col("url"), "cars.org", ["news"], "peizhi").alias("listed"), X.numeric_id(F.col("url")).alias("id"))
+
+
 def _nested(spark, sf_dir):
     """A customer with its orders, as JSON: objects in lists in objects; one in five has none."""
     order = F.struct(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderstatus").alias("name"), F.col("o_orderpriority").alias("level"))

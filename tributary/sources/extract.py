@@ -243,14 +243,65 @@ def title(html: Column) -> Column:
 
 
 def links(html: Column) -> Column:
-    """Ordered distinct link targets."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit(r'(?i)<a\s[^>]*?href="([^"]*)"'), 1))
+    """Ordered distinct link targets, in double, single or no quotes, basic entities decoded."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), 1)
+    return F.array_distinct(F.transform(found, lambda x: F.replace(F.trim(F.regexp_replace(x, r"""^["']|["']$""", "")), F.lit("&amp;"), F.lit("&"))))
+
+
+#: The parts of a reference: scheme, authority, path, query, fragment, each with its mark.
+URL_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def url_parts(url: Column) -> dict[str, Column]:
+    return {name: F.regexp_extract(url, URL_PARTS, i) for i, name in enumerate(("scheme", "authority", "path", "query", "fragment"), 1)}
+
+
+def without_dots(segments: Column) -> Column:
+    """A path's segments without . and .., as one path that begins with a slash."""
+    last = F.element_at(segments, -1)
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(s == ".", done).otherwise(F.array_append(done, s)),
+    )
+    path = F.array_join(F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept), "/")
+    return F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path))
 
 
 def absolute(base: Column, link: Column) -> Column:
-    """A link joined to its page's scheme and host."""
-    root = F.regexp_extract(base, r"^([a-z]+://[^/?#]+)", 1)
-    return F.when(link.rlike("^[a-z]+://"), link).when(F.startswith(link, F.lit("/")), F.concat(root, link)).otherwise(F.concat(root, F.lit("/"), link))
+    """A link resolved against its page (RFC 3986): other schemes and hosts stand, ?query and #fragment keep the page's path, other
+    paths go from the root or from the page's folder, dots are folded, empty segments inside a path go."""
+    b, r = url_parts(base), url_parts(link)
+    folder = F.split(b["path"], "/")
+    folder = F.when(F.element_at(folder, -1) == "", folder).otherwise(F.slice(folder, F.lit(1), F.greatest(F.size(folder) - 1, F.lit(0))))
+    folder = F.when(F.size(folder) == 0, F.array(F.lit(""))).otherwise(folder)
+    own = F.split(r["path"], "/")
+    every = F.when(F.startswith(r["path"], F.lit("/")), own).otherwise(F.concat(folder, own))
+    every = F.filter(every, lambda s, i: (s != "") | (i == 0) | (i == F.size(every) - 1))
+    root = F.concat(b["scheme"], b["authority"])
+    return (
+        F.when(link == "", base)
+        .when(r["scheme"] != "", link)
+        .when(r["authority"] != "", F.concat(b["scheme"], link))
+        .when(r["path"] == "", F.concat(root, b["path"], F.when(r["query"] != "", r["query"]).otherwise(b["query"]), r["fragment"]))
+        .otherwise(F.concat(root, without_dots(every), r["query"], r["fragment"]))
+    )
+
+
+def listed_page(url: Column, host: str, excluded: list[str], suffix: str) -> Column:
+    """A page of the wanted kind: on this host (or none), one path segment of letters, digits and dashes (a suffix segment
+    aside) that is none of the excluded ones."""
+    parts = url_parts(url)
+    steps = F.filter(F.split(parts["path"], "/"), lambda s: s != "")
+    steps = F.when(F.element_at(F.array_append(steps, F.lit("")), F.size(steps)) == suffix, F.slice(steps, F.lit(1), F.size(steps) - 1)).otherwise(steps)
+    slug = F.lower(F.coalesce(F.get(steps, F.lit(0)), F.lit("")))
+    wanted = parts["authority"].isin("", f"//{host}") & (F.size(steps) == 1) & slug.rlike("^[a-z][a-z0-9-]+$") & ~slug.isin(*excluded)
+    return F.coalesce(wanted, F.lit(False))
+
+
+def numeric_id(url: Column) -> Column:
+    """The number that ends a page's first path segment, or an empty text."""
+    return F.regexp_extract(url_parts(url)["path"], r"^/*[^/]*-(\d+)(?:/|$)", 1)
 
 
 def before_marker(text: Column, markers: list[str]) -> Column:

@@ -17,6 +17,7 @@ from tributary.plans.derived import SOURCE_A, SOURCE_B, SPREAD, build, text
 from tributary.plans.entities import UNITED, _united
 from tributary.session import load, scratch
 from tributary.sources import extract as X
+from tributary.streaming import frontier as N
 from tributary.streaming import incremental as I
 
 QUERIES: dict = {}
@@ -440,6 +441,49 @@ def stream_incremental(spark, sf_dir):
     return I.windowed(spark.read.schema(schema).parquet(target), "ts", "1 day", "1 hour", ["event_type"], "value").withColumn("total", F.round("total", 4))
 
 
+DAY = 86_400_000
+
+
+def _slices(spark, sf_dir, rows, days=(8, 15, 22)):
+    """Rows of events as files, one after another by time: what a stream reads as one micro-batch each."""
+    staged, first = scratch(spark, "slices"), F.lit("2024-01-01").cast("timestamp")
+    edges = [None, *[first + F.expr(f"interval {d} days") for d in days], None]
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = rows if low is None else rows.where(F.col("ts") >= low)
+        (part if high is None else part.where(F.col("ts") < high)).coalesce(1).write.mode("append").parquet(staged)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(staged)
+
+
+@query(f"""WITH a AS (SELECT user_id * 8 + event_id % 8 AS item, epoch_ms(ts) AS t, event_id, event_type = 'error' AS failed FROM events WHERE event_type IN ('error', 'purchase')),
+b AS (SELECT *, row_number() OVER w AS k, lag(t) OVER w AS prev, sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER w AS fails FROM a WINDOW w AS (PARTITION BY item ORDER BY t, event_id)),
+e AS (SELECT item, min(k) FILTER (NOT failed OR fails >= 3) AS fin FROM b GROUP BY item),
+g AS (SELECT item, fin, count(*) FILTER (fin IS NULL OR k <= fin) AS attempts, count(*) FILTER (k > fin) AS repeats, max(t) AS last_at,
+  count(*) FILTER (k > 1 AND (fin IS NULL OR k <= fin) AND t < prev + {2 * DAY} * pow(2, k - 2)) AS early, max(CASE WHEN k = fin AND failed THEN 1 ELSE 0 END) AS bad FROM b JOIN e USING (item) GROUP BY item, fin)
+SELECT item, CAST(attempts AS INT) AS attempts, CAST(early AS INT) AS early, CAST(repeats AS INT) AS repeats, CASE WHEN fin IS NOT NULL AND bad = 1 THEN 'exhausted' WHEN fin IS NOT NULL THEN 'done'
+  WHEN last_at + {2 * DAY} * pow(2, attempts - 1) < (SELECT max(t) FROM a) - 3600000 THEN 'ready' ELSE 'retry' END AS reason FROM g""")
+def frontier_over_time(spark, sf_dir):
+    """O2, O3: attempts stream in four micro-batches; states and timers live from one to the next."""
+    rows = load(spark, sf_dir, "events").where("event_type in ('error', 'purchase')")
+    rows = rows.select("ts", "event_id", (F.col("user_id") * 8 + F.col("event_id") % 8).alias("item"), (F.col("event_type") == "error").alias("failed"))
+    states = N.frontier_stream(_slices(spark, sf_dir, rows), "item", "ts", "event_id", "failed", 3, 2 * DAY, "1 hour")
+    table = N.BatchTable(spark, scratch(spark, "frontier"), N.Producer("frontier", "1"))
+    N.run_batches(states, table, scratch(spark, "frontier-state"))
+    last = table.read().groupBy("item").agg(F.max_by(F.struct("attempts", "early", "repeats", "reason"), "batch").alias("s"))
+    return last.select("item", "s.*")
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(4 AS BIGINT) AS batches FROM events GROUP BY event_type")
+def resumed_batches(spark, sf_dir):
+    """O3: a stream that lost its own notes brings all its batches again; the table takes each once and still is what its manifests say."""
+    rows, root = load(spark, sf_dir, "events").select("ts", "event_id", "event_type"), scratch(spark, "batches")
+    stream = _slices(spark, sf_dir, rows)
+    for _ in range(2):
+        table = N.BatchTable(spark, root, N.Producer("events", "1"))
+        N.run_batches(stream, table, scratch(spark, "batches-state"), "append")
+    table.verify()
+    return table.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("batches", F.lit(len(list(table.log.entries()))).cast("long"))
+
+
 @query("""SELECT conv_id, CAST(max(turn) AS BIGINT) AS turn, string_agg(DISTINCT role, '+' ORDER BY role) AS roles FROM conversations GROUP BY conv_id""")
 def merge_progress(spark, sf_dir):
     c = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.model import from_attrs
+from tributary.sources.commits import CommitLog
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], missing: str = "-", bom: bool = True) -> None:
@@ -21,31 +22,23 @@ def write_wide(df: DataFrame, path: str, columns: list[str]) -> None:
     from_attrs(df, columns).write.mode("overwrite").json(path)
 
 
-def write_assets(frames: dict[str, DataFrame], root: str) -> None:
-    """Several datasets of one run under a new version, which one rename makes current.
+def write_assets(frames: dict[str, DataFrame], root: str) -> int:
+    """Several datasets of one run, which one entry of a commit log makes current, all or none; the entry's number.
 
-    A version is named by its place in time; readers follow the last one under ``root/versions``. A run that fails before its rename leaves the
-    version before it current, and there is always one.
+    Data go to a folder of their own and never move, so that nothing depends on a store's rename. A run that fails before its entry leaves what
+    was current before it; of two writers each gets a number of its own, and the later number is current.
     """
     spark = next(iter(frames.values())).sparkSession
-    jvm = spark.sparkContext._jvm
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    staged = f"{root}/staged-{uuid.uuid4().hex}"
+    folder = f"{root}/data/{uuid.uuid4().hex}"
     for name, frame in frames.items():
-        frame.write.parquet(f"{staged}/{name}")
-    fs.mkdirs(path(f"{root}/versions"))
-    number = max((int(x.split("-")[0]) for x in _versions(fs, path(f"{root}/versions"))), default=0) + 1
-    if not fs.rename(path(staged), path(f"{root}/versions/{number:012d}-{uuid.uuid4().hex[:8]}")):
-        raise OSError(f"{staged} could not be made current")
+        frame.write.parquet(f"{folder}/{name}")
+    return CommitLog(spark, f"{root}/log").append({"datasets": {name: f"{folder}/{name}" for name in frames}})
 
 
-def _versions(fs, folder) -> list[str]:
-    return sorted(f.getPath().getName() for f in fs.listStatus(folder))
-
-
-def read_asset(spark, root: str, name: str) -> DataFrame:
-    """The current version of a dataset."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/versions")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(f"{root}/versions/{_versions(fs, folder)[-1]}/{name}")
+def read_asset(spark: SparkSession, root: str, name: str, number: int | None = None) -> DataFrame:
+    """The current version of a dataset, or that of a number."""
+    log = CommitLog(spark, f"{root}/log")
+    entry = log.current() if number is None else log.get(number)
+    if entry is None:
+        raise FileNotFoundError(f"{root} has no version {'yet' if number is None else number}")
+    return spark.read.parquet(entry["datasets"][name])

@@ -1,9 +1,12 @@
-"""Text, number, date and identity scalars as Column expressions (no Python runs on the executors)."""
+"""Text, number, date and identity scalars as Column expressions; only ``folded`` (NFKC) runs Python on the executors."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -352,12 +355,25 @@ def overlay_name(x: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(trimmed(x), r"(?U)^\d{2,4}款\s*", ""), r"(?U)\s+", "")
 
 
-def source_tokens(x: Column, separators: str = r"[+,/|]") -> Column:
-    """Ordered distinct tokens of a source string, their white space joined to single spaces and their case folded.
+def _folded(values: pd.Series) -> pd.Series:
+    """NFKC, white space joined, full case folding; each different value once."""
+    known: dict[str, str] = {}
+    for v in values.dropna().unique():
+        known[v] = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", v)).strip().casefold()
+    return values.map(lambda v: known.get(v, ""))
+
+
+def folded(x: Column) -> Column:
+    """A text in compatibility form (NFKC), its white space joined to single spaces, its case folded in full (ß as ss); null is empty.
 
-    Spark has no built-in NFKC: full-width forms are folded by ``half_width``, compatibility characters beyond them stay.
+    Spark has neither NFKC nor case folding among its functions: this is a pandas UDF over Arrow batches.
     """
-    return F.array_distinct(F.filter(F.transform(F.split(half_width(x), separators), lambda v: F.lower(F.regexp_replace(trimmed(v), r"(?U)\s+", " "))), lambda v: v != ""))
+    return F.pandas_udf(_folded, "string")(x.cast("string"))
+
+
+def source_tokens(x: Column, separators: str = r"[+,/|]") -> Column:
+    """Ordered distinct tokens of a source string, each folded."""
+    return F.array_distinct(F.filter(F.transform(F.split(folded(x), separators), lambda v: F.trim(v)), lambda v: v != ""))
 
 
 def ratio(x: Column) -> Column:

@@ -110,22 +110,63 @@ def single_source(rows: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(alone), rows.agg(F.count_if(alone).alias("kept"), F.count_if(mine & ~alone).alias("cross_source"), F.count_if(~mine).alias("other"))
 
 
+#: Longest pieces of text by which names and references find each other.
+GRAM = 3
+
+
+def grams(text: Column) -> Column:
+    """All pieces of a text of up to GRAM characters, the empty one included."""
+
+    def pieces(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(k)))
+
+    every = F.flatten(F.array(*[pieces(k) for k in range(1, GRAM + 1)]))
+    return F.array_distinct(F.array_append(F.filter(every, lambda g: g != ""), F.lit("")))
+
+
+def containing(texts: DataFrame, others: DataFrame, by: list[str]) -> DataFrame:
+    """Pairs (text, other) of a block in which the text holds the other. Both: by and s.
+
+    A text that holds another one holds its pieces: each other is looked up by the piece of it (of GRAM characters, or all of a shorter one) that
+    fewest texts and others of its block have, never by all texts of the block.
+    """
+    held = texts.select(*by, F.col("s").alias("text"), F.explode(grams(F.col("s"))).alias("gram"))
+    own = others.select(*by, F.col("s").alias("other"), F.explode(grams(F.col("s"))).alias("gram"))
+    own = own.where(F.length("gram") == F.least(F.length("other"), F.lit(GRAM)))
+    uses = held.select(*by, "gram").unionByName(own.select(*by, "gram")).groupBy(*by, "gram").agg(F.count(F.lit(1)).alias("uses"))
+    rarest = own.join(uses, [*by, "gram"]).groupBy(*by, "other").agg(F.min(F.struct("uses", "gram"))["gram"].alias("gram"))
+    return held.join(rarest, [*by, "gram"]).where(F.contains("text", "other")).select(*by, "text", "other")
+
+
 def contained(rows: DataFrame, references: DataFrame, by: list[str]) -> DataFrame:
     """references matched by class: 1 same name, 2 reference inside the name, 3 name inside the reference, 4 same group only.
 
     Only a row's best class counts; distinct ratios are averaged. Both sides share the blocking columns ``by``.
-    rows: row_id, name; references: name, ratio.
+    rows: row_id, name; references: name, ratio. Names are judged once for all their rows, pairs come from an index of pieces
+    (``containing``), and what a group's references say together is summed up once for all names of class 4.
     """
     r = references.select(*by, F.lower("name").alias("ref"), F.col("ratio").cast("decimal(18,2)").alias("ratio")).distinct()
-    pairs = rows.select("row_id", *by, F.lower("name").alias("n")).join(r, by)
-    kind = F.when(F.col("n") == F.col("ref"), 1).when(F.contains("n", "ref"), 2).when(F.contains("ref", "n"), 3).otherwise(4)
-    ranked = pairs.withColumn("kind", kind).withColumn("best", F.min("kind").over(Window.partitionBy("row_id"))).where("kind = best")
-    once = ranked.groupBy("row_id", "best", "ratio").agg(F.min("ref").alias("ref"))
-    return once.groupBy("row_id", "best").agg(
-        F.round(F.avg("ratio"), 2).cast("double").alias("ratio"),
-        F.count(F.lit(1)).alias("n"),
-        F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "ref", F.col("ratio").cast("string")))), ";").alias("detail"),
-    )
+    named = rows.select("row_id", *by, F.lower("name").alias("n"))
+    names, refs = named.where("n is not null").select(*by, F.col("n").alias("s")).distinct(), r.where("ref is not null").select(*by, F.col("ref").alias("s")).distinct()
+    inside = containing(names, refs, by).select(*by, F.col("text").alias("n"), F.col("other").alias("ref"))
+    around = containing(refs, names, by).select(*by, F.col("other").alias("n"), F.col("text").alias("ref"))
+    kind = F.when(F.col("n") == F.col("ref"), 1).when(F.contains("n", "ref"), 2).otherwise(3)
+    met = inside.unionByName(around).distinct().withColumn("kind", kind)
+    best = met.groupBy(*by, "n").agg(F.min("kind").alias("kind"))
+    met = met.join(best, [*by, "n", "kind"]).join(r, [*by, "ref"])
+
+    def told(pairs: DataFrame, keys: list[str]) -> DataFrame:
+        once = pairs.groupBy(*keys, "ratio").agg(F.min("ref").alias("ref"))
+        return once.groupBy(*keys).agg(
+            F.round(F.avg("ratio"), 2).cast("double").alias("ratio"),
+            F.count(F.lit(1)).alias("n_ratios"),
+            F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "ref", F.col("ratio").cast("string")))), ";").alias("detail"),
+        )
+
+    close = named.join(told(met, [*by, "n", "kind"]).withColumnRenamed("kind", "best"), [*by, "n"])
+    far = named.join(best.select(*by, "n"), [*by, "n"], "left_anti").join(told(r, by), by).withColumn("best", F.lit(4))
+    columns = ["row_id", "best", "ratio", F.col("n_ratios").alias("n"), "detail"]
+    return close.select(*columns).unionByName(far.select(*columns))
 
 
 def fill_brand(rows: DataFrame, by_id: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import scalars as S
 from tributary.functions.scalars import NUMBER, is_missing
+from tributary.operators import fuse
 
 
 def gate(rules: list[tuple[str, Column]]) -> Column:
@@ -75,6 +76,20 @@ def audit(baseline: DataFrame, candidate: DataFrame, bucket: list[str]) -> DataF
     return lost.unionByName(gone)
 
 
+def provenance_contradictions(rows: DataFrame, fields: list[str], known_sources: tuple[str, ...] = fuse.KNOWN_SOURCES, component: str = "component") -> DataFrame:
+    """Values that name a source which neither their row nor another row of its component has: key_hash, field, source.
+
+    rows: key, component (may be null), sources (array) and the fields. A component's sources are joined once, by the component.
+    """
+    alone, grouped = rows.where(F.col(component).isNull()), rows.where(F.col(component).isNotNull())
+    every = alone.withColumn("effective", F.col("sources")).unionByName(fuse.effective_sources(grouped, component))
+    parts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])
+    values = every.select("key", "effective", F.explode(parts).alias("p")).where("p.value is not null")
+    named = values.select("key", "effective", "p.field", F.explode(fuse.segments(F.col("p.value"), known_sources)).alias("part"))
+    named = named.withColumn("source", fuse.source_label(F.col("part"), known_sources)).where("source <> ''")
+    return named.where(~F.array_contains("effective", F.col("source"))).select(F.substring(F.sha2("key", 256), 1, 16).alias("key_hash"), "field", "source").distinct()
+
+
 def annotation_changes(candidate: DataFrame, recomputed: DataFrame, column: str = "component_id") -> DataFrame:
     """Keys (hashed) of which the stored annotation isn't what a recomputation gives, with both. Both have key and the column."""
     again = recomputed.select("key", F.col(column).alias("recomputed"))

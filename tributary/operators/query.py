@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.scalars import first_number, is_missing, is_positive, mapped, natural_key, numbers
-from tributary.session import materialise
+from tributary.session import materialise, scratch
 
 
 @dataclass(frozen=True)
@@ -208,6 +208,41 @@ def page(df: DataFrame, spec: QuerySpec, attrs: str = "attrs") -> DataFrame:
     return top.withColumn("place", place + start)
 
 
+class SortedView:
+    """A sorted result, written once in ranges of the order, of which a page reads only those that hold its rows.
+
+    The number of rows of each range (as many as the session has shuffle partitions) is all that reaches the driver, so the last page
+    costs what the first one does.
+    """
+
+    def __init__(self, df: DataFrame, spec: QuerySpec, attrs: str = "attrs"):
+        self.spec, self.attrs, self.columns = spec, attrs, df.columns
+        path = scratch(df.sparkSession, "view")
+        placed = df.repartitionByRange(*ordered(df, spec, attrs)).withColumn("range_", F.spark_partition_id())
+        placed.write.partitionBy("range_").parquet(path)
+        self.rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+        self.counts = sorted((r["range_"], r["n"]) for r in self.rows.groupBy("range_").agg(F.count(F.lit(1)).alias("n")).collect())
+        self.total = sum(n for _, n in self.counts)
+
+    @property
+    def pages(self) -> int:
+        return max(1, -(-self.total // self.spec.page_size))
+
+    def page(self, number: int) -> DataFrame:
+        """A page's rows with their places; a number beyond the last page gives the last one, one below 1 the first."""
+        start = (min(max(1, number), self.pages) - 1) * self.spec.page_size
+        wanted, ahead, before = [], 0, 0
+        for name, n in self.counts:
+            if before < start + self.spec.page_size and before + n > start:
+                ahead = before if not wanted else ahead
+                wanted.append(name)
+            before += n
+        order = ordered(self.rows, self.spec, self.attrs)
+        top = self.rows.where(F.col("range_").isin(*wanted)).orderBy(*order).offset(start - ahead).limit(self.spec.page_size)
+        place = F.row_number().over(Window.orderBy(*order))  # of one page
+        return top.withColumn("place", place + F.lit(start)).select(*self.columns, "place")
+
+
 def group_rows(df: DataFrame, keys: list[str], price: str | None = None, descending: bool = False) -> DataFrame:
     """M1, L4: each group's size and representative: its first row, or that of least (most) positive price."""
     if price is None:

@@ -44,6 +44,21 @@ def newest_artifact(spark, sf_dir):
     return rows.agg(F.count(F.lit(1)).alias("n"), F.max("name").alias("kind"))
 
 
+@query("SELECT CAST(count(*) AS BIGINT) AS n, CAST(5 AS BIGINT) AS recorded, CAST(2 AS BIGINT) AS number FROM orders WHERE o_orderkey % 2 = 0")
+def recorded_artifact(spark, sf_dir):
+    """Of five recorded artifacts the newest one that is valid, new and large enough; it was written second."""
+    root = scratch(spark, "recorded")
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("name"), F.year("o_orderdate").alias("year"))
+    runs = [
+        (orders, "2024-01-01"), (orders.where("id % 2 = 0"), "2024-05-03"), (orders.limit(5), "2024-05-06"), (orders.withColumn("name", F.lit("-")), "2024-05-05"), (orders.where("id % 2 = 1"), "2024-05-02")
+    ]
+    for i, (part, created) in enumerate(runs):
+        X.record_artifact(part, root, f"run{i}", created)
+    rows = X.newest_recorded(spark, root, "id long, name string, year int", least_rows=50, since="2024-02-01")
+    counted = X.manifest(spark, root).agg(F.count(F.lit(1)).alias("recorded"), F.max(F.when(F.col("created") == F.lit("2024-05-03").cast("timestamp"), F.col("number"))).alias("number"))
+    return rows.agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(counted), F.lit(True))  # single rows
+
+
 @query("""WITH t AS (SELECT l_orderkey, list(CAST(l_linenumber AS VARCHAR) ORDER BY l_linenumber, l_partkey) AS a, list(l_returnflag ORDER BY l_linenumber, l_partkey, l_returnflag)[2:] AS b FROM lineitem GROUP BY 1), i AS (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM t)
 SELECT l_orderkey, a[i] AS line, coalesce(b[i], '-') AS flag FROM i""")
 def transposed_columns(spark, sf_dir):

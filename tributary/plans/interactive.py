@@ -92,6 +92,15 @@ def multi_level_sort_page(spark, sf_dir):
     return Q.page(df, spec).select("p_partkey", F.col("place").cast("long").alias("place"))
 
 
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_quantity DESC, l_orderkey * 10 + l_linenumber) AS place, count(*) OVER () AS total FROM lineitem)
+SELECT l_orderkey, l_linenumber, place FROM n WHERE place > (total - 1) // 37 * 37""")
+def last_page(spark, sf_dir):
+    """The last page of a long result, from the ranges that hold it."""
+    df = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), F.create_map().cast("map<string,string>").alias("attrs"))
+    view = Q.SortedView(df, Q.QuerySpec(sort=(Q.SortLevel("l_quantity", True),), page_size=37))
+    return view.page(view.pages).select("l_orderkey", "l_linenumber", F.col("place").cast("long").alias("place"))
+
+
 @query("""SELECT p_partkey, CAST(CASE WHEN contains(p_type, 'PROMO') THEN 0 WHEN contains(p_type, 'LARGE') THEN 1 ELSE 2 END AS INT) AS keyword_rank FROM part""")
 def custom_order_sort(spark, sf_dir):
     return load(spark, sf_dir, "part").select("p_partkey", Q.keyword_rank(F.col("p_type"), ("PROMO", "LARGE")).cast("int").alias("keyword_rank"))

@@ -192,6 +192,21 @@ def audit_regression(spark, sf_dir):
     return G.audit(a.select(*columns), candidate, ["brand", "series", "year"])
 
 
+@query("""WITH p AS (SELECT p_partkey AS k, p_partkey // 2 AS c FROM part)
+SELECT substr(sha256(CAST(k AS VARCHAR)), 1, 16) AS key_hash, 'size' AS field, 'C' AS source FROM p WHERE k % 3 = 1
+UNION ALL SELECT substr(sha256(CAST(k AS VARCHAR)), 1, 16), 'name', 'B' FROM p WHERE k % 2 = 0 AND c % 4 = 0""")
+def audit_provenance(spark, sf_dir):
+    """Even rows have source A, odd ones B; both stand in one component, but for each fourth pair, which has none."""
+    k = F.col("p_partkey")
+    name = F.when(k % 2 == 0, F.concat(F.lit("A:"), "p_name", F.lit("|B:x|16:9"))).otherwise(F.concat(F.lit("尺寸:"), "p_name"))
+    size = F.when(k % 3 == 1, F.concat(F.lit("C:"), "p_size")).when(k % 3 == 0, F.concat(F.lit("16:9|"), "p_size"))
+    pair = F.floor(k / 2)
+    rows = load(spark, sf_dir, "part").select(
+        k.cast("string").alias("key"), F.when(pair % 4 != 0, pair).alias("component"), F.array(F.when(k % 2 == 0, "A").otherwise("B")).alias("sources"), name.alias("name"), size.alias("size")
+    )
+    return G.provenance_contradictions(rows, ["name", "size"], ("A", "B", "C"))
+
+
 @query("""SELECT CAST(count(*) AS BIGINT) AS n, CAST(CAST(sum(CAST(concat('0x', substr(sha256(p_name || '|' || p_partkey), 1, 12)) AS BIGINT)) AS HUGEINT) AS VARCHAR) AS fingerprint FROM part""")
 def audit_fingerprint(spark, sf_dir):
     """N4."""

@@ -123,6 +123,20 @@ def source_lists(spark, sf_dir):
     return load(spark, sf_dir, "part").select("p_partkey", F.array_join(S.source_tokens(x), "+").alias("sources"))
 
 
+# Texts and what folding makes of them: compatibility characters, composed and decomposed ones, white space, case.
+FOLDED = {
+    "ﬁne Ⅻ ①": "fine xii 1", "Ｈｉ　　ｔｈｅｒｅ": "hi there", "Straße": "strasse", "e\u0301A\u030a": "éå", "㎞ ½": "km 1⁄2", " \u2003x\t\ny\u00a0z ": "x y z",
+    "ΣΑΣ": "σασ", "ｶﾞ": "ガ", "İ": "i̇", "": "", "ﷺ": "صلى الله عليه وسلم",
+}
+
+
+@query("SELECT p_partkey, CASE p_partkey % 12 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(FOLDED.values())) + " ELSE '' END AS folded FROM part")
+def folded_texts(spark, sf_dir):
+    """NFKC and full case folding."""
+    x = F.coalesce(*[F.when(F.col("p_partkey") % 12 == i, F.lit(k)) for i, k in enumerate(FOLDED)])
+    return load(spark, sf_dir, "part").select("p_partkey", S.folded(x).alias("folded"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS DOUBLE) + 0.13 END AS ratio FROM part""")
 def ratios(spark, sf_dir):
     """D20."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -11,15 +12,23 @@ from pyspark.sql import functions as F
 
 from tributary.functions.scalars import is_missing
 from tributary.session import ship
+from tributary.sources.commits import CommitLog
 
 
 def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A1, A2: a JSON array of objects, or an object with items or data; an empty result raises when it is counted by a gate."""
+    """A1, A2: a JSON array of objects, or an object with items or data. A file of another shape, or with a member that is no object,
+    raises with its name; an empty result raises when it is counted by a gate."""
     wrapped = f"items array<struct<{schema}>>, data array<struct<{schema}>>"
-    text = spark.read.text(path, wholetext=True).withColumn("value", F.trim("value"))
-    whole = text.where("value like '[%'").select(F.from_json("value", f"array<struct<{schema}>>").alias("r"))
-    inside = text.where("value not like '[%'").select(F.from_json("value", f"struct<{wrapped}>").alias("o")).select(F.coalesce("o.items", "o.data").alias("r"))
-    return whole.unionByName(inside).select(F.inline("r"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"^\s+", "").alias("value"), F.col("_metadata.file_path").alias("file"))
+    listed = F.startswith("value", F.lit("["))
+    members = F.when(listed, F.col("value")).otherwise(F.coalesce(F.get_json_object("value", "$.items"), F.get_json_object("value", "$.data")))
+    whole, inside = F.from_json("value", f"array<struct<{schema}>>"), F.from_json("value", f"struct<{wrapped}>")
+    found = F.when(listed, whole).otherwise(F.coalesce(inside["items"], inside["data"]))
+    # Members one by one: what is no object is told by its first character.
+    said = F.from_json(members, "array<string>")
+    wrong = found.isNull() | said.isNull() | F.exists(said, lambda m: F.coalesce(~F.startswith(F.ltrim(m), F.lit("{")), F.lit(True)))
+    checked = F.when(F.coalesce(wrong, F.lit(True)), F.raise_error(F.concat(F.lit("not a list of objects: "), F.col("file")))).otherwise(found)
+    return text.select(checked.alias("r")).select(F.inline("r"))
 
 
 def newest(files: DataFrame, least_bytes: int = 1024, since: str | None = None) -> DataFrame:
@@ -35,6 +44,40 @@ def write_artifact(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
+def record_artifact(rows: DataFrame, root: str, name: str, created: str) -> None:
+    """Rows as an artifact under root, with an entry (path, created, rows, bytes, valid) in its manifest, a commit log. Valid: some
+    row has a name, a year and an id of digits, where it has these columns."""
+    spark, path = rows.sparkSession, f"{root}/artifacts/{name}-{uuid.uuid4().hex}"
+    write_artifact(rows, path)
+    there = spark.read.schema(rows.schema).json(path)
+    valid = F.count(F.lit(1)) > 0
+    if {"name", "year", "id"} <= set(rows.columns):
+        valid = F.coalesce(F.bool_or(valid_cache(F.array(F.struct("name", "year", F.col("id").cast("string").alias("id"))))), F.lit(False))
+    n, good = there.agg(F.count(F.lit(1)), valid).first()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    CommitLog(spark, f"{root}/manifest").append({"path": path, "created": created, "rows": n, "bytes": size, "valid": good})
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The artifacts' entries, by number."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)", 1).cast("long")
+    entries = spark.read.schema("path string, created timestamp, rows long, bytes long, valid boolean").json(f"{root}/manifest/*.json")
+    return entries.where("path is not null").select(number.alias("number"), "*")
+
+
+def newest_recorded(spark: SparkSession, root: str, schema: str, least_rows: int = 50, least_bytes: int = 1024, since: str | None = None) -> DataFrame:
+    """A1, A3: the rows of the newest valid artifact that is large and new enough and has rows enough, chosen by the manifest alone: no other
+    artifact is listed or read. Raises where there is none."""
+    fit = manifest(spark, root).where((F.col("rows") >= least_rows) & (F.col("bytes") >= least_bytes) & F.col("valid"))
+    if since:
+        fit = fit.where(F.col("created") >= F.lit(since).cast("timestamp"))
+    found = fit.orderBy(F.desc("created"), F.desc("number")).first()
+    if found is None:
+        raise ValueError(f"no valid artifact under {root}")
+    return spark.read.schema(schema).json(found["path"])
+
+
 def newest_valid(spark: SparkSession, root: str, schema: str, least_rows: int = 50, least_bytes: int = 1024, since: str | None = None, extension: str = "json") -> DataFrame:
     """A1, A3: the rows of the newest artifact (a folder under root) that is large and new enough and has rows enough.
 

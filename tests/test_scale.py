@@ -64,7 +64,7 @@ def test_json_of_another_shape_is_refused(spark, tmp_path):
     for i, text in enumerate(good):
         (tmp_path / f"{i}.json").write_text(text)
     assert sorted(r.id for r in X.read_json_rows(spark, str(tmp_path), "id string, name string").collect()) == ["1", "2", "3"]
-    for i, text in enumerate(('{"rows": [{"id": "1"}]}', '[{"id": "1"}, 7]', "[null]", '["x"]', '{"items": {"id": "1"}}', "not json", '[{"id": "1"}', "3", "")):
+    for i, text in enumerate(('{"rows": [{"id": "1"}]}', '[{"id": "1"}, 7]', "[null]", '["x"]', '{"items": {"id": "1"}}', "not json", '[{"id": "1"}', "3", "  ")):
         folder = tmp_path / f"bad{i}"
         folder.mkdir()
         (folder / "x.json").write_text(text)

@@ -17,7 +17,7 @@ from tributary.sources.commits import CommitLog
 
 def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A1, A2: a JSON array of objects, or an object with items or data. A file of another shape, or with a member that is no object,
-    raises with its name; an empty result raises when it is counted by a gate."""
+    raises with its name; an empty result raises when it is counted by a gate. A file without a single byte is none that Spark reads."""
     wrapped = f"items array<struct<{schema}>>, data array<struct<{schema}>>"
     text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"^\s+", "").alias("value"), F.col("_metadata.file_path").alias("file"))
     listed = F.startswith("value", F.lit("["))

@@ -24,3 +24,17 @@ def test_big_ids_beside_nulls(spark, tmp_path, name):
         assert got.agg(F.sum("kept")).first()[0] is not None  # a report by part
         return
     assert {r[ids] for r in got.select(ids).collect()} == set(BIG)
+
+
+def test_many_rows_of_one_labelled_id_do_not_reach_the_driver(spark, monkeypatch):
+    """5,000 rows repeat one labelled id: one of them is learned from."""
+    from tributary.llm import quality
+
+    rows = [(1, f"good words {i}") for i in range(5000)] + [(2, "bad text"), (3, "other bad text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    seen = []
+    plain = type(docs).toPandas
+    monkeypatch.setattr(type(docs), "toPandas", lambda self: seen.append(plain(self)) or seen[-1])
+    quality.fit(docs, labels)
+    assert [len(x) for x in seen] == [len({r.doc_id for r in labels.where(~quality.in_fold(F.col("doc_id"))).collect()})]

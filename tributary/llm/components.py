@@ -1,37 +1,5 @@
-"""Connected components by alternating large-star and small-star steps, all in DataFrames."""
+"""Connected components: the engine's own, under the name that the operators of this subpackage use."""
 
-from __future__ import annotations
+from tributary.operators.cluster import connected
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tributary.session import materialise
-
-
-def connected(links: DataFrame) -> DataFrame:
-    """links: a, b (integers, either way round). Returns id, component (smallest id reachable) of every id in them.
-
-    Each step is written to the shared folder. Aggregates and joins by id split where an id has many links.
-    """
-    edges = materialise(
-        links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
-    )
-    state = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialise(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        near = large.join(least, "a")
-        small = near.select("a", F.col("m").alias("b")).unionByName(
-            near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
-        edges = materialise(small.distinct(), "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.max("a")).first()
-        if now == state:
-            break
-        state = now
-    found = edges.groupBy("a").agg(F.min("b").alias("component"))
-    roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    return found.select(F.col("a").alias("id"), "component").unionByName(roots.join(found, roots["id"] == found["a"], "left_anti"))
+__all__ = ["connected"]

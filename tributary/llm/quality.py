@@ -8,7 +8,7 @@ covers every whole text: as the output layer is linear before the softmax, a wor
 is summed once and remembered, which equals averaging its vectors.
 
 Cases: null and empty texts have no features and get the score of the bias alone; labels that are null are
-left out; repeated label rows of one document count once (the larger label); with no labels at all every
+left out; repeated label rows of one document count once (the larger label), so do rows that repeat its id (one of its texts is learned from); with no labels at all every
 score is 0.5; further columns are ignored.
 """
 
@@ -137,11 +137,12 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, seed: int = 1) -> Model:
     """labels: doc_id, label (0 or 1). Prior shares of the classes come from all labelled rows outside the fold."""
     ship(docs.sparkSession)
-    rows = labelled_sample(docs, labels, most).mapInPandas(
-        _examples, "doc_id long, label int, buckets binary, weights binary"
-    ).toPandas()
+    found = labelled_sample(docs, labels, most).mapInPandas(_examples, "doc_id long, label int, buckets binary, weights binary")
+    # One row a document, however often its id is repeated: ``most`` rows at most reach the driver.
+    one = found.groupBy("doc_id").agg(F.min(F.struct("label", "buckets", "weights")).alias("r"))
+    rows = one.select("doc_id", "r.*").toPandas()
     prior = labels.where("label is not null").where(~in_fold(F.col("doc_id"))).agg(F.avg(F.col("label").cast("double"))).first()[0]
-    rows = rows.sort_values(["doc_id", "label"], kind="stable").drop_duplicates("doc_id")
+    rows = rows.sort_values("doc_id")
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((2, DIMENSIONS), np.float32)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.plans import entities, files, interactive, reports, texts
+from tributary.plans import entities, files, interactive, pages, reports, texts
 
-MODULES = (interactive, entities, reports, texts, files)
+MODULES = (interactive, entities, reports, texts, files, pages)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

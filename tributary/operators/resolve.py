@@ -77,12 +77,12 @@ def exact_pairs(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
     return z.where(E.conflict(F.col("sa"), F.col("sb"), list(E.DIMENSIONS)).isNull()).select("a_id", "b_id")
 
 
-def score(p: str = "a", q: str = "b") -> Column:
+def score(p: str = "a", q: str = "b", tokens: str = "tokens") -> Column:
     """0 for another year; the tokens' share alone where they have too few in common; else weights in their order. Columns of
     both sides bear a prefix."""
     x = lambda c: F.col(f"{p}_{c}")
     y = lambda c: F.col(f"{q}_{c}")
-    j = E.jaccard(x("tokens"), y("tokens"))
+    j = E.jaccard(x(tokens), y(tokens))
     known = (x("years") > 0) & (y("years") > 0)
     tests = {"year": known & (x("years") == y("years"))}
     tests |= {k: (x(f"{k}_text") != "") & (x(f"{k}_text") == y(f"{k}_text")) for k in ("energy", "level")}
@@ -224,11 +224,11 @@ def hard_reason(p: str = "a", q: str = "b", require_year: bool = True) -> Column
     return F.coalesce(*[F.when(tests[r], F.lit(r)) for r in HARD])
 
 
-def third_score(p: str = "a", q: str = "b", base: bool = False) -> Column:
+def third_score(p: str = "a", q: str = "b", base: bool = False, tokens: str = "third_tokens") -> Column:
     """0 where there is a hard reason (base: only where the years differ), else 0.70 x Jaccard of the term tokens and, from
     0.35 on, 0.15 for the year and 0.07 for the level."""
     x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
-    j = E.jaccard(x("third_tokens"), y("third_tokens"))
+    j = E.jaccard(x(tokens), y(tokens))
     level = (x("level_text") != "") & (x("level_text") == y("level_text"))
     both = (F.size(x("third_years")) > 0) & (F.size(y("third_years")) > 0)
     total = j * WEIGHTS["jaccard"] + F.when(both & (x("third_years") == y("third_years")), WEIGHTS["year"]).otherwise(0.0)
@@ -274,17 +274,57 @@ def split_hard(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clear, hard
 
 
-def dispatched_score(p: str = "a", q: str = "b", third: str = "易车") -> Column:
+def dispatched_score(p: str = "a", q: str = "b", third: str = "易车", alias: bool = False) -> Column:
     """the score of two components' rows by their sources: 0 where they share one; the third source's score where just one
-    side is that source alone (by its tokens only where energies are ambiguous in spelling but one and the same in kind); else F5's."""
+    side is that source alone (by its tokens only where energies are ambiguous in spelling but one and the same in kind); else F5's.
+    With alias, by the tokens that ``aliased`` adds."""
+    return F.when(F.arrays_overlap(F.col(f"{p}_sources"), F.col(f"{q}_sources")), 0.0).otherwise(component_score(p, q, third, alias))
+
+
+def component_score(p: str = "a", q: str = "b", third: str = "易车", alias: bool = False) -> Column:
+    """as ``dispatched_score``, also for rows with a common source."""
     x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
     only = lambda c: (F.size(c) == 1) & (c[0] == third)
     apart = only(x("sources")) != only(y("sources"))
     same_kind = (F.size(x("kinds")) == 1) & (F.size(y("kinds")) == 1) & (x("kinds") == y("kinds"))
     unclear = (hard_reason(p, q) == "energy_ambiguous") & same_kind
-    return F.when(F.arrays_overlap(x("sources"), y("sources")), 0.0).when(apart & F.coalesce(unclear, F.lit(False)), third_score(p, q, True)).when(
-        apart, third_score(p, q)
-    ).otherwise(F.when(E.conflict(x("signature"), y("signature"), list(E.DIMENSIONS)).isNull(), score(p, q)).otherwise(0.0))
+    own, terms = ("alias_tokens", "alias_third_tokens") if alias else ("tokens", "third_tokens")
+    return F.when(apart & F.coalesce(unclear, F.lit(False)), third_score(p, q, True, terms)).when(apart, third_score(p, q, False, terms)).otherwise(
+        F.when(E.conflict(x("signature"), y("signature"), list(E.DIMENSIONS)).isNull(), score(p, q, own)).otherwise(0.0)
+    )
+
+
+def aliased(df: DataFrame) -> DataFrame:
+    """what rows are compared by whose series differ in spelling only: brand and series in canonical form, their key with the year
+    (null where one is missing), and tokens made with the canonical series."""
+    c = F.col
+    brand, series = S.brand_text(c("brand")), S.canonical_series(c("brand"), c("series"))
+    whole = (brand != "") & (series != "")
+    return df.withColumns({
+        "canonical_brand": brand, "canonical_series": series,
+        "canonical_key": F.when(whole & (c("years") > 0), F.concat_ws("|", brand, series, "years")),
+        "alias_tokens": E.model_tokens(series, c("model"), c("energy")), "alias_third_tokens": E.term_tokens(series, c("model")),
+    })
+
+
+#: What an edge looks at besides the columns of ``dispatched_score``.
+EDGE = ("ids", "series_year_key", "canonical_brand", "canonical_series", "canonical_key", "alias_tokens", "alias_third_tokens")
+
+
+def component_edge(p: str = "a", q: str = "b", threshold: float = 0.58, third: str = "易车") -> Column:
+    """(score, stable_id, alias) of two rows that may be one, or null: of brands that differ, unless both have one Chinese series of four
+    characters or more; or below the threshold without an id, brand and year in common. Rows whose series are one in canonical form only
+    have the better of two scores, with and without it."""
+    x, y = (lambda c: F.col(f"{p}_{c}")), (lambda c: F.col(f"{q}_{c}"))
+    series = x("canonical_series")
+    commercial = (series == y("canonical_series")) & (F.length(series) >= 4) & series.rlike("[\u4e00-\u9fff]")
+    related = (x("canonical_brand") == y("canonical_brand")) | commercial
+    stable = F.arrays_overlap(x("ids"), y("ids")) & (x("canonical_brand") != "") & (x("canonical_brand") == y("canonical_brand")) & (x("years") == y("years"))
+    alias = F.coalesce((x("canonical_key") == y("canonical_key")) & ~x("series_year_key").eqNullSafe(y("series_year_key")), F.lit(False))
+    plain = component_score(p, q, third)
+    best = F.when(alias, F.greatest(plain, component_score(p, q, third, alias=True))).otherwise(plain)
+    stable = F.coalesce(stable, F.lit(False))
+    return F.when(F.coalesce(related, F.lit(False)) & ((best >= threshold) | stable), F.struct(best.alias("score"), stable.alias("stable_id"), alias.alias("alias")))
 
 
 def unique_claims(pairs: DataFrame) -> DataFrame:
@@ -343,15 +383,15 @@ def best_with_margin(pairs: DataFrame, least: float, margin: float) -> DataFrame
     )
 
 
-def greedy_disjoint(pairs: DataFrame) -> DataFrame:
-    """Pairs in order of score that share no node with one before. Each round takes the pairs that come first for
-    both of their nodes, which is what the sequential walk takes; rounds go on until none is left."""
-    order = [F.desc("score"), "l", "r"]
+def greedy_disjoint(pairs: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Pairs (l, r and further columns) in an order, by default of score, that share no node with one before. Each round takes the
+    pairs that come first for both of their nodes, which is what the sequential walk takes; rounds go on until none is left."""
+    order = order or [F.desc("score"), F.col("l"), F.col("r")]
     left, taken = pairs, None
     while True:
-        ends = left.select("l", "r", "score", F.explode(F.array("l", "r")).alias("node"))
+        ends = left.select(*pairs.columns, F.explode(F.array("l", "r")).alias("node"))
         first = ends.withColumn("n", F.row_number().over(Window.partitionBy("node").orderBy(*order))).where("n = 1")
-        now = materialise(first.groupBy("l", "r", "score").agg(F.count(F.lit(1)).alias("c")).where("c = 2").drop("c"), "greedy")
+        now = materialise(first.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("c")).where("c = 2").drop("c"), "greedy")
         if now.isEmpty():
             break
         taken = now if taken is None else taken.unionByName(now)

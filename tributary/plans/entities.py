@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tributary.functions import features as E
 from tributary.functions import scalars as S
 from tributary.operators import cluster as C
+from tributary.operators import discover as D
 from tributary.operators import fuse as U
 from tributary.operators import publish as P
 from tributary.operators import query as Q
@@ -487,7 +488,7 @@ NODE_BODY = {"A": BODIES["A"], "B": BODIES["B"], "D": "CASE WHEN row_id % 8 = 2
 
 GRAPH = "WITH RECURSIVE " + ", ".join(
     f"""n{s} AS (SELECT concat('{s}:', lpad(CAST(row_id AS VARCHAR), 9, '0')) AS node, {told} AS sources, CASE WHEN row_id % 11 = 0 THEN 2 ELSE 1 END AS n_rows, [CAST(row_id AS VARCHAR)] AS ids, {NODE_BODY[s]} AS body,
-  row_id, brand, series, year, energy, level, tier, seat, lidar, drive, tokens, batteries, long_range FROM (SELECT *, {FEATURES} FROM (SELECT * REPLACE ({SERIES} AS series) FROM ({src}))) WHERE {where})"""
+  row_id, brand, series, year, model, energy, level, tier, seat, lidar, drive, tokens, batteries, long_range FROM (SELECT *, {FEATURES} FROM (SELECT * REPLACE ({SERIES} AS series) FROM ({src}))) WHERE {where})"""
     for s, src, where, told in (("A", A, "true", "['A']"), ("B", B, "row_id % 12 <> 0", "['B']"), ("D", A, "row_id % 2 = 0", "['D']"), ("M", A, "row_id % 5 = 1", "['A', 'D']"), ("N", A, "row_id % 35 = 1", "['A', 'D']"))
 ) + f""", n AS (SELECT * FROM nA UNION ALL SELECT * FROM nB UNION ALL SELECT * FROM nD UNION ALL SELECT * FROM nM UNION ALL SELECT * FROM nN)"""
 SAME_BUCKET = "x.brand = y.brand AND x.series = y.series AND x.year = y.year"
@@ -615,6 +616,83 @@ def greedy_disjoint(spark, sf_dir):
     return R.greedy_disjoint(edges.where("l <> r"))
 
 
+# Discovery over the graph's nodes: rows divisible by 37 have no year, those divisible by 9 are in view.
+CARD = """concat('{"brand":"', %s.brand, '","model":"', %s.model, '","series":"', %s.series, '","sources":["', array_to_string(%s.sources, '","'), '"],"year":"', CAST(%s.year AS VARCHAR), '"}')"""
+CARDS = {p: CARD.replace("%s", p) for p in "xy"}
+BEFORE = "(array_to_string({0}.sources, ' '), {0}.brand, {0}.series, {0}.model, {0}.year)"
+DISCOVERED = GRAPH + f""", s AS (SELECT * FROM n WHERE len(sources) = 1 AND n_rows = 1), w AS (SELECT DISTINCT brand, series, CASE WHEN row_id % 37 = 0 THEN 0 ELSE year END AS y FROM n WHERE row_id % 9 = 0),
+rows AS (SELECT brand, sum(n_rows) AS brand_rows FROM n GROUP BY brand),
+e AS MATERIALIZED (SELECT x.node, y.node AS other, {APART} AS bad, CASE WHEN {CONFLICT} THEN 0.0 ELSE {SCORE} END AS score, x.brand, x.series, x.year, {CARDS['x']} AS l, {CARDS['y']} AS r, len(y.sources) AS ss,
+  CASE WHEN {BEFORE.format('x')} < {BEFORE.format('y')} THEN concat('[', {CARDS['x']}, ',', {CARDS['y']}, ']') ELSE concat('[', {CARDS['y']}, ',', {CARDS['x']}, ']') END AS members
+  FROM s x JOIN n y ON {SAME_BUCKET} AND x.node <> y.node AND x.row_id % 37 <> 0 AND y.row_id % 37 <> 0 AND (NOT list_has_any(x.sources, y.sources) OR (len(y.sources) > len(x.sources) AND list_has_all(y.sources, x.sources)))),
+k AS (SELECT *, lead(score) OVER q AS next, row_number() OVER q AS n, count(*) OVER (PARTITION BY node) AS alternatives FROM e WHERE NOT bad WINDOW q AS (PARTITION BY node ORDER BY score DESC, other)),
+b AS (SELECT *, CASE WHEN score < 0.2 THEN 'insufficient_similarity' WHEN alternatives > 1 AND score - next < 0.08 THEN 'ambiguous_candidates' END AS kind FROM k WHERE n = 1),
+c AS (SELECT substr(sha256(members), 1, 24) AS candidate_id, CASE WHEN ss = 1 THEN 'new_multi_card' ELSE 'absorb_single_into_multi' END AS effect, b.brand, lower(b.series) AS canonical_series, b.year, round(score, 4) AS score,
+  round(score - coalesce(next, 0), 4) AS margin, alternatives, bool_or(w.brand IS NOT NULL) OVER (PARTITION BY members) AS viewport, brand_rows, members, l, r, row_number() OVER (PARTITION BY members ORDER BY node DESC) AS latest
+  FROM b JOIN rows USING (brand) LEFT JOIN w ON w.brand = b.brand AND w.series = b.series AND w.y = b.year WHERE kind IS NULL),
+o AS MATERIALIZED (SELECT * EXCLUDE (latest), row_number() OVER (ORDER BY effect <> 'new_multi_card', NOT viewport, brand_rows DESC, score DESC, margin DESC, candidate_id) AS k FROM c WHERE latest = 1),
+g(k, used, took) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), false UNION ALL SELECT o.k, CASE WHEN list_contains(used, o.l) OR list_contains(used, o.r) THEN used ELSE list_concat(used, [o.l, o.r]) END,
+  NOT (list_contains(used, o.l) OR list_contains(used, o.r)) FROM g JOIN o ON o.k = g.k + 1)"""
+
+
+def _discovered(spark, sf_dir):
+    lost = F.col("ids")[0].cast("long") % 37 == 0
+    nodes = R.aliased(_nodes(spark, sf_dir).withColumn("years", F.when(lost, 0).otherwise(F.col("years"))))
+    apart = lambda p, q: F.when(E.conflict(F.col(f"{p}_signature"), F.col(f"{q}_signature"), DIMENSIONS).isNull(), R.score(p, q)).otherwise(0.0)
+    return D.discover(materialise(nodes, "discovery"), F.col("ids")[0].cast("long") % 9 == 0, scorer=apart)
+
+
+@query(DISCOVERED + """ SELECT CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS place, candidate_id, effect, brand, canonical_series, year, score, margin, CAST(alternatives AS BIGINT) AS alternatives, viewport,
+CAST(brand_rows AS BIGINT) AS brand_rows, members FROM o JOIN g USING (k) WHERE took ORDER BY k LIMIT 80""")
+def discovered_candidates(spark, sf_dir):
+    """F19 from end to end: the first 80."""
+    return _discovered(spark, sf_dir)[0]
+
+
+@query(DISCOVERED + """ SELECT 'single_visible_rows' AS counter, count(*) AS n FROM s UNION ALL SELECT 'target_brand_series', count(*) FROM (SELECT DISTINCT brand, series FROM s)
+UNION ALL SELECT 'full_universe_rows', count(*) FROM n WHERE (brand, series) IN (SELECT (brand, series) FROM s) UNION ALL SELECT 'missing_series_or_year', count(*) FROM s WHERE row_id % 37 = 0
+UNION ALL SELECT 'hard_conflict', count(*) FROM e WHERE bad UNION ALL SELECT 'no_cross_source_candidate', count(*) FROM s WHERE row_id % 37 <> 0 AND node NOT IN (SELECT node FROM k)
+UNION ALL SELECT 'insufficient_similarity', count(*) FROM b WHERE kind = 'insufficient_similarity' UNION ALL SELECT 'ambiguous_candidates', count(*) FROM b WHERE kind = 'ambiguous_candidates'
+UNION ALL SELECT 'unique_candidate', count(*) FROM o UNION ALL SELECT 'overlapping_candidate', count(*) FROM o JOIN g USING (k) WHERE NOT took""")
+def discovery_counters(spark, sf_dir):
+    """why the other singles have none."""
+    return _discovered(spark, sf_dir)[1]
+
+
+# Edges of components: series that are spelt with their brand or a suffix, ids in common, two brands of one commercial series.
+SPELT = {"A": "CASE row_id % 4 WHEN 0 THEN concat(brand, ' ', series) WHEN 1 THEN '通用系列' ELSE series END", "B": "CASE row_id % 4 WHEN 0 THEN concat(series, 'PHEV') WHEN 1 THEN '通用系列' ELSE series END"}
+EDGE_TOKENS = TOKENS.replace("[lower(series)]", "[{}]")
+PLAIN_SERIES = {"A": "CASE row_id % 4 WHEN 0 THEN lower(concat(brand, series)) WHEN 1 THEN '通用系列' ELSE lower(series) END", "B": "CASE row_id % 4 WHEN 0 THEN lower(concat(series, 'phev')) WHEN 1 THEN '通用系列' ELSE lower(series) END"}
+
+
+def _edge_side(spark, sf_dir, sql: str, name: str, p: str):
+    df = records(spark, sf_dir, sql).withColumn("series", F.expr(SPELT[name]))
+    df = df.where("year is not null").withColumn("brand", F.when((F.col("row_id") % 12 == 1) & F.lit(name == "B"), "other").otherwise(F.col("brand")))
+    df = R.aliased(R.third_features(R.features_of(df))).withColumns({"sources": F.array(F.lit(name)), "kinds": F.array("energy"), "ids": F.array(F.col("row_id").cast("string"))})
+    return R.side(df, ["row_id"], p, (*R.SCORED, *R.THIRD[1:4], *R.EDGE, "sources", "kinds"))
+
+
+def _edge_sql() -> str:
+    sides = ", ".join(
+        f"""{t} AS (SELECT *, {PLAIN_SERIES[s]} AS said, CASE WHEN row_id % 4 = 1 THEN '通用系列' ELSE lower(series) END AS canon, {"CASE WHEN row_id % 12 = 1 THEN 'other' ELSE brand END" if s == "B" else "brand"} AS maker,
+  {FEATURES.replace(TOKENS, EDGE_TOKENS.format(PLAIN_SERIES[s]))}, {EDGE_TOKENS.format("CASE WHEN row_id % 4 = 1 THEN '通用系列' ELSE lower(series) END")} AS alias_tokens FROM ({A if s == "A" else B}) {"WHERE row_id % 12 <> 0" if s == "B" else ""})"""
+        for s, t in (("A", "x0"), ("B", "y0"))
+    )
+    other = SCORE.replace("x.tokens", "x.alias_tokens").replace("y.tokens", "y.alias_tokens")
+    return f"""WITH {sides}, e AS (SELECT x.row_id, x.maker = y.maker AS same, x.canon = y.canon AND x.canon = '通用系列' AS shared, x.maker = y.maker AND x.said <> y.said AS alias,
+CASE WHEN {CONFLICT} THEN 0.0 ELSE {SCORE} END AS plain, CASE WHEN {CONFLICT} THEN 0.0 ELSE {other} END AS again FROM x0 x JOIN y0 y USING (row_id)),
+f AS (SELECT *, CASE WHEN alias THEN greatest(plain, again) ELSE plain END AS score FROM e)
+SELECT row_id, round(score, 9) AS score, same AS stable_id, alias FROM f WHERE (same OR shared) AND (score >= 0.58 OR same)"""
+
+
+@query(_edge_sql())
+def component_edges(spark, sf_dir):
+    """scores again by the canonical series, ids that override the threshold, brands that share a commercial series."""
+    pairs = _edge_side(spark, sf_dir, SOURCE_A, "A", "a").join(_edge_side(spark, sf_dir, SOURCE_B, "B", "b"), "row_id")
+    edges = pairs.select("row_id", R.component_edge().alias("edge")).where("edge is not null")
+    return edges.select("row_id", F.round("edge.score", 9).alias("score"), "edge.stable_id", "edge.alias")
+
+
 @query("""WITH k AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS sid, o_orderstatus AS brand, o_orderpriority AS series, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE year(o_orderdate) END AS y, CASE WHEN o_orderkey % 11 = 0 THEN '-' ELSE concat('m', o_orderkey) END AS m FROM orders)
 SELECT o_orderkey, CASE WHEN m = '-' THEN NULL WHEN sid IS NOT NULL THEN concat('series_id|', sid, '|', m, '|', coalesce(CAST(y AS VARCHAR), '')) WHEN y IS NOT NULL THEN concat('fallback|', brand, '|', series, '|', m, '|', y) END AS key,
 CASE WHEN m = '-' THEN 'missing_model' WHEN sid IS NULL AND y IS NULL THEN 'missing_year' END AS reason FROM k""")

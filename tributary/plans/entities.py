@@ -682,14 +682,14 @@ def _edge_sql() -> str:
     return f"""WITH {sides}, e AS (SELECT x.row_id, x.maker = y.maker AS same, x.canon = y.canon AND x.canon = '通用系列' AS shared, x.maker = y.maker AND x.said <> y.said AS alias,
 CASE WHEN {CONFLICT} THEN 0.0 ELSE {SCORE} END AS plain, CASE WHEN {CONFLICT} THEN 0.0 ELSE {other} END AS again FROM x0 x JOIN y0 y USING (row_id)),
 f AS (SELECT *, CASE WHEN alias THEN greatest(plain, again) ELSE plain END AS score FROM e)
-SELECT row_id, round(score, 9) AS score, same AS stable_id, alias FROM f WHERE (same OR shared) AND (score >= 0.58 OR same)"""
+SELECT row_id, round(score, 9) AS score, same AS stable_id, alias FROM f WHERE (same OR shared) AND (score >= 0.95 OR same)"""
 
 
 @query(_edge_sql())
 def component_edges(spark, sf_dir):
     """scores again by the canonical series, ids that override the threshold, brands that share a commercial series."""
     pairs = _edge_side(spark, sf_dir, SOURCE_A, "A", "a").join(_edge_side(spark, sf_dir, SOURCE_B, "B", "b"), "row_id")
-    edges = pairs.select("row_id", R.component_edge().alias("edge")).where("edge is not null")
+    edges = pairs.select("row_id", R.component_edge(threshold=0.95).alias("edge")).where("edge is not null")
     return edges.select("row_id", F.round("edge.score", 9).alias("score"), "edge.stable_id", "edge.alias")
 
 

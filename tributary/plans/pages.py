@@ -21,7 +21,7 @@ def query(sql: str | None = None):
     return register
 
 
-# A payload of five cars, and pages that hold it or its like in another form; # is the page's number.
+# A payload of five cars, and pages that hold it or its like in another form; # is the page's number in letters (digits in names would be years).
 CARS = """{"car_info":[
 {"car_name":"2021款 A#","car_year":"","official_price":"9.9万","brand_name":"maker","info":{"range":{"value":"5#"},"range_b":{"value":"x"},"range_c":{"value":"5#"},"heat":"有",
  "laser_radar_v4_2":{"value":"1"},"pack_1":{"value":"顶篷"},"pack_2":{"value":"选装"},"mode_1":{"value":"a"},"mode_2":{"value":"a"},"three_1":{"value":"u"},"three_2":{"value":"v"},"three_3":{"value":"w"},"none":{"value":""}}},
@@ -60,13 +60,13 @@ LISTED = "page_id % 5"  # 0: not in the list; 1: no brand told; 2: an empty one;
 @query(f"""WITH s(kind, position, brand, model, year, attrs) AS (VALUES {", ".join(f"('{k}', {p}, '{b}', '{m}', '{y}', '{a}')" for k, p, b, m, y, a in SAID)}), p AS (SELECT page_id, {HELD} AS kind, page_id % 7 = 0 AS api, {LISTED} AS l FROM pages)
 SELECT page_id, CAST(position AS INTEGER) AS position, CASE WHEN l = 4 THEN 'listed' WHEN l IN (0, 1) AND api THEN 'own brand' WHEN brand <> '' THEN brand WHEN l = 3 THEN '吉利银河' ELSE '' END AS brand,
 CASE WHEN l = 0 AND api THEN 'own' WHEN l = 0 THEN '' WHEN l = 3 THEN '吉利银河 E5' ELSE concat('series ', page_id) END AS series,
-replace(model, '#', CAST(page_id AS VARCHAR)) AS model, year, replace(attrs, '#', CAST(page_id AS VARCHAR)) AS attrs FROM p JOIN s USING (kind)""")
+replace(model, '#', translate(CAST(page_id AS VARCHAR), '0123456789', 'abcdefghij')) AS model, year, replace(attrs, '#', translate(CAST(page_id AS VARCHAR), '0123456789', 'abcdefghij')) AS attrs FROM p JOIN s USING (kind)""")
 def config_cars(spark, sf_dir):
     """A4: the whole chain. Brands: the list's, the answer's own, the maker's, the first prefix of the series; years before 2020 and pick-ups go."""
     k = F.col("page_id")
     pages = load(spark, sf_dir, "pages")
     form = F.coalesce(*[F.when(k % 7 == n, F.lit(x)) for n, x in KINDS.items()])
-    made = pages.select("page_id", k.alias("series_id"), F.replace(form, F.lit("#"), k.cast("string")).alias("content"))
+    made = pages.select("page_id", k.alias("series_id"), F.replace(form, F.lit("#"), F.translate(k.cast("string"), "0123456789", "abcdefghij")).alias("content"))
     series = pages.where(k % 5 != 0).select(
         k.alias("series_id"), F.when(k % 5 == 3, "吉利银河 E5").otherwise(F.concat(F.lit("series "), k.cast("string"))).alias("name"),
         F.when(k % 5 == 4, "listed").when(k % 5 != 1, "").alias("brand"),

@@ -30,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.session import ship
+from tributary.llm.common import join_by_key
+from tributary.session import materialise, ship
 
 #: Bytes of a block in one record; longer blocks continue in further records.
 SEGMENT = 32 * 1024
@@ -117,17 +118,15 @@ def write(captures: DataFrame, path: str, min_revisit_bytes: int = 0) -> None:
     ship(captures.sparkSession)
     rows = captures.select("id", "url", F.coalesce("payload", F.lit("")).alias("payload"))
     rows = rows.withColumn("sum", F.sha1(F.encode("payload", "utf-8"))).withColumn("bytes", F.octet_length("payload"))
-    # Digests alone are grouped: the payload only moves once, with its row.
-    same = rows.groupBy("id", "sum", "bytes").agg(F.count(F.lit(1)).alias("n"))
-    stands = (
-        same.where(F.col("bytes") >= min_revisit_bytes)
-        .groupBy("sum", "bytes")
-        .agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("ids"))
-        .where("ids > 1 and keeper is not null")
-    )
+    # Digests alone are grouped: the payload only moves once, with its row. A digest that very many captures share (empty
+    # payloads) is broadcast with its response, its captures stay where they are.
+    same = materialise(rows.groupBy("id", "sum", "bytes").agg(F.count(F.lit(1)).alias("n")), "captures")
+    stands = same.groupBy("sum", "bytes").agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("ids"), F.max("n").alias("most"))
+    several = (F.col("ids") > 1) & (F.col("bytes") >= min_revisit_bytes)
+    stands = stands.withColumn("keeper", F.when(several, F.col("keeper"))).where("keeper is not null or most > 1").drop("most")
     other = F.col("id").isNull() | (F.col("id") != F.col("keeper"))
     marks = (
-        same.join(stands, ["sum", "bytes"], "left")
+        join_by_key(same, materialise(stands, "responses"), ["sum", "bytes"], "ids")
         .select(
             F.col("id").alias("m_id"), F.col("sum").alias("m_sum"), F.col("bytes").alias("m_bytes"),
             F.when(other, F.col("keeper")).alias("keeper"), (F.col("n") > 1).alias("repeated"),

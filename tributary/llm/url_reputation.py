@@ -81,17 +81,18 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
         return level.join(F.broadcast(one_row), F.lit(True))
 
     total = hosts.agg(((F.sum("k") + PRIOR_GOOD) / (F.sum("n") + PRIOR_ALL)).alias("p0"))
-    by_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).join(F.broadcast(total), F.lit(True))
+    summed = lambda df, *keys: df.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("below"))
+    by_domain = materialise(summed(hosts, "suffix", "domain"), "domains")
+    by_suffix = summed(by_domain, "suffix").join(F.broadcast(total), F.lit(True))
     suffixes = with_strength(by_suffix, "p0").select(
-        "suffix", ((F.col("k") + F.col("p0") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("p1")
+        "suffix", "below", ((F.col("k") + F.col("p0") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("p1")
     )
-    by_domain = (
-        hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).join(suffixes, "suffix")
+    # a suffix that a third of all domains has, or a domain of very many hosts, is broadcast: its rows stay where they are
+    under = join_by_key(by_domain.withColumnRenamed("below", "hosts"), materialise(suffixes, "suffixes"), ["suffix"], "below")
+    domains = with_strength(under, "p1").select(
+        "domain", "hosts", ((F.col("k") + F.col("p1") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("p2")
     )
-    domains = with_strength(by_domain, "p1").select(
-        "domain", ((F.col("k") + F.col("p1") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("p2")
-    )
-    last = with_strength(hosts.join(domains, "domain"), "p2")
+    last = with_strength(join_by_key(hosts, materialise(domains, "domain-means"), ["domain"], "hosts"), "p2")
     a = F.col("k") + F.col("p2") * F.col("strength")
     n = F.col("n") + F.col("strength")
     mean = a / n

@@ -87,6 +87,7 @@ class FingerprintIndex:
         self.spark, self.window, self.gram, self.fanout = spark, window, gram, fanout
         self.runs: list[tuple[int, DataFrame]] = []
         self.hits: list[DataFrame] = []
+        self.names: list[str] = []
 
     def _occurrences(self, batch: DataFrame) -> DataFrame:
         window, gram = self.window, self.gram
@@ -114,6 +115,13 @@ class FingerprintIndex:
         writer = ordered.write.bucketBy(n, "print", "digest").sortBy("print", "digest")
         writer.option("path", scratch(self.spark, f"run-{level}")).saveAsTable(name)
         self.runs.append((level, self.spark.table(name)))
+        self.names.append(name)
+
+    def close(self) -> None:
+        """Take the runs out of the session's catalog, which bucketed tables need. Their data stay in the shared folder."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.runs, self.names = [], []
 
     def add(self, batch: DataFrame) -> None:
         """Look a batch (doc_id, text) up in all runs, note its hits, and add it as a run.
@@ -121,20 +129,20 @@ class FingerprintIndex:
         Every document of the batch must have a larger id than all before.
         """
         found = materialise(self._occurrences(batch), "occurrences")
-        own = found.groupBy("print", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"))
+        own = found.groupBy("print", "digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("latest"), F.count(F.lit(1)).alias("n"))
         merged, before = own, [F.lit(None).cast("long")]
         for i, (_, run) in enumerate(self.runs):
             run = run.select("print", "digest", F.col("owner").alias(f"before{i}"))
             merged = merged.join(run.hint("merge"), ["print", "digest"], "left")
             before.append(F.col(f"before{i}"))
         # a segment is in one run only: the batch that added it was joined with all before
-        merged = merged.select("print", "digest", "owner", "latest", F.coalesce(*before).alias("before"))
+        merged = merged.select("print", "digest", "owner", "latest", "n", F.coalesce(*before).alias("before"))
         merged = materialise(merged, "merged")
         # hits: the segment's words already stand in an earlier document
-        first = merged.withColumn("owner", F.coalesce("before", "owner")).where("owner < latest")
-        self.hits.append(
-            materialise(found.join(first.select("print", "digest", "owner"), ["print", "digest"]).where("owner < doc_id").select("doc_id", "digest"), "hits")
-        )
+        first = merged.withColumn("owner", F.coalesce("before", "owner")).where("owner < latest").select("print", "digest", "owner", "n")
+        # a passage that very many documents share is broadcast with its owner: its places stay where they are
+        hits = join_by_key(found, materialise(first, "first-segments"), ["print", "digest"], "n").where("owner < doc_id")
+        self.hits.append(materialise(hits.select("doc_id", "digest"), "hits"))
         self._write_run(merged.where("before is null"), 0)
         self.compact()
 
@@ -159,8 +167,9 @@ class FingerprintIndex:
         rows = None
         for _, run in self.runs:
             rows = run if rows is None else rows.unionByName(run)
-        several = rows.groupBy("print").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b").select("print")
-        wanted = rows.join(several, "print").groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("digest").alias("digests"))
+        several = rows.groupBy("print").agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count(F.lit(1)).alias("n"))
+        several = materialise(several.where("a <> b").select("print", "n"), "several")
+        wanted = join_by_key(rows, several, ["print"], "n").groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("digest").alias("digests"))
 
         def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             unpack = zstandard.ZstdDecompressor().decompress
@@ -210,6 +219,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, batches: int = 3, gram: int = G
         index.add(part)
     found = index.window_hits(packed(docs)).groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
     found = materialise(found, "window-hits")
+    index.close()
     hits = index.hits[0]
     for x in index.hits[1:]:
         hits = hits.unionByName(x)

@@ -50,9 +50,12 @@ FITTED = [
 ]
 
 
+def _fitting(number):
+    return F.coalesce(*[F.when(number % len(FITTED) == i, F.create_map(*[F.lit(t) for kv in a.items() for t in kv])) for i, a in enumerate(FITTED)])
+
+
 def _fitted(spark, sf_dir):
-    attrs = F.coalesce(*[F.when(F.col("p_partkey") % len(FITTED) == i, F.create_map(*[F.lit(t) for kv in a.items() for t in kv])) for i, a in enumerate(FITTED)])
-    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), attrs.alias("attrs"))
+    return load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), _fitting(F.col("p_partkey")).alias("attrs"))
 
 
 @query("SELECT p_partkey AS row_id FROM part WHERE p_partkey % 9 IN (0, 1, 2, 4, 5, 6)")
@@ -61,10 +64,11 @@ def feature_filter(spark, sf_dir):
     return _fitted(spark, sf_dir).where(Q.has_feature(F.col("attrs"), Q.Feature(("雷达",), ("激光",)))).select("row_id")
 
 
-@query("SELECT p_partkey AS row_id FROM part WHERE p_partkey % 9 IN (0, 1, 5, 6)")
+@query(f"""WITH s AS ({SPREAD_SQL}) SELECT row_id FROM s WHERE row_id % 9 IN (0, 1, 5, 6) OR contains(width, '1') OR contains(width, 'ring') OR contains(model, '1') OR contains(model, 'ring')""")
 def feature_filter_keyword(spark, sf_dir):
-    """A required keyword counts alone, under any name."""
-    return Q.run(_fitted(spark, sf_dir), Q.QuerySpec(features=(Q.Feature(("雷达",), ("激光",), True),))).select("row_id")
+    """A required keyword counts alone, under any name; widths and names are those of the table."""
+    df = spread(spark, sf_dir).withColumn("attrs", F.map_concat(_fitting(F.col("row_id")), F.create_map(F.lit("width"), "width", F.lit("model"), "model")))
+    return Q.run(df, Q.QuerySpec(features=(Q.Feature(("雷达",), ("激光", "1", "ring"), True),))).select("row_id")
 
 
 @query("SELECT p_partkey AS row_id FROM part WHERE contains(lower(p_name), 'ring') OR contains(lower(p_brand), 'ring') OR contains(lower(p_type), 'ring')")

@@ -10,6 +10,7 @@ from tributary.operators import fuse as U
 from tributary.operators import headers as H
 from tributary.operators import quality as G
 from tributary.operators import query as Q
+from tributary.operators import resolve as R
 from tributary.session import load
 
 QUERIES: dict = {}
@@ -209,8 +210,9 @@ def further_signatures(spark, sf_dir):
     name = F.when(k == 2, F.concat("p_name", F.lit(" 激光雷达版 48V轻混"))).when(k == 0, F.concat("p_name", F.lit(" DM-i"))).otherwise(F.col("p_name"))
     energy = F.when(k == 1, "增程式 纯电").otherwise("汽油")
     level = F.when(k == 0, "中大型SUV").when(k == 1, "轿车").when(k == 2, "紧凑型")
-    s = E.component_signature(F.lit("x"), F.col("p_type"), name, energy, level, attrs)
-    df = load(spark, sf_dir, "part").select("p_partkey", s.alias("s"))
+    rows = load(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("series"), name.alias("model"), energy.alias("energy"), level.alias("level"), attrs.alias("attrs"))
+    said = ("series", "model", "energy", "level", "attrs")
+    df = R.judged_once(rows, said, lambda d: d.withColumn("s", E.component_signature(F.lit("x"), *[F.col(c) for c in said])))
     return df.select("p_partkey", *[F.array_join(F.col("s")[c], "+").alias(a) for c, a in (("lidar_presence", "lidar"), ("motors", "motors"), ("energy", "energy"), ("level", "level"))])
 
 
@@ -239,10 +241,8 @@ def joined_values(spark, sf_dir):
 m AS (SELECT *, min(gap) OVER (PARTITION BY l) AS best FROM p), t AS (SELECT *, sum(CASE WHEN gap = best THEN 1 ELSE 0 END) OVER (PARTITION BY l) AS ties FROM m) SELECT l, r, CAST(-gap AS DOUBLE) AS score FROM t WHERE gap = best AND ties = 1""")
 def unique_bests(spark, sf_dir):
     """M3."""
-    p = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
-    other = p.select("p_brand", "p_type", "p_name", F.col("p_partkey").alias("r"), F.col("p_size").alias("s"))
-    pairs = p.join(other, ["p_brand", "p_type", "p_name"]).where("p_partkey <> r")
-    return U.unique_best(pairs.select(F.col("p_partkey").alias("l"), "r", (-F.abs(F.col("p_size") - F.col("s"))).cast("double").alias("score")))
+    p = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_brand", "p_type", "p_name", "p_size")
+    return U.unique_best(R.best_pairs(p, p, ["p_brand", "p_type", "p_name"], ("p_size",), (-F.abs(F.col("a_p_size") - F.col("b_p_size"))).cast("double")))
 
 
 @query("""SELECT o_orderkey FROM orders WHERE (o_orderkey % 4 <> 0 AND year(o_orderdate) >= 1995) OR (o_orderkey % 4 = 0 AND o_orderkey % 8 = 0)""")

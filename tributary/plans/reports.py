@@ -15,7 +15,7 @@ from tributary.operators import quality as G
 from tributary.operators import query as Q
 from tributary.plans.derived import SOURCE_A, SOURCE_B, SPREAD, build, text
 from tributary.plans.entities import UNITED, _united
-from tributary.session import load, scratch
+from tributary.session import load, scratch, spread
 from tributary.sources import extract as X
 from tributary.streaming import frontier as N
 from tributary.streaming import incremental as I
@@ -477,12 +477,12 @@ g AS (SELECT item, fin, count(*) FILTER (fin IS NULL OR k <= fin) AS attempts, c
 SELECT item, CAST(attempts AS INT) AS attempts, CAST(early AS INT) AS early, CAST(repeats AS INT) AS repeats, CASE WHEN fin IS NOT NULL AND bad = 1 THEN 'exhausted' WHEN fin IS NOT NULL THEN 'done'
   WHEN last_at + {2 * DAY} * pow(2, attempts - 1) < (SELECT max(t) FROM a) - 3600000 THEN 'ready' ELSE 'retry' END AS reason FROM g""")
 def frontier_over_time(spark, sf_dir):
-    """O2, O3: attempts stream in four micro-batches; states and timers live from one to the next."""
+    """O2, O3: attempts stream in four micro-batches; states and ends of back-offs live from one to the next."""
     rows = load(spark, sf_dir, "events").where("event_type in ('error', 'purchase')")
     rows = rows.select("ts", "event_id", (F.col("user_id") * 8 + F.col("event_id") % 8).alias("item"), (F.col("event_type") == "error").alias("failed"))
-    states = N.frontier_stream(_slices(spark, sf_dir, rows), "item", "ts", "event_id", "failed", 3, 2 * DAY, "1 hour")
+    frontier = N.Frontier("item", "ts", "event_id", "failed", 3, 2 * DAY, 3_600_000)
     table = N.BatchTable(spark, scratch(spark, "frontier"), N.Producer("frontier", "1"))
-    N.run_batches(states, table, scratch(spark, "frontier-state"))
+    N.run_frontier(_slices(spark, sf_dir, rows), frontier, table, scratch(spark, "frontier-state"))
     last = table.read().groupBy("item").agg(F.max_by(F.struct("attempts", "early", "repeats", "reason"), "batch").alias("s"))
     return last.select("item", "s.*")
 

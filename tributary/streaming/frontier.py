@@ -1,4 +1,4 @@
-"""O2, O3: a retry frontier as keyed streaming state with timers, and a sink that takes every micro-batch once and can prove what it holds."""
+"""O2, O3: a retry frontier as states of items that go from batch to batch, and a sink that takes every micro-batch once and can prove what it holds."""
 
 from __future__ import annotations
 
@@ -7,16 +7,15 @@ import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tributary.session import ship
+from tributary.session import ship, spread
 from tributary.sources.commits import CommitLog
 
 SCHEMA_VERSION = 1
-STATES = "attempts int, early int, repeats int, ready_at long, reason string"
+STATES = "attempts int, early int, repeats int, ready_at long, reason string, seen_at long"
 
 
 def advance(state: tuple, at: int, failed: bool, most_attempts: int, backoff_ms: int) -> tuple:
@@ -37,35 +36,6 @@ def advance(state: tuple, at: int, failed: bool, most_attempts: int, backoff_ms:
     return attempts, early, repeats, at + backoff_ms * 2 ** (attempts - 1), "retry"
 
 
-def frontier_stream(attempts: DataFrame, key: str, ts: str, order: str, failed: str, most_attempts: int, backoff_ms: int, late: str) -> DataFrame:
-    """O2: a stream of attempts to a stream of the items' states: key, attempts, early, repeats, ready_at (milliseconds), reason.
-
-    An item gives a row whenever a batch touches it, and one more (``ready``) when the watermark passes the end of its back-off without
-    another attempt. Attempts of a batch count in the order of time, then of ``order``.
-    """
-    ship(attempts.sparkSession)
-    kind = attempts.schema[key].dataType.simpleString()
-
-    def work(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get if state.exists else (0, 0, 0, 0, "waiting")
-        if state.hasTimedOut:
-            now = (*now[:4], "ready")
-        else:
-            rows = pd.concat(list(frames)).sort_values(["at", "order"], kind="stable")
-            now = (*now[:4], "retry") if now[4] == "ready" else now
-            for at, bad in zip(rows["at"].tolist(), rows["failed"].tolist()):
-                now = advance(now, at, bad, most_attempts, backoff_ms)
-            if now[4] == "retry" and now[3] > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(now[3])
-            elif now[4] == "retry":
-                now = (*now[:4], "ready")
-        state.update(now)
-        yield pd.DataFrame([(keys[0], *now)], columns=[key, "attempts", "early", "repeats", "ready_at", "reason"])
-
-    sent = attempts.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).select(key, ts, F.unix_millis(ts).alias("at"), F.col(order).alias("order"), F.col(failed).alias("failed"))
-    return sent.groupBy(key).applyInPandasWithState(work, f"{key} {kind}, {STATES}", STATES, "update", GroupStateTimeout.EventTimeTimeout)
-
-
 @dataclass(frozen=True)
 class Producer:
     """Who writes a table of batches: only the same one may go on with it."""
@@ -147,7 +117,100 @@ class BatchTable:
         return out
 
 
-def run_batches(stream: DataFrame, table: BatchTable, checkpoint: str, mode: str = "update", keep: Callable[[DataFrame], DataFrame] = lambda x: x) -> None:
-    """O3: all that is there of a stream into a table of batches."""
-    writer = stream.writeStream.foreachBatch(lambda rows, batch: table.add(keep(rows), batch) and None)
+def advanced(states: DataFrame, attempts: DataFrame, key: str, most_attempts: int, backoff_ms: int, mark: int | None) -> DataFrame:
+    """The items' states after a batch of attempts (key, at, order, failed), and whether each has ``changed``.
+
+    Attempts of a batch count in the order of time, then of ``order``. An item that waits is ``ready`` once its back-off ends before ``mark``. Rows come
+    sorted and are walked one by one, so that neither an item is a call of its own nor are all of its attempts held.
+    """
+    ship(attempts.sparkSession)
+    kind = attempts.schema[key].dataType.simpleString()
+    names = [key, "attempts", "early", "repeats", "ready_at", "reason", "seen_at", "changed"]
+    schema = f"`{key}` {kind}, {STATES}, changed boolean"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        item = now = seen = was = None
+
+        def close() -> None:
+            state = now
+            if state[4] == "retry" and mark is not None and state[3] < mark:
+                state = (*state[:4], "ready")
+            out.append((item, *state, seen, state != was))
+
+        def sent() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+            out.clear()
+            return batch
+
+        for batch in batches:
+            types = [batch.schema.field("item").type, pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+            columns = [batch.column(c).to_pylist() for c in ("item", "state", "at", "failed")]
+            for k, state, at, bad in zip(*columns):
+                if now is None or k != item:
+                    if now is not None:
+                        close()
+                    item, now, seen, was = k, (0, 0, 0, 0, "waiting"), None, None
+                if state is not None:
+                    was = now = tuple(state[c] for c in names[1:6])
+                    seen = at
+                    continue
+                now = (*now[:4], "retry") if now[4] == "ready" else now
+                now = advance(now, at, bad, most_attempts, backoff_ms)
+                seen = at if seen is None else max(seen, at)
+            if len(out) >= 10_000:
+                yield sent()
+        if now is not None:
+            close()
+            yield sent()
+
+    known = states.select(F.col(key).alias("item"), F.struct(*names[1:6]).alias("state"), F.col("seen_at").alias("at"))
+    fresh = attempts.select(F.col(key).alias("item"), "at", "order", "failed")
+    both = spread(known.unionByName(fresh, allowMissingColumns=True), "item")
+    return both.sortWithinPartitions("item", F.col("state").isNull(), "at", "order", "failed").drop("order").mapInArrow(work, schema)
+
+
+@dataclass(frozen=True)
+class Frontier:
+    """O2: how attempts are read, and when an item is given up or tried again."""
+
+    key: str
+    ts: str
+    order: str
+    failed: str
+    most_attempts: int
+    backoff_ms: int
+    late_ms: int
+
+
+def run_frontier(stream: DataFrame, frontier: Frontier, table: BatchTable, checkpoint: str) -> None:
+    """O2, O3: all that is there of a stream of attempts into a table of the items' states: key, attempts, early, repeats, ready_at (milliseconds), reason.
+
+    An item gives a row whenever a batch touches it, or when the watermark (the latest time so far less ``late_ms``) passes the end of its back-off
+    without another attempt (``ready``). Attempts that the watermark had passed before their batch are dropped, as a stream does. All states after a batch stand
+    in a folder with its number, from which the next batch goes on: a batch that comes again finds those before it, and gives the same rows.
+    """
+    f, root = frontier, f"{table.root}/states"
+
+    def changes(rows: DataFrame, batch: int) -> DataFrame:
+        spark = rows.sparkSession
+        at = F.unix_millis(F.col(f.ts).cast("timestamp"))
+        sent = rows.select(f.key, at.alias("at"), F.col(f.order).alias("order"), F.col(f.failed).alias("failed"))
+        schema = f"`{f.key}` {sent.schema[f.key].dataType.simpleString()}, {STATES}, changed boolean"
+        before = spark.read.schema(schema).parquet(f"{root}/{batch - 1:012d}") if batch else spark.createDataFrame([], schema)
+        passed, latest = before.agg(F.max("seen_at")).first()[0], sent.agg(F.max("at")).first()[0]
+        latest = max((x for x in (passed, latest) if x is not None), default=None)
+        if passed is not None:
+            sent = sent.where(F.col("at") > passed - f.late_ms)
+        mark = None if latest is None else latest - f.late_ms
+        path = f"{root}/{batch:012d}"
+        advanced(before, sent, f.key, f.most_attempts, f.backoff_ms, mark).write.mode("overwrite").parquet(path)
+        return spark.read.schema(schema).parquet(path).where("changed").drop("changed", "seen_at")
+
+    run_batches(stream, table, checkpoint, "append", changes)
+
+
+def run_batches(stream: DataFrame, table: BatchTable, checkpoint: str, mode: str = "update", keep: Callable[[DataFrame, int], DataFrame] = lambda rows, batch: rows) -> None:
+    """O3: all that is there of a stream into a table of batches; ``keep`` says what of a batch, by its rows and number."""
+    writer = stream.writeStream.foreachBatch(lambda rows, batch: table.add(keep(rows, batch), batch) and None)
     writer.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()

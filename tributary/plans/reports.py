@@ -351,13 +351,13 @@ def group_positions(spark, sf_dir):
 SELECT l_orderkey, CAST(position AS INT) AS position, concat('m', p) AS model, CASE WHEN p % 3 = 0 THEN 'unapproved' WHEN p % 3 = 1 THEN 'approved' ELSE 'unknown' END AS status, CAST(n AS VARCHAR) AS line, concat('x', p) AS part FROM x""")
 def position_records(spark, sf_dir):
     """Groups of values by position to records; the last known status counts, names come from JSON inside JSON."""
-    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    lines = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
     base = lambda x: F.to_json(F.struct(F.concat(F.lit("m"), x["l_partkey"].cast("string")).alias("carName"), F.when(x["l_partkey"] % 3 == 0, "停产 预售").when(x["l_partkey"] % 3 == 1, "0").alias("status")))
     first = F.transform("l", lambda x: F.struct(x["l_linenumber"].cast("string").alias("value"), base(x).alias("baseInfo"), F.lit("").alias("saleStatusName")))
     second = F.transform("l", lambda x: F.struct(F.concat(F.lit("x"), x["l_partkey"].cast("string")).alias("value"), F.lit(None).cast("string").alias("baseInfo"), F.when(x["l_partkey"] % 3 == 1, "已上市").alias("saleStatusName")))
     items = F.array(F.struct(F.lit("line").alias("name"), first.alias("paramValues")), F.struct(F.lit("part").alias("name"), second.alias("paramValues")))
     docs = lines.select("l_orderkey", F.to_json(F.struct(F.array(F.struct(items.alias("items"))).alias("data"))).alias("payload"))
-    found = X.positions_to_records(X.groups_by_position(docs, "l_orderkey", "payload"), "l_orderkey")
+    found = X.records_by_position(docs, "l_orderkey", "payload")
     return found.select("l_orderkey", "position", "model", "status", F.col("attrs")["line"].alias("line"), F.col("attrs")["part"].alias("part"))
 
 

@@ -150,37 +150,67 @@ STATUS_CODES = {
 }
 
 
-def groups_by_position(rows: DataFrame, key: str, payload: str) -> DataFrame:
-    """data[{items[{name, paramValues[{value, id, status, baseInfo, subList[{value}]}]}]}] to (row, position, name, value, status, order); the
-    first sub-value stands in for no value. baseInfo is JSON inside JSON; its status and the value's own are read together."""
-    value = "struct<value: string, id: string, status: string, saleStatusName: string, baseInfo: string, subList: array<struct<value: string>>>"
-    schema = f"struct<data: array<struct<items: array<struct<name: string, paramValues: array<{value}>>>>>>"
-    items = rows.select(key, F.posexplode(F.expr(f"from_json({payload}, '{schema}').data")).alias("g", "group")).select(key, "g", F.posexplode("group.items").alias("i", "item"))
-    cells = items.select(key, "g", "i", F.col("item.name").alias("name"), F.posexplode("item.paramValues").alias("position", "v"))
-    first = F.get(F.col("v.subList"), F.lit(0))["value"]
-    base = F.from_json("v.baseInfo", "struct<carName: string, carId: string, status: string, saleStatusName: string>")
-    said = F.array_compact(F.array(base["saleStatusName"], base["status"], F.col("v.saleStatusName"), F.col("v.status")))
+VALUES = "struct<value: string, id: string, status: string, saleStatusName: string, baseInfo: string, subList: array<struct<value: string>>>"
+POSITIONS = f"struct<data: array<struct<items: array<struct<name: string, paramValues: array<{VALUES}>>>>>>"
+BASE = "struct<carName: string, carId: string, status: string, saleStatusName: string>"
+
+
+def _value(v: Column) -> Column:
+    """A value's text; the first sub-value stands in for none."""
+    return F.coalesce(F.nullif(F.nullif(v["value"], F.lit("")), F.lit("-")), F.get(v["subList"], F.lit(0))["value"])
+
+
+def _said(v: Column, base: Column) -> Column:
+    """All that a value and its baseInfo say about its status."""
+    return F.array_compact(F.array(base["saleStatusName"], base["status"], v["saleStatusName"], v["status"]))
+
+
+def _status(said: Column) -> Column:
     text, codes = F.array_join(said, " "), F.transform(said, lambda x: F.lower(F.trim(x)))
     coded = lambda wanted: F.arrays_overlap(codes, F.array(*[F.lit(c) for c, s in STATUS_CODES.items() if s == wanted]))
-    status = (
+    return (
         F.when(text.rlike("|".join(UNAPPROVED)), "unapproved").when(text.rlike("|".join(APPROVED)), "approved")
         .when(coded("approved"), "approved").when(coded("unapproved"), "unapproved").otherwise("unknown")
     )
+
+
+def groups_by_position(rows: DataFrame, key: str, payload: str) -> DataFrame:
+    """data[{items[{name, paramValues[{value, id, status, baseInfo, subList[{value}]}]}]}] to (row, position, name, value, status, order); the
+    first sub-value stands in for no value. baseInfo is JSON inside JSON; its status and the value's own are read together."""
+    items = rows.select(key, F.posexplode(F.expr(f"from_json({payload}, '{POSITIONS}').data")).alias("g", "group")).select(key, "g", F.posexplode("group.items").alias("i", "item"))
+    cells = items.select(key, "g", "i", F.col("item.name").alias("name"), F.posexplode("item.paramValues").alias("position", "v"))
+    v, base = F.col("v"), F.from_json("v.baseInfo", BASE)
     return cells.select(
-        key, "position", "name", F.coalesce(F.nullif(F.nullif("v.value", F.lit("")), F.lit("-")), first).alias("value"), status.alias("status"),
+        key, "position", "name", _value(v).alias("value"), _status(_said(v, base)).alias("status"),
         base["carName"].alias("model"), F.coalesce(base["carId"], F.col("v.id")).alias("model_id"), F.struct("g", "i").alias("order"),
     )
 
 
-def positions_to_records(cells: DataFrame, key: str) -> DataFrame:
-    """One record per position: its name and id (the last that are given), its status (the last that is known), and all values by name."""
-    known = F.col("status") != "unknown"
-    return cells.groupBy(key, "position").agg(
-        F.max_by("model", F.when(F.col("model").isNotNull(), F.col("order"))).alias("model"),
-        F.max_by("model_id", F.when(F.col("model_id").isNotNull(), F.col("order"))).alias("model_id"),
-        F.coalesce(F.max_by("status", F.when(known, F.col("order"))), F.lit("unknown")).alias("status"),
-        F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("name", "value")))).alias("attrs"),
+def records_by_position(rows: DataFrame, key: str, payload: str) -> DataFrame:
+    """One record per row and position of such groups: its name and id (the last that are given), its status (the last that is known), and all
+    values by name. A row's values meet inside the row, so nothing is shuffled or sorted."""
+    groups = F.filter(F.expr(f"from_json({payload}, '{POSITIONS}').data"), lambda g: g["items"].isNotNull())
+    items = F.filter(F.flatten(F.transform(groups, lambda g: g["items"])), lambda i: i["paramValues"].isNotNull())
+    rows = rows.select(key, items.alias("items")).withColumn("most", F.array_max(F.transform("items", lambda i: F.size(i["paramValues"]))))
+    here = lambda p: F.transform(
+        F.filter("items", lambda i: F.size(i["paramValues"]) > p), lambda i: F.struct(i["name"].alias("name"), F.get(i["paramValues"], p).alias("v"))
     )
+    # No filter on "most": it would be pushed below the parsing, which then ran twice.
+    positions = F.when(F.col("most") > 0, F.sequence(F.lit(0), F.col("most") - 1))
+    cells = rows.select(key, F.posexplode(F.transform(positions, here)).alias("position", "cells"))
+    # Each step is a transform of its own, so that baseInfo is parsed once a value.
+    based = F.transform("cells", lambda c: F.struct(c["name"].alias("name"), c["v"].alias("v"), F.from_json(c["v"]["baseInfo"], BASE).alias("base")))
+    said = F.transform(based, lambda c: F.struct(
+        c["name"].alias("name"), _value(c["v"]).alias("value"), _said(c["v"], c["base"]).alias("said"),
+        c["base"]["carName"].alias("model"), F.coalesce(c["base"]["carId"], c["v"]["id"]).alias("model_id"),
+    ))
+    told = cells.select(key, "position", said.alias("cells"))
+    last = lambda values, good: F.try_element_at(F.filter(values, good), F.lit(-1))
+    named = F.transform(F.filter("cells", lambda c: c["value"].isNotNull()), lambda c: F.struct(c["name"], c["value"]))
+    return told.select(
+        key, "position", last("cells.model", F.isnotnull).alias("model"), last("cells.model_id", F.isnotnull).alias("model_id"),
+        F.coalesce(last(F.transform("cells.said", _status), lambda s: s != "unknown"), F.lit("unknown")).alias("status"), F.map_from_entries(named).alias("attrs"),
+    )
 
 
 def walk_json(rows: DataFrame, key: str, payload: str) -> DataFrame:

@@ -148,6 +148,57 @@ def test_encoder_is_the_library(tokenizer):
         assert counts.tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_table_encoder_is_the_library(tokenizer):
+    """Also where it forgets, its table grows, and chunks stand around the size of a key."""
+    rng = random.Random(5)
+    parts = ["a", "the", "é" * 7, "é" * 7 + "x", "é" * 8, "x" * 14, "x" * 15, "x" * 16, "x" * 40, "\x00", "a\x00", "日本", "<|endoftext|>", "”", "\x01", "\t", "", "\n"]
+    for most in (4, 300, 2_000_000):
+        encoder = K.TableEncoder(K.vocabulary("byte_bpe_50k.json"), most)
+        for _ in range(20):
+            texts = [rng.choice([" ", "\n"]).join(rng.choice(parts[: rng.choice([12, 12, 18])]) + str(rng.choice(["", rng.randrange(300)])) for _ in range(rng.randint(1, 30))) for _ in range(12)]
+            texts += ["", " ", "a"]
+            ids, counts = encoder.encode(texts)
+            want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            assert ids.tolist() == [i for w in want for i in w]
+            assert counts.tolist() == [len(w) for w in want]
+        assert encoder.kept > 0 and encoder.kept < 1 << encoder.bits
+
+
+def test_repair_encodes_no_known_chunk_again(tokenizer, monkeypatch):
+    """900,000 different chunks, twice: the second time all of them are known (500,000 were before)."""
+    made = K.library_encoder(K.vocabulary("byte_bpe_50k.json"), K.TableEncoder)
+    seen = []
+    monkeypatch.setattr(made, "encode_chunks", lambda chunks, plain: (seen.append(len(chunks)), (np.zeros(len(chunks), np.uint32), np.ones(len(chunks), np.int64)))[1])
+    texts = [" ".join(f"{a}w{b}" for b in range(900)) for a in range(1000)]
+    for _ in range(2):
+        for a in range(0, 1000, 50):
+            made.encode(texts[a : a + 50])
+    assert sum(seen) == 900_000
+    K.give_back()
+    K._encoders.clear()  # its ids were made up
+
+
+def test_repair_looks_only_at_pairs_that_can_be_frequent(monkeypatch):
+    """Rounds after the first look at few places, and the grammar is that of looking at all."""
+    rng = np.random.default_rng(8)
+    ids = np.minimum(rng.zipf(1.3, 60_000), 3000)
+    ids[5000:9000] = np.repeat(rng.integers(0, 4, 800), 5)
+    ends = np.append(np.arange(700, 60_000, 700), 60_000)
+    looked, whole = [], repair.frequent
+
+    def counted(a, last, least, fresh=None):
+        looked.append(int(len(a) if fresh is None else fresh.sum()))
+        return whole(a, last, least, fresh)
+
+    monkeypatch.setattr(repair, "RULES_A_ROUND", 100)
+    monkeypatch.setattr(repair, "frequent", lambda a, last, least, fresh=None: whole(a, last, least))
+    want = repair.compress(ids, ends, 5000)
+    monkeypatch.setattr(repair, "frequent", counted)
+    got = repair.compress(ids, ends, 5000)
+    assert all(np.array_equal(x, y) for x, y in zip(got, want))
+    assert len(looked) >= 5 and looked[-1] < len(got[0]) / 2
+
+
 # 2
 def brute_passages(rows, window):
     first = {}

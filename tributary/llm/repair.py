@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import gather, library_encoder, text_batches
+from tributary.llm.common import TableEncoder, gather, library_encoder, text_batches
 from tributary.session import ship
 
 #: Ids that a shard holds at least before the next one begins.
@@ -39,10 +39,13 @@ SLOTS = 1 << SLOT_BITS
 MAGIC = b"RPG1"
 
 
-def frequent(a: np.ndarray, last: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def frequent(a: np.ndarray, last: np.ndarray, min_count: int, fresh: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The pairs that occur min_count times without overlapping themselves: positions, each position's pair as an
-    index, the pairs and their counts. Counts are exact; the hashed count only sets aside slots that can't hold such a pair."""
+    index, the pairs and their counts. Counts are exact; the hashed count only sets aside slots that can't hold such a pair.
+    ``fresh``: where to look, all places of a pair or none of them."""
     inside = ~last[:-1]
+    if fresh is not None:
+        inside &= fresh[:-1]
     equal = np.flatnonzero((a[:-1] == a[1:]) & inside)
     if len(equal):
         # In a run of one symbol every other pair counts.
@@ -51,8 +54,8 @@ def frequent(a: np.ndarray, last: np.ndarray, min_count: int) -> tuple[np.ndarra
         inside[equal[nth % 2 == 1]] = False
     at = np.flatnonzero(inside)
     pairs = (a[at].astype(np.uint64) << np.uint64(32)) | a[at + 1]
-    slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
-    often = (np.bincount(slot, minlength=SLOTS) >= min_count)[slot]
+    slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    often = np.flatnonzero((np.bincount(slot, minlength=SLOTS) >= min_count).take(slot))
     at, pairs = at[often], pairs[often]
     names, which, counts = np.unique(pairs, return_inverse=True, return_counts=True)
     good = counts >= min_count
@@ -74,8 +77,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int, min_count: int = MIN
     left: list[np.ndarray] = []
     right: list[np.ndarray] = []
     top = first
+    fresh = None
     while len(a) > 1:
-        every, pair, names, counts = frequent(a, last, min_count)
+        every, pair, names, counts = frequent(a, last, min_count, fresh)
         if not len(names):
             break
         order = np.argsort(-counts, kind="stable")
@@ -100,7 +104,14 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int, min_count: int = MIN
         last[at] = last[at + 1]
         stay = np.ones(len(a), bool)
         stay[at + 1] = False
-        a, last = a[stay], last[stay]
+        # Only a pair that was frequent, or has a new symbol, can be frequent in the next round; of a run of one symbol, any place can count then.
+        fresh = np.zeros(len(a), bool)
+        fresh[every] = True
+        fresh[:-1] |= a[:-1] == a[1:]
+        a, last, fresh = a[stay], last[stay], fresh[stay]
+        new = a >= top
+        fresh |= new
+        fresh[:-1] |= new[1:]
         top += len(rules)
     cat = lambda x: np.concatenate(x).astype("<u4") if x else np.empty(0, "<u4")
     waves = np.array([len(x) for x in left], "<u4")
@@ -193,7 +204,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, firs
     ship(docs.sparkSession)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = library_encoder(tokenizer_path)
+        encoder = library_encoder(tokenizer_path, TableEncoder)
         part, number, inside = TaskContext.get().partitionId(), 0, 0
         names: list = []
         counts: list[np.ndarray] = []
